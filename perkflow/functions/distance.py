@@ -10,19 +10,23 @@ from ..schemas import DISTANCE_REPLY
 from .numeric import metres_to_km_2dp
 
 
+def parse_reply(reply: Column) -> Column:
+    """JSON text -> reply struct; text that is not JSON gives NULL fields."""
+    return F.from_json(reply, DISTANCE_REPLY)
+
+
 def _first_element(parsed: Column) -> Column:
     first_row = F.try_element_at(parsed.getField("rows"), F.lit(1))
     return F.try_element_at(first_row.getField("elements"), F.lit(1))
 
 
-def distance_status(reply: Column) -> Column:
+def distance_status(reply: Column, parsed: Column) -> Column:
     """Status of one reply.
 
     no reply -> no_api_key; unparsable or global status != OK -> error;
     no first element -> error; element status != OK -> not_found;
     element without a distance -> error; otherwise ok.
     """
-    parsed = F.from_json(reply, DISTANCE_REPLY)
     elem = _first_element(parsed)
     return (
         F.when(reply.isNull(), F.lit(DISTANCE_NO_KEY))
@@ -34,12 +38,15 @@ def distance_status(reply: Column) -> Column:
     )
 
 
-def distance_km(reply: Column) -> Column:
-    """Kilometres (half up, 2 decimals) when the reply status is ok, else NULL."""
-    parsed = F.from_json(reply, DISTANCE_REPLY)
+def distance_km(status: Column, parsed: Column) -> Column:
+    """Kilometres (half up, 2 decimals) when the status is ok, else NULL."""
     metres = _first_element(parsed).getField("distance").getField("value")
-    return F.when(distance_status(reply) == DISTANCE_OK, metres_to_km_2dp(metres))
+    return F.when(status == DISTANCE_OK, metres_to_km_2dp(metres))
 
 
 def decode_reply(reply: Column) -> tuple[Column, Column]:
-    return distance_km(reply), distance_status(reply)
+    """(km, status) straight from the text. Prefer parsing once into a column
+    and calling :func:`distance_status` / :func:`distance_km` on it."""
+    parsed = parse_reply(reply)
+    status = distance_status(reply, parsed)
+    return distance_km(status, parsed), status

@@ -36,7 +36,7 @@ def to_long_or_null(c: Column) -> Column:
 
 def to_date_or_null(c: Column) -> Column:
     """ISO date text (a trailing time part is dropped) -> date, else NULL."""
-    return F.try_to_date(F.substring_index(c, " ", 1), F.lit("yyyy-MM-dd"))
+    return F.try_to_date(F.substring_index(c, " ", 1), "yyyy-MM-dd")
 
 
 def to_double_or_null(c: Column) -> Column:

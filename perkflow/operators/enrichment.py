@@ -20,7 +20,7 @@ from collections.abc import Callable, Iterator, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.distance import decode_reply
+from ..functions.distance import distance_km, distance_status, parse_reply
 
 RESOLVED_COLUMNS = ["home_address", "home_to_office_km", "distance_check_status"]
 
@@ -66,9 +66,13 @@ def resolve_addresses(addresses: DataFrame, provider, cache: DataFrame | None =
     todo = addresses.select("home_address").distinct()
     if cache is not None:
         todo = todo.join(cache.select("home_address"), "home_address", "left_anti")
-    replies = provider.lookup(todo)
-    km, status = decode_reply(F.col("reply"))
-    fresh = replies.select("home_address", km.alias("home_to_office_km"), status.alias("distance_check_status"))
+    replies = provider.lookup(todo).select("home_address", "reply", parse_reply(F.col("reply")).alias("_parsed"))
+    with_status = replies.withColumn("distance_check_status", distance_status(F.col("reply"), F.col("_parsed")))
+    fresh = with_status.select(
+        "home_address",
+        distance_km(F.col("distance_check_status"), F.col("_parsed")).alias("home_to_office_km"),
+        "distance_check_status",
+    )
     if cache is None:
         return fresh
     return fresh.unionByName(cache.select(*RESOLVED_COLUMNS))

@@ -13,26 +13,48 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..constants import TEST_AS_OF
-from ..operators import eligibility, refine
-from ..operators.enrichment import StoredReplies
+import datetime as dt
+
+from ..constants import DEFAULT_PARAMETERS, TEST_AS_OF
+from ..functions import activity, people
+from ..functions.distance import decode_reply
+from ..operators import cdc, eligibility, guards, kpis, lookup, quality, refine
+from ..operators.enrichment import StoredReplies, enrich_distances
+from ..operators.parameters import parameter_columns
+from ..session import scratch_path
+from ..sinks.keys import insert_ignore
+from ..sinks.lake import replace_partition, write_counted, write_partitioned
+from ..sinks.outbox import write_outbox
+from ..sources import lake
 from ..sources import testbed as tb
+from ..sources.hr_extract import HR_COLUMNS, normalize_hr_extract, read_hr_extract
+from ..streaming.notifier import file_source, start_notifier
+from .rules import ACTIVITY_NOT_NULL, activity_checks, employee_checks, gold_suite
+from .stamps import stamp
+
+ORDERS_AS_OF = dt.date(2001, 12, 31)
+SNAPSHOT_DAY = dt.date(2024, 1, 15)
+STREAM_TIMEOUT_S = 600
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 
 def present(df: DataFrame) -> DataFrame:
-    """Render DATE columns as ISO text.
+    """Render DATE columns as ISO text and DECIMAL columns as double.
 
-    Engines map DATE differently into pandas (date objects vs. timestamps), so
-    the registered results carry dates as ``yyyy-MM-dd`` strings; operators
-    themselves keep real date types.
+    Engines map DATE and DECIMAL differently into pandas (date objects vs.
+    timestamps, Decimal objects vs. floats), so registered results carry
+    dates as ``yyyy-MM-dd`` strings and decimals as doubles; the operators
+    themselves keep the real types.
     """
-    dates = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DateType)]
-    if not dates:
-        return df
-    return df.withColumns({c: F.date_format(c, "yyyy-MM-dd") for c in dates})
+    conv = {}
+    for f in df.schema.fields:
+        if isinstance(f.dataType, T.DateType):
+            conv[f.name] = F.date_format(f.name, "yyyy-MM-dd")
+        elif isinstance(f.dataType, T.DecimalType):
+            conv[f.name] = F.col(f.name).cast("double")
+    return df.withColumns(conv) if conv else df
 
 
 def register(name: str):
@@ -63,3 +85,369 @@ def q_employee_eligibility(spark: SparkSession, sf_dir: str) -> DataFrame:
         TEST_AS_OF,
         params=tb.parameter_history(spark),
     )
+
+
+# --------------------------------------------------------------------------
+# Parts of the gold computation
+# --------------------------------------------------------------------------
+SHORT_WINDOW_DAYS = 10
+LATER_AS_OF = dt.date(2024, 7, 1)
+
+
+@register("parameterized_eligibility")
+def q_parameterized_eligibility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold table with the parameter row in force on 2024-07-01 (rate 8 %, ...)."""
+    return eligibility.employee_eligibility(
+        _employees_silver(spark, sf_dir), tb.activities(spark, sf_dir), LATER_AS_OF, params=tb.parameter_history(spark)
+    )
+
+
+@register("rolling_window_count")
+def q_rolling_window_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Activities per employee over the 10 days before the as-of date."""
+    return eligibility.rolling_window_count(tb.activities(spark, sf_dir), TEST_AS_OF, SHORT_WINDOW_DAYS)
+
+
+@register("activity_counts_left")
+def q_activity_counts_left(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every employee with the 12-month count, 0 when no activity."""
+    counts = eligibility.rolling_window_count(tb.activities(spark, sf_dir), TEST_AS_OF)
+    emp = tb.employee_base(spark, sf_dir).select("employee_id")
+    return eligibility.with_activity_counts(emp, counts)
+
+
+@register("mobility_eligibility")
+def q_mobility_eligibility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = parameter_columns(DEFAULT_PARAMETERS)
+    e = _employees_silver(spark, sf_dir)
+    flag = eligibility.mobility_flag(F.col("transport_mode"), F.col("home_to_office_km"), eligibility.mode_limits(p))
+    return e.select("employee_id", "transport_mode", "home_to_office_km", flag.alias("is_eligible_premium"))
+
+
+@register("wellbeing_eligibility")
+def q_wellbeing_eligibility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Well-being flag over a 10-day window (threshold 15)."""
+    counts = eligibility.rolling_window_count(tb.activities(spark, sf_dir), TEST_AS_OF, SHORT_WINDOW_DAYS)
+    emp = eligibility.with_activity_counts(tb.employee_base(spark, sf_dir).select("employee_id"), counts)
+    thr = DEFAULT_PARAMETERS["wellbeing_threshold"]
+    return emp.select(
+        "employee_id", "activities_count_12m", (F.col("activities_count_12m") >= thr).alias("is_eligible_wellbeing")
+    )
+
+
+@register("benefit_costs")
+def q_benefit_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts of the gold rules with a 10-day activity window."""
+    g = eligibility.employee_eligibility(
+        _employees_silver(spark, sf_dir), tb.activities(spark, sf_dir), TEST_AS_OF, days=SHORT_WINDOW_DAYS
+    )
+    return g.select("employee_id", "premium_amount", "wellbeing_days", "wellbeing_cost", "total_cost")
+
+
+# --------------------------------------------------------------------------
+# Silver layer and its scalar functions
+# --------------------------------------------------------------------------
+@register("employees_silver")
+def q_employees_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _employees_silver(spark, sf_dir)
+
+
+@register("activities_silver")
+def q_activities_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return refine.activities_silver(tb.activities(spark, sf_dir), tb.employee_base(spark, sf_dir), TEST_AS_OF)
+
+
+@register("distance_enrichment")
+def q_distance_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = enrich_distances(tb.employee_base(spark, sf_dir), StoredReplies(tb.distance_replies(spark, sf_dir)))
+    return e.select("employee_id", "home_address", "home_to_office_km", "distance_check_status")
+
+
+@register("distance_reply_decode")
+def q_distance_reply_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = tb.distance_replies(spark, sf_dir)
+    km, status = decode_reply(F.col("reply"))
+    return r.select("home_address", km.alias("home_to_office_km"), status.alias("distance_check_status"))
+
+
+@register("full_name")
+def q_full_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = tb.employee_base(spark, sf_dir)
+    return e.select("employee_id", people.full_name("first_name", "last_name").alias("full_name"))
+
+
+@register("completed_years")
+def q_completed_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seniority of each order date as a hire date, as of 2001-12-31."""
+    o = tb.table(spark, sf_dir, "orders")
+    d = F.to_date("o_orderdate")
+    return o.select("o_orderkey", d.alias("hire_date"), people.completed_years(ORDERS_AS_OF, d).alias("seniority_years"))
+
+
+@register("activity_pace")
+def q_activity_pace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = tb.activities(spark, sf_dir)
+    km = activity.metres_to_km(F.col("distance_m"))
+    minutes = activity.seconds_to_minutes(F.col("duration_s"))
+    return a.select(
+        "activity_id",
+        km.alias("distance_km"),
+        minutes.alias("duration_min"),
+        activity.pace_min_per_km(minutes, km).alias("pace_min_per_km"),
+    )
+
+
+@register("type_normalize")
+def q_type_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text columns parsed with NULL on bad input (every 50th id, every 40th date is bad)."""
+    c = tb.table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    id_text = F.when(k % 50 == 0, F.concat(F.lit("x"), k.cast("string"))).otherwise(k.cast("string"))
+    day = F.date_add(F.lit(tb.BIRTH_EPOCH), ((k * 37) % 15000).cast("int")).cast("string")
+    date_text = F.when(k % 40 == 0, F.lit("1990-02-30")).otherwise(day)
+    raw = c.select(
+        k.alias("c_custkey"),
+        id_text.alias("id_text"),
+        date_text.alias("date_text"),
+        F.col("c_acctbal").cast("decimal(12,2)").alias("balance"),
+        (k % 7).cast("string").alias("days_text"),
+    )
+    return raw.select(
+        "c_custkey",
+        people.to_long_or_null(F.col("id_text")).alias("employee_id"),
+        people.to_date_or_null(F.col("date_text")).alias("birth_date"),
+        F.col("balance").cast("double").alias("balance"),
+        people.to_int_or_null(F.col("days_text")).alias("paid_leave_days"),
+    )
+
+
+@register("audit_stamp")
+def q_audit_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze stamp: extract date literal (the wall-clock extract_ts is dropped)."""
+    return stamp(tb.employee_base(spark, sf_dir), TEST_AS_OF).drop("extract_ts")
+
+
+@register("employees_ordered")
+def q_employees_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = tb.employees(spark, sf_dir)
+    return e.select("employee_id", "first_name", "last_name", "hire_date").orderBy("employee_id")
+
+
+@register("hr_extract_normalize")
+def q_hr_extract_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Employees exported as a padded all-text CSV with French headers, read back and normalised."""
+    path = scratch_path(spark, "hr_extract")
+    e = tb.employees(spark, sf_dir)
+    raw = e.select(
+        *[
+            F.concat(F.lit("  "), F.col(name).cast("string"), F.lit(" ")).alias(header)
+            for header, name in HR_COLUMNS.items()
+        ]
+    )
+    raw.write.mode("overwrite").option("header", "true").csv(path)
+    return normalize_hr_extract(read_hr_extract(spark, path))
+
+
+# --------------------------------------------------------------------------
+# Change data capture, messages, streaming
+# --------------------------------------------------------------------------
+def _live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cdc.live_creations(cdc.parse_messages(tb.cdc_messages(spark, sf_dir)))
+
+
+@register("cdc_parse_json")
+def q_cdc_parse_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cdc.parse_messages(tb.cdc_messages(spark, sf_dir))
+
+
+@register("cdc_live_filter")
+def q_cdc_live_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _live(spark, sf_dir)
+
+
+@register("cdc_unwrap")
+def q_cdc_unwrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cdc.unwrap_envelopes(tb.employee_envelopes(spark, sf_dir))
+
+
+@register("cdc_current_state")
+def q_cdc_current_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changes = cdc.unwrap_envelopes(tb.employee_envelopes(spark, sf_dir))
+    st = cdc.current_state(changes, ["employee_id"])
+    return st.select(
+        "employee_id", "business_unit", "transport_mode", "home_address", "gross_salary", "__source_lsn", "updated_at"
+    )
+
+
+@register("event_name_lookup")
+def q_event_name_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    named = lookup.with_employee_names(_live(spark, sf_dir), tb.known_employees(spark, sf_dir))
+    return named.select("activity_id", "employee_id", "full_name")
+
+
+def _worded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookup.with_messages(lookup.with_employee_names(_live(spark, sf_dir), tb.known_employees(spark, sf_dir)))
+
+
+@register("notification_messages")
+def q_notification_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookup.notifications(_worded(spark, sf_dir)).select("activity_id", "employee_id", "text")
+
+
+@register("dead_letter")
+def q_dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookup.dead_letters(_worded(spark, sf_dir))
+
+
+@register("notification_outbox")
+def q_notification_outbox(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch 0 written to the outbox twice (a replay), then read back."""
+    path = scratch_path(spark, "outbox")
+    rows = lookup.notifications(_worded(spark, sf_dir))
+    write_outbox(rows, path, 0)
+    write_outbox(rows, path, 0)
+    return spark.read.parquet(path).select("activity_id", "employee_id", "body")
+
+
+@register("cdc_stream_live")
+def q_cdc_stream_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The live notifier as a stream over the events file, drained with availableNow."""
+    base = scratch_path(spark, "notifier")
+    schema = tb.table(spark, sf_dir, "events").schema
+    events = file_source(spark, sf_dir, schema, glob="events.parquet")
+    raw = tb.cdc_messages_from_activities(tb.activities_from_events(events))
+    q = start_notifier(
+        raw, tb.known_employees(spark, sf_dir), f"{base}/outbox", f"{base}/dead", f"{base}/_checkpoint",
+        available_now=True,
+    )
+    q.awaitTermination(STREAM_TIMEOUT_S)
+    if q.isActive:
+        q.stop()
+        raise TimeoutError("notifier stream did not drain in time")
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(f"{base}/outbox").select("activity_id", "employee_id", "text")
+
+
+# --------------------------------------------------------------------------
+# Quality, KPIs, guards
+# --------------------------------------------------------------------------
+def _gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return eligibility.employee_eligibility(_employees_silver(spark, sf_dir), tb.activities(spark, sf_dir), TEST_AS_OF)
+
+
+@register("quality_report")
+def q_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    expected = tb.table(spark, sf_dir, "customer").select(F.count(F.lit(1))).scalar()
+    return quality.run_suite(_gold(spark, sf_dir), gold_suite(expected))
+
+
+@register("quality_summary")
+def q_quality_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    expected = tb.table(spark, sf_dir, "customer").select(F.count(F.lit(1))).scalar()
+    return quality.summarize(quality.run_suite(_gold(spark, sf_dir), gold_suite(expected)))
+
+
+@register("constraint_violations")
+def q_constraint_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    emp = tb.employee_base(spark, sf_dir)
+    act = tb.activities(spark, sf_dir)
+    cust = tb.table(spark, sf_dir, "customer")
+    return (
+        quality.constraint_violations(emp, "employees", employee_checks())
+        .unionByName(quality.constraint_violations(act, "activities", activity_checks()))
+        .unionByName(quality.constraint_violations(cust, "customer", {"balance_non_negative": F.col("c_acctbal") >= 0}))
+    )
+
+
+@register("pk_duplicates")
+def q_pk_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """o_custkey taken as if it were a primary key of orders: its duplicates."""
+    return quality.duplicate_keys(tb.table(spark, sf_dir, "orders"), ["o_custkey"])
+
+
+@register("not_null_violations")
+def q_not_null_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NOT NULL columns of the activity table checked on the parsed change messages."""
+    parsed = cdc.parse_messages(tb.cdc_messages(spark, sf_dir))
+    return quality.null_counts(parsed, ACTIVITY_NOT_NULL, "activity_changes")
+
+
+@register("fk_orphans")
+def q_fk_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = tb.activities(spark, sf_dir).select("activity_id", "employee_id")
+    return quality.orphans(a, tb.known_employees(spark, sf_dir), ["employee_id"])
+
+
+@register("program_kpis")
+def q_program_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kpis.program_kpis(_gold(spark, sf_dir))
+
+
+@register("exists_guard")
+def q_exists_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = tb.activities(spark, sf_dir)
+    return guards.exists_flags(
+        spark,
+        employees_exist=tb.employee_base(spark, sf_dir),
+        historical_activities_exist=a.filter(F.col("source") == "historical"),
+        future_activities_exist=a.filter(F.col("start_at") > F.lit(TEST_AS_OF)),
+    )
+
+
+# --------------------------------------------------------------------------
+# Lake reads and writes
+# --------------------------------------------------------------------------
+def _bronze_activities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Activities stamped with a daily extract date (one partition per day)."""
+    return tb.activities(spark, sf_dir).withColumn("extract_date", F.to_date("start_at"))
+
+
+def _written_bronze(spark: SparkSession, sf_dir: str) -> str:
+    path = scratch_path(spark, "bronze_activities")
+    write_partitioned(_bronze_activities(spark, sf_dir), path, "extract_date")
+    return path
+
+
+@register("snapshot_scan")
+def q_snapshot_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lake.snapshot_scan(spark, _written_bronze(spark, sf_dir), SNAPSHOT_DAY)
+
+
+@register("snapshot_as_of")
+def q_snapshot_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lake.snapshot_as_of(spark, _written_bronze(spark, sf_dir), TEST_AS_OF)
+
+
+@register("replace_partition")
+def q_replace_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Table written, then one day replaced twice (rerun): no row lost or doubled."""
+    path = _written_bronze(spark, sf_dir)
+    day = _bronze_activities(spark, sf_dir).filter(F.col("extract_date") == F.lit(SNAPSHOT_DAY))
+    replace_partition(day, path, "extract_date", SNAPSHOT_DAY)
+    replace_partition(day, path, "extract_date", SNAPSHOT_DAY)
+    return spark.read.parquet(path)
+
+
+@register("write_row_count")
+def q_write_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows written to silver activities, observed during the write itself."""
+    path = scratch_path(spark, "silver_activities")
+    df = refine.activities_silver(tb.activities(spark, sf_dir), tb.employee_base(spark, sf_dir), TEST_AS_OF)
+    n = write_counted(df, lambda d: write_partitioned(d, path, "extract_date"), "silver_activities")
+    return spark.read.parquet(path).groupBy().agg(F.count(F.lit(1)).alias("rows_read")).select(
+        F.lit("silver_activities").alias("table_name"), F.lit(n).cast("bigint").alias("rows_written"), "rows_read"
+    )
+
+
+@register("insert_ignore")
+def q_insert_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Existing = even customers; new = one row per order, first order per key wins."""
+    existing = tb.employee_base(spark, sf_dir).filter(F.col("employee_id") % 2 == 0).select(
+        "employee_id", F.lit(None).cast("bigint").alias("first_order"), F.lit("existing").alias("origin")
+    )
+    o = tb.table(spark, sf_dir, "orders")
+    new = o.select(
+        F.col("o_custkey").alias("employee_id"), F.col("o_orderkey").alias("first_order"), F.lit("inserted").alias("origin")
+    )
+    return insert_ignore(existing, new, ["employee_id"], "first_order")

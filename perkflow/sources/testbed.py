@@ -119,7 +119,11 @@ def known_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def activities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ops.activities from events."""
-    e = table(spark, sf_dir, "events")
+    return activities_from_events(table(spark, sf_dir, "events"))
+
+
+def activities_from_events(e: DataFrame) -> DataFrame:
+    """Row-wise mapping events -> activities (also valid on a streaming frame)."""
     eid = F.col("event_id")
     duration = (F.lit(60) + F.floor(F.col("value") * 60)).cast("int")
     distance = F.when(
@@ -153,7 +157,11 @@ def cdc_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     Every 89th message lacks the employee, every 97th the sport, every 101st
     is not JSON at all. Timestamps travel as epoch milliseconds.
     """
-    a = activities(spark, sf_dir)
+    return cdc_messages_from_activities(activities(spark, sf_dir))
+
+
+def cdc_messages_from_activities(a: DataFrame) -> DataFrame:
+    """Row-wise mapping activities -> change messages (also valid on a stream)."""
     eid = F.col("activity_id")
     payload = F.struct(
         eid.alias("activity_id"),
