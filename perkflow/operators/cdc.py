@@ -22,7 +22,18 @@ def parse_messages(messages: DataFrame, schema: T.StructType = CDC_ACTIVITY, val
     PERMISSIVE parsing: text that is not JSON yields a row of NULLs, which the
     later filters drop; missing fields are NULL, extra fields are ignored.
     """
-    return messages.select(F.from_json(F.col(value_col).cast("string"), schema).alias("data")).select("data.*")
+    return messages.select(parsed_once(F.from_json(F.col(value_col).cast("string"), schema)))
+
+
+def parsed_once(struct: Column) -> Column:
+    """Expand a parsed struct into columns through a one-element generator.
+
+    A plain ``select("data.*")`` lets the optimizer push later filters below
+    the projection and substitute the parse into every predicate, so each
+    row would be parsed once per predicate plus once for the output. Filters
+    cannot cross a generator that produces their columns: one parse per row.
+    """
+    return F.inline(F.array(struct))
 
 
 def live_creations(changes: DataFrame) -> DataFrame:
@@ -40,14 +51,14 @@ def unwrap_envelopes(envelopes: DataFrame, schema: T.StructType = CDC_ENVELOPE,
     Row = after-image, or the before-image for a delete; adds ``__op``,
     ``__source_ts_ms``, ``__source_lsn`` and ``__deleted``.
     """
-    env = envelopes.select(F.from_json(F.col(value_col).cast("string"), schema).alias("e"))
-    op = F.col("e.op")
-    image = F.when(op == "d", F.col("e.before")).otherwise(F.col("e.after"))
+    env = envelopes.select(parsed_once(F.from_json(F.col(value_col).cast("string"), schema)))
+    op = F.col("op")
+    image = F.when(op == "d", F.col("before")).otherwise(F.col("after"))
     return env.select(
         image.alias("row"),
         op.alias("__op"),
-        F.col("e.source.ts_ms").alias("__source_ts_ms"),
-        F.col("e.source.lsn").alias("__source_lsn"),
+        F.col("source.ts_ms").alias("__source_ts_ms"),
+        F.col("source.lsn").alias("__source_lsn"),
         (op == "d").alias("__deleted"),
     ).select("row.*", "__op", "__source_ts_ms", "__source_lsn", "__deleted")
 

@@ -82,28 +82,28 @@ def mode_limits(p: Mapping[str, Column]) -> dict[str, Column]:
 def apply_benefit_rules(df: DataFrame, p: Mapping[str, Column]) -> DataFrame:
     """Adds the flags and amounts. Money is rounded half up to cents."""
     salary = F.col("gross_salary")
-    premium = mobility_flag(F.col("transport_mode"), F.col("home_to_office_km"), mode_limits(p))
-    wellbeing = F.col("activities_count_12m") >= p["wellbeing_threshold"]
-    return (
-        df.withColumn("is_eligible_premium", premium)
-        .withColumn(
-            "premium_amount",
-            F.when(F.col("is_eligible_premium"), round_half_up(salary * p["premium_rate"])).otherwise(F.lit(0.0)),
-        )
-        .withColumn("is_eligible_wellbeing", wellbeing)
-        .withColumn(
-            "wellbeing_days",
-            F.when(F.col("is_eligible_wellbeing"), p["wellbeing_days"].cast("int")).otherwise(F.lit(0)),
-        )
-        .withColumn(
-            "wellbeing_cost",
-            F.when(
-                F.col("is_eligible_wellbeing"),
-                round_half_up(salary / F.lit(365.0) * p["wellbeing_days"]),
+    flags = df.withColumns(
+        {
+            "is_eligible_premium": mobility_flag(
+                F.col("transport_mode"), F.col("home_to_office_km"), mode_limits(p)
+            ),
+            "is_eligible_wellbeing": F.col("activities_count_12m") >= p["wellbeing_threshold"],
+        }
+    )
+    amounts = flags.withColumns(
+        {
+            "premium_amount": F.when(
+                F.col("is_eligible_premium"), round_half_up(salary * p["premium_rate"])
+            ).otherwise(F.lit(0.0)),
+            "wellbeing_days": F.when(
+                F.col("is_eligible_wellbeing"), p["wellbeing_days"].cast("int")
+            ).otherwise(F.lit(0)),
+            "wellbeing_cost": F.when(
+                F.col("is_eligible_wellbeing"), round_half_up(salary / F.lit(365.0) * p["wellbeing_days"])
             ).otherwise(F.lit(0.0)),
-        )
-        .withColumn("total_cost", round_half_up(F.col("premium_amount") + F.col("wellbeing_cost")))
+        }
     )
+    return amounts.withColumn("total_cost", round_half_up(F.col("premium_amount") + F.col("wellbeing_cost")))
 
 
 def employee_eligibility(

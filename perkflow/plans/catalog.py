@@ -29,6 +29,7 @@ from ..sources import lake
 from ..sources import testbed as tb
 from ..sources.hr_extract import HR_COLUMNS, normalize_hr_extract, read_hr_extract
 from ..streaming.notifier import file_source, start_notifier
+from . import medallion
 from .rules import ACTIVITY_NOT_NULL, activity_checks, employee_checks, gold_suite
 from .stamps import stamp
 
@@ -70,6 +71,7 @@ def register(name: str):
     return deco
 
 
+@tb.per_session
 def _employees_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return refine.employees_silver(
         tb.employees(spark, sf_dir), StoredReplies(tb.distance_replies(spark, sf_dir)), TEST_AS_OF
@@ -251,6 +253,7 @@ def q_hr_extract_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --------------------------------------------------------------------------
 # Change data capture, messages, streaming
 # --------------------------------------------------------------------------
+@tb.per_session
 def _live(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cdc.live_creations(cdc.parse_messages(tb.cdc_messages(spark, sf_dir)))
 
@@ -285,6 +288,7 @@ def q_event_name_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("activity_id", "employee_id", "full_name")
 
 
+@tb.per_session
 def _worded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup.with_messages(lookup.with_employee_names(_live(spark, sf_dir), tb.known_employees(spark, sf_dir)))
 
@@ -332,6 +336,7 @@ def q_cdc_stream_live(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --------------------------------------------------------------------------
 # Quality, KPIs, guards
 # --------------------------------------------------------------------------
+@tb.per_session
 def _gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return eligibility.employee_eligibility(_employees_silver(spark, sf_dir), tb.activities(spark, sf_dir), TEST_AS_OF)
 
@@ -451,3 +456,20 @@ def q_insert_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").alias("employee_id"), F.col("o_orderkey").alias("first_order"), F.lit("inserted").alias("origin")
     )
     return insert_ignore(existing, new, ["employee_id"], "first_order")
+
+
+# --------------------------------------------------------------------------
+# End to end: bronze >> silver >> gold through written tables
+# --------------------------------------------------------------------------
+@register("daily_gold_run")
+def q_daily_gold_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole daily run into a fresh lake folder, run twice (rerun-safe),
+    then the gold partition read back."""
+    paths = medallion.LakePaths(scratch_path(spark, "lake"))
+    provider = StoredReplies(tb.distance_replies(spark, sf_dir))
+    for _ in range(2):
+        medallion.run_daily(
+            spark, tb.employees(spark, sf_dir), tb.activities(spark, sf_dir), paths, TEST_AS_OF, provider,
+            params=tb.parameter_history(spark),
+        )
+    return medallion.read_gold(spark, paths, TEST_AS_OF).select(*eligibility.GOLD_COLUMNS)

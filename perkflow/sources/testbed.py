@@ -16,6 +16,7 @@ Mapping (all deterministic):
 from __future__ import annotations
 
 import datetime as dt
+import functools
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,8 +39,37 @@ BIRTH_EPOCH = dt.date(1960, 1, 1)
 EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
+def per_session(fn):
+    """Build a view once per (session, sf_dir) and reuse the DataFrame.
+
+    Views are immutable lazy plans, so sharing them between queries only saves
+    the driver-side construction; every query still runs its whole plan.
+    """
+    cache: dict[tuple[int, str], DataFrame] = {}
+
+    @functools.wraps(fn)
+    def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (id(spark), sf_dir.rstrip("/"))
+        df = cache.get(key)
+        if df is None or df.sparkSession is not spark:
+            df = cache[key] = fn(spark, sf_dir)
+        return df
+
+    return wrapper
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One generated table. The DataFrame (file listing + footer schema) is
+    reused within a session; DataFrames are immutable, so sharing is safe."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 def epoch_millis(ts: str) -> Column:
@@ -62,6 +92,7 @@ def _sport(event_type: Column) -> Column:
     return expr
 
 
+@per_session
 def employee_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Employees without the hire date (no orders needed)."""
     c = table(spark, sf_dir, "customer")
@@ -82,6 +113,7 @@ def employee_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@per_session
 def first_order_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Earliest order date per customer: a partial+final aggregate, skew safe."""
     o = table(spark, sf_dir, "orders")
@@ -90,6 +122,7 @@ def first_order_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@per_session
 def employees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """hr.employees: customer rows, hire date = first order date (else 1995-01-01)."""
     base = employee_base(spark, sf_dir)
@@ -112,11 +145,13 @@ def employees(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@per_session
 def known_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Employees present in the HR table (every 13th customer is missing)."""
     return employee_base(spark, sf_dir).filter(F.col("employee_id") % 13 != 0)
 
 
+@per_session
 def activities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ops.activities from events."""
     return activities_from_events(table(spark, sf_dir, "events"))
@@ -151,6 +186,7 @@ def change_op(event_id: Column) -> Column:
     )
 
 
+@per_session
 def cdc_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flattened activity change messages as JSON text in ``value``.
 
@@ -194,6 +230,7 @@ def employee_image_cols(e: DataFrame) -> list[Column]:
     ]
 
 
+@per_session
 def employee_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Employee change envelopes (before/after/op/source) as JSON text.
 
@@ -213,6 +250,7 @@ def employee_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(eid.alias("key"), F.to_json(env).alias("value"))
 
 
+@per_session
 def distance_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored distance-service replies, one per nation address.
 
@@ -238,7 +276,17 @@ def distance_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.select(F.concat(F.lit("NATION_"), k.cast("string")).alias("home_address"), reply.alias("reply"))
 
 
+@per_session
+def _parameter_rows(spark: SparkSession, _unused: str) -> DataFrame:
+    return _build_parameter_history(spark)
+
+
 def parameter_history(spark: SparkSession) -> DataFrame:
+    """Three dated parameter rows (see ``_build_parameter_history``)."""
+    return _parameter_rows(spark, "")
+
+
+def _build_parameter_history(spark: SparkSession) -> DataFrame:
     """Three dated parameter rows; the last is dated after the test as-of date.
 
     This is configuration, not data: it only ever feeds queries that also read
