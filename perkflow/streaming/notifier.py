@@ -1,10 +1,16 @@
 """Live-activity notifier on Structured Streaming.
 
     change messages (Kafka topic or files)
-      -> parse JSON -> keep live inserts            (same functions as batch)
-      -> stream-static left join with employees     (name or 'Employé #id')
+      -> parse JSON -> keep live inserts            (stateless, in the stream)
+      foreachBatch, on each micro-batch as a batch DataFrame:
+      -> left join with employees                   (name or 'Employé #id')
       -> message text, or a dead-letter reason
-      -> foreachBatch: outbox partition batch_id=N + dead letters
+      -> outbox partition batch_id=N + dead letters
+
+The join runs inside foreachBatch on purpose: there adaptive execution
+applies (broadcast or shuffle chosen from the batch's real size, hot
+employees split by the skew-join handling), which a join inside the
+streaming plan would not get.
 
 The checkpoint makes a restarted query resume after the last committed batch;
 a batch replayed after a failure rewrites its own outbox partition, so each
@@ -53,21 +59,26 @@ def file_source(spark: SparkSession, path: str, schema: StructType, fmt: str = "
     return r.load(path)
 
 
-def notification_rows(raw: DataFrame, employees: DataFrame) -> DataFrame:
-    """Parsed, filtered, named and worded events (batch or stream)."""
-    return with_messages(with_employee_names(live_creations(parse_messages(raw)), employees))
+def live_events(raw: DataFrame) -> DataFrame:
+    """Parsed live inserts (batch or stream)."""
+    return live_creations(parse_messages(raw))
+
+
+def notification_rows(events: DataFrame, employees: DataFrame) -> DataFrame:
+    """Named and worded events."""
+    return with_messages(with_employee_names(events, employees))
 
 
-def batch_writer(outbox_path: str, dead_letter_path: str) -> Callable[[DataFrame, int], None]:
+def batch_writer(employees: DataFrame, outbox_path: str, dead_letter_path: str) -> Callable[[DataFrame, int], None]:
     def process(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        rows = notification_rows(batch, employees).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            write_outbox(notifications(batch), outbox_path, batch_id)
-            write_dead_letters(dead_letters(batch), dead_letter_path, batch_id)
+            write_outbox(notifications(rows), outbox_path, batch_id)
+            write_dead_letters(dead_letters(rows), dead_letter_path, batch_id)
         finally:
-            batch.unpersist()
+            rows.unpersist()
 
     return process
 
@@ -82,7 +93,7 @@ def start_notifier(
     available_now: bool = False,
 ) -> StreamingQuery:
     """Start the notifier. ``available_now`` drains what is there and stops."""
-    w = notification_rows(raw, employees).writeStream.foreachBatch(batch_writer(outbox_path, dead_letter_path))
+    w = live_events(raw).writeStream.foreachBatch(batch_writer(employees, outbox_path, dead_letter_path))
     w = w.option("checkpointLocation", checkpoint)
     if available_now:
         w = w.trigger(availableNow=True)

@@ -42,3 +42,49 @@ def test_current_state_aggregates_before_shuffle(spark):
     plan = _plan(QUERIES["cdc_current_state"](spark, SF_SMALL))
     assert "partial_max_by" in plan
     assert "Window" not in plan
+
+
+def test_hot_employee_is_split_not_dropped(spark):
+    """One employee owns a third of the activities and the employee side is
+    not broadcast: the join is split by the skew handling, rows stay whole."""
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from perkflow.operators import refine
+
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1m",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        n = 900_000
+        acts = spark.range(n).select(
+            F.col("id").alias("activity_id"),
+            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 5000).alias("employee_id"),
+            F.lit("Yoga").alias("sport_type"),
+            F.lit(None).cast("timestamp_ntz").alias("start_at"),
+            F.lit(None).cast("timestamp_ntz").alias("end_at"),
+            F.lit(None).cast("int").alias("distance_m"),
+            F.lit(600).alias("duration_s"),
+            F.lit(None).cast("string").alias("comment"),
+            F.lit("live").alias("source"),
+        )
+        emp = spark.range(5000).select(
+            F.col("id").alias("employee_id"), F.lit("A").alias("first_name"), F.col("id").cast("string").alias("last_name"),
+            F.lit("Finance").alias("business_unit"),
+        )
+        out = refine.activities_silver(acts, emp, dt.date(2024, 1, 31))
+        assert out.rdd.count() == n
+        assert "SortMergeJoin(skew=true)" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
