@@ -81,9 +81,21 @@ def current_state(
     a key with millions of changes costs one partial row per map task, never a
     whole key's history in one task (unlike a row_number window).
     """
+    out = latest_per_key(changes, keys, order).filter(~F.col(deleted_col))
+    return out.withColumn("updated_at", millis_to_timestamp(F.col("__source_ts_ms")))
+
+
+def latest_change_struct(changes: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``keys, _latest``: the latest change per key as one struct column.
+    Valid on a stream too (a stateful streaming aggregation)."""
     values = [c for c in changes.columns if c not in keys]
-    latest = changes.groupBy(*keys).agg(
+    return changes.groupBy(*keys).agg(
         F.max_by(F.struct(*values), F.struct(*[F.col(c) for c in order])).alias("_latest")
     )
-    out = latest.select(*keys, "_latest.*").filter(~F.col(deleted_col))
-    return out.withColumn("updated_at", millis_to_timestamp(F.col("__source_ts_ms")))
+
+
+def latest_per_key(
+    changes: DataFrame, keys: Sequence[str], order: Sequence[str] = ("__source_lsn", "__source_ts_ms")
+) -> DataFrame:
+    """Latest change row per key (deletes included)."""
+    return latest_change_struct(changes, keys, order).select(*keys, "_latest.*")

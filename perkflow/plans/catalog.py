@@ -28,6 +28,7 @@ from ..sinks.outbox import write_outbox
 from ..sources import lake
 from ..sources import testbed as tb
 from ..sources.hr_extract import HR_COLUMNS, normalize_hr_extract, read_hr_extract
+from ..streaming.current_state import read_state, start_state_stream
 from ..streaming.notifier import file_source, start_notifier
 from . import medallion
 from .rules import ACTIVITY_NOT_NULL, activity_checks, employee_checks, gold_suite
@@ -324,13 +325,33 @@ def q_cdc_stream_live(spark: SparkSession, sf_dir: str) -> DataFrame:
         raw, tb.known_employees(spark, sf_dir), f"{base}/outbox", f"{base}/dead", f"{base}/_checkpoint",
         available_now=True,
     )
+    _await(q)
+    return spark.read.parquet(f"{base}/outbox").select("activity_id", "employee_id", "text")
+
+
+@register("cdc_current_state_stream")
+def q_cdc_current_state_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Current employee state maintained by a streaming aggregation over the
+    change envelopes, fed one file per micro-batch, then read back."""
+    base = scratch_path(spark, "state")
+    schema = tb.table(spark, sf_dir, "events").schema
+    events = file_source(spark, sf_dir, schema, glob="events.parquet")
+    changes = cdc.unwrap_envelopes(tb.envelopes_from_events(events))
+    q = start_state_stream(changes, ["employee_id"], f"{base}/updates", f"{base}/_checkpoint", available_now=True)
+    _await(q)
+    st = read_state(spark, f"{base}/updates", ["employee_id"])
+    return st.select(
+        "employee_id", "business_unit", "transport_mode", "home_address", "gross_salary", "__source_lsn", "updated_at"
+    )
+
+
+def _await(q) -> None:
     q.awaitTermination(STREAM_TIMEOUT_S)
     if q.isActive:
         q.stop()
-        raise TimeoutError("notifier stream did not drain in time")
+        raise TimeoutError(f"stream {q.id} did not drain in time")
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return spark.read.parquet(f"{base}/outbox").select("activity_id", "employee_id", "text")
 
 
 # --------------------------------------------------------------------------

@@ -18,6 +18,7 @@ from pyspark.errors import AnalysisException
 
 from ..constants import DEFAULT_PARAMETERS, DISTANCE_NOT_FOUND, DISTANCE_OK, LOOKBACK_DAYS
 from ..operators import eligibility, refine
+from ..sinks import jdbc as jdbc_sink
 from ..sinks.lake import replace_partition, write_counted
 from ..sources import lake
 from .stamps import stamp
@@ -95,6 +96,13 @@ def read_gold(spark: SparkSession, paths: LakePaths, as_of: dt.date) -> DataFram
     return lake.snapshot_scan(spark, paths.table("gold", "employee_eligibility"), as_of, GOLD_PART)
 
 
+def publish_gold(spark: SparkSession, paths: LakePaths, as_of: dt.date, url: str, table: str,
+                 properties: Mapping[str, str]) -> None:
+    """Serving export: the written gold partition (not a recomputation)
+    replaces the serving table's content, keeping its definition."""
+    jdbc_sink.publish(read_gold(spark, paths, as_of), url, table, properties)
+
+
 def run_daily(spark: SparkSession, employees: DataFrame, activities: DataFrame, paths: LakePaths,
               as_of: dt.date, provider, params: Mapping[str, object] | DataFrame = DEFAULT_PARAMETERS,
               days: int = LOOKBACK_DAYS) -> dict[str, int]:

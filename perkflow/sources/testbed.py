@@ -237,7 +237,11 @@ def employee_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     Key = user_id, LSN = event_id, so every employee changes many times and
     the last change is sometimes a delete.
     """
-    e = table(spark, sf_dir, "events")
+    return envelopes_from_events(table(spark, sf_dir, "events"))
+
+
+def envelopes_from_events(e: DataFrame) -> DataFrame:
+    """Row-wise mapping events -> employee change envelopes (also on a stream)."""
     eid = F.col("event_id")
     op = change_op(eid)
     image = F.struct(*employee_image_cols(e))

@@ -31,3 +31,18 @@ def test_rerun_and_next_day(spark, scratch):
     per_day = {r.snapshot_date: r["count"] for r in gold.groupBy("snapshot_date").count().collect()}
     assert per_day == {DAY: len(g1), nxt: len(g1)}
     assert sorted(tuple(r) for r in medallion.read_gold(spark, paths, DAY).collect()) == g1
+
+
+def test_publish_gold_to_serving_table(spark, scratch):
+    from perkflow.sources.jdbc import jdbc_scan
+
+    url, props = "jdbc:derby:memory:perkflow_serving;create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    paths = medallion.LakePaths(scratch)
+    emp, act = tb.employees(spark, SF_SMALL), tb.activities(spark, SF_SMALL)
+    medallion.run_daily(spark, emp, act, paths, DAY, StoredReplies(tb.distance_replies(spark, SF_SMALL)))
+    medallion.publish_gold(spark, paths, DAY, url, "FCT_EMPLOYEE_ELIGIBILITY", props)
+    medallion.publish_gold(spark, paths, DAY, url, "FCT_EMPLOYEE_ELIGIBILITY", props)  # rerun: replaced
+    served = jdbc_scan(spark, url, "FCT_EMPLOYEE_ELIGIBILITY", props)
+    assert served.count() == emp.count()
+    assert served.filter("is_eligible_premium").count() == medallion.read_gold(spark, paths, DAY).filter(
+        "is_eligible_premium").count()
