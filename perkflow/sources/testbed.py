@@ -36,7 +36,6 @@ EVENT_SPORT = {
 NO_DISTANCE_EVENTS = ["error", "signup"]
 DEFAULT_HIRE_DATE = dt.date(1995, 1, 1)
 BIRTH_EPOCH = dt.date(1960, 1, 1)
-EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
 _TABLES: dict[tuple[int, str], DataFrame] = {}
@@ -73,8 +72,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def epoch_millis(ts: str) -> Column:
-    """Milliseconds since 1970 of a timestamp without time zone (no session TZ involved)."""
-    return F.expr(f"timestampdiff(MILLISECOND, {EPOCH_NTZ}, {ts})")
+    """Milliseconds since 1970 of a TIMESTAMP_NTZ, from its date and time-of-day
+    parts, so the session time zone never enters the computation."""
+    t = F.col(ts)
+    return (
+        F.unix_date(F.to_date(t)).cast("bigint") * F.lit(86_400_000)
+        + F.hour(t).cast("bigint") * F.lit(3_600_000)
+        + F.minute(t).cast("bigint") * F.lit(60_000)
+        + F.floor(F.date_part(F.lit("SECOND"), t) * F.lit(1000)).cast("bigint")
+    )
 
 
 def _pick(key: Column, values: list[str]) -> Column:
