@@ -46,6 +46,28 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "per
     return spark
 
 
+def cluster_conf(total_cores: int, partition_bytes: str = "256m") -> dict[str, str]:
+    """Suggested settings for a large cluster (pass with --conf to spark-submit).
+
+    Shuffles start with 4 partitions per core and AQE merges them down to
+    ``partition_bytes``; input splits are the same size; skewed join
+    partitions are split once they are 5x the median and over 1 GB; the
+    streaming state store (current-state job) lives in RocksDB, not on the
+    JVM heap.
+    """
+    return {
+        **SCALE_CONF,
+        "spark.sql.shuffle.partitions": str(max(4 * total_cores, 200)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": partition_bytes,
+        "spark.sql.files.maxPartitionBytes": partition_bytes,
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+        "spark.sql.streaming.stateStore.providerClass": (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        ),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
