@@ -1,14 +1,14 @@
 """Job entry points for spark-submit.
 
-    spark-submit -m perkflow.cli daily    --employees PATH --activities PATH --replies PATH
+    spark-submit --py-files perkflow.zip run_job.py daily --employees PATH --activities PATH --replies PATH
                                           --lake ROOT --as-of 2024-01-31 [--params PATH]
                                           [--jdbc-url URL --jdbc-table T --jdbc-user U --jdbc-password P]
-    spark-submit -m perkflow.cli notifier --employees PATH --outbox PATH --dead-letters PATH
+    spark-submit run_job.py notifier --employees PATH --outbox PATH --dead-letters PATH
                                           --checkpoint PATH (--kafka HOST:PORT --topic T | --files DIR)
                                           [--available-now]
-    spark-submit -m perkflow.cli state    --checkpoint PATH --updates PATH
+    spark-submit run_job.py state    --checkpoint PATH --updates PATH
                                           (--kafka HOST:PORT --topic T | --files DIR) [--available-now]
-    spark-submit -m perkflow.cli quality  --lake ROOT --as-of 2024-01-31 --expected-rows N --out PATH
+    spark-submit run_job.py quality  --lake ROOT --as-of 2024-01-31 --expected-rows N --out PATH
 
 Inputs are parquet folders (or any format via ``--format``). The session is
 the one spark-submit configures; the checkpoint / lake paths must be on a
