@@ -1,0 +1,21 @@
+"""Spread a narrow input over all task slots before CPU-heavy row work."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread_if_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over ``min_partitions`` (default: the cluster's task
+    slots) when its scan yields fewer splits; otherwise return it unchanged.
+
+    A single-file or few-partition input would run row-wise work such as JSON
+    encoding and parsing in a handful of tasks while the other cores idle. On
+    a large input with many splits this is a no-op, so no shuffle is added at
+    scale. (A Kafka source gets the same effect from its ``minPartitions``
+    option.)
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

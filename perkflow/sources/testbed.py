@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import TRANSPORT_MODES
+from .spread import spread_if_narrow
 
 # Test-data mapping of event types onto sports. Tennis takes the generic
 # "faire" wording, Escalade starts with a vowel (elision), Yoga and Escalade
@@ -199,7 +200,7 @@ def cdc_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     Every 89th message lacks the employee, every 97th the sport, every 101st
     is not JSON at all. Timestamps travel as epoch milliseconds.
     """
-    return cdc_messages_from_activities(activities(spark, sf_dir))
+    return cdc_messages_from_activities(activities_from_events(spread_if_narrow(table(spark, sf_dir, "events"))))
 
 
 def cdc_messages_from_activities(a: DataFrame) -> DataFrame:
@@ -243,7 +244,7 @@ def employee_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     Key = user_id, LSN = event_id, so every employee changes many times and
     the last change is sometimes a delete.
     """
-    return envelopes_from_events(table(spark, sf_dir, "events"))
+    return envelopes_from_events(spread_if_narrow(table(spark, sf_dir, "events")))
 
 
 def envelopes_from_events(e: DataFrame) -> DataFrame:

@@ -32,17 +32,20 @@ from ..sinks.outbox import write_dead_letters, write_outbox
 
 
 def kafka_source(spark: SparkSession, bootstrap: str, topic: str, starting_offsets: str = "latest",
-                 fail_on_data_loss: bool = False) -> DataFrame:
+                 fail_on_data_loss: bool = False, min_partitions: int | None = None) -> DataFrame:
     """Change topic as a stream (needs the Kafka connector jar at runtime).
-    Starts at the newest offset and tolerates lost offsets, like the original job."""
-    return (
+    Starts at the newest offset and tolerates lost offsets, like the original
+    job. ``min_partitions`` splits large topic partitions over more tasks."""
+    r = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", bootstrap)
         .option("subscribe", topic)
         .option("startingOffsets", starting_offsets)
         .option("failOnDataLoss", str(fail_on_data_loss).lower())
-        .load()
     )
+    if min_partitions:
+        r = r.option("minPartitions", str(min_partitions))
+    return r.load()
 
 
 def file_source(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet",
