@@ -10,7 +10,9 @@ QUERIES = entry.queries()
 
 
 def _plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
+    """Physical plan of a fresh projection (an executed DataFrame would print
+    AQE's final and initial plans together)."""
+    return df.select("*")._jdf.queryExecution().executedPlan().toString()
 
 
 @pytest.mark.parametrize("key", sorted(QUERIES))
