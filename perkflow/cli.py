@@ -3,6 +3,7 @@
     spark-submit --py-files perkflow.zip run_job.py daily --employees PATH --activities PATH --replies PATH
                                           --lake ROOT --as-of 2024-01-31 [--params PATH]
                                           [--jdbc-url URL --jdbc-table T --jdbc-user U --jdbc-password P]
+                                          [--source-jdbc-url URL: employees/activities are table names]
     spark-submit run_job.py notifier --employees PATH --outbox PATH --dead-letters PATH
                                           --checkpoint PATH (--kafka HOST:PORT --topic T | --files DIR)
                                           [--available-now]
@@ -31,6 +32,7 @@ from .operators.enrichment import StoredReplies
 from .plans import medallion
 from .plans.rules import gold_suite
 from .schemas import CDC_ENVELOPE
+from .sources import jdbc as jdbc_src
 from .streaming import current_state, notifier
 
 
@@ -53,13 +55,23 @@ def _change_source(spark: SparkSession, args):
     return notifier.file_source(spark, args.files, MESSAGE_FILE, fmt=args.files_format)
 
 
+def _source_table(spark: SparkSession, args, name: str, key: str):
+    """A source table: a path, or a database table read in parallel ranges."""
+    if args.source_jdbc_url:
+        props = {"user": args.source_jdbc_user or "", "password": args.source_jdbc_password or ""}
+        if args.source_jdbc_driver:
+            props["driver"] = args.source_jdbc_driver
+        return jdbc_src.jdbc_parallel_scan(spark, args.source_jdbc_url, name, props, key, args.jdbc_partitions)
+    return _read(spark, name, args.format)
+
+
 def cmd_daily(spark: SparkSession, args) -> dict:
     params = _read(spark, args.params, args.format) if args.params else DEFAULT_PARAMETERS
     paths = medallion.LakePaths(args.lake)
     counts = medallion.run_daily(
         spark,
-        _read(spark, args.employees, args.format),
-        _read(spark, args.activities, args.format),
+        _source_table(spark, args, args.employees, "employee_id"),
+        _source_table(spark, args, args.activities, "activity_id"),
         paths,
         args.as_of,
         StoredReplies(_read(spark, args.replies, args.format)),
@@ -115,6 +127,10 @@ def parser() -> argparse.ArgumentParser:
     d.add_argument("--params")
     for a in ("--jdbc-url", "--jdbc-table", "--jdbc-user", "--jdbc-password", "--jdbc-driver"):
         d.add_argument(a)
+    # employees / activities given as table names of a source database
+    for a in ("--source-jdbc-url", "--source-jdbc-user", "--source-jdbc-password", "--source-jdbc-driver"):
+        d.add_argument(a)
+    d.add_argument("--jdbc-partitions", type=int, default=16)
 
     for name in ("notifier", "state"):
         s = sub.add_parser(name)

@@ -39,3 +39,20 @@ def jdbc_subquery_scan(spark: SparkSession, url: str, sql: str, properties: Mapp
                        alias: str = "q") -> DataFrame:
     """Run ``sql`` inside the database (sort, limit, ...) and read its result."""
     return spark.read.jdbc(url, f"({sql}) {alias}", properties=dict(properties))
+
+
+def jdbc_parallel_scan(spark: SparkSession, url: str, table: str, properties: Mapping[str, str],
+                       partition_column: str, num_partitions: int, fetchsize: int = 10000) -> DataFrame:
+    """Parallel scan without known bounds: one pushed-down ``MIN/MAX`` query
+    (a single row) gives the range, then ``num_partitions`` range queries
+    read the table in parallel. An empty table is read as one partition.
+    The column is quoted as written (standard SQL quoting), like Spark does
+    in its own range queries."""
+    col = partition_column if partition_column.startswith('"') else f'"{partition_column}"'
+    bounds = jdbc_subquery_scan(
+        spark, url, f"SELECT MIN({col}) AS LO, MAX({col}) AS HI FROM {table}", properties
+    ).first()
+    if bounds is None or bounds["LO"] is None:
+        return jdbc_scan(spark, url, table, properties, fetchsize=fetchsize)
+    return jdbc_scan(spark, url, table, properties, partition_column, int(bounds["LO"]), int(bounds["HI"]) + 1,
+                     num_partitions, fetchsize)

@@ -41,3 +41,18 @@ def test_notifier_on_text_files(spark, scratch, capsys):
         cdc.live_creations(cdc.parse_messages(msgs)), tb.known_employees(spark, SF_SMALL))))
     got = spark.read.parquet(f"{scratch}/outbox")
     assert sorted(r.activity_id for r in got.collect()) == sorted(r.activity_id for r in want.collect())
+
+
+def test_daily_from_database_tables(spark, scratch, capsys):
+    url = "jdbc:derby:memory:perkflow_src;create=true"
+    driver = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    props = {"driver": driver}
+    tb.employees(spark, SF_SMALL).write.mode("overwrite").jdbc(url, "HR_EMPLOYEES", properties=props)
+    tb.activities(spark, SF_SMALL).write.mode("overwrite").jdbc(url, "OPS_ACTIVITIES", properties=props)
+    tb.distance_replies(spark, SF_SMALL).write.parquet(f"{scratch}/replies")
+    assert cli.main(["daily", "--source-jdbc-url", url, "--source-jdbc-driver", driver, "--jdbc-partitions", "4",
+                     "--employees", "HR_EMPLOYEES", "--activities", "OPS_ACTIVITIES",
+                     "--replies", f"{scratch}/replies", "--lake", f"{scratch}/lake", "--as-of", "2024-01-31"]) == 0
+    counts = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert counts["bronze.activities"] == tb.activities(spark, SF_SMALL).count()
+    assert counts["gold.employee_eligibility"] == tb.employees(spark, SF_SMALL).count()

@@ -106,3 +106,13 @@ def test_jdbc_scan_subquery_publish_append(spark):
     assert jdbc_src.jdbc_scan(spark, DERBY, "EMPLOYEES", PROPS).count() == 10
     jdbc_sink.append(emp.filter("EMPLOYEE_ID > 95"), DERBY, "EMPLOYEES", PROPS, batchsize=2)
     assert jdbc_src.jdbc_scan(spark, DERBY, "EMPLOYEES", PROPS).count() == 15
+
+
+def test_jdbc_parallel_scan_finds_bounds(spark):
+    df = spark.createDataFrame([(i * 7, f"A{i}") for i in range(50)], "ACTIVITY_ID bigint, NOTE string")  # upper case
+    df.write.mode("overwrite").jdbc(DERBY, "ACTIVITIES", properties=PROPS)
+    scan = jdbc_src.jdbc_parallel_scan(spark, DERBY, "ACTIVITIES", PROPS, "ACTIVITY_ID", 5)
+    assert scan.rdd.getNumPartitions() == 5
+    assert sorted(r.ACTIVITY_ID for r in scan.collect()) == [i * 7 for i in range(50)]
+    df.limit(0).write.mode("overwrite").jdbc(DERBY, "EMPTY_T", properties=PROPS)
+    assert jdbc_src.jdbc_parallel_scan(spark, DERBY, "EMPTY_T", PROPS, "ACTIVITY_ID", 5).count() == 0
