@@ -90,3 +90,13 @@ def test_hot_employee_is_split_not_dropped(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_spread_only_when_narrow(spark):
+    from perkflow.sources.spread import spread_if_narrow
+
+    narrow = spark.range(100).coalesce(1)
+    assert spread_if_narrow(narrow, 8).rdd.getNumPartitions() == 8
+    wide = spark.range(100).repartition(16)
+    assert spread_if_narrow(wide, 8) is wide  # many splits: no extra shuffle
+    assert sorted(r.id for r in spread_if_narrow(narrow, 8).collect()) == list(range(100))
