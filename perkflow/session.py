@@ -72,13 +72,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a shared file system folder and is used
-    as is. Only when it is unset (local runs, tests) a fresh folder under the
-    system temp dir is created and registered.
+    as is; if it is unset there, this fails instead of guessing, because a
+    machine-local folder is not visible to the executors. Only a local master
+    (tests, single-machine runs) gets a fresh folder under the temp dir.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
     )
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: point it at a shared folder (HDFS, object store) "
+                "for checkpoints, stream state and intermediate tables"
+            )
         d = tempfile.mkdtemp(prefix="perkflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
