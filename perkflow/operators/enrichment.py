@@ -26,7 +26,8 @@ RESOLVED_COLUMNS = ["home_address", "home_to_office_km", "distance_check_status"
 
 
 class StoredReplies:
-    """Replies kept in a table ``home_address, reply``; missing address -> no reply."""
+    """Replies kept in a table ``home_address, reply`` (one row per address);
+    an address without a row gets no reply."""
 
     def __init__(self, replies: DataFrame):
         self.replies = replies.select("home_address", "reply")
@@ -36,7 +37,12 @@ class StoredReplies:
 
 
 class CallbackProvider:
-    """Calls ``fetch(addresses) -> replies`` (JSON text or None per address) on the executors."""
+    """Calls ``fetch(addresses) -> replies`` (JSON text or None per address) on the executors.
+
+    A failing batch call is retried address by address; an address whose call
+    still fails gets an empty reply, which decodes to status ``error`` — one
+    bad call never fails the run.
+    """
 
     def __init__(self, fetch: Callable[[Sequence[str]], Sequence[str | None]]):
         self.fetch = fetch
@@ -44,12 +50,22 @@ class CallbackProvider:
     def lookup(self, addresses: DataFrame) -> DataFrame:
         fetch = self.fetch
 
+        def one(address: str) -> str | None:
+            try:
+                return fetch([address])[0]
+            except Exception:  # noqa: BLE001 - the status column records the failure
+                return ""
+
         def call(batches: Iterator) -> Iterator:
             import pandas as pd
 
             for pdf in batches:
                 addr = pdf["home_address"].tolist()
-                yield pd.DataFrame({"home_address": addr, "reply": list(fetch(addr)) if addr else []})
+                try:
+                    replies = list(fetch(addr)) if addr else []
+                except Exception:  # noqa: BLE001
+                    replies = [one(a) for a in addr]
+                yield pd.DataFrame({"home_address": addr, "reply": replies})
 
         return addresses.mapInPandas(call, "home_address string, reply string")
 

@@ -112,6 +112,15 @@ def test_distance_enrichment_cache_and_providers(spark):
     got = {r.distance_check_status for r in resolve_addresses(emp, NoKeyProvider()).collect()}
     assert got == {"no_api_key"}
 
+    def flaky(addresses):
+        if "B" in addresses:
+            raise TimeoutError("service timed out")
+        return [ok % 4000 for _ in addresses]
+
+    got = {r.home_address: (r.home_to_office_km, r.distance_check_status)
+           for r in resolve_addresses(emp, CallbackProvider(flaky)).collect()}
+    assert got == {"A": (4.0, "ok"), "B": (None, "error"), "C": (4.0, "ok")}
+
 
 def _messages(spark, payloads):
     return spark.createDataFrame([(p if isinstance(p, str) else json.dumps(p),) for p in payloads], "value string")
