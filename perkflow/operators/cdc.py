@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 from ..schemas import CDC_ACTIVITY, CDC_ENVELOPE
 
 
-
 def parse_messages(messages: DataFrame, schema: T.StructType = CDC_ACTIVITY, value_col: str = "value") -> DataFrame:
     """Message bytes/text -> one column per schema field.
 

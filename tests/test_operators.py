@@ -147,6 +147,12 @@ def test_parse_and_live_filter(spark):
     assert live == [1, 8, 9]
 
 
+def test_null_message_is_a_row_of_nulls(spark):
+    df = spark.createDataFrame([('{"activity_id": 1}',), (None,)], "value string")  # None = tombstone
+    rows = cdc.parse_messages(df).select("activity_id", "__op").collect()
+    assert sorted(rows, key=lambda r: r.activity_id is None) == [(1, None), (None, None)]
+
+
 def _env(op, key, lsn, ts, unit):
     image = {"employee_id": key, "business_unit": unit, "transport_mode": WALK, "home_address": "a",
              "gross_salary": 1.0}
