@@ -10,15 +10,23 @@ from ..functions.messages import failure_reason, message_text, outbox_body
 from ..functions.people import full_name
 
 
+def name_table(employees: DataFrame) -> DataFrame:
+    """``employee_id, _known_name`` — the two columns the lookup needs."""
+    if "_known_name" in employees.columns:
+        return employees
+    return employees.select("employee_id", full_name("first_name", "last_name").alias("_known_name"))
+
+
 def with_employee_names(events: DataFrame, employees: DataFrame) -> DataFrame:
     """Adds ``full_name``: 'first last' of a known employee, else 'Employé #<id>'.
 
-    A left join (batch or stream-static) replaces one database point query
-    per event. The employee side is reduced to two columns; Spark broadcasts
-    it when its size estimate is under the threshold, otherwise shuffles.
+    A left join replaces one database point query per event. ``employees`` is
+    the employee table or a prepared :func:`name_table`. Spark broadcasts the
+    name side when its size estimate is under the threshold, otherwise it is
+    a shuffle join (a name table already hash-partitioned by employee_id and
+    persisted is not shuffled again).
     """
-    names = employees.select("employee_id", full_name("first_name", "last_name").alias("_known_name"))
-    joined = events.join(names, "employee_id", "left")
+    joined = events.join(name_table(employees), "employee_id", "left")
     fallback = F.concat(F.lit(UNKNOWN_EMPLOYEE_PREFIX), F.col("employee_id").cast("string"))
     return joined.withColumn("full_name", F.coalesce(F.col("_known_name"), fallback)).drop("_known_name")
 
