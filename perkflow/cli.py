@@ -51,7 +51,8 @@ def _change_source(spark: SparkSession, args):
     """Change messages with a ``value`` column: a Kafka topic, or files
     (text: one JSON message per line; parquet/orc: a ``value`` column)."""
     if args.kafka:
-        return notifier.kafka_source(spark, args.kafka, args.topic)
+        return notifier.kafka_source(spark, args.kafka, args.topic, min_partitions=args.min_partitions,
+                                     max_offsets_per_trigger=args.max_offsets_per_trigger)
     return notifier.file_source(spark, args.files, MESSAGE_FILE, fmt=args.files_format)
 
 
@@ -139,6 +140,8 @@ def parser() -> argparse.ArgumentParser:
         s.add_argument("--topic")
         s.add_argument("--files")
         s.add_argument("--files-format", default="text")
+        s.add_argument("--min-partitions", type=int)
+        s.add_argument("--max-offsets-per-trigger", type=int)
         s.add_argument("--available-now", action="store_true")
         if name == "notifier":
             for a in ("--employees", "--outbox", "--dead-letters"):

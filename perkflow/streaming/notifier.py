@@ -34,10 +34,12 @@ from ..sinks.outbox import write_dead_letters, write_outbox
 
 
 def kafka_source(spark: SparkSession, bootstrap: str, topic: str, starting_offsets: str = "latest",
-                 fail_on_data_loss: bool = False, min_partitions: int | None = None) -> DataFrame:
+                 fail_on_data_loss: bool = False, min_partitions: int | None = None,
+                 max_offsets_per_trigger: int | None = None) -> DataFrame:
     """Change topic as a stream (needs the Kafka connector jar at runtime).
     Starts at the newest offset and tolerates lost offsets, like the original
-    job. ``min_partitions`` splits large topic partitions over more tasks."""
+    job. ``min_partitions`` splits large topic partitions over more tasks;
+    ``max_offsets_per_trigger`` bounds a micro-batch after a backlog."""
     r = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", bootstrap)
@@ -47,6 +49,8 @@ def kafka_source(spark: SparkSession, bootstrap: str, topic: str, starting_offse
     )
     if min_partitions:
         r = r.option("minPartitions", str(min_partitions))
+    if max_offsets_per_trigger:
+        r = r.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
     return r.load()
 
 
