@@ -48,9 +48,18 @@ ACTIVITY_SILVER_COLUMNS = [
 ]
 
 
-def employees_silver(employees: DataFrame, provider, as_of: dt.date, cache: DataFrame | None = None) -> DataFrame:
-    """Bronze employees -> refined employees (distance, age, seniority, types)."""
-    e = enrich_distances(employees, provider, cache)
+def employees_silver(employees: DataFrame, provider, as_of: dt.date, cache: DataFrame | None = None,
+                     resolved: DataFrame | None = None) -> DataFrame:
+    """Bronze employees -> refined employees (distance, age, seniority, types).
+
+    ``resolved`` (``home_address, home_to_office_km, distance_check_status``)
+    skips the provider: pass a table of addresses resolved earlier.
+    """
+    if resolved is not None:
+        e = employees.join(resolved.select("home_address", "home_to_office_km", "distance_check_status"),
+                           "home_address", "left")
+    else:
+        e = enrich_distances(employees, provider, cache)
     return e.select(
         F.col("employee_id"),
         full_name("first_name", "last_name").alias("full_name"),

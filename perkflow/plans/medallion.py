@@ -18,6 +18,7 @@ from pyspark.errors import AnalysisException
 
 from ..constants import DEFAULT_PARAMETERS, DISTANCE_NOT_FOUND, DISTANCE_OK, LOOKBACK_DAYS
 from ..operators import eligibility, refine
+from ..operators.enrichment import RESOLVED_COLUMNS, resolve_addresses
 from ..sinks import jdbc as jdbc_sink
 from ..sinks.lake import replace_partition, write_counted
 from ..sources import lake
@@ -51,28 +52,33 @@ def run_bronze(spark: SparkSession, employees: DataFrame, activities: DataFrame,
 
 
 def distance_cache(spark: SparkSession, paths: LakePaths, as_of: dt.date) -> DataFrame | None:
-    """Distances resolved by the newest earlier silver snapshot (ok / not_found
-    only: errors are retried). None on the first run."""
-    path = paths.table("silver", "employees")
+    """Addresses resolved on the newest earlier day (ok / not_found only:
+    errors are asked again). None on the first run."""
+    path = paths.table("silver", "addresses")
     try:
         lake.read_table(spark, path).schema  # noqa: B018 - resolves the path
     except AnalysisException:
         return None
     prev = lake.snapshot_as_of(spark, path, as_of - dt.timedelta(days=1), PART)
-    return (
-        prev.filter(F.col("distance_check_status").isin(DISTANCE_OK, DISTANCE_NOT_FOUND))
-        .select("home_address", "home_to_office_km", "distance_check_status")
-        .dropDuplicates(["home_address"])
+    return prev.filter(F.col("distance_check_status").isin(DISTANCE_OK, DISTANCE_NOT_FOUND)).select(
+        *RESOLVED_COLUMNS
     )
 
 
 def run_silver(spark: SparkSession, paths: LakePaths, as_of: dt.date, provider,
                use_cache: bool = True) -> dict[str, int]:
+    """Resolve addresses (written first, so the service is asked once per
+    address and day even if a later stage is retried), then employees, then
+    activities joined to the written employees."""
     emp_bronze = lake.snapshot_scan(spark, paths.table("bronze", "employees"), as_of, PART).drop(PART, "extract_ts")
     cache = distance_cache(spark, paths, as_of) if use_cache else None
-    emp = stamp(refine.employees_silver(emp_bronze, provider, as_of, cache).drop(PART), as_of)
-    counts = {"silver.employees": _write_day(emp, paths.table("silver", "employees"), PART, as_of,
-                                             "silver_employees")}
+    resolved = stamp(resolve_addresses(emp_bronze, provider, cache), as_of)
+    counts = {"silver.addresses": _write_day(resolved, paths.table("silver", "addresses"), PART, as_of,
+                                             "silver_addresses")}
+    written = lake.snapshot_scan(spark, paths.table("silver", "addresses"), as_of, PART)
+    emp = stamp(refine.employees_silver(emp_bronze, None, as_of, resolved=written).drop(PART), as_of)
+    counts["silver.employees"] = _write_day(emp, paths.table("silver", "employees"), PART, as_of,
+                                            "silver_employees")
     act_bronze = lake.snapshot_scan(spark, paths.table("bronze", "activities"), as_of, PART).drop(PART, "extract_ts")
     emp_silver = lake.snapshot_scan(spark, paths.table("silver", "employees"), as_of, PART)
     act = stamp(refine.activities_silver(act_bronze, emp_silver, as_of).drop(PART), as_of)

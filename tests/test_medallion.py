@@ -46,3 +46,22 @@ def test_publish_gold_to_serving_table(spark, scratch):
     assert served.count() == emp.count()
     assert served.filter("is_eligible_premium").count() == medallion.read_gold(spark, paths, DAY).filter(
         "is_eligible_premium").count()
+
+
+def test_next_day_reuses_resolved_addresses(spark, scratch):
+    from perkflow.operators.enrichment import NoKeyProvider
+
+    paths = medallion.LakePaths(scratch)
+    emp, act = tb.employees(spark, SF_SMALL), tb.activities(spark, SF_SMALL)
+    medallion.run_daily(spark, emp, act, paths, DAY, StoredReplies(tb.distance_replies(spark, SF_SMALL)))
+    nxt = DAY + dt.timedelta(days=1)
+    medallion.run_daily(spark, emp, act, paths, nxt, NoKeyProvider())  # service unavailable on day 2
+
+    def statuses(day):
+        g = medallion.read_gold(spark, paths, day)
+        return {r.distance_check_status: r["count"] for r in g.groupBy("distance_check_status").count().collect()}
+
+    d1, d2 = statuses(DAY), statuses(nxt)
+    assert d2.get("ok") == d1.get("ok") and d2.get("not_found") == d1.get("not_found")  # from the cache
+    assert "error" not in d2  # errors are asked again; without a service they become no_api_key
+    assert d2["no_api_key"] == d1.get("no_api_key", 0) + d1.get("error", 0)
