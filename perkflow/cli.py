@@ -9,7 +9,8 @@
                                           [--available-now]
     spark-submit run_job.py state    --checkpoint PATH --updates PATH
                                           (--kafka HOST:PORT --topic T | --files DIR) [--available-now]
-    spark-submit run_job.py quality  --lake ROOT --as-of 2024-01-31 --expected-rows N --out PATH
+    spark-submit run_job.py quality  (--lake ROOT --as-of 2024-01-31 | --jdbc-url URL --jdbc-table T)
+                                     --expected-rows N --out PATH
 
 Inputs are parquet folders (or any format via ``--format``). The session is
 the one spark-submit configures; the checkpoint / lake paths must be on a
@@ -109,7 +110,13 @@ def cmd_state(spark: SparkSession, args) -> dict:
 
 
 def cmd_quality(spark: SparkSession, args) -> dict:
-    gold = medallion.read_gold(spark, medallion.LakePaths(args.lake), args.as_of)
+    if args.jdbc_url:  # the published serving table
+        props = {"user": args.jdbc_user or "", "password": args.jdbc_password or ""}
+        if args.jdbc_driver:
+            props["driver"] = args.jdbc_driver
+        gold = jdbc_src.jdbc_scan(spark, args.jdbc_url, args.jdbc_table, props)
+    else:
+        gold = medallion.read_gold(spark, medallion.LakePaths(args.lake), args.as_of)
     report = quality.run_suite(gold, gold_suite(args.expected_rows))
     report.write.mode("overwrite").parquet(args.out)
     summary = quality.summarize(spark.read.parquet(args.out)).first().asDict()
@@ -150,9 +157,11 @@ def parser() -> argparse.ArgumentParser:
             s.add_argument("--updates", required=True)
             s.add_argument("--key", default="employee_id")
 
-    q = sub.add_parser("quality", help="quality suite on a gold snapshot")
-    q.add_argument("--lake", required=True)
-    q.add_argument("--as-of", type=_date, required=True)
+    q = sub.add_parser("quality", help="quality suite on a gold snapshot or the serving table")
+    q.add_argument("--lake")
+    q.add_argument("--as-of", type=_date)
+    for a in ("--jdbc-url", "--jdbc-table", "--jdbc-user", "--jdbc-password", "--jdbc-driver"):
+        q.add_argument(a)
     q.add_argument("--expected-rows", type=int, required=True)
     q.add_argument("--out", required=True)
     return p

@@ -29,6 +29,15 @@ def test_daily_then_quality(spark, scratch, capsys):
     assert summary["evaluated_rules"] == 5
     assert rc == (0 if summary["success"] else 1)
 
+    url, driver = "jdbc:derby:memory:perkflow_cli;create=true", "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    from perkflow.plans import medallion
+
+    medallion.publish_gold(spark, medallion.LakePaths(f"{scratch}/lake"), dt.date(2024, 1, 31), url, "FCT", {"driver": driver})
+    cli.main(["quality", "--jdbc-url", url, "--jdbc-table", "FCT", "--jdbc-driver", driver,
+              "--expected-rows", str(n), "--out", f"{scratch}/quality_served"])
+    served = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert served == summary
+
 
 def test_notifier_on_text_files(spark, scratch, capsys):
     msgs = tb.cdc_messages(spark, SF_SMALL).select("value")
