@@ -35,8 +35,11 @@ def to_long_or_null(c: Column) -> Column:
 
 
 def to_date_or_null(c: Column) -> Column:
-    """ISO date text (a trailing time part is dropped) -> date, else NULL."""
-    return F.try_to_date(F.substring_index(c, " ", 1), "yyyy-MM-dd")
+    """``yyyy-MM-dd`` text, optionally followed by a time after a space or
+    ``T`` (the time is dropped) -> date; anything else (or an impossible
+    date such as 02-30) -> NULL."""
+    day = F.regexp_extract(c, r"^(\d{4}-\d{2}-\d{2})([ T].*)?$", 1)
+    return F.try_to_date(F.when(day != "", day), "yyyy-MM-dd")
 
 
 def to_double_or_null(c: Column) -> Column:

@@ -16,6 +16,7 @@ addresses inside ``mapInPandas``, which is where an HTTP client plugs in.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from typing import Protocol
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +26,14 @@ from ..functions.distance import distance_km, distance_status, parse_reply
 RESOLVED_COLUMNS = ["home_address", "home_to_office_km", "distance_check_status"]
 
 
+class DistanceProvider(Protocol):
+    """Turns distinct addresses into replies; runs on the executors."""
+
+    def lookup(self, addresses: DataFrame) -> DataFrame:
+        """``home_address`` -> ``home_address, reply`` (JSON text or NULL), one row per address."""
+        ...
+
+
 class StoredReplies:
     """Replies kept in a table ``home_address, reply`` (one row per address);
     an address without a row gets no reply."""
@@ -77,7 +86,7 @@ class NoKeyProvider:
         return addresses.withColumn("reply", F.lit(None).cast("string"))
 
 
-def resolve_addresses(addresses: DataFrame, provider, cache: DataFrame | None = None) -> DataFrame:
+def resolve_addresses(addresses: DataFrame, provider: DistanceProvider, cache: DataFrame | None = None) -> DataFrame:
     """``home_address, home_to_office_km, distance_check_status`` for each distinct address."""
     todo = addresses.select("home_address").distinct()
     if cache is not None:
@@ -94,7 +103,7 @@ def resolve_addresses(addresses: DataFrame, provider, cache: DataFrame | None =
     return fresh.unionByName(cache.select(*RESOLVED_COLUMNS))
 
 
-def enrich_distances(employees: DataFrame, provider, cache: DataFrame | None = None) -> DataFrame:
+def enrich_distances(employees: DataFrame, provider: DistanceProvider, cache: DataFrame | None = None) -> DataFrame:
     """Employees plus ``home_to_office_km`` and ``distance_check_status``."""
     resolved = resolve_addresses(employees, provider, cache)
     return employees.join(resolved, "home_address", "left")

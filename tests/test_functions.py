@@ -100,6 +100,15 @@ def test_type_normalize(spark):
     assert [tuple(r) for r in got] == [(None, None, None), (42, dt.date(2024, 2, 29), 7), (None, None, 8)]
 
 
+def test_date_text_forms(spark):
+    rows = [("2024-02-29",), ("2024-02-29 13:45:00",), ("2024-02-29T13:45:00",), ("2024-02-29x",), ("29/02/2024",),
+            ("2023-02-29",), ("",)]
+    df = spark.createDataFrame(rows, "t string")
+    got = [r.d for r in df.select(people.to_date_or_null(F.col("t")).alias("d")).collect()]
+    feb29 = dt.date(2024, 2, 29)
+    assert got == [feb29, feb29, feb29, None, None, None, None]
+
+
 def test_full_name(spark):
     df = spark.createDataFrame([("Ana", "Lopez")], "f string, l string")
     assert df.select(people.full_name("f", "l").alias("n")).first().n == "Ana Lopez"
