@@ -28,7 +28,7 @@ from ..sources import lake
 from ..sources import testbed as tb
 from ..sources.hr_extract import HR_COLUMNS, normalize_hr_extract, read_hr_extract
 from ..streaming.current_state import read_state, start_state_stream
-from ..streaming.notifier import file_source, start_notifier
+from ..streaming.notifier import file_source, prepared_names, start_notifier
 from . import medallion
 from .rules import ACTIVITY_NOT_NULL, activity_checks, employee_checks, gold_suite
 from .stamps import stamp
@@ -320,11 +320,12 @@ def q_cdc_stream_live(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = tb.table(spark, sf_dir, "events").schema
     events = file_source(spark, sf_dir, schema, glob="events.parquet")
     raw = tb.cdc_messages_from_activities(tb.activities_from_events(events))
-    q = start_notifier(
-        raw, tb.known_employees(spark, sf_dir), f"{base}/outbox", f"{base}/dead", f"{base}/_checkpoint",
-        available_now=True,
-    )
-    _await(q)
+    names = prepared_names(tb.known_employees(spark, sf_dir))
+    try:
+        q = start_notifier(raw, names, f"{base}/outbox", f"{base}/dead", f"{base}/_checkpoint", available_now=True)
+        _await(q)
+    finally:
+        names.unpersist()
     return spark.read.parquet(f"{base}/outbox").select("activity_id", "employee_id", "text")
 
 

@@ -115,8 +115,9 @@ def start_notifier(
 ) -> StreamingQuery:
     """Start the notifier. ``available_now`` drains what is there and stops.
     ``employees`` is read once into a prepared name table for the query's
-    lifetime (restart the query to pick up a new HR snapshot)."""
-    names = prepared_names(employees)
+    lifetime (restart the query to pick up a new HR snapshot); pass the
+    result of :func:`prepared_names` to control when it is unpersisted."""
+    names = employees if "_known_name" in employees.columns else prepared_names(employees)
     w = live_events(raw).writeStream.foreachBatch(batch_writer(names, outbox_path, dead_letter_path))
     w = w.option("checkpointLocation", checkpoint)
     if available_now:
