@@ -65,3 +65,16 @@ def test_next_day_reuses_resolved_addresses(spark, scratch):
     assert d2.get("ok") == d1.get("ok") and d2.get("not_found") == d1.get("not_found")  # from the cache
     assert "error" not in d2  # errors are asked again; without a service they become no_api_key
     assert d2["no_api_key"] == d1.get("no_api_key", 0) + d1.get("error", 0)
+
+
+def test_gold_over_silver_prunes_and_pushes(spark, scratch):
+    from perkflow.operators import eligibility
+
+    paths = medallion.LakePaths(scratch)
+    medallion.run_bronze(spark, tb.employees(spark, SF_SMALL), tb.activities(spark, SF_SMALL), paths, DAY)
+    medallion.run_silver(spark, paths, DAY, StoredReplies(tb.distance_replies(spark, SF_SMALL)))
+    emp = lake.snapshot_scan(spark, paths.table("silver", "employees"), DAY)
+    act = lake.snapshot_scan(spark, paths.table("silver", "activities"), DAY)
+    plan = eligibility.employee_eligibility(emp, act, DAY)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(extract_date" in plan
+    assert "GreaterThanOrEqual(start_at,2023-01-31T00:00)" in plan
