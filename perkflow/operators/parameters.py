@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 PARAMETER_FIELDS = [
@@ -31,6 +31,29 @@ def latest_parameters(history: DataFrame, as_of: dt.date) -> DataFrame:
     return history.filter(F.col("snapshot_date") <= F.lit(as_of)).orderBy(F.col("snapshot_date").desc()).limit(1)
 
 
+def parameters_in_force(days: DataFrame, history: DataFrame, day_col: str = "day") -> DataFrame:
+    """For every distinct day, the newest parameter row dated on or before it
+    (NULL parameters before the first row): :func:`latest_parameters` for a
+    whole series of as-of dates at once.
+
+    Days and parameter rows are merged in date order and the last parameter
+    row seen is carried forward (``last(..., ignorenulls)``), so no day is
+    ever paired with every parameter row. The window has no partition key:
+    its input is the distinct calendar days plus the parameter versions,
+    which stays small whatever the data volume.
+    """
+    rows = history.select(
+        F.col("snapshot_date").alias("_at"), F.struct(*history.columns).alias("_row"), F.lit(0).alias("_is_day")
+    )
+    row_type = rows.schema["_row"].dataType
+    marks = days.select(F.col(day_col).cast("date").alias("_at")).distinct().select(
+        "_at", F.lit(None).cast(row_type).alias("_row"), F.lit(1).alias("_is_day")
+    )
+    w = Window.orderBy("_at", "_is_day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    merged = rows.unionByName(marks).withColumn("_in_force", F.last("_row", ignorenulls=True).over(w))
+    return merged.filter(F.col("_is_day") == 1).select(F.col("_at").alias(day_col), "_in_force.*")
+
+
 def parameter_columns(params: Mapping[str, object] | DataFrame, as_of: dt.date | None = None) -> dict[str, Column]:
     """Parameter name -> Column.
 

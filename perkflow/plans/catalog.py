@@ -19,7 +19,7 @@ from ..functions import activity, people
 from ..functions.distance import decode_reply
 from ..operators import cdc, eligibility, guards, kpis, lookup, quality, refine
 from ..operators.enrichment import StoredReplies, enrich_distances
-from ..operators.parameters import parameter_columns
+from ..operators.parameters import parameter_columns, parameters_in_force
 from ..session import scratch_path
 from ..sinks.keys import insert_ignore
 from ..sinks.lake import replace_partition, write_counted, write_partitioned
@@ -104,6 +104,13 @@ def q_parameterized_eligibility(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("latest_parameters")
+def q_latest_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parameter row in force on every day that has activities (O1 per daily snapshot)."""
+    days = tb.activities(spark, sf_dir).select(F.to_date("start_at").alias("day"))
+    return parameters_in_force(days, tb.parameter_history(spark))
+
+
 @register("rolling_window_count")
 def q_rolling_window_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Activities per employee over the 10 days before the as-of date."""

@@ -81,6 +81,23 @@ def test_latest_parameters(spark):
     assert (float(row.premium_rate), row.wellbeing_threshold, row.max_distance_bike_km) == (0.05, 15, 25)
 
 
+def test_parameters_in_force_per_day(spark):
+    h = _history(spark, [
+        (dt.date(2024, 1, 1), Decimal("0.0500"), 15, 5, 15, 25),
+        (dt.date(2024, 6, 1), Decimal("0.0800"), 10, 7, 20, 30),
+    ])
+    days = spark.createDataFrame([(dt.date(2023, 12, 31),), (dt.date(2024, 1, 1),), (dt.date(2024, 1, 1),),
+                                  (dt.date(2024, 5, 31),), (dt.date(2024, 6, 1),), (dt.date(2025, 1, 1),)], "day date")
+    got = {r.day: r.snapshot_date for r in parameters.parameters_in_force(days, h).collect()}
+    assert got == {
+        dt.date(2023, 12, 31): None,
+        dt.date(2024, 1, 1): dt.date(2024, 1, 1),
+        dt.date(2024, 5, 31): dt.date(2024, 1, 1),
+        dt.date(2024, 6, 1): dt.date(2024, 6, 1),
+        dt.date(2025, 1, 1): dt.date(2024, 6, 1),
+    }
+
+
 def test_no_parameters_in_force_fails(spark):
     h = _history(spark, [(dt.date(2024, 6, 1), Decimal("0.0800"), 10, 7, 20, 30)])
     p = parameters.parameter_columns(h, AS_OF)
