@@ -65,3 +65,15 @@ def test_daily_from_database_tables(spark, scratch, capsys):
     counts = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert counts["bronze.activities"] == tb.activities(spark, SF_SMALL).count()
     assert counts["gold.employee_eligibility"] == tb.employees(spark, SF_SMALL).count()
+
+
+def test_state_on_text_files(spark, scratch, capsys):
+    from perkflow.streaming.current_state import read_state
+
+    tb.employee_envelopes(spark, SF_SMALL).select("value").write.text(f"{scratch}/in")
+    assert cli.main(["state", "--files", f"{scratch}/in", "--updates", f"{scratch}/updates",
+                     "--checkpoint", f"{scratch}/ckpt", "--available-now"]) == 0
+    cols = ["employee_id", "business_unit", "gross_salary"]
+    got = sorted(tuple(r) for r in read_state(spark, f"{scratch}/updates", ["employee_id"]).select(*cols).collect())
+    want = cdc.current_state(cdc.unwrap_envelopes(tb.employee_envelopes(spark, SF_SMALL)), ["employee_id"])
+    assert got == sorted(tuple(r) for r in want.select(*cols).collect())
