@@ -9,6 +9,7 @@
                                           [--available-now]
     spark-submit run_job.py state    --checkpoint PATH --updates PATH
                                           (--kafka HOST:PORT --topic T | --files DIR) [--available-now]
+    spark-submit run_job.py deliver  --outbox PATH --deliveries PATH [--webhook-url URL | MOCK]
     spark-submit run_job.py quality  (--lake ROOT --as-of 2024-01-31 | --jdbc-url URL --jdbc-table T)
                                      --expected-rows N --out PATH
 
@@ -25,6 +26,7 @@ import json
 import sys
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .constants import DEFAULT_PARAMETERS
@@ -33,6 +35,7 @@ from .operators.enrichment import StoredReplies
 from .plans import medallion
 from .plans.rules import gold_suite
 from .schemas import CDC_ENVELOPE
+from .sinks import outbox
 from .sources import jdbc as jdbc_src
 from .streaming import current_state, notifier
 
@@ -109,6 +112,14 @@ def cmd_state(spark: SparkSession, args) -> dict:
     return {"query": str(q.id)}
 
 
+def cmd_deliver(spark: SparkSession, args) -> dict:
+    send = outbox.webhook_sender(args.webhook_url) if args.webhook_url and args.webhook_url != "MOCK" \
+        else outbox.log_only_sender
+    d = outbox.deliver(spark, args.outbox, args.deliveries, send)
+    row = d.agg(F.count_if("delivered").alias("delivered"), F.count_if(~F.col("delivered")).alias("failed")).first()
+    return row.asDict()
+
+
 def cmd_quality(spark: SparkSession, args) -> dict:
     if args.jdbc_url:  # the published serving table
         props = {"user": args.jdbc_user or "", "password": args.jdbc_password or ""}
@@ -157,6 +168,11 @@ def parser() -> argparse.ArgumentParser:
             s.add_argument("--updates", required=True)
             s.add_argument("--key", default="employee_id")
 
+    dl = sub.add_parser("deliver", help="send outbox notifications not delivered yet")
+    dl.add_argument("--outbox", required=True)
+    dl.add_argument("--deliveries", required=True)
+    dl.add_argument("--webhook-url", help="POST target; empty or MOCK only logs the messages")
+
     q = sub.add_parser("quality", help="quality suite on a gold snapshot or the serving table")
     q.add_argument("--lake")
     q.add_argument("--as-of", type=_date)
@@ -170,7 +186,9 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"perkflow-{args.cmd}").getOrCreate()
-    result = {"daily": cmd_daily, "notifier": cmd_notifier, "state": cmd_state, "quality": cmd_quality}[args.cmd](
+    commands = {"daily": cmd_daily, "notifier": cmd_notifier, "state": cmd_state, "deliver": cmd_deliver,
+                "quality": cmd_quality}
+    result = commands[args.cmd](
         spark, args
     )
     print(json.dumps(result, default=str))

@@ -13,3 +13,87 @@ def write_outbox(notifications: DataFrame, path: str, batch_id: int, fmt: str =
 
 def write_dead_letters(rows: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:
     rows.write.format(fmt).mode("overwrite").save(f"{path.rstrip('/')}/batch_id={batch_id}")
+
+
+DELIVERY_SCHEMA = "activity_id long, batch_id long, delivered boolean, error string"
+
+
+def log_only_sender(bodies):
+    """Sender used when no webhook is configured: logs and reports success."""
+    import logging
+
+    log = logging.getLogger("perkflow.outbox")
+    for b in bodies:
+        log.info("[notification, not sent] %s", b)
+    return [None] * len(bodies)
+
+
+def webhook_sender(url: str, timeout_s: float = 5.0):
+    """Sender that POSTs each body as JSON to ``url`` (one request per message,
+    like the original job). Returns None on 2xx/3xx, else the error text."""
+
+    def send(bodies):
+        import urllib.error
+        import urllib.request
+
+        errors = []
+        for b in bodies:
+            req = urllib.request.Request(url, data=b.encode("utf-8"), method="POST",
+                                         headers={"Content-Type": "application/json"})
+            try:
+                with urllib.request.urlopen(req, timeout=timeout_s) as resp:
+                    errors.append(None if resp.status < 400 else f"HTTP {resp.status}")
+            except urllib.error.HTTPError as ex:
+                errors.append(f"HTTP {ex.code}")
+            except Exception as ex:  # noqa: BLE001 - network errors are recorded, not raised
+                errors.append(f"{type(ex).__name__}: {ex}")
+        return errors
+
+    return send
+
+
+def deliver(spark, outbox_path: str, deliveries_path: str, send=log_only_sender):
+    """Send outbox rows not delivered yet and record the outcome.
+
+    ``send(bodies) -> errors`` is called on the executors once per Arrow batch
+    (``mapInPandas``) and returns one error text (or None) per body; if the
+    call itself raises, every body of the batch is retried alone. Outcomes
+    are appended to ``deliveries_path`` (``activity_id, batch_id, delivered,
+    error``); rows already delivered are skipped, so a rerun after a failure
+    only sends what is missing.
+    """
+    from pyspark.errors import AnalysisException
+    from pyspark.sql import functions as F
+
+    todo = spark.read.parquet(outbox_path).select("activity_id", "batch_id", "body")
+    try:
+        done = spark.read.parquet(deliveries_path).filter(F.col("delivered")).select("activity_id", "batch_id")
+        todo = todo.join(done, ["activity_id", "batch_id"], "left_anti")
+    except AnalysisException:  # first delivery run: nothing delivered yet
+        pass
+
+    def one(body):
+        try:
+            return send([body])[0]
+        except Exception as ex:  # noqa: BLE001 - recorded as the row's error
+            return f"{type(ex).__name__}: {ex}"
+
+    def call(batches):
+        import pandas as pd
+
+        for pdf in batches:
+            bodies = pdf["body"].tolist()
+            try:
+                errors = list(send(bodies)) if bodies else []
+            except Exception:  # noqa: BLE001
+                errors = [one(b) for b in bodies]
+            yield pd.DataFrame({
+                "activity_id": pdf["activity_id"],
+                "batch_id": pdf["batch_id"],
+                "delivered": [e is None for e in errors],
+                "error": errors,
+            })
+
+    outcome = todo.mapInPandas(call, DELIVERY_SCHEMA)
+    outcome.write.mode("append").parquet(deliveries_path)
+    return spark.read.parquet(deliveries_path)

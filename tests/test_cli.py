@@ -50,6 +50,11 @@ def test_notifier_on_text_files(spark, scratch, capsys):
         cdc.live_creations(cdc.parse_messages(msgs)), tb.known_employees(spark, SF_SMALL))))
     got = spark.read.parquet(f"{scratch}/outbox")
     assert sorted(r.activity_id for r in got.collect()) == sorted(r.activity_id for r in want.collect())
+    capsys.readouterr()
+    assert cli.main(["deliver", "--outbox", f"{scratch}/outbox", "--deliveries", f"{scratch}/deliveries",
+                     "--webhook-url", "MOCK"]) == 0
+    sent = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert sent == {"delivered": got.count(), "failed": 0}
 
 
 def test_daily_from_database_tables(spark, scratch, capsys):

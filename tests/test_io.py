@@ -116,3 +116,28 @@ def test_jdbc_parallel_scan_finds_bounds(spark):
     assert sorted(r.ACTIVITY_ID for r in scan.collect()) == [i * 7 for i in range(50)]
     df.limit(0).write.mode("overwrite").jdbc(DERBY, "EMPTY_T", properties=PROPS)
     assert jdbc_src.jdbc_parallel_scan(spark, DERBY, "EMPTY_T", PROPS, "ACTIVITY_ID", 5).count() == 0
+
+
+def test_outbox_delivery_is_resumable(spark, scratch):
+    from perkflow.sinks.outbox import deliver
+
+    rows = spark.createDataFrame([(i, f'{{"text":"m{i}"}}') for i in range(20)], "activity_id long, body string")
+    write_outbox(rows, scratch + "/outbox", 0)
+
+    def flaky(bodies):  # the service rejects odd messages
+        return [None if int(b.split('"m')[1].rstrip('"}')) % 2 == 0 else "HTTP 503" for b in bodies]
+
+    first = deliver(spark, scratch + "/outbox", scratch + "/deliveries", flaky)
+    assert first.filter("delivered").count() == 10 and first.filter("NOT delivered").count() == 10
+    final = deliver(spark, scratch + "/outbox", scratch + "/deliveries", lambda bodies: [None] * len(bodies))
+    delivered = final.filter("delivered")
+    assert delivered.count() == 20  # the retry sent only the 10 that had failed
+    assert delivered.select("activity_id").distinct().count() == 20
+
+    def broken(bodies):
+        raise ConnectionError("down")
+
+    write_outbox(spark.createDataFrame([(99, '{"text":"x"}')], "activity_id long, body string"), scratch + "/outbox", 1)
+    out = deliver(spark, scratch + "/outbox", scratch + "/deliveries", broken)
+    r = out.filter("activity_id = 99").first()
+    assert (r.delivered, r.error) == (False, "ConnectionError: down")
