@@ -115,7 +115,7 @@ def cmd_state(spark: SparkSession, args) -> dict:
 def cmd_deliver(spark: SparkSession, args) -> dict:
     send = outbox.webhook_sender(args.webhook_url) if args.webhook_url and args.webhook_url != "MOCK" \
         else outbox.log_only_sender
-    d = outbox.deliver(spark, args.outbox, args.deliveries, send)
+    d = outbox.deliver(spark, args.outbox, args.deliveries, send, args.max_senders)
     row = d.agg(F.count_if("delivered").alias("delivered"), F.count_if(~F.col("delivered")).alias("failed")).first()
     return row.asDict()
 
@@ -172,6 +172,7 @@ def parser() -> argparse.ArgumentParser:
     dl.add_argument("--outbox", required=True)
     dl.add_argument("--deliveries", required=True)
     dl.add_argument("--webhook-url", help="POST target; empty or MOCK only logs the messages")
+    dl.add_argument("--max-senders", type=int, help="tasks calling the service at the same time")
 
     q = sub.add_parser("quality", help="quality suite on a gold snapshot or the serving table")
     q.add_argument("--lake")

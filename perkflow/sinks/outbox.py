@@ -52,7 +52,7 @@ def webhook_sender(url: str, timeout_s: float = 5.0):
     return send
 
 
-def deliver(spark, outbox_path: str, deliveries_path: str, send=log_only_sender):
+def deliver(spark, outbox_path: str, deliveries_path: str, send=log_only_sender, max_senders: int | None = None):
     """Send outbox rows not delivered yet and record the outcome.
 
     ``send(bodies) -> errors`` is called on the executors once per Arrow batch
@@ -60,7 +60,8 @@ def deliver(spark, outbox_path: str, deliveries_path: str, send=log_only_sender)
     call itself raises, every body of the batch is retried alone. Outcomes
     are appended to ``deliveries_path`` (``activity_id, batch_id, delivered,
     error``); rows already delivered are skipped, so a rerun after a failure
-    only sends what is missing.
+    only sends what is missing. ``max_senders`` caps how many tasks call the
+    service at the same time.
     """
     from pyspark.errors import AnalysisException
     from pyspark.sql import functions as F
@@ -94,6 +95,8 @@ def deliver(spark, outbox_path: str, deliveries_path: str, send=log_only_sender)
                 "error": errors,
             })
 
+    if max_senders:
+        todo = todo.repartition(max_senders)
     outcome = todo.mapInPandas(call, DELIVERY_SCHEMA)
     outcome.write.mode("append").parquet(deliveries_path)
     return spark.read.parquet(deliveries_path)
