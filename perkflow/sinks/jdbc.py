@@ -21,3 +21,25 @@ def publish(df: DataFrame, url: str, table: str, properties: Mapping[str, str],
 def append(df: DataFrame, url: str, table: str, properties: Mapping[str, str], batchsize: int = 500) -> None:
     """Append rows with JDBC batch inserts of ``batchsize`` rows per round trip."""
     df.write.mode("append").option("batchsize", str(batchsize)).jdbc(url, table, properties=dict(properties))
+
+
+def insert_ignore(spark, df: DataFrame, url: str, table: str, properties: Mapping[str, str], keys: list[str],
+                  order_by: str, batchsize: int = 500) -> int:
+    """``INSERT ... ON CONFLICT (keys) DO NOTHING`` from Spark: reads only the
+    key columns of the target, appends the new keys' first rows (smallest
+    ``order_by``) in JDBC batches, and returns how many rows were appended.
+
+    Not transactional: a concurrent writer inserting the same key between the
+    read and the append makes the append fail on the table's primary key.
+    """
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    from ..sources.jdbc import jdbc_scan
+    from .keys import rows_to_insert
+
+    existing = jdbc_scan(spark, url, table, properties).select(*keys)
+    new = rows_to_insert(existing, df, keys, order_by).select(*df.columns)
+    obs = Observation("jdbc_insert_ignore")
+    append(new.observe(obs, F.count(F.lit(1)).alias("rows")), url, table, properties, batchsize)
+    return int(obs.get["rows"])

@@ -141,3 +141,14 @@ def test_outbox_delivery_is_resumable(spark, scratch):
     out = deliver(spark, scratch + "/outbox", scratch + "/deliveries", broken)
     r = out.filter("activity_id = 99").first()
     assert (r.delivered, r.error) == (False, "ConnectionError: down")
+
+
+def test_jdbc_insert_ignore(spark):
+    existing = spark.createDataFrame([(1, "old", 0)], "K long, V string, SEQ int")
+    existing.write.mode("overwrite").jdbc(DERBY, "KEYED", properties=PROPS)
+    new = spark.createDataFrame([(1, "dup", 1), (2, "second", 5), (2, "first", 3), (3, "new", 9)],
+                                "K long, V string, SEQ int")
+    assert jdbc_sink.insert_ignore(spark, new, DERBY, "KEYED", PROPS, ["K"], "SEQ") == 2
+    assert jdbc_sink.insert_ignore(spark, new, DERBY, "KEYED", PROPS, ["K"], "SEQ") == 0  # rerun: nothing new
+    rows = sorted((r.K, r.V) for r in jdbc_src.jdbc_scan(spark, DERBY, "KEYED", PROPS).collect())
+    assert rows == [(1, "old"), (2, "first"), (3, "new")]
