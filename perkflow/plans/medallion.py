@@ -106,11 +106,33 @@ def read_gold(spark: SparkSession, paths: LakePaths, as_of: dt.date) -> DataFram
     return lake.snapshot_scan(spark, paths.table("gold", "employee_eligibility"), as_of, GOLD_PART)
 
 
+# Column types of the serving table.
+SERVING_TYPES = {
+    "employee_id": "int",
+    "gross_salary": "decimal(10,2)",
+    "home_to_office_km": "decimal(8,2)",
+    "premium_amount": "decimal(10,2)",
+    "activities_count_12m": "int",
+    "wellbeing_days": "int",
+    "wellbeing_cost": "decimal(10,2)",
+    "total_cost": "decimal(10,2)",
+}
+
+
+def serving_rows(gold: DataFrame) -> DataFrame:
+    """Gold rows in the serving table's column types (money as NUMERIC(10,2),
+    distance NUMERIC(8,2), counts INTEGER)."""
+    return gold.select(
+        *[F.col(c).cast(SERVING_TYPES[c]).alias(c) if c in SERVING_TYPES else F.col(c) for c in eligibility.GOLD_COLUMNS]
+    )
+
+
 def publish_gold(spark: SparkSession, paths: LakePaths, as_of: dt.date, url: str, table: str,
                  properties: Mapping[str, str]) -> None:
     """Serving export: the written gold partition (not a recomputation)
-    replaces the serving table's content, keeping its definition."""
-    jdbc_sink.publish(read_gold(spark, paths, as_of), url, table, properties)
+    replaces the serving table's content, keeping its definition; a table
+    created by the first publish gets the serving column types."""
+    jdbc_sink.publish(serving_rows(read_gold(spark, paths, as_of)), url, table, properties)
 
 
 def run_daily(spark: SparkSession, employees: DataFrame, activities: DataFrame, paths: LakePaths,

@@ -44,6 +44,9 @@ def test_publish_gold_to_serving_table(spark, scratch):
     medallion.publish_gold(spark, paths, DAY, url, "FCT_EMPLOYEE_ELIGIBILITY", props)  # rerun: replaced
     served = jdbc_scan(spark, url, "FCT_EMPLOYEE_ELIGIBILITY", props)
     assert served.count() == emp.count()
+    types = dict(served.dtypes)
+    assert (types["total_cost"], types["home_to_office_km"], types["activities_count_12m"]) == (
+        "decimal(10,2)", "decimal(8,2)", "int")
     assert served.filter("is_eligible_premium").count() == medallion.read_gold(spark, paths, DAY).filter(
         "is_eligible_premium").count()
 
