@@ -25,9 +25,10 @@ def program_kpis(gold: DataFrame) -> DataFrame:
         F.count_if(F.col("distance_check_status") == DISTANCE_OK).alias("distances_resolved"),
         F.sum("activities_count_12m").alias("activities"),
     )
-    share = lambda part, whole: round_half_up(
-        F.col(part).cast("double") * F.lit(100.0) / F.col(whole).cast("double")
-    )
+    def share(part: str, whole: str):
+        """``part`` as a percentage of ``whole``, rounded to cents."""
+        return round_half_up(F.col(part).cast("double") * F.lit(100.0) / F.col(whole).cast("double"))
+
     return agg.select(
         "employees",
         F.col("total_cost").cast("double").alias("total_cost"),
