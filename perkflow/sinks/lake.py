@@ -39,8 +39,20 @@ def replace_partition(df: DataFrame, path: str, part_col: str, value, fmt: str =
     checked.drop(part_col).write.format(fmt).mode("overwrite").save(f"{path.rstrip('/')}/{part_col}={text}")
 
 
-def write_partitioned(df: DataFrame, path: str, part_col: str, fmt: str = "parquet") -> None:
-    """Initial / full write of a table partitioned by ``part_col``."""
+def write_partitioned(df: DataFrame, path: str, part_col: str, fmt: str = "parquet",
+                      files_per_value: int | None = None) -> None:
+    """Initial / full write of a table partitioned by ``part_col``.
+
+    By default every task writes one file per value it holds. With
+    ``files_per_value`` the rows are first shuffled on (value, salt) where the
+    salt is a hash of the whole row modulo ``files_per_value``: each value
+    ends up in that many files, and a value holding a third of the rows is
+    still split over ``files_per_value`` tasks. The salt is deterministic, so
+    a retried task rewrites the same rows.
+    """
+    if files_per_value:
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_value))
+        df = df.repartition(F.col(part_col), salt)
     df.write.format(fmt).mode("overwrite").partitionBy(part_col).save(path)
 
 

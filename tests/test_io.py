@@ -152,3 +152,19 @@ def test_jdbc_insert_ignore(spark):
     assert jdbc_sink.insert_ignore(spark, new, DERBY, "KEYED", PROPS, ["K"], "SEQ") == 0  # rerun: nothing new
     rows = sorted((r.K, r.V) for r in jdbc_src.jdbc_scan(spark, DERBY, "KEYED", PROPS).collect())
     assert rows == [(1, "old"), (2, "first"), (3, "new")]
+
+
+def test_write_partitioned_salted_files(spark, scratch):
+    import glob
+
+    from pyspark.sql import functions as F
+
+    df = spark.range(3000).select(
+        F.col("id"), F.when(F.col("id") % 3 == 0, F.lit(D1)).otherwise(F.lit(D2)).alias("extract_date")
+    )
+    write_partitioned(df, scratch, "extract_date", files_per_value=4)
+    for d in (D1, D2):
+        files = glob.glob(f"{scratch}/extract_date={d.isoformat()}/*.parquet")
+        assert 1 <= len(files) <= 4
+    got = lake.read_table(spark, scratch)
+    assert got.count() == 3000 and got.filter(F.col("extract_date") == F.lit(D1)).count() == 1000
