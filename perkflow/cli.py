@@ -90,6 +90,10 @@ def cmd_daily(spark: SparkSession, args) -> dict:
     return counts
 
 
+def _sender(url: str | None):
+    return outbox.webhook_sender(url) if url and url != "MOCK" else outbox.log_only_sender
+
+
 def cmd_notifier(spark: SparkSession, args) -> dict:
     q = notifier.start_notifier(
         _change_source(spark, args),
@@ -98,6 +102,8 @@ def cmd_notifier(spark: SparkSession, args) -> dict:
         args.dead_letters,
         args.checkpoint,
         available_now=args.available_now,
+        deliveries_path=args.deliveries,
+        send=_sender(args.webhook_url),
     )
     q.awaitTermination()
     return {"query": str(q.id)}
@@ -113,9 +119,7 @@ def cmd_state(spark: SparkSession, args) -> dict:
 
 
 def cmd_deliver(spark: SparkSession, args) -> dict:
-    send = outbox.webhook_sender(args.webhook_url) if args.webhook_url and args.webhook_url != "MOCK" \
-        else outbox.log_only_sender
-    d = outbox.deliver(spark, args.outbox, args.deliveries, send, args.max_senders)
+    d = outbox.deliver(spark, args.outbox, args.deliveries, _sender(args.webhook_url), args.max_senders)
     row = d.agg(F.count_if("delivered").alias("delivered"), F.count_if(~F.col("delivered")).alias("failed")).first()
     return row.asDict()
 
@@ -164,6 +168,8 @@ def parser() -> argparse.ArgumentParser:
         if name == "notifier":
             for a in ("--employees", "--outbox", "--dead-letters"):
                 s.add_argument(a, required=True)
+            s.add_argument("--deliveries", help="also send each micro-batch right away, outcome recorded here")
+            s.add_argument("--webhook-url", help="POST target for --deliveries; empty or MOCK only logs")
         else:
             s.add_argument("--updates", required=True)
             s.add_argument("--key", default="employee_id")

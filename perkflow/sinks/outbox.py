@@ -52,7 +52,8 @@ def webhook_sender(url: str, timeout_s: float = 5.0):
     return send
 
 
-def deliver(spark, outbox_path: str, deliveries_path: str, send=log_only_sender, max_senders: int | None = None):
+def deliver(spark, outbox_path: str, deliveries_path: str, send=log_only_sender, max_senders: int | None = None,
+            batch_id: int | None = None):
     """Send outbox rows not delivered yet and record the outcome.
 
     ``send(bodies) -> errors`` is called on the executors once per Arrow batch
@@ -61,15 +62,21 @@ def deliver(spark, outbox_path: str, deliveries_path: str, send=log_only_sender,
     are appended to ``deliveries_path`` (``activity_id, batch_id, delivered,
     error``); rows already delivered are skipped, so a rerun after a failure
     only sends what is missing. ``max_senders`` caps how many tasks call the
-    service at the same time.
+    service at the same time; ``batch_id`` restricts the run to one outbox
+    partition (both tables are partitioned by batch id, so only that
+    partition is read).
     """
     from pyspark.errors import AnalysisException
     from pyspark.sql import functions as F
 
     todo = spark.read.parquet(outbox_path).select("activity_id", "batch_id", "body")
+    if batch_id is not None:
+        todo = todo.filter(F.col("batch_id") == F.lit(batch_id))
     try:
-        done = spark.read.parquet(deliveries_path).filter(F.col("delivered")).select("activity_id", "batch_id")
-        todo = todo.join(done, ["activity_id", "batch_id"], "left_anti")
+        done = spark.read.parquet(deliveries_path).filter(F.col("delivered"))
+        if batch_id is not None:
+            done = done.filter(F.col("batch_id") == F.lit(batch_id))
+        todo = todo.join(done.select("activity_id", "batch_id"), ["activity_id", "batch_id"], "left_anti")
     except AnalysisException:  # first delivery run: nothing delivered yet
         pass
 
@@ -98,5 +105,5 @@ def deliver(spark, outbox_path: str, deliveries_path: str, send=log_only_sender,
     if max_senders:
         todo = todo.repartition(max_senders)
     outcome = todo.mapInPandas(call, DELIVERY_SCHEMA)
-    outcome.write.mode("append").parquet(deliveries_path)
+    outcome.write.mode("append").partitionBy("batch_id").parquet(deliveries_path)
     return spark.read.parquet(deliveries_path)

@@ -30,7 +30,7 @@ from pyspark.sql.types import StructType
 
 from ..operators.cdc import live_creations, parse_messages
 from ..operators.lookup import dead_letters, name_table, notifications, with_employee_names, with_messages
-from ..sinks.outbox import write_dead_letters, write_outbox
+from ..sinks.outbox import deliver, log_only_sender, write_dead_letters, write_outbox
 
 
 def kafka_source(spark: SparkSession, bootstrap: str, topic: str, starting_offsets: str = "latest",
@@ -78,7 +78,8 @@ def notification_rows(events: DataFrame, employees: DataFrame) -> DataFrame:
     return with_messages(with_employee_names(events, employees))
 
 
-def batch_writer(employees: DataFrame, outbox_path: str, dead_letter_path: str) -> Callable[[DataFrame, int], None]:
+def batch_writer(employees: DataFrame, outbox_path: str, dead_letter_path: str,
+                 deliveries_path: str | None = None, send=None) -> Callable[[DataFrame, int], None]:
     def process(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
@@ -88,6 +89,10 @@ def batch_writer(employees: DataFrame, outbox_path: str, dead_letter_path: str)
             write_dead_letters(dead_letters(rows), dead_letter_path, batch_id)
         finally:
             rows.unpersist()
+        if deliveries_path is not None:
+            # Sent right after the outbox commit; a replayed batch skips what
+            # its partition of the delivery table already records as sent.
+            deliver(batch.sparkSession, outbox_path, deliveries_path, send or log_only_sender, batch_id=batch_id)
 
     return process
 
@@ -112,13 +117,19 @@ def start_notifier(
     checkpoint: str,
     processing_time: str | None = "2 seconds",
     available_now: bool = False,
+    deliveries_path: str | None = None,
+    send=None,
 ) -> StreamingQuery:
     """Start the notifier. ``available_now`` drains what is there and stops.
+    With ``deliveries_path`` each micro-batch is also sent right away (``send``,
+    default log-only) and the outcome recorded per message.
     ``employees`` is read once into a prepared name table for the query's
     lifetime (restart the query to pick up a new HR snapshot); pass the
     result of :func:`prepared_names` to control when it is unpersisted."""
     names = employees if "_known_name" in employees.columns else prepared_names(employees)
-    w = live_events(raw).writeStream.foreachBatch(batch_writer(names, outbox_path, dead_letter_path))
+    w = live_events(raw).writeStream.foreachBatch(
+        batch_writer(names, outbox_path, dead_letter_path, deliveries_path, send)
+    )
     w = w.option("checkpointLocation", checkpoint)
     if available_now:
         w = w.trigger(availableNow=True)

@@ -69,3 +69,25 @@ def test_current_state_stream_is_incremental(spark, scratch):
     got = _rows(read_state(spark, upd, ["employee_id"]), cols)
     want = _rows(cdc.current_state(cdc.unwrap_envelopes(tb.employee_envelopes(spark, SF_SMALL)), ["employee_id"]), cols)
     assert got == want
+
+
+def test_immediate_delivery_once_per_message(spark, scratch):
+    events = tb.table(spark, SF_SMALL, "events")
+    src, out, dead, ckpt, sent = (f"{scratch}/{n}" for n in ("in", "outbox", "dead", "ckpt", "sent"))
+    events.filter("event_id < 400").write.mode("append").parquet(src)
+
+    def run():
+        stream = file_source(spark, src, events.schema)
+        raw = tb.cdc_messages_from_activities(tb.activities_from_events(stream))
+        q = start_notifier(raw, tb.known_employees(spark, SF_SMALL), out, dead, ckpt, available_now=True,
+                           deliveries_path=sent)
+        q.awaitTermination(300)
+        assert q.exception() is None
+
+    run()
+    events.filter("event_id >= 400").write.mode("append").parquet(src)
+    run()
+    outbox = spark.read.parquet(out)
+    deliveries = spark.read.parquet(sent)
+    assert deliveries.filter("delivered").count() == outbox.count()
+    assert deliveries.select("activity_id", "batch_id").distinct().count() == deliveries.count()
