@@ -80,17 +80,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not d:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(
-                "spark.checkpoint.dir is not set: point it at a shared folder (HDFS, object store) "
-                "for checkpoints, stream state and intermediate tables"
-            )
-        d = tempfile.mkdtemp(prefix="perkflow-ckpt-")
+        d = _fallback_dir(spark.sparkContext.master)
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
 
 
+def _fallback_dir(master: str) -> str:
+    """A temp folder for local masters only; a cluster must name a shared one."""
+    if not master.startswith("local"):
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: point it at a shared folder (HDFS, object store) "
+            "for checkpoints, stream state and intermediate tables"
+        )
+    return tempfile.mkdtemp(prefix="perkflow-ckpt-")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint dir."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
