@@ -9,6 +9,7 @@
                                           [--available-now]
     spark-submit run_job.py state    --checkpoint PATH --updates PATH
                                           (--kafka HOST:PORT --topic T | --files DIR) [--available-now]
+    spark-submit run_job.py load-hr  --file rh.csv [--sep ';' --decimal-comma] (--out PATH | --jdbc-url URL --jdbc-table T)
     spark-submit run_job.py deliver  --outbox PATH --deliveries PATH [--webhook-url URL | MOCK]
     spark-submit run_job.py quality  (--lake ROOT --as-of 2024-01-31 | --jdbc-url URL --jdbc-table T)
                                      --expected-rows N --out PATH
@@ -35,7 +36,9 @@ from .operators.enrichment import StoredReplies
 from .plans import medallion
 from .plans.rules import gold_suite
 from .schemas import CDC_ENVELOPE
+from .sinks import jdbc as jdbc_sink
 from .sinks import outbox
+from .sources import hr_extract
 from .sources import jdbc as jdbc_src
 from .streaming import current_state, notifier
 
@@ -124,6 +127,22 @@ def cmd_deliver(spark: SparkSession, args) -> dict:
     return row.asDict()
 
 
+def cmd_load_hr(spark: SparkSession, args) -> dict:
+    """HR extract -> employees: insert-if-absent into a database table, or a
+    parquet table written as is."""
+    rows = hr_extract.normalize_hr_extract(hr_extract.read_hr_extract(spark, args.file, args.sep),
+                                           decimal_comma=args.decimal_comma)
+    if args.jdbc_url:
+        props = {"user": args.jdbc_user or "", "password": args.jdbc_password or ""}
+        if args.jdbc_driver:
+            props["driver"] = args.jdbc_driver
+        n = jdbc_sink.insert_ignore(spark, rows, args.jdbc_url, args.jdbc_table, props, ["employee_id"],
+                                    "employee_id")
+        return {"inserted": n}
+    rows.write.mode("overwrite").parquet(args.out)
+    return {"written": spark.read.parquet(args.out).count()}
+
+
 def cmd_quality(spark: SparkSession, args) -> dict:
     if args.jdbc_url:  # the published serving table
         props = {"user": args.jdbc_user or "", "password": args.jdbc_password or ""}
@@ -174,6 +193,14 @@ def parser() -> argparse.ArgumentParser:
             s.add_argument("--updates", required=True)
             s.add_argument("--key", default="employee_id")
 
+    h = sub.add_parser("load-hr", help="HR extract (CSV, French headers) -> employees")
+    h.add_argument("--file", required=True)
+    h.add_argument("--sep", default=",")
+    h.add_argument("--decimal-comma", action="store_true")
+    h.add_argument("--out", help="parquet output (when no --jdbc-url)")
+    for a in ("--jdbc-url", "--jdbc-table", "--jdbc-user", "--jdbc-password", "--jdbc-driver"):
+        h.add_argument(a)
+
     dl = sub.add_parser("deliver", help="send outbox notifications not delivered yet")
     dl.add_argument("--outbox", required=True)
     dl.add_argument("--deliveries", required=True)
@@ -194,7 +221,7 @@ def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"perkflow-{args.cmd}").getOrCreate()
     commands = {"daily": cmd_daily, "notifier": cmd_notifier, "state": cmd_state, "deliver": cmd_deliver,
-                "quality": cmd_quality}
+                "quality": cmd_quality, "load-hr": cmd_load_hr}
     result = commands[args.cmd](
         spark, args
     )

@@ -37,8 +37,12 @@ def read_hr_extract(spark: SparkSession, path: str, sep: str = ",") -> DataFrame
     ).csv(path)
 
 
-def normalize_hr_extract(raw: DataFrame) -> DataFrame:
-    """Rename headers, trim text, parse ids / numbers / dates. Bad values become NULL."""
+def normalize_hr_extract(raw: DataFrame, decimal_comma: bool = False) -> DataFrame:
+    """Rename headers, trim text, parse ids / numbers / dates. Bad values become NULL.
+
+    ``decimal_comma``: amounts written the French way (``45 000,50``, with
+    normal or non-breaking spaces between thousands).
+    """
     cols = []
     for header, name in HR_COLUMNS.items():
         v = F.trim(F.col(f"`{header}`"))
@@ -47,6 +51,8 @@ def normalize_hr_extract(raw: DataFrame) -> DataFrame:
         elif name == "paid_leave_days":
             v = to_int_or_null(v)
         elif name == "gross_salary":
+            if decimal_comma:
+                v = F.regexp_replace(F.regexp_replace(v, "[\\s\u00a0\u202f]", ""), ",", ".")
             v = to_double_or_null(v)
         elif name in DATE_COLUMNS:
             v = to_date_or_null(v)

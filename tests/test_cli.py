@@ -82,3 +82,24 @@ def test_state_on_text_files(spark, scratch, capsys):
     got = sorted(tuple(r) for r in read_state(spark, f"{scratch}/updates", ["employee_id"]).select(*cols).collect())
     want = cdc.current_state(cdc.unwrap_envelopes(tb.employee_envelopes(spark, SF_SMALL)), ["employee_id"])
     assert got == sorted(tuple(r) for r in want.select(*cols).collect())
+
+
+def test_load_hr_insert_if_absent(spark, tmp_path, capsys):
+    header = ("ID salarié;Nom;Prénom;Date de naissance;BU;Date d'embauche;Salaire brut;Type de contrat;"
+              "Nombre de jours de CP;Adresse du domicile;Moyen de déplacement")
+    lines = [header,
+             "1;Durand;Zoé;1985-07-14;Ventes;2019-09-01;45 000,50;CDI;27;3 rue C;Marche/running",
+             "2;Petit;Léa;1990-01-02;R&D;2020-01-01;38 000,00;CDD;25;4 rue D;Transports en commun"]
+    path = tmp_path / "rh.csv"
+    path.write_text("\n".join(lines) + "\n", encoding="utf-8")
+    url, driver = "jdbc:derby:memory:perkflow_hr;create=true", "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    args = ["load-hr", "--file", str(path), "--sep", ";", "--decimal-comma", "--jdbc-url", url,
+            "--jdbc-table", "HR_EMP", "--jdbc-driver", driver]
+    tb.employees(spark, SF_SMALL).limit(0).select(
+        "employee_id", "last_name", "first_name", "birth_date", "business_unit", "hire_date", "gross_salary",
+        "contract_type", "paid_leave_days", "home_address", "transport_mode",
+    ).write.mode("overwrite").jdbc(url, "HR_EMP", properties={"driver": driver})
+    assert cli.main(args) == 0
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"inserted": 2}
+    assert cli.main(args) == 0  # second load: both already there
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"inserted": 0}
