@@ -58,3 +58,46 @@ def test_replace_partition_rerun(spark, initial, replacement, day):
     got = sorted((r.id, r.extract_date) for r in lake.read_table(spark, path).collect())
     want = sorted([(i, d) for i, d in initial if d != day] + [(i, day) for i in replacement])
     assert got == want
+
+
+CHANGE = st.tuples(st.integers(0, 5), st.sampled_from(["c", "u", "d", "r"]), st.integers(0, 3),
+                   st.sampled_from(["a", "b", "c"]))
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(CHANGE, min_size=1, max_size=40))
+def test_current_state_matches_brute_force(spark, changes):
+    from perkflow.operators import cdc
+
+    # LSN = position in the log (unique); source time may repeat
+    rows = [(k, v, op, ts, lsn, op == "d") for lsn, (k, op, ts, v) in enumerate(changes)]
+    df = spark.createDataFrame(
+        rows, "employee_id long, business_unit string, __op string, __source_ts_ms long, __source_lsn long, "
+              "__deleted boolean")
+    got = sorted((r["employee_id"], r["business_unit"], r["__source_lsn"])
+                 for r in cdc.current_state(df, ["employee_id"]).collect())
+    latest = {}
+    for k, v, op, ts, lsn, deleted in rows:
+        if k not in latest or (lsn, ts) > (latest[k][2], latest[k][3]):
+            latest[k] = (k, v, lsn, ts, deleted)
+    want = sorted((k, v, lsn) for k, v, lsn, ts, deleted in latest.values() if not deleted)
+    assert got == want
+
+
+@settings(max_examples=15, deadline=None)
+@given(
+    st.sets(st.integers(0, 30), max_size=15),
+    st.lists(st.tuples(st.integers(0, 30), st.integers(0, 1000)), max_size=40, unique_by=lambda t: t[1]),
+)
+def test_insert_ignore_matches_brute_force(spark, existing_keys, new_rows):
+    from perkflow.sinks.keys import insert_ignore
+
+    existing = spark.createDataFrame([(k, -1) for k in sorted(existing_keys)], "k long, seq long")
+    new = spark.createDataFrame(new_rows, "k long, seq long")
+    got = sorted(tuple(r) for r in insert_ignore(existing, new, ["k"], "seq").collect())
+    first = {}
+    for k, seq in new_rows:
+        if k not in existing_keys and (k not in first or seq < first[k]):
+            first[k] = seq
+    want = sorted([(k, -1) for k in existing_keys] + list(first.items()))
+    assert got == want
