@@ -101,3 +101,26 @@ def test_insert_ignore_matches_brute_force(spark, existing_keys, new_rows):
             first[k] = seq
     want = sorted([(k, -1) for k in existing_keys] + list(first.items()))
     assert got == want
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(-5, 20)), st.one_of(st.none(), st.sampled_from("abcx"))),
+                max_size=40))
+def test_quality_suite_matches_brute_force(spark, rows):
+    from perkflow.operators import quality
+
+    df = spark.createDataFrame(rows, "n long, u string")
+    rules = [quality.expect_between("n", 0, 10), quality.expect_in_set("u", ["a", "b", "c"]),
+             quality.expect_not_null("n"), quality.expect_row_count(len(rows))]
+    got = {r.rule: (r.evaluated, r.failed, r.success) for r in quality.run_suite(df, rules).collect()}
+    ns = [n for n, _ in rows if n is not None]
+    us = [u for _, u in rows if u is not None]
+    bad_n = sum(1 for n in ns if not 0 <= n <= 10)
+    bad_u = sum(1 for u in us if u not in "abc")
+    nulls = sum(1 for n, _ in rows if n is None)
+    assert got == {
+        "n_between": (len(ns), bad_n, bad_n == 0),
+        "u_in_set": (len(us), bad_u, bad_u == 0),
+        "n_not_null": (len(rows), nulls, nulls == 0),
+        "row_count_equal": (len(rows), 0, True),
+    }
