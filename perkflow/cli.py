@@ -75,7 +75,7 @@ def _source_table(spark: SparkSession, args, name: str, key: str):
 
 def cmd_daily(spark: SparkSession, args) -> dict:
     params = _read(spark, args.params, args.format) if args.params else DEFAULT_PARAMETERS
-    paths = medallion.LakePaths(args.lake)
+    paths = medallion.LakePaths(args.lake, args.lake_format)
     counts = medallion.run_daily(
         spark,
         _source_table(spark, args, args.employees, "employee_id"),
@@ -150,7 +150,7 @@ def cmd_quality(spark: SparkSession, args) -> dict:
             props["driver"] = args.jdbc_driver
         gold = jdbc_src.jdbc_scan(spark, args.jdbc_url, args.jdbc_table, props)
     else:
-        gold = medallion.read_gold(spark, medallion.LakePaths(args.lake), args.as_of)
+        gold = medallion.read_gold(spark, medallion.LakePaths(args.lake, args.lake_format), args.as_of)
     report = quality.run_suite(gold, gold_suite(args.expected_rows))
     report.write.mode("overwrite").parquet(args.out)
     summary = quality.summarize(spark.read.parquet(args.out)).first().asDict()
@@ -167,6 +167,7 @@ def parser() -> argparse.ArgumentParser:
         d.add_argument(a, required=True)
     d.add_argument("--as-of", type=_date, required=True)
     d.add_argument("--params")
+    d.add_argument("--lake-format", default="parquet", help="parquet, or delta when its jar is present")
     for a in ("--jdbc-url", "--jdbc-table", "--jdbc-user", "--jdbc-password", "--jdbc-driver"):
         d.add_argument(a)
     # employees / activities given as table names of a source database
@@ -209,6 +210,7 @@ def parser() -> argparse.ArgumentParser:
 
     q = sub.add_parser("quality", help="quality suite on a gold snapshot or the serving table")
     q.add_argument("--lake")
+    q.add_argument("--lake-format", default="parquet")
     q.add_argument("--as-of", type=_date)
     for a in ("--jdbc-url", "--jdbc-table", "--jdbc-user", "--jdbc-password", "--jdbc-driver"):
         q.add_argument(a)

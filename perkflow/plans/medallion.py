@@ -30,14 +30,18 @@ GOLD_PART = "snapshot_date"
 
 @dataclass(frozen=True)
 class LakePaths:
+    """Lake root and table format (``parquet``, or ``delta`` when its jar is
+    on the classpath: atomic ``replaceWhere`` and time travel)."""
+
     root: str
+    fmt: str = "parquet"
 
     def table(self, layer: str, name: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{name}"
 
 
-def _write_day(df: DataFrame, path: str, part: str, day: dt.date, name: str) -> int:
-    return write_counted(df, lambda d: replace_partition(d, path, part, day), name)
+def _write_day(df: DataFrame, path: str, part: str, day: dt.date, name: str, fmt: str = "parquet") -> int:
+    return write_counted(df, lambda d: replace_partition(d, path, part, day, fmt), name)
 
 
 def run_bronze(spark: SparkSession, employees: DataFrame, activities: DataFrame, paths: LakePaths,
@@ -45,9 +49,9 @@ def run_bronze(spark: SparkSession, employees: DataFrame, activities: DataFrame,
     """Raw copies of the sources, stamped with the extract date."""
     return {
         "bronze.employees": _write_day(stamp(employees, as_of), paths.table("bronze", "employees"), PART, as_of,
-                                       "bronze_employees"),
+                                       "bronze_employees", paths.fmt),
         "bronze.activities": _write_day(stamp(activities, as_of), paths.table("bronze", "activities"), PART, as_of,
-                                        "bronze_activities"),
+                                        "bronze_activities", paths.fmt),
     }
 
 
@@ -56,10 +60,10 @@ def distance_cache(spark: SparkSession, paths: LakePaths, as_of: dt.date) -> Dat
     errors are asked again). None on the first run."""
     path = paths.table("silver", "addresses")
     try:
-        lake.read_table(spark, path).schema  # noqa: B018 - resolves the path
+        lake.read_table(spark, path, paths.fmt).schema  # noqa: B018 - resolves the path
     except AnalysisException:
         return None
-    prev = lake.snapshot_as_of(spark, path, as_of - dt.timedelta(days=1), PART)
+    prev = lake.snapshot_as_of(spark, path, as_of - dt.timedelta(days=1), PART, paths.fmt)
     return prev.filter(F.col("distance_check_status").isin(DISTANCE_OK, DISTANCE_NOT_FOUND)).select(
         *RESOLVED_COLUMNS
     )
@@ -70,40 +74,40 @@ def run_silver(spark: SparkSession, paths: LakePaths, as_of: dt.date, provider,
     """Resolve addresses (written first, so the service is asked once per
     address and day even if a later stage is retried), then employees, then
     activities joined to the written employees."""
-    emp_bronze = lake.snapshot_scan(spark, paths.table("bronze", "employees"), as_of, PART).drop(PART, "extract_ts")
+    emp_bronze = lake.snapshot_scan(spark, paths.table("bronze", "employees"), as_of, PART, paths.fmt).drop(PART, "extract_ts")
     cache = distance_cache(spark, paths, as_of) if use_cache else None
     resolved = stamp(resolve_addresses(emp_bronze, provider, cache), as_of)
     counts = {"silver.addresses": _write_day(resolved, paths.table("silver", "addresses"), PART, as_of,
-                                             "silver_addresses")}
-    written = lake.snapshot_scan(spark, paths.table("silver", "addresses"), as_of, PART)
+                                             "silver_addresses", paths.fmt)}
+    written = lake.snapshot_scan(spark, paths.table("silver", "addresses"), as_of, PART, paths.fmt)
     emp = stamp(refine.employees_silver(emp_bronze, None, as_of, resolved=written).drop(PART), as_of)
     counts["silver.employees"] = _write_day(emp, paths.table("silver", "employees"), PART, as_of,
-                                            "silver_employees")
-    act_bronze = lake.snapshot_scan(spark, paths.table("bronze", "activities"), as_of, PART).drop(PART, "extract_ts")
-    emp_silver = lake.snapshot_scan(spark, paths.table("silver", "employees"), as_of, PART)
+                                            "silver_employees", paths.fmt)
+    act_bronze = lake.snapshot_scan(spark, paths.table("bronze", "activities"), as_of, PART, paths.fmt).drop(PART, "extract_ts")
+    emp_silver = lake.snapshot_scan(spark, paths.table("silver", "employees"), as_of, PART, paths.fmt)
     # Rows sorted by start time inside each write task (no shuffle): parquet
     # row-group min/max stats then let gold's look-back filter skip old groups.
     act = stamp(refine.activities_silver(act_bronze, emp_silver, as_of).drop(PART), as_of).sortWithinPartitions(
         "start_at"
     )
     counts["silver.activities"] = _write_day(act, paths.table("silver", "activities"), PART, as_of,
-                                             "silver_activities")
+                                             "silver_activities", paths.fmt)
     return counts
 
 
 def run_gold(spark: SparkSession, paths: LakePaths, as_of: dt.date,
              params: Mapping[str, object] | DataFrame = DEFAULT_PARAMETERS,
              days: int = LOOKBACK_DAYS) -> dict[str, int]:
-    emp = lake.snapshot_scan(spark, paths.table("silver", "employees"), as_of, PART)
-    act = lake.snapshot_scan(spark, paths.table("silver", "activities"), as_of, PART)
+    emp = lake.snapshot_scan(spark, paths.table("silver", "employees"), as_of, PART, paths.fmt)
+    act = lake.snapshot_scan(spark, paths.table("silver", "activities"), as_of, PART, paths.fmt)
     gold = eligibility.employee_eligibility(emp, act, as_of, params, days)
     return {"gold.employee_eligibility": _write_day(gold, paths.table("gold", "employee_eligibility"), GOLD_PART,
-                                                    as_of, "gold_eligibility")}
+                                                    as_of, "gold_eligibility", paths.fmt)}
 
 
 def read_gold(spark: SparkSession, paths: LakePaths, as_of: dt.date) -> DataFrame:
     """The day's gold partition as written (what the serving export publishes)."""
-    return lake.snapshot_scan(spark, paths.table("gold", "employee_eligibility"), as_of, GOLD_PART)
+    return lake.snapshot_scan(spark, paths.table("gold", "employee_eligibility"), as_of, GOLD_PART, paths.fmt)
 
 
 # Column types of the serving table.
