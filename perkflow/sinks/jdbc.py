@@ -13,7 +13,8 @@ from .keys import rows_to_insert
 
 def publish(df: DataFrame, url: str, table: str, properties: Mapping[str, str], num_partitions: int = 8) -> None:
     """Replace the table content; ``truncate`` keeps the table definition
-    (types, keys, grants) instead of dropping and re-creating it."""
+    (types, keys, grants) instead of dropping and re-creating it. At most
+    ``num_partitions`` connections write at the same time (no shuffle)."""
     (
         df.coalesce(num_partitions)
         .write.mode("overwrite")
@@ -22,9 +23,16 @@ def publish(df: DataFrame, url: str, table: str, properties: Mapping[str, str],
     )
 
 
-def append(df: DataFrame, url: str, table: str, properties: Mapping[str, str], batchsize: int = 500) -> None:
-    """Append rows with JDBC batch inserts of ``batchsize`` rows per round trip."""
-    df.write.mode("append").option("batchsize", str(batchsize)).jdbc(url, table, properties=dict(properties))
+def append(df: DataFrame, url: str, table: str, properties: Mapping[str, str], batchsize: int = 500,
+           num_partitions: int = 8) -> None:
+    """Append rows with JDBC batch inserts of ``batchsize`` rows per round
+    trip, from at most ``num_partitions`` connections at the same time."""
+    (
+        df.coalesce(num_partitions)
+        .write.mode("append")
+        .option("batchsize", str(batchsize))
+        .jdbc(url, table, properties=dict(properties))
+    )
 
 
 def insert_ignore(spark, df: DataFrame, url: str, table: str, properties: Mapping[str, str], keys: list[str],
