@@ -50,14 +50,18 @@ class CallbackProvider:
 
     A failing batch call is retried address by address; an address whose call
     still fails gets an empty reply, which decodes to status ``error`` — one
-    bad call never fails the run.
+    bad call never fails the run. ``max_callers`` caps how many tasks call
+    the service at the same time (rate-limited APIs).
     """
 
-    def __init__(self, fetch: Callable[[Sequence[str]], Sequence[str | None]]):
+    def __init__(self, fetch: Callable[[Sequence[str]], Sequence[str | None]], max_callers: int | None = None):
         self.fetch = fetch
+        self.max_callers = max_callers
 
     def lookup(self, addresses: DataFrame) -> DataFrame:
         fetch = self.fetch
+        if self.max_callers:
+            addresses = addresses.repartition(self.max_callers)
 
         def one(address: str) -> str | None:
             try:

@@ -126,6 +126,9 @@ def test_distance_enrichment_cache_and_providers(spark):
     got = {r.home_address: (r.home_to_office_km, r.distance_check_status)
            for r in resolve_addresses(emp, CallbackProvider(fetch)).collect()}
     assert got == {"A": (4.0, "ok"), "B": (None, "no_api_key"), "C": (None, "no_api_key")}
+    capped = {r.home_address: r.distance_check_status
+              for r in resolve_addresses(emp, CallbackProvider(fetch, max_callers=2)).collect()}
+    assert capped == {"A": "ok", "B": "no_api_key", "C": "no_api_key"}
     got = {r.distance_check_status for r in resolve_addresses(emp, NoKeyProvider()).collect()}
     assert got == {"no_api_key"}
 
