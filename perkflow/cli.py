@@ -131,7 +131,7 @@ def cmd_load_hr(spark: SparkSession, args) -> dict:
     """HR extract -> employees: insert-if-absent into a database table, or a
     parquet table written as is."""
     rows = hr_extract.normalize_hr_extract(hr_extract.read_hr_extract(spark, args.file, args.sep),
-                                           decimal_comma=args.decimal_comma)
+                                           decimal_comma=args.decimal_comma, day_first=args.day_first)
     if args.jdbc_url:
         props = {"user": args.jdbc_user or "", "password": args.jdbc_password or ""}
         if args.jdbc_driver:
@@ -198,6 +198,7 @@ def parser() -> argparse.ArgumentParser:
     h.add_argument("--file", required=True)
     h.add_argument("--sep", default=",")
     h.add_argument("--decimal-comma", action="store_true")
+    h.add_argument("--day-first", action="store_true", help="dates written dd/MM/yyyy")
     h.add_argument("--out", help="parquet output (when no --jdbc-url)")
     for a in ("--jdbc-url", "--jdbc-table", "--jdbc-user", "--jdbc-password", "--jdbc-driver"):
         h.add_argument(a)

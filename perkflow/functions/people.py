@@ -34,10 +34,13 @@ def to_long_or_null(c: Column) -> Column:
     return c.try_cast("bigint")
 
 
-def to_date_or_null(c: Column) -> Column:
-    """``yyyy-MM-dd`` text, optionally followed by a time after a space or
-    ``T`` (the time is dropped) -> date; anything else (or an impossible
-    date such as 02-30) -> NULL."""
+def to_date_or_null(c: Column, day_first: bool = False) -> Column:
+    """``yyyy-MM-dd`` text (or ``dd/MM/yyyy`` with ``day_first``), optionally
+    followed by a time after a space or ``T`` (the time is dropped) -> date;
+    anything else (or an impossible date such as 02-30) -> NULL."""
+    if day_first:
+        day = F.regexp_extract(c, r"^(\d{2}/\d{2}/\d{4})([ T].*)?$", 1)
+        return F.try_to_date(F.when(day != "", day), "dd/MM/yyyy")
     day = F.regexp_extract(c, r"^(\d{4}-\d{2}-\d{2})([ T].*)?$", 1)
     return F.try_to_date(F.when(day != "", day), "yyyy-MM-dd")
 

@@ -37,11 +37,12 @@ def read_hr_extract(spark: SparkSession, path: str, sep: str = ",") -> DataFrame
     ).csv(path)
 
 
-def normalize_hr_extract(raw: DataFrame, decimal_comma: bool = False) -> DataFrame:
+def normalize_hr_extract(raw: DataFrame, decimal_comma: bool = False, day_first: bool = False) -> DataFrame:
     """Rename headers, trim text, parse ids / numbers / dates. Bad values become NULL.
 
     ``decimal_comma``: amounts written the French way (``45 000,50``, with
-    normal or non-breaking spaces between thousands).
+    normal or non-breaking spaces between thousands); ``day_first``: dates as
+    ``dd/MM/yyyy``.
     """
     cols = []
     for header, name in HR_COLUMNS.items():
@@ -55,6 +56,6 @@ def normalize_hr_extract(raw: DataFrame, decimal_comma: bool = False) -> DataFra
                 v = F.regexp_replace(F.regexp_replace(v, "[\\s\u00a0\u202f]", ""), ",", ".")
             v = to_double_or_null(v)
         elif name in DATE_COLUMNS:
-            v = to_date_or_null(v)
+            v = to_date_or_null(v, day_first)
         cols.append(v.alias(name))
     return raw.select(*cols)

@@ -109,6 +109,12 @@ def test_date_text_forms(spark):
     assert got == [feb29, feb29, feb29, None, None, None, None]
 
 
+def test_day_first_dates(spark):
+    df = spark.createDataFrame([("14/07/1985",), ("14/07/1985 00:00:00",), ("31/02/2024",), ("1985-07-14",)], "t string")
+    got = [r.d for r in df.select(people.to_date_or_null(F.col("t"), day_first=True).alias("d")).collect()]
+    assert got == [dt.date(1985, 7, 14), dt.date(1985, 7, 14), None, None]
+
+
 def test_full_name(spark):
     df = spark.createDataFrame([("Ana", "Lopez")], "f string, l string")
     assert df.select(people.full_name("f", "l").alias("n")).first().n == "Ana Lopez"

@@ -177,6 +177,7 @@ def test_hr_extract_french_export(spark, tmp_path):
     line = "7;Durand;Zoé;1985-07-14;Ventes;2019-09-01;45\u00a0000,50;CDI;27;3 rue C, Lattes;Vélo/Trottinette/Autres"
     with open(path, "w", encoding="utf-8") as f:
         f.write(header + "\n" + line + "\n")
-    r = normalize_hr_extract(read_hr_extract(spark, path, sep=";"), decimal_comma=True).first()
+    r = normalize_hr_extract(read_hr_extract(spark, path, sep=";"), decimal_comma=True, day_first=True).first()
     assert (r.employee_id, r.gross_salary, r.home_address, r.transport_mode) == (
         7, 45000.5, "3 rue C, Lattes", "Vélo/Trottinette/Autres")
+    assert (r.birth_date, r.hire_date) == (dt.date(1985, 7, 14), dt.date(2019, 9, 1))
