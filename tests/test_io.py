@@ -174,7 +174,7 @@ def test_hr_extract_french_export(spark, tmp_path):
     path = str(tmp_path / "rh.csv")
     header = ("ID salarié;Nom;Prénom;Date de naissance;BU;Date d'embauche;Salaire brut;Type de contrat;"
               "Nombre de jours de CP;Adresse du domicile;Moyen de déplacement")
-    line = "7;Durand;Zoé;1985-07-14;Ventes;2019-09-01;45\u00a0000,50;CDI;27;3 rue C, Lattes;Vélo/Trottinette/Autres"
+    line = "7;Durand;Zoé;14/07/1985;Ventes;01/09/2019;45\u00a0000,50;CDI;27;3 rue C, Lattes;Vélo/Trottinette/Autres"
     with open(path, "w", encoding="utf-8") as f:
         f.write(header + "\n" + line + "\n")
     r = normalize_hr_extract(read_hr_extract(spark, path, sep=";"), decimal_comma=True, day_first=True).first()
