@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +14,10 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared work folder and read it back: cuts the lineage, survives lost executors."""
     spark: SparkSession = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    # Shuffle files of a finished query go once the driver has dropped its handles; ask for that now.
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

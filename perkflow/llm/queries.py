@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perkflow.llm import simhash_bktree
+from perkflow.llm import decontamination_suffix, simhash_bktree, substring_superkmers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    found = decontamination_suffix.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated",
+    )
+
+
+def op5_substring_superkmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that repeat 50-word windows of earlier ones."""
+    found = substring_superkmers.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select(F.col("row.doc_id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     found = simhash_bktree.near_duplicates(table(spark, sf_dir, "documents"))
@@ -27,6 +42,8 @@ def op8_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op4_suffix_decontamination": op4_suffix_decontamination,
+    "op5_substring_superkmers": op5_substring_superkmers,
     "op8_simhash_bktree": op8_simhash_bktree,
 }
 

@@ -213,7 +213,7 @@ def near_links(classes: DataFrame, radius: int = RADIUS, blocks: int = RADIUS +
     keys = ["table", "key", "tree"]
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in whole_groups(batches, keys, 65_536):
+        for part, _ in whole_groups(batches, keys, 65_536):
             col = [part.column(k).to_numpy() for k in keys]
             step = np.zeros(part.num_rows, np.int64)
             for c in col:

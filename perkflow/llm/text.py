@@ -199,33 +199,71 @@ def by_piece(text: str, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None]) -
     return run
 
 
-def whole_groups(batches: Iterable[pa.RecordBatch], keys: list[str], rows: int) -> Iterator[pa.Table]:
-    """Regroup sorted batches into tables of about ``rows`` rows that never cut a group of equal ``keys``."""
+def whole_groups(
+    batches: Iterable[pa.RecordBatch], keys: list[str], rows: int, most: int | None = None
+) -> Iterator[tuple[pa.Table, bool]]:
+    """Regroup sorted batches into (table, True) of about ``rows`` rows that never cut a group of equal ``keys``.
+
+    A group of over ``most`` rows comes in (table, False) parts instead, each
+    holding rows of that group only, so no group has to fit in memory.
+    """
     held: list[pa.RecordBatch] = []
     count = 0
+    large = None
     for batch in batches:
         if batch.num_rows == 0:
             continue
         held.append(batch)
         count += batch.num_rows
-        if count < rows:
+        if count < rows and large is None:
             continue
         table = pa.Table.from_batches(held).combine_chunks()
-        cut = last_change(table, keys)
+        if large is not None:
+            same = np.ones(table.num_rows, bool)
+            for k, v in zip(keys, large, strict=True):
+                same &= table.column(k).to_numpy() == v
+            n = int(same.sum())
+            if n:
+                yield table.slice(0, n), False
+                table = table.slice(n)
+            if table.num_rows:
+                large = None
+        cut = last_change(table, keys) if table.num_rows >= rows else 0
         if cut:
-            yield table.slice(0, cut)
+            yield table.slice(0, cut), True
             table = table.slice(cut)
+        elif most is not None and table.num_rows > most:
+            large = [table.column(k)[0].as_py() for k in keys]
+            yield table, False
+            table = table.slice(0, 0)
         held = table.to_batches()
         count = table.num_rows
-    if held:
-        yield pa.Table.from_batches(held).combine_chunks()
+    if count:
+        yield pa.Table.from_batches(held).combine_chunks(), True
 
 
 def last_change(table: pa.Table, keys: list[str]) -> int:
     """The last row whose keys differ from the row before; 0 if there is none."""
-    step = np.zeros(table.num_rows - 1, bool)
+    step = np.zeros(max(table.num_rows - 1, 0), bool)
     for k in keys:
         v = table.column(k).to_numpy()
         step |= v[1:] != v[:-1]
     at = np.flatnonzero(step)
     return int(at[-1]) + 1 if len(at) else 0
+
+
+def join_words(w: Words, table: np.ndarray, keep: np.ndarray) -> pa.Array:
+    """Each row's kept words, joined by one space; ``table``: the bytes that made the words."""
+    size = w.end - w.start
+    kept_bytes = w.data[table[w.data]][np.repeat(keep, size)]
+    size, row = size[keep], row_of(w)[keep]
+    gap = np.zeros(len(size), np.int64)
+    gap[:-1] = row[1:] == row[:-1]
+    total = int((size + gap).sum())
+    out = np.full(total, 0x20, np.uint8)
+    letter = np.ones(total, bool)
+    letter[(np.cumsum(size + gap) - 1)[gap > 0]] = False
+    out[letter] = kept_bytes
+    length = np.bincount(row, weights=size + gap, minlength=len(w.rows) - 1).astype(np.int64)
+    offsets = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.string(), len(length), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(out.tobytes())])
