@@ -8,10 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perkflow.llm import decontamination_suffix, simhash_bktree, substring_superkmers
+from perkflow.llm import decontamination_suffix, mixing, oracle_sql, outliers_mcd, simhash_bktree, substring_superkmers, token_shards
+from perkflow.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +22,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size, target and words taken of every document."""
+    planned = mixing.plan_mix(table(spark, sf_dir, "documents"))
+    taken = (F.col("copies") * F.col("size")).alias("taken")
+    return planned.select(F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", taken)
+
+
 def op4_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document."""
     found = decontamination_suffix.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -35,6 +44,28 @@ def op5_substring_superkmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("row.doc_id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, length and checksum of every document's ids, read back from the files."""
+    path = write_tokens(spark, table(spark, sf_dir, "documents"))
+    found = token_shards.read_documents(spark, path)
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def write_tokens(spark: SparkSession, docs: DataFrame) -> str:
+    """Token shards of ``docs`` in a fresh folder of the shared work folder."""
+    path = scratch_path(spark, "token-shards")
+    token_shards.write_shards(docs, path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return path
+
+
+def op7_mcd_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base statistics and verdict of every document."""
+    found = outliers_mcd.judge(table(spark, sf_dir, "documents"), ["doc_id"])
+    return found.select(
+        F.col("k0").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance2"
+    )
+
+
 def op8_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     found = simhash_bktree.near_duplicates(table(spark, sf_dir, "documents"))
@@ -42,9 +73,16 @@ def op8_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_mixing": op2_mixing,
     "op4_suffix_decontamination": op4_suffix_decontamination,
     "op5_substring_superkmers": op5_substring_superkmers,
+    "op6_wavelet_shards": op6_wavelet_shards,
+    "op7_mcd_outliers": op7_mcd_outliers,
     "op8_simhash_bktree": op8_simhash_bktree,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_mixing": oracle_sql.MIXING,
+    "op4_suffix_decontamination": oracle_sql.SUFFIX_DECONTAMINATION,
+    "op5_substring_superkmers": oracle_sql.SUBSTRING_DEDUP,
+}
