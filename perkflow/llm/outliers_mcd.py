@@ -36,8 +36,8 @@ REPEAT_WINDOW = 8
 REPEAT_PERCENT = 30
 #: Share of a group's rows that its estimate is made from.
 CORE = 0.75
-#: Largest squared distance kept: chi-square with six degrees of freedom passes it once in 20 million rows.
-CUT = 45.0
+#: Largest squared distance kept: chi-square with six degrees of freedom passes it four times in a million rows.
+CUT = 35.0
 #: Rows of its language that count beside a group's own.
 BLEND = 100
 #: The smallest spread of each transformed statistic that counts as one unit of distance.

@@ -12,7 +12,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perkflow.llm import decontamination_suffix, mixing, oracle_sql, outliers_mcd, simhash_bktree, substring_superkmers, token_shards
+from perkflow.llm import (
+    decontamination_suffix, importance_resampling, mixing, oracle_sql, outliers_mcd, simhash_bktree, substring_superkmers,
+    token_shards,
+)
 from perkflow.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +32,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planned.select(F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", taken)
 
 
+def op3_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log ratio, sampling key and selection of every document."""
+    return importance_resampling.select_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document."""
     found = decontamination_suffix.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -74,6 +82,7 @@ def op8_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_mixing": op2_mixing,
+    "op3_importance_resampling": op3_importance_resampling,
     "op4_suffix_decontamination": op4_suffix_decontamination,
     "op5_substring_superkmers": op5_substring_superkmers,
     "op6_wavelet_shards": op6_wavelet_shards,
