@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from perkflow.llm import (
     decontamination_suffix, importance_resampling, mixing, oracle_sql, outliers_mcd, simhash_bktree, substring_superkmers,
-    token_shards,
+    token_shards, toxicity_chain,
 )
 from perkflow.session import scratch_path
 
@@ -80,6 +80,12 @@ def op8_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability of each toxicity category and the verdict for every document."""
+    found = toxicity_chain.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select(F.col("row.doc_id").alias("doc_id"), *[f"p_{c}" for c in toxicity_chain.NAMES], "is_toxic")
+
+
 QUERIES: dict[str, Query] = {
     "op2_mixing": op2_mixing,
     "op3_importance_resampling": op3_importance_resampling,
@@ -88,6 +94,7 @@ QUERIES: dict[str, Query] = {
     "op6_wavelet_shards": op6_wavelet_shards,
     "op7_mcd_outliers": op7_mcd_outliers,
     "op8_simhash_bktree": op8_simhash_bktree,
+    "op10_toxicity_chain": op10_toxicity_chain,
 }
 
 ORACLE_SQL: dict[str, str] = {
