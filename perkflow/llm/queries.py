@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perkflow.llm import (
-    decontamination_suffix, importance_resampling, mixing, oracle_sql, outliers_mcd, simhash_bktree, substring_superkmers,
-    token_shards, toxicity_chain,
+    decontamination_suffix, importance_resampling, mixing, oracle_sql, outliers_mcd, pii_boosting, simhash_bktree,
+    substring_superkmers, token_shards, toxicity_chain,
 )
 from perkflow.session import scratch_path
 
@@ -25,6 +25,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pii_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    found = pii_boosting.find_spans(table(spark, sf_dir, "documents"))
+    counts = [pii_boosting.count_kind(F.col("base"), i).alias(f"n_{k}") for i, k in enumerate(pii_boosting.KINDS)]
+    every = F.array_sort(F.concat("base", "added"))
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"), *counts, F.sha2(pii_boosting.span_text(F.col("base")), 256).alias("base_sha256"),
+        pii_boosting.span_text(every).alias("spans"),
+    )
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Size, target and words taken of every document."""
     planned = mixing.plan_mix(table(spark, sf_dir, "documents"))
@@ -87,6 +98,7 @@ def op10_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_pii_boosting": op1_pii_boosting,
     "op2_mixing": op2_mixing,
     "op3_importance_resampling": op3_importance_resampling,
     "op4_suffix_decontamination": op4_suffix_decontamination,

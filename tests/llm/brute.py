@@ -86,3 +86,42 @@ def repeats(docs: list[tuple], window: int = 50) -> list[tuple]:
         kept = [x for x, g in zip(w, gone, strict=True) if not g]
         out.append((d, len(w), sum(gone), sha(" ".join(kept))))
     return out
+
+
+PII = (
+    ("email", re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")),
+    ("ip", re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")),
+    ("card", re.compile(r"[0-9]([\x20-]?[0-9])+")),
+    ("phone", re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")),
+)
+
+
+def luhn(number: str) -> bool:
+    total = 0
+    for i, c in enumerate(reversed(number)):
+        v = int(c) * (1 + i % 2)
+        total += v - 9 * (v > 9)
+    return total % 10 == 0
+
+
+def personal(text: str | None) -> list[tuple[int, int, int]]:
+    """Base spans as (start, kind, end), sorted."""
+    out = []
+    for kind, (name, pattern) in enumerate(PII):
+        for m in pattern.finditer(text or ""):
+            d = re.sub("[^0-9]", "", m[0])
+            ok = {
+                "email": lambda: True,
+                "ip": lambda m=m: all(int(p) <= 255 for p in m[0].split(".")),
+                "card": lambda d=d: 14 <= len(d) <= 19 and luhn(d),
+                "phone": lambda d=d: 10 <= len(d) <= 15,
+            }[name]()
+            if ok:
+                out.append((m.start(), kind, m.end()))
+    return sorted(out)
+
+
+def personal_row(doc_id, text) -> tuple:
+    spans = personal(text)
+    joined = ",".join(f"{PII[k][0]}:{a}:{b}" for a, k, b in spans)
+    return (doc_id, *[sum(k == i for _, k, _ in spans) for i in range(4)], sha(joined))
