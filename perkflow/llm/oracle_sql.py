@@ -80,3 +80,33 @@ WITH d AS (
 SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)
 """
+
+
+def license_scan(templates) -> str:
+    """Exact containment of every template in every window, without signatures."""
+    values = ", ".join("({}, '{}', '{}')".format(i, n, t.replace("'", "''")) for i, (n, t) in enumerate(templates))
+    pattern = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    return rf"""
+WITH t AS (
+  SELECT n, name, regexp_extract_all(lower(text), '{pattern}') AS w FROM (VALUES {values}) v(n, name, text)
+), ts AS (
+  SELECT DISTINCT n, name, array_to_string(w[k : k + 4], ' ') AS s FROM (SELECT n, name, w, unnest(range(1, len(w) - 3)) AS k FROM t)
+), sizes AS (
+  SELECT n, count(*) AS total, (2 ** ceil(log2(count(*))))::BIGINT AS l FROM ts GROUP BY n
+), d AS (
+  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '{pattern}') AS w FROM documents
+), ds AS (
+  SELECT doc_id, k - 1 AS i, array_to_string(w[k : k + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS k FROM d)
+), hits AS (
+  SELECT doc_id, n, name, total, l, s, unnest([i // l, i // l - 1]) AS k FROM ds JOIN ts USING (s) JOIN sizes USING (n)
+), shares AS (
+  SELECT doc_id, n, name, l, k, count(DISTINCT s) / total::DOUBLE AS c FROM hits WHERE k >= 0 GROUP BY doc_id, n, name, l, k, total
+), best AS (
+  SELECT * FROM shares WHERE c >= 0.8 QUALIFY c = max(c) OVER (PARTITION BY doc_id, l, k)
+), named AS (
+  SELECT doc_id, count(DISTINCT name) AS n_licenses, string_agg(DISTINCT name, ',' ORDER BY name) AS licenses, count(DISTINCT n) AS n_templates
+  FROM best GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_licenses, 0)::BIGINT AS n_licenses, coalesce(licenses, '') AS licenses, coalesce(n_templates, 0)::BIGINT AS n_templates
+FROM d LEFT JOIN named USING (doc_id)
+"""

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perkflow.llm import (
-    decontamination_suffix, importance_resampling, mixing, oracle_sql, outliers_mcd, pii_boosting, simhash_bktree,
+    decontamination_suffix, importance_resampling, license_scan, mixing, oracle_sql, outliers_mcd, pii_boosting, simhash_bktree,
     substring_superkmers, token_shards, toxicity_chain,
 )
 from perkflow.session import scratch_path
@@ -91,6 +91,15 @@ def op8_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in every document."""
+    found = license_scan.scan(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"), F.size("licenses").cast("long").alias("n_licenses"), F.concat_ws(",", "licenses").alias("licenses"),
+        F.size(F.array_distinct(F.transform("matches", lambda m: m["template"]))).cast("long").alias("n_templates"),
+    )
+
+
 def op10_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Probability of each toxicity category and the verdict for every document."""
     found = toxicity_chain.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -106,6 +115,7 @@ QUERIES: dict[str, Query] = {
     "op6_wavelet_shards": op6_wavelet_shards,
     "op7_mcd_outliers": op7_mcd_outliers,
     "op8_simhash_bktree": op8_simhash_bktree,
+    "op9_license_scan": op9_license_scan,
     "op10_toxicity_chain": op10_toxicity_chain,
 }
 
@@ -113,4 +123,5 @@ ORACLE_SQL: dict[str, str] = {
     "op2_mixing": oracle_sql.MIXING,
     "op4_suffix_decontamination": oracle_sql.SUFFIX_DECONTAMINATION,
     "op5_substring_superkmers": oracle_sql.SUBSTRING_DEDUP,
+    "op9_license_scan": oracle_sql.license_scan(license_scan.TEMPLATES),
 }
