@@ -155,32 +155,33 @@ def score(
     return scored.select("row", "log_ratio", (F.col("log_ratio") - F.log(-F.log(uniform))).alias("key"), "held_out")
 
 
-def gumbel_top_k(scored: DataFrame, k: int) -> DataFrame:
-    """``scored`` with ``selected``: the k largest keys (all rows that tie with the last of them)."""
-    return scored.withColumn("selected", F.col("key") >= F.lit(kth_largest(scored, "key", k)))
+def gumbel_top_k(scored: DataFrame, keys: DataFrame, k: int) -> DataFrame:
+    """``scored`` with ``selected``: the k largest of ``keys`` (all rows that tie with the last of them)."""
+    return scored.withColumn("selected", F.col("key") >= F.lit(kth_largest(keys, "key", k)))
 
 
-def calibrated_k(scored: DataFrame, recall: float = RECALL) -> int:
+def calibrated_k(keys: DataFrame, recall: float = RECALL) -> int:
     """Number of rows at or above the key that ``recall`` of the held-out target rows reach; all rows without any."""
-    held = scored.where("held_out")
+    held = keys.where("held_out")
     n = held.count()
     limit = kth_largest(held, "key", math.ceil(recall * n)) if n else -math.inf
-    return scored.where(F.col("key") >= F.lit(limit)).count()
+    return keys.where(F.col("key") >= F.lit(limit)).count()
 
 
-def select_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """Each row's ``doc_id``, ``log_ratio``, ``key`` and ``selected``.
+def select_quality(
+    docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int | None = None, **options
+) -> DataFrame:
+    """Each row of ``docs`` as ``row`` with ``log_ratio``, ``key`` and ``selected``; ``k`` None: calibrated.
 
-    Scores are written once; k and the selection read them. An empty table
-    gives an empty result; repeated rows are selected together.
+    The keys alone are written, for k and its limit; the rows are scored again
+    when they are read, which gives the same keys. An empty table gives an
+    empty result; repeated rows are selected together.
     """
-    scored = score(docs.select(doc_id, text), labels, doc_id, text, **options)
-    small = scored.select(F.col(f"row.{doc_id}").alias(doc_id), "log_ratio", "key", "held_out")
-    small = materialise(small, "scores")
-    return gumbel_top_k(small, calibrated_k(small)).drop("held_out")
+    scored = score(docs, labels, doc_id, text, **options)
+    keys = materialise(scored.select("key", "held_out"), "keys")
+    return gumbel_top_k(scored, keys, calibrated_k(keys) if k is None else k).drop("held_out")
 
 
 def keep_selected(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The documents that resampling selects, all columns kept."""
-    scored = materialise(score(docs, labels, **options), "scored")
-    return gumbel_top_k(scored, calibrated_k(scored)).where("selected").select("row.*")
+    return select_quality(docs, labels, **options).where("selected").select("row.*")

@@ -45,7 +45,8 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log ratio, sampling key and selection of every document."""
-    return importance_resampling.select_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    found = importance_resampling.select_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select(F.col("row.doc_id").alias("doc_id"), "log_ratio", "key", "selected")
 
 
 def op4_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,16 +66,15 @@ def op5_substring_superkmers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place, length and checksum of every document's ids, read back from the files."""
-    path = write_tokens(spark, table(spark, sf_dir, "documents"))
-    found = token_shards.read_documents(spark, path)
-    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    return token_digests(spark, table(spark, sf_dir, "documents"))
 
 
-def write_tokens(spark: SparkSession, docs: DataFrame) -> str:
-    """Token shards of ``docs`` in a fresh folder of the shared work folder."""
+def token_digests(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """Write the token shards of ``docs`` to a fresh folder of the shared work folder and read them back."""
     path = scratch_path(spark, "token-shards")
     token_shards.write_shards(docs, path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
-    return path
+    found = token_shards.read_documents(spark, path)
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
 def op7_mcd_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
