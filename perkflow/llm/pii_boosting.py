@@ -146,7 +146,7 @@ def features(span: Column) -> list[Column]:
         is_(F.call_function("luhn_check", digits(span))), is_(text.rlike(r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})(?:\.|$)){4}$")),
         is_(text.startswith("+")), is_(text.contains("(")), is_(before.rlike(r"[A-Za-z0-9]$")), is_(after.rlike(r"^[A-Za-z0-9]")),
         is_(before.rlike("[\"'=]$")), F.length(F.regexp_replace(F.concat(before, after), "[^0-9]", "")).cast("double"),
-        is_(before.rlike(_WORDS)), F.coalesce(F.left(digits(span), F.lit(1)).cast("double"), F.lit(-1.0)),
+        is_(before.rlike(_WORDS)), F.coalesce(F.left(digits(span), F.lit(1)).try_cast("double"), F.lit(-1.0)),
     ]
 
 
