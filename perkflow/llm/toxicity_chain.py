@@ -9,8 +9,9 @@ The labels hold one flag, ``toxic``. It is the last category. The categories
 before it are finer and weakly labelled: a toxic row that uses one of the
 category's seed words.
 
-Features are rates per hundred words of hashed words and word beginnings
-(four to eight bytes), so inflected and compound forms count. The chain is
+Features are rates per hundred words (capped, square roots) of hashed words
+and word beginnings (four to eight bytes), so inflected and compound forms
+count. The chain is
 fitted on the driver with at most ``LABELLED`` labelled rows and ``FEATURES``
 features; every document is scored, in whole, by the executors.
 """
@@ -35,8 +36,12 @@ PREFIXES = (4, 5, 6, 7, 8)
 LABELLED = 12_000
 #: Features kept, by the strength of their difference between the classes.
 FEATURES = 256
+#: Toxic training rows that must show a feature.
+MIN_ROWS = 8
+#: Largest rate per hundred words that counts.
+MOST = 2.0
 FOLDS = 5
-RIDGE = 1.0
+RIDGE = 3.0
 SEED = 23
 
 #: Fixed seed words of the finer categories.
@@ -88,7 +93,7 @@ class Chain(NamedTuple):
         known = at >= 0
         k = len(self.scale)
         counts = np.bincount(row[known] * k + at[known], minlength=len(words) * k).reshape(len(words), k)
-        return 100 * counts / np.maximum(words, 1)[:, None] / self.scale
+        return np.sqrt(np.minimum(100 * counts / np.maximum(words, 1)[:, None], MOST) / self.scale)
 
     def predict(self, x: np.ndarray) -> np.ndarray:
         """Probability of each category, earlier ones feeding later ones."""
@@ -156,13 +161,14 @@ def _choose(training: DataFrame, features: int) -> tuple[np.ndarray, np.ndarray]
     """(feature of each bucket, scale of each feature): the buckets whose rates differ most between the classes."""
 
     def run(batches):
-        sums = np.zeros((4, BUCKETS))
+        sums = np.zeros((5, BUCKETS))
 
         def one(piece: pa.RecordBatch) -> None:
             row, bucket, words = feature_hits(piece.column("t"))
             toxic = piece.column("y").to_numpy() > 0
             key, count = np.unique(row * BUCKETS + bucket, return_counts=True)
-            rate = 100 * count / np.maximum(words, 1)[key // BUCKETS]
+            rate = np.minimum(100 * count / np.maximum(words, 1)[key // BUCKETS], MOST)
+            sums[4] += np.bincount(key[toxic[key // BUCKETS]] % BUCKETS, minlength=BUCKETS)
             for y in (0, 1):
                 mine = toxic[key // BUCKETS] == y
                 at = key[mine] % BUCKETS
@@ -172,12 +178,12 @@ def _choose(training: DataFrame, features: int) -> tuple[np.ndarray, np.ndarray]
         for _ in by_piece("t", one)(batches):
             pass
         used = np.flatnonzero(sums[[1, 3]].sum(axis=0))
-        yield pa.RecordBatch.from_arrays([pa.array(used), *[pa.array(s[used]) for s in sums]], names=["bucket", "a", "aa", "b", "bb"])
+        yield pa.RecordBatch.from_arrays([pa.array(used), *[pa.array(s[used]) for s in sums]], names=["bucket", "a", "aa", "b", "bb", "n"])
 
     n = dict(training.groupBy("y").count().collect())
     n0, n1 = max(n.get(0, 0), 1), max(n.get(1, 0), 1)
-    sums = training.mapInArrow(run, "bucket long, a double, aa double, b double, bb double").groupBy("bucket")
-    sums = sums.agg(*[F.sum(c).alias(c) for c in ("a", "aa", "b", "bb")])
+    sums = training.mapInArrow(run, "bucket long, a double, aa double, b double, bb double, n double").groupBy("bucket")
+    sums = sums.agg(*[F.sum(c).alias(c) for c in ("a", "aa", "b", "bb", "n")]).where(F.col("n") >= MIN_ROWS)
     var = lambda s, ss, k: F.greatest(F.col(ss) / k - F.pow(F.col(s) / k, 2), F.lit(0.0)) / k
     gap = F.col("b") / n1 - F.col("a") / n0
     strength = F.abs(gap) / F.sqrt(var("a", "aa", n0) + var("b", "bb", n1) + 1e-6)

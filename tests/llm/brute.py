@@ -125,3 +125,45 @@ def personal_row(doc_id, text) -> tuple:
     spans = personal(text)
     joined = ",".join(f"{PII[k][0]}:{a}:{b}" for a, k, b in spans)
     return (doc_id, *[sum(k == i for _, k, _ in spans) for i in range(4)], sha(joined))
+
+
+def size(text: str | None) -> int:
+    return len(SPACED.findall(text or ""))
+
+
+def quality_counts(text: str | None) -> tuple:
+    """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed)."""
+    text = text or ""
+    w = SPACED.findall(text)
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if SPACED.search(line):
+            dup += line in seen
+            seen.add(line)
+    count: dict[tuple, int] = defaultdict(int)
+    for i in range(len(w) - 7):
+        count[tuple(w[i : i + 8])] += 1
+    hit = [False] * len(w)
+    for i in range(len(w) - 7):
+        if count[tuple(w[i : i + 8])] > 1:
+            hit[i : i + 8] = [True] * 8
+    n = sum(hit)
+    return (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), dup, n, len(w) < 20 or 100 * n > 30 * len(w))
+
+
+def targets(rows: list[tuple], weights=(5, 2, 1), most=3) -> dict:
+    """source -> target: the excess over the limit is shared again until none is above."""
+    sizes: dict = defaultdict(int)
+    for s, n in rows:
+        sizes[s] += n
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    total, stopped = sum(sizes.values()), set()
+    while True:
+        left = total - sum(most * sizes[s] for s in stopped)
+        over = sum(weight[s] for s in order if s not in stopped)
+        out = {s: most * sizes[s] if s in stopped else weight[s] * left / over for s in order}
+        more = {s for s in order if s not in stopped and out[s] > most * sizes[s]}
+        if not more:
+            return out
+        stopped |= more
