@@ -10,13 +10,23 @@ from pyspark.sql import functions as F
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order_by: str) -> DataFrame:
     """One row per key: the one with the smallest ``order_by`` (first inserted
-    wins). ``min_by`` aggregates partially before the shuffle (skew safe)."""
+    wins; a NULL comes first, ties go to the smallest row content, so the
+    winner does not depend on partitioning). A NULL key is no key: such rows
+    are left out, see :func:`without_key`. ``min`` of a struct aggregates
+    partially before the shuffle (skew safe)."""
     others = [c for c in df.columns if c not in keys]
-    return df.groupBy(*keys).agg(F.min_by(F.struct(*others), F.col(order_by)).alias("_r")).select(*keys, "_r.*")
+    known = df.where(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)))
+    first = F.min(F.struct(F.col(order_by).alias("_order"), F.struct(*others).alias("_r"))).alias("_first")
+    return known.groupBy(*keys).agg(first).select(*keys, "_first._r.*")
+
+
+def without_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key has a NULL part: no table with that primary key takes them."""
+    return df.where(F.expr(" OR ".join(f"`{k}` IS NULL" for k in keys)))
 
 
 def rows_to_insert(existing: DataFrame, new: DataFrame, keys: Sequence[str], order_by: str) -> DataFrame:
-    """New rows whose key is not in ``existing``, one per key."""
+    """New rows whose key is not in ``existing``, one per key (none for a NULL key)."""
     return first_per_key(new, keys, order_by).join(existing.select(*keys), list(keys), "left_anti")
 
 

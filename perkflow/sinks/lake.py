@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources import folders
+
 
 def _value_text(value) -> str:
     return value.isoformat() if isinstance(value, dt.date) else str(value)
@@ -16,10 +19,13 @@ def _value_text(value) -> str:
 def replace_partition(df: DataFrame, path: str, part_col: str, value, fmt: str = "parquet") -> None:
     """Idempotent write of one partition: replaces exactly ``part_col = value``.
 
-    Every row must belong to that partition; a foreign row fails the job
-    before anything is committed. An empty frame leaves the partition empty.
-    Delta uses ``replaceWhere`` (atomic). Plain parquet overwrites the
-    partition folder (other partitions untouched; not atomic).
+    Every row must belong to that partition; a foreign row fails the job.
+    An empty frame leaves the partition empty. Delta uses ``replaceWhere``
+    (atomic). Otherwise the rows are written to a hidden folder beside the
+    partition, which no reader lists, and swapped in by two renames once the
+    whole write has succeeded: a job that fails leaves the old rows, and one
+    that dies between the renames is put right by the next call (or
+    :func:`recover_partition`). Other partitions are untouched.
     """
     text = _value_text(value)
     checked = df.filter(
@@ -36,7 +42,43 @@ def replace_partition(df: DataFrame, path: str, part_col: str, value, fmt: str =
             .save(path)
         )
         return
-    checked.drop(part_col).write.format(fmt).mode("overwrite").save(f"{path.rstrip('/')}/{part_col}={text}")
+    spark, base, name = df.sparkSession, path.rstrip("/"), f"{part_col}={text}"
+    recover_partition(spark, base, part_col, value)
+    staged = f"{base}/.staging-{name}-{uuid.uuid4().hex[:12]}"
+    try:
+        checked.drop(part_col).write.format(fmt).save(staged)
+        _swap(spark, staged, f"{base}/{name}", f"{base}/.replaced-{name}")
+    except BaseException:
+        folders.remove(spark, staged)
+        raise
+
+
+def _swap(spark: SparkSession, staged: str, target: str, replaced: str) -> None:
+    """Put ``staged`` in place of ``target``; if that fails, the old folder goes back."""
+    old = folders.exists(spark, target)
+    if old:
+        folders.rename(spark, target, replaced)
+    try:
+        folders.rename(spark, staged, target)
+    except BaseException:
+        if old:
+            folders.rename(spark, replaced, target)
+        raise
+    if old:
+        folders.remove(spark, replaced)
+
+
+def recover_partition(spark: SparkSession, path: str, part_col: str, value) -> None:
+    """After a replace that died: the old rows go back if the new ones are not in place; left-overs go."""
+    base, name = path.rstrip("/"), f"{part_col}={_value_text(value)}"
+    target, replaced = f"{base}/{name}", f"{base}/.replaced-{name}"
+    if folders.exists(spark, replaced):
+        if folders.exists(spark, target):
+            folders.remove(spark, replaced)
+        else:
+            folders.rename(spark, replaced, target)
+    for left in folders.child_folders(spark, base, f".staging-{name}-"):
+        folders.remove(spark, f"{base}/{left}")
 
 
 def write_partitioned(df: DataFrame, path: str, part_col: str, fmt: str = "parquet",

@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import folders
+
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).load(path)
@@ -23,10 +25,15 @@ def snapshot_as_of(spark: SparkSession, path: str, as_of: dt.date, part_col: str
                    fmt: str = "parquet") -> DataFrame:
     """The newest snapshot dated on or before ``as_of`` ("time travel" by partition).
 
-    The newest date is a scalar subquery that reads only the partition column;
-    the outer filter on it is applied as a runtime partition filter.
+    For plain files the newest date comes from the partition folder names, so
+    the plan lists and reads that one folder; an emptied day counts as a
+    snapshot. Delta keeps its own list of files, so there the date is a scalar
+    subquery over it. No snapshot that old: no rows.
     """
     t = read_table(spark, path, fmt)
+    if fmt != "delta":
+        days = [d for d in folders.values_below(spark, path, part_col) if d <= as_of.isoformat()]
+        return t.filter(F.col(part_col) == F.lit(dt.date.fromisoformat(max(days)))) if days else t.filter(F.lit(False))
     newest = t.filter(F.col(part_col) <= F.lit(as_of)).select(F.max(part_col)).scalar()
     return t.filter(F.col(part_col) == newest)
 

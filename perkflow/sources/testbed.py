@@ -22,7 +22,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import TRANSPORT_MODES
-from .spread import spread_if_narrow
 
 # Test-data mapping of event types onto sports. Tennis takes the generic
 # "faire" wording, Escalade starts with a vowel (elision), Yoga and Escalade
@@ -200,7 +199,7 @@ def cdc_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     Every 89th message lacks the employee, every 97th the sport, every 101st
     is not JSON at all. Timestamps travel as epoch milliseconds.
     """
-    return cdc_messages_from_activities(activities_from_events(spread_if_narrow(table(spark, sf_dir, "events"))))
+    return cdc_messages_from_activities(activities(spark, sf_dir))
 
 
 def cdc_messages_from_activities(a: DataFrame) -> DataFrame:
@@ -242,16 +241,18 @@ def employee_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Employee change envelopes (before/after/op/source) as JSON text.
 
     Key = user_id, LSN = event_id, so every employee changes many times and
-    the last change is sometimes a delete.
+    the last change is sometimes a delete. Every 103rd event is a truncate,
+    every 107th an envelope without images: neither has a key.
     """
-    return envelopes_from_events(spread_if_narrow(table(spark, sf_dir, "events")))
+    return envelopes_from_events(table(spark, sf_dir, "events"))
 
 
 def envelopes_from_events(e: DataFrame) -> DataFrame:
     """Row-wise mapping events -> employee change envelopes (also on a stream)."""
     eid = F.col("event_id")
     op = change_op(eid)
-    image = F.struct(*employee_image_cols(e))
+    op = F.when(eid % 103 == 0, F.lit("t")).otherwise(op)
+    image = F.when((eid % 103 != 0) & (eid % 107 != 0), F.struct(*employee_image_cols(e)))
     env = F.struct(
         F.when(op.isin("u", "d"), image).alias("before"),
         F.when(op != "d", image).alias("after"),
@@ -266,14 +267,15 @@ def distance_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored distance-service replies, one per nation address.
 
     nationkey % 10: 9 -> element NOT_FOUND, 8 -> REQUEST_DENIED, 7 -> not JSON,
-    6 -> no reply (no key), 5 -> empty rows; otherwise OK with nationkey*1250 m.
+    6 -> no reply (no key), 5 -> empty rows; otherwise OK with nationkey*1250 m,
+    and 5 m more for nation 20: 25,005 m, which is 25.0 km as the bonus counts.
     """
     n = table(spark, sf_dir, "nation")
     k = F.col("n_nationkey")
     d = k % 10
     ok = F.concat(
         F.lit('{"status":"OK","rows":[{"elements":[{"status":"OK","distance":{"value":'),
-        (k * 1250).cast("string"),
+        (k * 1250 + F.when(k == 20, 5).otherwise(0)).cast("string"),
         F.lit("}}]}]}"),
     )
     reply = (

@@ -6,12 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from perkflow.sinks import jdbc as jdbc_sink
-from perkflow.sinks.keys import insert_ignore, rows_to_insert
-from perkflow.sinks.lake import replace_partition, write_counted, write_partitioned
+from perkflow.sinks.keys import first_per_key, insert_ignore, rows_to_insert, without_key
+from perkflow.sinks.lake import recover_partition, replace_partition, write_counted, write_partitioned
 from perkflow.sinks.outbox import write_outbox
 from perkflow.sources import jdbc as jdbc_src
-from perkflow.sources import lake
-from perkflow.sources.hr_extract import normalize_hr_extract, read_hr_extract
+from perkflow.sources import folders, lake
+from perkflow.sources.hr_extract import POSITION, checked_hr_extract, normalize_hr_extract, read_hr_extract
 
 D1, D2, D3 = dt.date(2024, 1, 1), dt.date(2024, 1, 2), dt.date(2024, 1, 3)
 
@@ -34,6 +34,54 @@ def test_replace_partition(spark, scratch):
     assert sorted(r.id for r in lake.read_table(spark, scratch).collect()) == [1]
 
 
+def _ids(spark, path):
+    return sorted(r.id for r in lake.read_table(spark, path).collect())
+
+
+def test_failed_replace_keeps_the_old_rows(spark, scratch):
+    write_partitioned(_days(spark, [(1, "a", D1), (2, "b", D2), (3, "c", D2)]), scratch, "extract_date")
+    foreign = _days(spark, [(7, "x", D2), (9, "y", D3)])
+    with pytest.raises(Exception, match="row outside partition"):
+        replace_partition(foreign, scratch, "extract_date", D2)
+    assert _ids(spark, scratch) == [1, 2, 3]
+    half = spark.range(4000, numPartitions=8).select(
+        F.when(F.col("id") == 3900, F.raise_error(F.lit("bad row"))).otherwise(F.col("id")).cast("long").alias("id"),
+        F.lit("z").alias("v"), F.lit(D2).alias("extract_date"),
+    )
+    with pytest.raises(Exception, match="bad row"):
+        replace_partition(half, scratch, "extract_date", D2)
+    assert _ids(spark, scratch) == [1, 2, 3]
+    replace_partition(_days(spark, [(5, "n", D2)]), scratch, "extract_date", D2)  # rerun after the failures
+    assert _ids(spark, scratch) == [1, 5]
+    assert not [n for n in folders.child_folders(spark, scratch) if n.startswith(".")]
+
+
+def test_replace_that_died_between_the_renames(spark, scratch):
+    write_partitioned(_days(spark, [(1, "a", D1), (2, "b", D2)]), scratch, "extract_date")
+    name = f"extract_date={D2.isoformat()}"
+    folders.rename(spark, f"{scratch}/{name}", f"{scratch}/.replaced-{name}")  # died here
+    _days(spark, [(8, "s", D2)]).drop("extract_date").write.parquet(f"{scratch}/.staging-{name}-0123456789ab")
+    assert _ids(spark, scratch) == [1]  # readers ignore the hidden folders
+    recover_partition(spark, scratch, "extract_date", D2)
+    assert _ids(spark, scratch) == [1, 2]
+    assert not [n for n in folders.child_folders(spark, scratch) if n.startswith(".")]
+
+
+def test_swap_that_cannot_rename_puts_the_old_rows_back(spark, scratch, monkeypatch):
+    write_partitioned(_days(spark, [(1, "a", D2)]), scratch, "extract_date")
+    real = folders.rename
+
+    def no_new(spark, path, to):
+        if "/.staging-" in path:
+            raise OSError("disk full")
+        real(spark, path, to)
+
+    monkeypatch.setattr(folders, "rename", no_new)
+    with pytest.raises(OSError, match="disk full"):
+        replace_partition(_days(spark, [(2, "b", D2)]), scratch, "extract_date", D2)
+    assert _ids(spark, scratch) == [1]
+
+
 def test_snapshot_scan_prunes_and_as_of(spark, scratch):
     write_partitioned(_days(spark, [(1, "a", D1), (2, "b", D1), (3, "c", D3)]), scratch, "extract_date")
     s = lake.snapshot_scan(spark, scratch, D1)
@@ -42,6 +90,7 @@ def test_snapshot_scan_prunes_and_as_of(spark, scratch):
     assert "PartitionFilters: [isnotnull(extract_date" in plan
     assert sorted(r.id for r in lake.snapshot_as_of(spark, scratch, D2).collect()) == [1, 2]
     assert sorted(r.id for r in lake.snapshot_as_of(spark, scratch, D3).collect()) == [3]
+    assert lake.snapshot_as_of(spark, scratch, dt.date(2023, 1, 1)).collect() == []
 
 
 def test_write_counted_and_outbox_replay(spark, scratch):
@@ -181,3 +230,71 @@ def test_hr_extract_french_export(spark, tmp_path):
     assert (r.employee_id, r.gross_salary, r.home_address, r.transport_mode) == (
         7, 45000.5, "3 rue C, Lattes", "Vélo/Trottinette/Autres")
     assert (r.birth_date, r.hire_date) == (dt.date(1985, 7, 14), dt.date(2019, 9, 1))
+
+
+HEADERS = ["Moyen de déplacement", "Prénom", "ID salarié", "Nom", "Remarque", "Date de naissance", "BU", "Date d'embauche",
+           "Salaire brut", "Type de contrat", "Nombre de jours de CP", "Adresse du domicile"]
+
+
+def _hr_line(i, last="Dupont"):
+    return f"Marche/running,Alice,{i},{last},-,1990-05-01,Finance,2020-03-02,45000.5,CDI,25,1 rue A"
+
+
+def test_hr_columns_by_name(spark, tmp_path):
+    path = tmp_path / "rh.csv"
+    path.write_text("\n".join([",".join(HEADERS), _hr_line(7)]) + "\n", encoding="utf-8")
+    r = normalize_hr_extract(read_hr_extract(spark, str(path))).first()
+    assert (r.employee_id, r.first_name, r.last_name, r.gross_salary) == (7, "Alice", "Dupont", 45000.5)
+    path.write_text("ID salarié,Nom\n7,Dupont\n", encoding="utf-8")
+    with pytest.raises(ValueError, match="Prénom"):
+        read_hr_extract(spark, str(path))
+
+
+def test_hr_files_must_share_one_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("\n".join([",".join(HEADERS), _hr_line(7)]) + "\n", encoding="utf-8")
+    (tmp_path / "b.csv").write_text("\n".join([",".join(reversed(HEADERS)), _hr_line(8)]) + "\n", encoding="utf-8")
+    with pytest.raises(Exception, match="(?i)header"):
+        normalize_hr_extract(read_hr_extract(spark, str(tmp_path))).collect()
+
+
+@pytest.mark.parametrize("split", ["128m", "300b"])
+def test_first_row_in_the_file_wins(spark, tmp_path, split):
+    """Whatever the splits and partitions; bad rows are rejected with a reason."""
+    path = tmp_path / "rh.csv"
+    lines = [_hr_line(i % 40, f"N{i:04d}") for i in range(400)] + [_hr_line("x"), _hr_line(""), _hr_line(99).replace("1990-05-01", "soon")]
+    path.write_text("\n".join([",".join(HEADERS), *lines]) + "\n", encoding="utf-8")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        good, rejected = checked_hr_extract(read_hr_extract(spark, str(path)))
+        first = first_per_key(good.repartition(5), ["employee_id"], POSITION)
+        assert {r.employee_id: r.last_name for r in first.collect()} == {i: f"N{i:04d}" for i in range(40)}
+        reasons = sorted(r.reason for r in rejected.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert reasons == ["missing or unreadable: birth_date"] + ["missing or unreadable: employee_id"] * 2
+
+
+def test_first_per_key_ties_and_null_keys(spark):
+    rows = [(1, "C", 1), (1, "D", 1), (1, "B", None), (None, "x", 1), (None, "y", 2)]
+    df = spark.createDataFrame(rows, "k long, v string, o int")
+    for parts in (1, 4):
+        assert [tuple(r) for r in first_per_key(df.repartition(parts), ["k"], "o").collect()] == [(1, "B", None)]
+        tied = first_per_key(df.where("o = 1").repartition(parts), ["k"], "o").collect()
+        assert [tuple(r) for r in tied] == [(1, "C", 1)]
+    assert sorted(r.v for r in without_key(df, ["k"]).collect()) == ["x", "y"]
+
+
+def test_broken_deliveries_table_sends_nothing(spark, scratch):
+    from perkflow.sinks.outbox import deliver
+
+    write_outbox(spark.createDataFrame([(1, "b")], "activity_id long, body string"), scratch + "/outbox", 0)
+    spark.createDataFrame([(1, 0)], "other long, batch_id long").write.partitionBy("batch_id").parquet(scratch + "/deliveries")
+
+    def send(bodies):
+        raise AssertionError("must not be called")
+
+    for batch in (None, 0):
+        with pytest.raises(Exception, match="(?i)delivered"):
+            deliver(spark, scratch + "/outbox", scratch + "/deliveries", send, batch_id=batch)
+    assert spark.read.parquet(scratch + "/deliveries").columns == ["other", "batch_id"]
