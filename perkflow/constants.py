@@ -23,16 +23,6 @@ BUSINESS_UNITS = ["Finance", "Support", "Ventes", "Marketing", "R&D"]
 
 # --- fixed values: activities ----------------------------------------------
 ACTIVITY_SOURCES = ["historical", "live"]
-SPORTS = [
-    "Course à pied",
-    "Vélo",
-    "Marche",
-    "Randonnée",
-    "Natation",
-    "Yoga",
-    "Fitness",
-    "Escalade",
-]
 
 # --- fixed values: notification wording ------------------------------------
 SPORT_EMOJI = {

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import DISTANCE_ERROR, DISTANCE_NO_KEY, DISTANCE_NOT_FOUND, DISTANCE_OK
@@ -39,14 +39,19 @@ def distance_status(reply: Column, parsed: Column) -> Column:
 
 
 def distance_km(status: Column, parsed: Column) -> Column:
-    """Kilometres (half up, 2 decimals) when the status is ok, else NULL."""
+    """Kilometres (2 decimals) when the status is ok, else NULL."""
     metres = _first_element(parsed).getField("distance").getField("value")
     return F.when(status == DISTANCE_OK, metres_to_km_2dp(metres))
 
 
-def decode_reply(reply: Column) -> tuple[Column, Column]:
-    """(km, status) straight from the text. Prefer parsing once into a column
-    and calling :func:`distance_status` / :func:`distance_km` on it."""
-    parsed = parse_reply(reply)
-    status = distance_status(reply, parsed)
-    return distance_km(status, parsed), status
+def decode_replies(replies: DataFrame, reply: str = "reply") -> DataFrame:
+    """``replies`` plus ``home_to_office_km`` and ``distance_check_status``.
+
+    The parsed reply leaves a one-element generator before the status and the
+    kilometres are taken from it, so the text is parsed once per row (a plain
+    projection would be merged and parse once per use).
+    """
+    parsed = replies.select("*", F.inline(F.array(F.struct(parse_reply(F.col(reply)).alias("_parsed")))))
+    status = distance_status(F.col(reply), F.col("_parsed"))
+    marked = parsed.withColumn("distance_check_status", status)
+    return marked.withColumn("home_to_office_km", distance_km(F.col("distance_check_status"), F.col("_parsed"))).drop("_parsed")

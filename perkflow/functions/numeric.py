@@ -16,5 +16,11 @@ def round_half_up(c: Column, scale: int = 2) -> Column:
 
 
 def metres_to_km_2dp(metres: Column) -> Column:
-    """Whole metres -> km rounded half up to 2 decimals, exact decimal arithmetic."""
-    return F.round(metres.cast("decimal(20,0)") / F.lit(1000), 2).cast("double")
+    """Whole metres -> km with 2 decimals, rounding the binary quotient as printf does.
+
+    The pay threshold is compared with this value: 25,005 m is 25.0 km (the
+    quotient lies just below the tie), 15,015 m is 15.02 or 15.01 as its
+    quotient says. A decimal half-up rounding differs for one metre value in
+    twenty.
+    """
+    return F.call_function("format_number", metres / F.lit(1000.0), F.lit("0.00")).cast("double")

@@ -21,10 +21,6 @@ def completed_years(as_of: dt.date | Column, since: Column | str) -> Column:
     return F.floor(F.months_between(ref, d) / 12)
 
 
-def trimmed(c: Column | str) -> Column:
-    return F.trim(F.col(c) if isinstance(c, str) else c)
-
-
 def to_int_or_null(c: Column) -> Column:
     """String -> int; anything unparsable becomes NULL instead of failing the job."""
     return c.try_cast("int")

@@ -84,11 +84,31 @@ def current_state(
     return out.withColumn("updated_at", millis_to_timestamp(F.col("__source_ts_ms")))
 
 
+def keyed(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Changes of a known row: every key column is set."""
+    return changes.where(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)))
+
+
+def keyless(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Dead letters of a change log: truncates, envelopes without an image, text that is no envelope.
+
+    ``__op, __source_ts_ms, __source_lsn, reason``; on a batch or a stream.
+    """
+    reason = (
+        F.when(F.col("__op").isNull(), F.lit("not a change envelope"))
+        .when(F.col("__op") == "t", F.lit("truncate"))
+        .otherwise(F.lit("no key in the row image"))
+    )
+    lost = changes.where(F.expr(" OR ".join(f"`{k}` IS NULL" for k in keys)))
+    return lost.select("__op", "__source_ts_ms", "__source_lsn", reason.alias("reason"))
+
+
 def latest_change_struct(changes: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """``keys, _latest``: the latest change per key as one struct column.
-    Valid on a stream too (a stateful streaming aggregation)."""
+    Valid on a stream too (a stateful streaming aggregation). Changes without
+    a key take no part (see :func:`keyless`)."""
     values = [c for c in changes.columns if c not in keys]
-    return changes.groupBy(*keys).agg(
+    return keyed(changes, keys).groupBy(*keys).agg(
         F.max_by(F.struct(*values), F.struct(*[F.col(c) for c in order])).alias("_latest")
     )
 

@@ -12,6 +12,7 @@ from ..constants import BIKE_MODE, DEFAULT_PARAMETERS, LOOKBACK_DAYS, WALK_MODE
 from ..functions.numeric import round_half_up
 from .parameters import parameter_columns
 
+# Columns of the eligibility table, in its order.
 GOLD_COLUMNS = [
     "snapshot_date",
     "employee_id",

@@ -21,7 +21,8 @@ from typing import Protocol
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.distance import distance_km, distance_status, parse_reply
+from ..constants import DISTANCE_ERROR
+from ..functions.distance import decode_replies
 
 RESOLVED_COLUMNS = ["home_address", "home_to_office_km", "distance_check_status"]
 
@@ -35,22 +36,25 @@ class DistanceProvider(Protocol):
 
 
 class StoredReplies:
-    """Replies kept in a table ``home_address, reply`` (one row per address);
-    an address without a row gets no reply."""
+    """Replies kept in a table ``home_address, reply`` (one row per address).
+    An address without a row gets an empty reply (status ``error``): the
+    service is there, it only has no answer."""
 
     def __init__(self, replies: DataFrame):
         self.replies = replies.select("home_address", "reply")
 
     def lookup(self, addresses: DataFrame) -> DataFrame:
-        return addresses.join(self.replies, "home_address", "left")
+        known = self.replies.withColumn("_listed", F.lit(True))
+        found = addresses.join(known, "home_address", "left")
+        return found.select("home_address", F.when(F.col("_listed"), F.col("reply")).otherwise(F.lit("")).alias("reply"))
 
 
 class CallbackProvider:
     """Calls ``fetch(addresses) -> replies`` (JSON text or None per address) on the executors.
 
     A failing batch call is retried address by address; an address whose call
-    still fails gets an empty reply, which decodes to status ``error`` — one
-    bad call never fails the run. ``max_callers`` caps how many tasks call
+    still fails, or is answered with None, gets an empty reply, which decodes
+    to status ``error`` — one bad call never fails the run. ``max_callers`` caps how many tasks call
     the service at the same time (rate-limited APIs).
     """
 
@@ -78,7 +82,7 @@ class CallbackProvider:
                     replies = list(fetch(addr)) if addr else []
                 except Exception:  # noqa: BLE001
                     replies = [one(a) for a in addr]
-                yield pd.DataFrame({"home_address": addr, "reply": replies})
+                yield pd.DataFrame({"home_address": addr, "reply": [r or "" for r in replies]})
 
         return addresses.mapInPandas(call, "home_address string, reply string")
 
@@ -91,17 +95,11 @@ class NoKeyProvider:
 
 
 def resolve_addresses(addresses: DataFrame, provider: DistanceProvider, cache: DataFrame | None = None) -> DataFrame:
-    """``home_address, home_to_office_km, distance_check_status`` for each distinct address."""
-    todo = addresses.select("home_address").distinct()
+    """``home_address, home_to_office_km, distance_check_status`` for each distinct non-null address."""
+    todo = addresses.select("home_address").where("home_address IS NOT NULL").distinct()
     if cache is not None:
         todo = todo.join(cache.select("home_address"), "home_address", "left_anti")
-    replies = provider.lookup(todo).select("home_address", "reply", parse_reply(F.col("reply")).alias("_parsed"))
-    with_status = replies.withColumn("distance_check_status", distance_status(F.col("reply"), F.col("_parsed")))
-    fresh = with_status.select(
-        "home_address",
-        distance_km(F.col("distance_check_status"), F.col("_parsed")).alias("home_to_office_km"),
-        "distance_check_status",
-    )
+    fresh = decode_replies(provider.lookup(todo).select("home_address", "reply")).select(*RESOLVED_COLUMNS)
     if cache is None:
         return fresh
     return fresh.unionByName(cache.select(*RESOLVED_COLUMNS))
@@ -109,5 +107,10 @@ def resolve_addresses(addresses: DataFrame, provider: DistanceProvider, cache: D
 
 def enrich_distances(employees: DataFrame, provider: DistanceProvider, cache: DataFrame | None = None) -> DataFrame:
     """Employees plus ``home_to_office_km`` and ``distance_check_status``."""
-    resolved = resolve_addresses(employees, provider, cache)
-    return employees.join(resolved, "home_address", "left")
+    return with_distances(employees, resolve_addresses(employees, provider, cache))
+
+
+def with_distances(employees: DataFrame, resolved: DataFrame) -> DataFrame:
+    """Employees joined to resolved addresses; without an address the status is ``error``."""
+    joined = employees.join(resolved.select(*RESOLVED_COLUMNS), "home_address", "left")
+    return joined.withColumn("distance_check_status", F.coalesce("distance_check_status", F.lit(DISTANCE_ERROR)))

@@ -26,8 +26,8 @@ def program_kpis(gold: DataFrame) -> DataFrame:
         F.sum("activities_count_12m").alias("activities"),
     )
     def share(part: str, whole: str):
-        """``part`` as a percentage of ``whole``, rounded to cents."""
-        return round_half_up(F.col(part).cast("double") * F.lit(100.0) / F.col(whole).cast("double"))
+        """``part`` as a percentage of ``whole``, rounded to cents; NULL over nothing."""
+        return round_half_up(F.try_divide(F.col(part).cast("double") * F.lit(100.0), F.col(whole).cast("double")))
 
     return agg.select(
         "employees",

@@ -143,5 +143,15 @@ def null_counts(df: DataFrame, columns: Sequence[str], table: str) -> DataFrame:
 
 
 def orphans(child: DataFrame, parent: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Foreign-key check: child rows whose key has no parent (left anti join)."""
-    return child.join(parent.select(*keys), list(keys), "left_anti")
+    """Foreign-key check: child rows whose key has no parent (left anti join).
+    As in SQL, a key with a NULL part passes."""
+    known = child.where(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)))
+    return known.join(parent.select(*keys), list(keys), "left_anti")
+
+
+def key_violations(df: DataFrame, keys: Sequence[str], table: str) -> DataFrame:
+    """Primary-key report: ``table_name, key_columns, key_value, n`` of every key that occurs more than once."""
+    value = F.concat_ws(",", *[F.col(k).cast("string") for k in keys])
+    return duplicate_keys(df, keys).select(
+        F.lit(table).alias("table_name"), F.lit(",".join(keys)).alias("key_columns"), value.alias("key_value"), "n"
+    )

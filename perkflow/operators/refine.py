@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.activity import metres_to_km, pace_min_per_km, seconds_to_minutes
 from ..functions.people import completed_years, full_name
-from .enrichment import enrich_distances
+from .enrichment import enrich_distances, with_distances
 
 EMPLOYEE_SILVER_COLUMNS = [
     "employee_id",
@@ -56,8 +56,7 @@ def employees_silver(employees: DataFrame, provider, as_of: dt.date, cache: Data
     skips the provider: pass a table of addresses resolved earlier.
     """
     if resolved is not None:
-        e = employees.join(resolved.select("home_address", "home_to_office_km", "distance_check_status"),
-                           "home_address", "left")
+        e = with_distances(employees, resolved)
     else:
         e = enrich_distances(employees, provider, cache)
     return e.select(

@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from perkflow.functions import activity, messages, people
-from perkflow.functions.distance import decode_reply
+from perkflow.functions.distance import decode_replies
 from perkflow.functions.numeric import round_half_up
 
 
@@ -23,8 +23,7 @@ def test_distance_reply_decode(spark):
         ("no_key", None),
     ]
     df = spark.createDataFrame(rows, "case string, reply string")
-    km, status = decode_reply(F.col("reply"))
-    got = {r.case: (r.km, r.status) for r in df.select("case", km.alias("km"), status.alias("status")).collect()}
+    got = {r.case: (r.home_to_office_km, r.distance_check_status) for r in decode_replies(df).collect()}
     assert got == {
         "ok": (15.0, "ok"),  # 15,004 m rounds to 15.00 km before any threshold
         "not_found": (None, "not_found"),
@@ -161,3 +160,12 @@ def test_outbox_body_is_json(spark):
     df = spark.createDataFrame([('Bravo ! ("x") 🏃',)], "t string")
     body = df.select(messages.outbox_body(F.col("t")).alias("b")).first().b
     assert json.loads(body) == {"text": 'Bravo ! ("x") 🏃'}
+
+
+def test_km_equals_python_round(spark):
+    """Every whole-metre value up to 60 km: 25,005 m is 25.0 km, and the bonus is paid."""
+    from perkflow.functions.numeric import metres_to_km_2dp
+
+    got = spark.range(60_001).select("id", metres_to_km_2dp(F.col("id")).alias("km")).collect()
+    assert all(r.km == round(r.id / 1000.0, 2) for r in got)
+    assert got[25_005].km == 25.0

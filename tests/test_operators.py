@@ -8,7 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from perkflow.operators import cdc, eligibility, lookup, parameters, quality
-from perkflow.operators.enrichment import CallbackProvider, NoKeyProvider, StoredReplies, resolve_addresses
+from perkflow.operators.enrichment import (
+    CallbackProvider, NoKeyProvider, StoredReplies, enrich_distances, resolve_addresses,
+)
 from perkflow.schemas import PARAMETERS
 
 AS_OF = dt.date(2024, 1, 31)
@@ -125,10 +127,15 @@ def test_distance_enrichment_cache_and_providers(spark):
 
     got = {r.home_address: (r.home_to_office_km, r.distance_check_status)
            for r in resolve_addresses(emp, CallbackProvider(fetch)).collect()}
-    assert got == {"A": (4.0, "ok"), "B": (None, "no_api_key"), "C": (None, "no_api_key")}
+    assert got == {"A": (4.0, "ok"), "B": (None, "error"), "C": (None, "error")}
     capped = {r.home_address: r.distance_check_status
               for r in resolve_addresses(emp, CallbackProvider(fetch, max_callers=2)).collect()}
-    assert capped == {"A": "ok", "B": "no_api_key", "C": "no_api_key"}
+    assert capped == {"A": "ok", "B": "error", "C": "error"}
+    stored = {r.home_address: r.distance_check_status for r in resolve_addresses(emp, StoredReplies(replies)).collect()}
+    assert stored == {"A": "ok", "B": "ok", "C": "error"}  # no stored reply is not "no key"
+    lost = spark.createDataFrame([(1, None), (2, "A")], "employee_id long, home_address string")
+    both = enrich_distances(lost, StoredReplies(replies)).select("employee_id", "distance_check_status")
+    assert dict(both.collect()) == {1: "error", 2: "ok"}
     got = {r.distance_check_status for r in resolve_addresses(emp, NoKeyProvider()).collect()}
     assert got == {"no_api_key"}
 
@@ -245,5 +252,38 @@ def test_constraints_nulls_keys_orphans(spark):
     nulls = {r.column_name: r.nulls for r in quality.null_counts(act, ["id", "distance_m", "emp"], "t").collect()}
     assert nulls == {"id": 0, "distance_m": 1, "emp": 1}
     parents = spark.createDataFrame([(3,)], "emp long")
-    orphan_ids = sorted(r.id for r in quality.orphans(act.filter("emp IS NOT NULL"), parents, ["emp"]).collect())
-    assert orphan_ids == [2]
+    assert [r.id for r in quality.orphans(act, parents, ["emp"]).collect()] == [2]  # a NULL key passes
+    report = quality.key_violations(act, ["id"], "t").collect()
+    assert [tuple(r) for r in report] == [("t", "id", "1", 2)]
+
+
+def test_changes_without_a_key(spark):
+    env = [
+        _env("c", 1, 10, 100, "v1"), {"op": "t", "source": {"ts_ms": 5, "lsn": 11}}, {"op": "u", "source": {"ts_ms": 6, "lsn": 12}},
+        "not json", _env("u", 1, 13, 101, "v2"),
+    ]
+    flat = cdc.unwrap_envelopes(_messages(spark, env))
+    assert [(r.employee_id, r.business_unit) for r in cdc.current_state(flat, ["employee_id"]).collect()] == [(1, "v2")]
+    lost = {r["__source_lsn"]: r["reason"] for r in cdc.keyless(flat, ["employee_id"]).collect()}
+    assert lost == {11: "truncate", 12: "no key in the row image", None: "not a change envelope"}
+
+
+def test_kpis_of_an_empty_table(spark):
+    from perkflow.operators.kpis import program_kpis
+
+    emp = _emp(spark, [(1, "A B", "Finance", "CDI", 36500.0, WALK, 1.0, "ok")])
+    acts = spark.createDataFrame([], "employee_id long, start_at timestamp_ntz")
+    gold = eligibility.employee_eligibility(emp, acts, AS_OF)
+    assert program_kpis(gold).first().bonus_pct == 100.0
+    r = program_kpis(gold.limit(0)).first()
+    assert (r.employees, r.bonus_count, r.cost_pct_payroll, r.bonus_pct) == (0, 0, None, None)
+
+
+def test_rules_of_the_real_tables(spark):
+    from perkflow.plans import rules
+
+    emp = spark.createDataFrame([(1, None)], "employee_id long, last_name string")
+    nulls = {r.column_name: r.nulls for r in quality.null_counts(emp, rules.EMPLOYEE_NOT_NULL[:2], "employees").collect()}
+    assert nulls == {"employee_id": 0, "last_name": 1}
+    assert set(rules.SERVING_NOT_NULL) <= set(eligibility.GOLD_COLUMNS)
+    assert rules.PRIMARY_KEYS["employee_eligibility"] == ["snapshot_date", "employee_id"]
