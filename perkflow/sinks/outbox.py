@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from ..sources import folders
+
 
 def write_outbox(notifications: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:
     """Written by the executors into ``batch_id=<n>``. A replayed batch
@@ -62,23 +64,18 @@ def deliver(spark, outbox_path: str, deliveries_path: str, send=log_only_sender,
     are appended to ``deliveries_path`` (``activity_id, batch_id, delivered,
     error``); rows already delivered are skipped, so a rerun after a failure
     only sends what is missing. ``max_senders`` caps how many tasks call the
-    service at the same time; ``batch_id`` restricts the run to one outbox
-    partition (both tables are partitioned by batch id, so only that
-    partition is read).
+    service at the same time; ``batch_id`` restricts the run to one batch,
+    whose folder alone is listed and read in both tables.
     """
-    from pyspark.errors import AnalysisException
     from pyspark.sql import functions as F
 
-    todo = spark.read.parquet(outbox_path).select("activity_id", "batch_id", "body")
-    if batch_id is not None:
-        todo = todo.filter(F.col("batch_id") == F.lit(batch_id))
-    try:
-        done = spark.read.parquet(deliveries_path).filter(F.col("delivered"))
-        if batch_id is not None:
-            done = done.filter(F.col("batch_id") == F.lit(batch_id))
+    todo = _batches(spark, outbox_path, batch_id).select("activity_id", "batch_id", "body")
+    # Only a table that isn't there means "nothing delivered yet"; any other
+    # trouble with it must stop the run, or every message would go out again.
+    sent_before = deliveries_path if batch_id is None else f"{deliveries_path.rstrip('/')}/batch_id={batch_id}"
+    if folders.exists(spark, sent_before):
+        done = _batches(spark, deliveries_path, batch_id).filter(F.col("delivered"))
         todo = todo.join(done.select("activity_id", "batch_id"), ["activity_id", "batch_id"], "left_anti")
-    except AnalysisException:  # first delivery run: nothing delivered yet
-        pass
 
     def one(body):
         try:
@@ -106,4 +103,14 @@ def deliver(spark, outbox_path: str, deliveries_path: str, send=log_only_sender,
         todo = todo.repartition(max_senders)
     outcome = todo.mapInPandas(call, DELIVERY_SCHEMA)
     outcome.write.mode("append").partitionBy("batch_id").parquet(deliveries_path)
-    return spark.read.parquet(deliveries_path)
+    if batch_id is not None and not folders.exists(spark, sent_before):  # nothing to send in this batch
+        return spark.createDataFrame([], DELIVERY_SCHEMA)
+    return _batches(spark, deliveries_path, batch_id)
+
+
+def _batches(spark, path: str, batch_id: int | None):
+    """A table of batch folders, or one batch of it read straight from its folder."""
+    if batch_id is None:
+        return spark.read.parquet(path)
+    base = path.rstrip("/")
+    return spark.read.option("basePath", base).parquet(f"{base}/batch_id={batch_id}")

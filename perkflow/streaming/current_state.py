@@ -6,21 +6,27 @@
 
 The state store holds one row per key and is checkpointed, so a restart
 resumes without replaying history. Readers take the latest update per key
-(one partial-aggregating ``max_by`` over the update partitions) and drop keys
-whose latest change is a delete. Old update partitions can be compacted by
-writing ``read_state`` into a new table.
+(one partial-aggregating ``max_by``) and drop keys whose latest change is a
+delete. :func:`compact_state` merges the updates up to a batch into a base
+table; readers then take the base and the newer folders only.
+
+Changes without a key take no part; :func:`start_keyless_stream` keeps them
+as dead letters.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.cdc import current_state, latest_change_struct
+from ..operators.cdc import current_state, keyless, latest_change_struct, latest_per_key
+from ..sources import folders
 
 ORDER = ("__source_lsn", "__source_ts_ms")
+BASE = "_base"
 
 
 def start_state_stream(
@@ -39,14 +45,83 @@ def start_state_stream(
         batch.select(*keys, "_latest.*").write.mode("overwrite").parquet(f"{base}/batch_id={batch_id}")
 
     w = latest.writeStream.outputMode("update").foreachBatch(write_updates).option("checkpointLocation", checkpoint)
+    return _start(w, available_now, processing_time)
+
+
+def start_keyless_stream(
+    changes: DataFrame,
+    keys: Sequence[str],
+    dead_letter_path: str,
+    checkpoint: str,
+    processing_time: str | None = "2 seconds",
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Append the changes without a key to ``dead_letter_path`` (its own query and checkpoint)."""
+    w = keyless(changes, keys).writeStream.outputMode("append").format("parquet").option("path", dead_letter_path)
+    return _start(w.option("checkpointLocation", checkpoint), available_now, processing_time)
+
+
+def _start(writer, available_now: bool, processing_time: str | None) -> StreamingQuery:
     if available_now:
-        w = w.trigger(availableNow=True)
+        writer = writer.trigger(availableNow=True)
     elif processing_time:
-        w = w.trigger(processingTime=processing_time)
-    return w.start()
+        writer = writer.trigger(processingTime=processing_time)
+    return writer.start()
+
+
+def _base_batch(spark: SparkSession, updates_path: str) -> int | None:
+    """The batch up to which updates are merged into a base; None without one."""
+    done = folders.values_below(spark, f"{updates_path.rstrip('/')}/{BASE}", "upto")
+    return max(map(int, done)) if done else None
+
+
+def _newer(spark: SparkSession, updates_path: str, than: int | None) -> list[int]:
+    batches = [int(b) for b in folders.values_below(spark, updates_path, "batch_id")]
+    return sorted(b for b in batches if than is None or b > than)
+
+
+def _updates(spark: SparkSession, updates_path: str, upto: int | None = None) -> DataFrame:
+    """The base and the update folders after it (up to a batch)."""
+    path = updates_path.rstrip("/")
+    merged = _base_batch(spark, path)
+    batches = [b for b in _newer(spark, path, merged) if upto is None or b <= upto]
+    parts = [] if merged is None else [f"{path}/{BASE}/upto={merged}"]
+    parts += [f"{path}/batch_id={b}" for b in batches]
+    if not parts:
+        raise FileNotFoundError(f"no state updates below {updates_path}")
+    return spark.read.parquet(*parts).drop("batch_id", "upto")
 
 
 def read_state(spark: SparkSession, updates_path: str, keys: Sequence[str], order: Sequence[str] = ORDER) -> DataFrame:
     """Current rows: latest update per key, deletes removed."""
-    updates = spark.read.parquet(updates_path).drop("batch_id")
-    return current_state(updates, keys, order)
+    return current_state(_updates(spark, updates_path), keys, order)
+
+
+def compact_state(
+    spark: SparkSession, updates_path: str, keys: Sequence[str], upto: int | None = None, order: Sequence[str] = ORDER
+) -> int | None:
+    """Merge the updates up to a batch (default: the newest) into the base table.
+
+    The new base is written beside the old one and takes its name in one
+    rename; only then do the folders that it covers go. Readers ignore those
+    folders from the rename on, so a run that dies at any point loses nothing,
+    and the next one finishes the clearing. Deletes stay in the base as rows,
+    so a late reader of older folders can't bring a key back. Returns the
+    batch that the base now covers.
+    """
+    path = updates_path.rstrip("/")
+    merged = _base_batch(spark, path)
+    batches = [b for b in _newer(spark, path, merged) if upto is None or b <= upto]
+    if batches:
+        staged = f"{path}/{BASE}/.staging-{uuid.uuid4().hex[:12]}"
+        latest_per_key(_updates(spark, path, batches[-1]), keys, order).write.parquet(staged)
+        folders.rename(spark, staged, f"{path}/{BASE}/upto={batches[-1]}")
+        merged = batches[-1]
+    if merged is not None:
+        for old in folders.values_below(spark, f"{path}/{BASE}", "upto"):
+            if int(old) < merged:
+                folders.remove(spark, f"{path}/{BASE}/upto={old}")
+        for b in folders.values_below(spark, path, "batch_id"):
+            if int(b) <= merged:
+                folders.remove(spark, f"{path}/batch_id={b}")
+    return merged

@@ -10,9 +10,11 @@
 The join runs inside foreachBatch on purpose: there adaptive execution
 applies (broadcast or shuffle chosen from the batch's real size, hot
 employees split by the skew-join handling), which a join inside the
-streaming plan would not get. The employee side is prepared once,
-hash-partitioned by employee_id and persisted, so a micro-batch never
-reshuffles the employee table.
+streaming plan would not get. The employee side is prepared once per
+refresh, hash-partitioned by employee_id and persisted, so a micro-batch
+doesn't reshuffle the employee table; a new HR snapshot, or age, brings a
+refresh (:class:`NameSource`), so people hired while the query runs get
+their name.
 
 The checkpoint makes a restarted query resume after the last committed batch;
 a batch replayed after a failure rewrites its own outbox partition, so each
@@ -21,6 +23,7 @@ notification lands in the outbox once.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -40,18 +43,25 @@ def kafka_source(spark: SparkSession, bootstrap: str, topic: str, starting_offse
     Starts at the newest offset and tolerates lost offsets, like the original
     job. ``min_partitions`` splits large topic partitions over more tasks;
     ``max_offsets_per_trigger`` bounds a micro-batch after a backlog."""
-    r = (
-        spark.readStream.format("kafka")
-        .option("kafka.bootstrap.servers", bootstrap)
-        .option("subscribe", topic)
-        .option("startingOffsets", starting_offsets)
-        .option("failOnDataLoss", str(fail_on_data_loss).lower())
-    )
+    options = stream_options(bootstrap, topic, starting_offsets, fail_on_data_loss, min_partitions,
+                             max_offsets_per_trigger)
+    return spark.readStream.format("kafka").options(**options).load()
+
+
+def stream_options(bootstrap: str, topic: str, starting_offsets: str = "latest", fail_on_data_loss: bool = False,
+                   min_partitions: int | None = None, max_offsets_per_trigger: int | None = None) -> dict[str, str]:
+    """Options of the topic source: newest offset first, lost offsets tolerated."""
+    options = {
+        "kafka.bootstrap.servers": bootstrap,
+        "subscribe": topic,
+        "startingOffsets": starting_offsets,
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
+    }
     if min_partitions:
-        r = r.option("minPartitions", str(min_partitions))
+        options["minPartitions"] = str(min_partitions)
     if max_offsets_per_trigger:
-        r = r.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
-    return r.load()
+        options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    return options
 
 
 def file_source(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet",
@@ -78,13 +88,42 @@ def notification_rows(events: DataFrame, employees: DataFrame) -> DataFrame:
     return with_messages(with_employee_names(events, employees))
 
 
-def batch_writer(employees: DataFrame, outbox_path: str, dead_letter_path: str,
+class NameSource:
+    """The prepared name table of the present moment.
+
+    ``load`` reads the employees afresh. They are read again when ``version``
+    (say, the newest HR snapshot date) has changed, or else after
+    ``max_age_s`` seconds; the table of before is then dropped.
+    """
+
+    def __init__(self, load: Callable[[], DataFrame], version: Callable[[], object] | None = None,
+                 max_age_s: float = 60.0):
+        self.load, self.version, self.max_age_s = load, version, max_age_s
+        self._names: DataFrame | None = None
+        self._read_at = 0.0
+        self._version: object = None
+
+    def names(self) -> DataFrame:
+        version = self.version() if self.version else None
+        old = time.monotonic() - self._read_at > self.max_age_s
+        if self._names is None or version != self._version or (self.version is None and old):
+            before = self._names
+            self._names, self._version, self._read_at = prepared_names(self.load()), version, time.monotonic()
+            if before is not None:
+                before.unpersist()
+        return self._names
+
+
+def batch_writer(employees: DataFrame | NameSource, outbox_path: str, dead_letter_path: str,
                  deliveries_path: str | None = None, send=None) -> Callable[[DataFrame, int], None]:
     def process(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        rows = notification_rows(batch, employees).persist(StorageLevel.MEMORY_AND_DISK)
+        names = employees.names() if isinstance(employees, NameSource) else employees
+        # Persisted first: the test for an empty batch and both writes then
+        # read source, parse and join once.
+        rows = notification_rows(batch, names).persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            if rows.isEmpty():
+                return
             write_outbox(notifications(rows), outbox_path, batch_id)
             write_dead_letters(dead_letters(rows), dead_letter_path, batch_id)
         finally:
@@ -111,7 +150,7 @@ def prepared_names(employees: DataFrame) -> DataFrame:
 
 def start_notifier(
     raw: DataFrame,
-    employees: DataFrame,
+    employees: DataFrame | NameSource,
     outbox_path: str,
     dead_letter_path: str,
     checkpoint: str,
@@ -123,10 +162,14 @@ def start_notifier(
     """Start the notifier. ``available_now`` drains what is there and stops.
     With ``deliveries_path`` each micro-batch is also sent right away (``send``,
     default log-only) and the outcome recorded per message.
-    ``employees`` is read once into a prepared name table for the query's
-    lifetime (restart the query to pick up a new HR snapshot); pass the
-    result of :func:`prepared_names` to control when it is unpersisted."""
-    names = employees if "_known_name" in employees.columns else prepared_names(employees)
+    ``employees``: a :class:`NameSource` is refreshed while the query runs; a
+    DataFrame is read once into a prepared name table for the query's lifetime
+    (pass the result of :func:`prepared_names` to control when it is
+    unpersisted)."""
+    if isinstance(employees, NameSource) or "_known_name" in employees.columns:
+        names = employees
+    else:
+        names = prepared_names(employees)
     w = live_events(raw).writeStream.foreachBatch(
         batch_writer(names, outbox_path, dead_letter_path, deliveries_path, send)
     )
