@@ -55,7 +55,9 @@ o_messages AS (
 ),
 o_distances AS (
     SELECT 'NATION_' || n_nationkey AS home_address,
-           CASE WHEN n_nationkey % 10 <= 4 THEN CAST(n_nationkey * 1.25 AS DOUBLE) END AS home_to_office_km,
+           CASE WHEN n_nationkey % 10 <= 4
+                THEN CAST(printf('%.2f', (n_nationkey * 1250 + CASE WHEN n_nationkey = 20 THEN 5 ELSE 0 END) / 1000.0::DOUBLE) AS DOUBLE)
+           END AS home_to_office_km,
            CASE WHEN n_nationkey % 10 <= 4 THEN 'ok'
                 WHEN n_nationkey % 10 = 9 THEN 'not_found'
                 WHEN n_nationkey % 10 = 6 THEN 'no_api_key'

@@ -7,7 +7,7 @@ WITH r AS (
                WHEN 6 THEN NULL
                WHEN 5 THEN '{"status":"OK","rows":[]}'
                ELSE '{"status":"OK","rows":[{"elements":[{"status":"OK","distance":{"value":'
-                    || (n_nationkey * 1250) || '}}]}]}'
+                    || (n_nationkey * 1250 + CASE WHEN n_nationkey = 20 THEN 5 ELSE 0 END) || '}}]}]}'
            END AS reply
     FROM nation
 ), j AS (
@@ -33,6 +33,6 @@ WITH r AS (
 )
 SELECT home_address,
        CASE WHEN distance_check_status = 'ok'
-            THEN CAST(round(CAST(metres AS DECIMAL(20, 3)) / 1000, 2) AS DOUBLE) END AS home_to_office_km,
+            THEN CAST(printf('%.2f', metres / 1000.0::DOUBLE) AS DOUBLE) END AS home_to_office_km,
        distance_check_status
 FROM s

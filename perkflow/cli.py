@@ -1,15 +1,21 @@
 """Job entry points for spark-submit.
 
-    spark-submit --py-files perkflow.zip run_job.py daily --employees PATH --activities PATH --replies PATH
+    spark-submit --py-files perkflow.zip run_job.py daily --employees PATH --activities PATH
                                           --lake ROOT --as-of 2024-01-31 [--params PATH]
+                                          [--replies PATH | --provider MODULE:FUNCTION]
+                                          [--cache-days N | --no-address-cache]
                                           [--jdbc-url URL --jdbc-table T --jdbc-user U --jdbc-password P]
-                                          [--source-jdbc-url URL: employees/activities are table names]
+                                          [--source-jdbc-url URL: employees/activities are table names,
+                                           parameters come from --params-table]
     spark-submit run_job.py notifier --employees PATH --outbox PATH --dead-letters PATH
                                           --checkpoint PATH (--kafka HOST:PORT --topic T | --files DIR)
                                           [--available-now]
     spark-submit run_job.py state    --checkpoint PATH --updates PATH
                                           (--kafka HOST:PORT --topic T | --files DIR) [--available-now]
+                                          [--dead-letters PATH]
+    spark-submit run_job.py compact-state --updates PATH [--key K] [--up-to BATCH]
     spark-submit run_job.py load-hr  --file rh.csv [--sep ';' --decimal-comma] (--out PATH | --jdbc-url URL --jdbc-table T)
+                                          [--rejects PATH]
     spark-submit run_job.py deliver  --outbox PATH --deliveries PATH [--webhook-url URL | MOCK]
     spark-submit run_job.py quality  (--lake ROOT --as-of 2024-01-31 | --jdbc-url URL --jdbc-table T)
                                      --expected-rows N --out PATH
@@ -23,21 +29,24 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import importlib
 import json
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .constants import DEFAULT_PARAMETERS
 from .operators import cdc, quality
-from .operators.enrichment import StoredReplies
+from .operators.enrichment import CallbackProvider, NoKeyProvider, StoredReplies
 from .plans import medallion
 from .plans.rules import gold_suite
 from .schemas import CDC_ENVELOPE
+from .session import SCALE_CONF
 from .sinks import jdbc as jdbc_sink
 from .sinks import outbox
+from .sinks.keys import first_per_key
 from .sources import hr_extract
 from .sources import jdbc as jdbc_src
 from .streaming import current_state, notifier
@@ -66,15 +75,42 @@ def _change_source(spark: SparkSession, args):
 def _source_table(spark: SparkSession, args, name: str, key: str):
     """A source table: a path, or a database table read in parallel ranges."""
     if args.source_jdbc_url:
-        props = {"user": args.source_jdbc_user or "", "password": args.source_jdbc_password or ""}
-        if args.source_jdbc_driver:
-            props["driver"] = args.source_jdbc_driver
-        return jdbc_src.jdbc_parallel_scan(spark, args.source_jdbc_url, name, props, key, args.jdbc_partitions)
+        return jdbc_src.jdbc_parallel_scan(spark, args.source_jdbc_url, name, _source_props(args), key,
+                                           args.jdbc_partitions)
     return _read(spark, name, args.format)
 
 
+def _source_props(args) -> dict[str, str]:
+    props = {"user": args.source_jdbc_user or "", "password": args.source_jdbc_password or ""}
+    if args.source_jdbc_driver:
+        props["driver"] = args.source_jdbc_driver
+    return props
+
+
+def _parameters(spark: SparkSession, args):
+    """The parameter history: a table by path; with a source database, the row
+    in force by a subquery that the database runs; else the built-in values."""
+    if args.params:
+        return _read(spark, args.params, args.format)
+    if args.source_jdbc_url and args.params_table:
+        newest = (f"SELECT * FROM {args.params_table} WHERE snapshot_date <= DATE '{args.as_of.isoformat()}' "
+                  "ORDER BY snapshot_date DESC LIMIT 1")
+        return jdbc_src.jdbc_subquery_scan(spark, args.source_jdbc_url, newest, _source_props(args), "p")
+    return DEFAULT_PARAMETERS
+
+
+def _provider(spark: SparkSession, args):
+    """Stored replies, an importable function of the caller's, or no service."""
+    if args.replies:
+        return StoredReplies(_read(spark, args.replies, args.format))
+    if args.provider:
+        module, _, name = args.provider.partition(":")
+        return CallbackProvider(getattr(importlib.import_module(module), name), args.max_callers)
+    return NoKeyProvider()
+
+
 def cmd_daily(spark: SparkSession, args) -> dict:
-    params = _read(spark, args.params, args.format) if args.params else DEFAULT_PARAMETERS
+    params = _parameters(spark, args)
     paths = medallion.LakePaths(args.lake, args.lake_format)
     counts = medallion.run_daily(
         spark,
@@ -82,14 +118,13 @@ def cmd_daily(spark: SparkSession, args) -> dict:
         _source_table(spark, args, args.activities, "activity_id"),
         paths,
         args.as_of,
-        StoredReplies(_read(spark, args.replies, args.format)),
+        _provider(spark, args),
         params=params,
+        use_cache=not args.no_address_cache,
+        cache_days=args.cache_days,
     )
     if args.jdbc_url:
-        props = {"user": args.jdbc_user or "", "password": args.jdbc_password or ""}
-        if args.jdbc_driver:
-            props["driver"] = args.jdbc_driver
-        medallion.publish_gold(spark, paths, args.as_of, args.jdbc_url, args.jdbc_table, props)
+        medallion.publish_gold(spark, paths, args.as_of, args.jdbc_url, args.jdbc_table, _jdbc_props(args))
     return counts
 
 
@@ -100,7 +135,7 @@ def _sender(url: str | None):
 def cmd_notifier(spark: SparkSession, args) -> dict:
     q = notifier.start_notifier(
         _change_source(spark, args),
-        _read(spark, args.employees, args.format),
+        notifier.NameSource(lambda: _read(spark, args.employees, args.format), max_age_s=args.names_max_age),
         args.outbox,
         args.dead_letters,
         args.checkpoint,
@@ -117,10 +152,22 @@ def cmd_state(spark: SparkSession, args) -> dict:
     q = current_state.start_state_stream(
         changes, [args.key], args.updates, args.checkpoint, available_now=args.available_now
     )
+    lost = None
+    if args.dead_letters:
+        lost = current_state.start_keyless_stream(
+            changes, [args.key], args.dead_letters, f"{args.checkpoint.rstrip('/')}-keyless",
+            available_now=args.available_now,
+        )
     q.awaitTermination()
+    if lost is not None:
+        lost.awaitTermination()
     return {"query": str(q.id)}
 
 
+def cmd_compact_state(spark: SparkSession, args) -> dict:
+    return {"merged_up_to": current_state.compact_state(spark, args.updates, [args.key], args.up_to)}
+
+
 def cmd_deliver(spark: SparkSession, args) -> dict:
     d = outbox.deliver(spark, args.outbox, args.deliveries, _sender(args.webhook_url), args.max_senders)
     row = d.agg(F.count_if("delivered").alias("delivered"), F.count_if(~F.col("delivered")).alias("failed")).first()
@@ -129,26 +176,43 @@ def cmd_deliver(spark: SparkSession, args) -> dict:
 
 def cmd_load_hr(spark: SparkSession, args) -> dict:
     """HR extract -> employees: insert-if-absent into a database table, or a
-    parquet table written as is."""
-    rows = hr_extract.normalize_hr_extract(hr_extract.read_hr_extract(spark, args.file, args.sep),
-                                           decimal_comma=args.decimal_comma, day_first=args.day_first)
+    parquet table. The first row of an id in the file wins. Rows that the
+    employee table can't take go to ``--rejects`` with a reason; without that
+    option the first such row fails the load before anything is written."""
+    raw = hr_extract.read_hr_extract(spark, args.file, args.sep)
+    rows, rejected = hr_extract.checked_hr_extract(raw, decimal_comma=args.decimal_comma, day_first=args.day_first)
+    result = {"rejected": _write_rejects(rejected, args.rejects)}
     if args.jdbc_url:
-        props = {"user": args.jdbc_user or "", "password": args.jdbc_password or ""}
-        if args.jdbc_driver:
-            props["driver"] = args.jdbc_driver
-        n = jdbc_sink.insert_ignore(spark, rows, args.jdbc_url, args.jdbc_table, props, ["employee_id"],
-                                    "employee_id")
-        return {"inserted": n}
-    rows.write.mode("overwrite").parquet(args.out)
-    return {"written": spark.read.parquet(args.out).count()}
+        n = jdbc_sink.insert_ignore(spark, rows, args.jdbc_url, args.jdbc_table, _jdbc_props(args), ["employee_id"],
+                                    hr_extract.POSITION, num_partitions=args.jdbc_partitions, read_by="employee_id")
+        return {"inserted": n, **result}
+    table = first_per_key(rows, ["employee_id"], hr_extract.POSITION).drop(hr_extract.POSITION)
+    table.write.mode("overwrite").parquet(args.out)
+    return {"written": spark.read.parquet(args.out).count(), **result}
+
+
+def _write_rejects(rejected: DataFrame, path: str | None) -> int:
+    if path is None:
+        first = rejected.first()
+        if first is not None:
+            raise ValueError(f"HR extract row {first['line']}: {first['reason']} (give --rejects to load the others)")
+        return 0
+    obs = Observation("hr_rejects")
+    rejected.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    return int(obs.get["rows"])
+
+
+def _jdbc_props(args) -> dict[str, str]:
+    props = {"user": args.jdbc_user or "", "password": args.jdbc_password or ""}
+    if args.jdbc_driver:
+        props["driver"] = args.jdbc_driver
+    return props
 
 
 def cmd_quality(spark: SparkSession, args) -> dict:
     if args.jdbc_url:  # the published serving table
-        props = {"user": args.jdbc_user or "", "password": args.jdbc_password or ""}
-        if args.jdbc_driver:
-            props["driver"] = args.jdbc_driver
-        gold = jdbc_src.jdbc_scan(spark, args.jdbc_url, args.jdbc_table, props)
+        gold = jdbc_src.jdbc_parallel_scan(spark, args.jdbc_url, args.jdbc_table, _jdbc_props(args), "employee_id",
+                                           args.jdbc_partitions)
     else:
         gold = medallion.read_gold(spark, medallion.LakePaths(args.lake, args.lake_format), args.as_of)
     report = quality.run_suite(gold, gold_suite(args.expected_rows))
@@ -163,8 +227,14 @@ def parser() -> argparse.ArgumentParser:
     sub = p.add_subparsers(dest="cmd", required=True)
 
     d = sub.add_parser("daily", help="bronze >> silver >> gold for one day")
-    for a in ("--employees", "--activities", "--replies", "--lake"):
+    for a in ("--employees", "--activities", "--lake"):
         d.add_argument(a, required=True)
+    d.add_argument("--replies", help="table of stored distance replies")
+    d.add_argument("--provider", help="module:function that answers a list of addresses with reply texts")
+    d.add_argument("--max-callers", type=int, help="tasks calling the provider at the same time")
+    d.add_argument("--cache-days", type=int, default=medallion.CACHE_DAYS, help="age after which an address is asked again")
+    d.add_argument("--no-address-cache", action="store_true", help="ask for every address each day")
+    d.add_argument("--params-table", default="analytics.dim_parameters", help="parameter table of the source database")
     d.add_argument("--as-of", type=_date, required=True)
     d.add_argument("--params")
     d.add_argument("--lake-format", default="parquet", help="parquet, or delta when its jar is present")
@@ -188,11 +258,18 @@ def parser() -> argparse.ArgumentParser:
         if name == "notifier":
             for a in ("--employees", "--outbox", "--dead-letters"):
                 s.add_argument(a, required=True)
+            s.add_argument("--names-max-age", type=float, default=60.0, help="seconds after which employees are read again")
             s.add_argument("--deliveries", help="also send each micro-batch right away, outcome recorded here")
             s.add_argument("--webhook-url", help="POST target for --deliveries; empty or MOCK only logs")
         else:
             s.add_argument("--updates", required=True)
             s.add_argument("--key", default="employee_id")
+            s.add_argument("--dead-letters", help="changes without a key go here")
+
+    c = sub.add_parser("compact-state", help="merge old state updates into the base table")
+    c.add_argument("--updates", required=True)
+    c.add_argument("--key", default="employee_id")
+    c.add_argument("--up-to", type=int, help="last batch to merge (default: the newest)")
 
     h = sub.add_parser("load-hr", help="HR extract (CSV, French headers) -> employees")
     h.add_argument("--file", required=True)
@@ -200,6 +277,8 @@ def parser() -> argparse.ArgumentParser:
     h.add_argument("--decimal-comma", action="store_true")
     h.add_argument("--day-first", action="store_true", help="dates written dd/MM/yyyy")
     h.add_argument("--out", help="parquet output (when no --jdbc-url)")
+    h.add_argument("--rejects", help="table of the rows that can't be loaded, with reasons")
+    h.add_argument("--jdbc-partitions", type=int, default=8)
     for a in ("--jdbc-url", "--jdbc-table", "--jdbc-user", "--jdbc-password", "--jdbc-driver"):
         h.add_argument(a)
 
@@ -215,6 +294,7 @@ def parser() -> argparse.ArgumentParser:
     q.add_argument("--as-of", type=_date)
     for a in ("--jdbc-url", "--jdbc-table", "--jdbc-user", "--jdbc-password", "--jdbc-driver"):
         q.add_argument(a)
+    q.add_argument("--jdbc-partitions", type=int, default=16)
     q.add_argument("--expected-rows", type=int, required=True)
     q.add_argument("--out", required=True)
     return p
@@ -222,9 +302,12 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
-    spark = SparkSession.builder.appName(f"perkflow-{args.cmd}").getOrCreate()
+    builder = SparkSession.builder.appName(f"perkflow-{args.cmd}")
+    for k, v in SCALE_CONF.items():  # among them the UTC session zone, whatever the cluster's is
+        builder = builder.config(k, v)
+    spark = builder.getOrCreate()
     commands = {"daily": cmd_daily, "notifier": cmd_notifier, "state": cmd_state, "deliver": cmd_deliver,
-                "quality": cmd_quality, "load-hr": cmd_load_hr}
+                "quality": cmd_quality, "load-hr": cmd_load_hr, "compact-state": cmd_compact_state}
     result = commands[args.cmd](
         spark, args
     )

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from pyspark.sql import types as T
 
 from ..constants import DEFAULT_PARAMETERS, TEST_AS_OF
 from ..functions import activity, people
-from ..functions.distance import decode_reply
+from ..functions.distance import decode_replies
 from ..operators import cdc, eligibility, guards, kpis, lookup, quality, refine
 from ..operators.enrichment import StoredReplies, enrich_distances
 from ..operators.parameters import parameter_columns, parameters_in_force
@@ -27,15 +28,16 @@ from ..sinks.outbox import write_outbox
 from ..sources import lake
 from ..sources import testbed as tb
 from ..sources.hr_extract import HR_COLUMNS, normalize_hr_extract, read_hr_extract
-from ..streaming.current_state import read_state, start_state_stream
+from ..streaming.current_state import compact_state, read_state, start_keyless_stream, start_state_stream
 from ..streaming.notifier import file_source, prepared_names, start_notifier
 from . import medallion
-from .rules import ACTIVITY_NOT_NULL, activity_checks, employee_checks, gold_suite
+from .rules import (
+    ACTIVITY_NOT_NULL, EMPLOYEE_NOT_NULL, PRIMARY_KEYS, SERVING_NOT_NULL, activity_checks, employee_checks, gold_suite,
+)
 from .stamps import stamp
 
 ORDERS_AS_OF = dt.date(2001, 12, 31)
 SNAPSHOT_DAY = dt.date(2024, 1, 15)
-STREAM_TIMEOUT_S = 600
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -174,9 +176,8 @@ def q_distance_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("distance_reply_decode")
 def q_distance_reply_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = tb.distance_replies(spark, sf_dir)
-    km, status = decode_reply(F.col("reply"))
-    return r.select("home_address", km.alias("home_to_office_km"), status.alias("distance_check_status"))
+    decoded = decode_replies(tb.distance_replies(spark, sf_dir))
+    return decoded.select("home_address", "home_to_office_km", "distance_check_status")
 
 
 @register("full_name")
@@ -244,15 +245,15 @@ def q_employees_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("hr_extract_normalize")
 def q_hr_extract_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Employees exported as a padded all-text CSV with French headers, read back and normalised."""
+    """Employees exported as a padded all-text CSV with French headers, the
+    columns in reverse order and another one between them, read back and normalised."""
     path = scratch_path(spark, "hr_extract")
     e = tb.employees(spark, sf_dir)
-    raw = e.select(
-        *[
-            F.concat(F.lit("  "), F.col(name).cast("string"), F.lit(" ")).alias(header)
-            for header, name in HR_COLUMNS.items()
-        ]
-    )
+    padded = [
+        F.concat(F.lit("  "), F.col(name).cast("string"), F.lit(" ")).alias(header)
+        for header, name in reversed(HR_COLUMNS.items())
+    ]
+    raw = e.select(*padded[:4], F.lit("x").alias("Remarque"), *padded[4:])
     raw.write.mode("overwrite").option("header", "true").csv(path)
     return normalize_hr_extract(read_hr_extract(spark, path))
 
@@ -339,24 +340,43 @@ def q_cdc_stream_live(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("cdc_current_state_stream")
 def q_cdc_current_state_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Current employee state maintained by a streaming aggregation over the
-    change envelopes, fed one file per micro-batch, then read back."""
+    change envelopes, one of four files per micro-batch; the first two
+    batches are compacted, then base and newer updates are read."""
     base = scratch_path(spark, "state")
-    schema = tb.table(spark, sf_dir, "events").schema
-    events = file_source(spark, sf_dir, schema, glob="events.parquet")
-    changes = cdc.unwrap_envelopes(tb.envelopes_from_events(events))
+    _envelope_files(spark, sf_dir, f"{base}/in")
+    changes = cdc.unwrap_envelopes(_envelope_stream(spark, f"{base}/in"))
     q = start_state_stream(changes, ["employee_id"], f"{base}/updates", f"{base}/_checkpoint", available_now=True)
     _await(q)
+    compact_state(spark, f"{base}/updates", ["employee_id"], upto=1)
     st = read_state(spark, f"{base}/updates", ["employee_id"])
     return st.select(
         "employee_id", "business_unit", "transport_mode", "home_address", "gross_salary", "__source_lsn", "updated_at"
     )
 
 
+@register("cdc_keyless_stream")
+def q_cdc_keyless_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes without a key (truncates, envelopes without an image), kept by a stream as dead letters."""
+    base = scratch_path(spark, "keyless")
+    _envelope_files(spark, sf_dir, f"{base}/in")
+    changes = cdc.unwrap_envelopes(_envelope_stream(spark, f"{base}/in"))
+    _await(start_keyless_stream(changes, ["employee_id"], f"{base}/dead", f"{base}/_checkpoint", available_now=True))
+    return spark.read.parquet(f"{base}/dead")
+
+
+def _envelope_files(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The change envelopes as four files, in log order."""
+    tb.employee_envelopes(spark, sf_dir).repartitionByRange(4, "key").select("value").write.parquet(path)
+
+
+def _envelope_stream(spark: SparkSession, path: str) -> DataFrame:
+    schema = T.StructType([T.StructField("value", T.StringType())])
+    return file_source(spark, path, schema, max_files_per_trigger=1)
+
+
 def _await(q) -> None:
-    q.awaitTermination(STREAM_TIMEOUT_S)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError(f"stream {q.id} did not drain in time")
+    """Wait until the stream has drained, however long that takes."""
+    q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
 
@@ -395,20 +415,37 @@ def q_constraint_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("pk_duplicates")
 def q_pk_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """o_custkey taken as if it were a primary key of orders: its duplicates."""
-    return quality.duplicate_keys(tb.table(spark, sf_dir, "orders"), ["o_custkey"])
+    """Keys that occur more than once: o_custkey taken as if it were a key of
+    orders, and the three tables' own keys, employees with every 17th row sent
+    twice (the other two are clean)."""
+    emp = tb.employee_base(spark, sf_dir)
+    again = emp.unionByName(emp.filter(F.col("employee_id") % 17 == 0))
+    reports = [quality.key_violations(tb.table(spark, sf_dir, "orders"), ["o_custkey"], "orders")]
+    tables = {"employees": again, "activities": tb.activities(spark, sf_dir), "employee_eligibility": _gold(spark, sf_dir)}
+    for name, df in tables.items():
+        reports.append(quality.key_violations(df, PRIMARY_KEYS[name], name))
+    return reduce(DataFrame.unionByName, reports)
 
 
 @register("not_null_violations")
 def q_not_null_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """NOT NULL columns of the activity table checked on the parsed change messages."""
+    """NOT NULL columns of the three tables: activities as parsed from the change
+    messages, employees with every 19th address lost, and the eligibility table."""
     parsed = cdc.parse_messages(tb.cdc_messages(spark, sf_dir))
-    return quality.null_counts(parsed, ACTIVITY_NOT_NULL, "activity_changes")
+    lost = F.when(F.col("employee_id") % 19 != 0, F.col("home_address"))
+    emp = tb.employees(spark, sf_dir).withColumn("home_address", lost)
+    return (
+        quality.null_counts(parsed, ACTIVITY_NOT_NULL, "activity_changes")
+        .unionByName(quality.null_counts(emp, EMPLOYEE_NOT_NULL, "employees"))
+        .unionByName(quality.null_counts(_gold(spark, sf_dir), SERVING_NOT_NULL, "employee_eligibility"))
+    )
 
 
 @register("fk_orphans")
 def q_fk_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = tb.activities(spark, sf_dir).select("activity_id", "employee_id")
+    """Activities of unknown employees; those without an employee (every 89th here) pass, as in SQL."""
+    employee = F.when(F.col("activity_id") % 89 != 0, F.col("employee_id")).alias("employee_id")
+    a = tb.activities(spark, sf_dir).select("activity_id", employee)
     return quality.orphans(a, tb.known_employees(spark, sf_dir), ["employee_id"])
 
 
@@ -442,16 +479,16 @@ def _written_bronze(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-_SHARED_BRONZE: dict[tuple[int, str], str] = {}
+_SHARED_BRONZE: dict[str, tuple[SparkSession, str]] = {}
 
 
 def _shared_bronze(spark: SparkSession, sf_dir: str) -> str:
     """Daily bronze table written once per session for the read-only snapshot
     queries (their work is the read; the write is set-up)."""
-    key = (id(spark), sf_dir.rstrip("/"))
-    if key not in _SHARED_BRONZE:
-        _SHARED_BRONZE[key] = _written_bronze(spark, sf_dir)
-    return _SHARED_BRONZE[key]
+    key = sf_dir.rstrip("/")
+    if key not in _SHARED_BRONZE or _SHARED_BRONZE[key][0] is not spark:
+        _SHARED_BRONZE[key] = (spark, _written_bronze(spark, sf_dir))
+    return _SHARED_BRONZE[key][1]
 
 
 @register("snapshot_scan")

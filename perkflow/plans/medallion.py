@@ -14,14 +14,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 
 from ..constants import DEFAULT_PARAMETERS, DISTANCE_NOT_FOUND, DISTANCE_OK, LOOKBACK_DAYS
 from ..operators import eligibility, refine
 from ..operators.enrichment import RESOLVED_COLUMNS, resolve_addresses
 from ..sinks import jdbc as jdbc_sink
 from ..sinks.lake import replace_partition, write_counted
-from ..sources import lake
+from ..sources import folders, lake
 from .stamps import stamp
 
 PART = "extract_date"
@@ -55,28 +54,37 @@ def run_bronze(spark: SparkSession, employees: DataFrame, activities: DataFrame,
     }
 
 
-def distance_cache(spark: SparkSession, paths: LakePaths, as_of: dt.date) -> DataFrame | None:
-    """Addresses resolved on the newest earlier day (ok / not_found only:
-    errors are asked again). None on the first run."""
+#: Days after which a resolved address is asked again.
+CACHE_DAYS = 30
+
+
+def distance_cache(spark: SparkSession, paths: LakePaths, as_of: dt.date, max_age_days: int = CACHE_DAYS) -> DataFrame | None:
+    """Addresses resolved on the newest earlier day and at most ``max_age_days``
+    ago (ok / not_found only: errors are asked again), with ``resolved_on``.
+    None when the table isn't there (first run)."""
     path = paths.table("silver", "addresses")
-    try:
-        lake.read_table(spark, path, paths.fmt).schema  # noqa: B018 - resolves the path
-    except AnalysisException:
+    if not folders.exists(spark, path):
         return None
     prev = lake.snapshot_as_of(spark, path, as_of - dt.timedelta(days=1), PART, paths.fmt)
-    return prev.filter(F.col("distance_check_status").isin(DISTANCE_OK, DISTANCE_NOT_FOUND)).select(
-        *RESOLVED_COLUMNS
-    )
+    fresh = F.col("resolved_on") >= F.lit(as_of - dt.timedelta(days=max_age_days))
+    known = F.col("distance_check_status").isin(DISTANCE_OK, DISTANCE_NOT_FOUND)
+    return prev.filter(known & fresh).select(*RESOLVED_COLUMNS, "resolved_on")
 
 
 def run_silver(spark: SparkSession, paths: LakePaths, as_of: dt.date, provider,
-               use_cache: bool = True) -> dict[str, int]:
+               use_cache: bool = True, cache_days: int = CACHE_DAYS) -> dict[str, int]:
     """Resolve addresses (written first, so the service is asked once per
     address and day even if a later stage is retried), then employees, then
     activities joined to the written employees."""
     emp_bronze = lake.snapshot_scan(spark, paths.table("bronze", "employees"), as_of, PART, paths.fmt).drop(PART, "extract_ts")
-    cache = distance_cache(spark, paths, as_of) if use_cache else None
-    resolved = stamp(resolve_addresses(emp_bronze, provider, cache), as_of)
+    cache = distance_cache(spark, paths, as_of, cache_days) if use_cache else None
+    resolved = resolve_addresses(emp_bronze, provider, cache)
+    if cache is None:
+        resolved = resolved.withColumn("resolved_on", F.lit(as_of))
+    else:
+        since = cache.select("home_address", "resolved_on")
+        resolved = resolved.join(since, "home_address", "left").withColumn("resolved_on", F.coalesce("resolved_on", F.lit(as_of)))
+    resolved = stamp(resolved, as_of)
     counts = {"silver.addresses": _write_day(resolved, paths.table("silver", "addresses"), PART, as_of,
                                              "silver_addresses", paths.fmt)}
     written = lake.snapshot_scan(spark, paths.table("silver", "addresses"), as_of, PART, paths.fmt)
@@ -141,9 +149,10 @@ def publish_gold(spark: SparkSession, paths: LakePaths, as_of: dt.date, url: str
 
 def run_daily(spark: SparkSession, employees: DataFrame, activities: DataFrame, paths: LakePaths,
               as_of: dt.date, provider, params: Mapping[str, object] | DataFrame = DEFAULT_PARAMETERS,
-              days: int = LOOKBACK_DAYS) -> dict[str, int]:
-    """bronze >> silver >> gold for one day; returns rows written per table."""
+              days: int = LOOKBACK_DAYS, use_cache: bool = True, cache_days: int = CACHE_DAYS) -> dict[str, int]:
+    """bronze >> silver >> gold for one day; returns rows written per table.
+    ``use_cache`` False asks the provider for every address again."""
     counts = run_bronze(spark, employees, activities, paths, as_of)
-    counts.update(run_silver(spark, paths, as_of, provider))
+    counts.update(run_silver(spark, paths, as_of, provider, use_cache, cache_days))
     counts.update(run_gold(spark, paths, as_of, params, days))
     return counts

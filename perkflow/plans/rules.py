@@ -29,7 +29,17 @@ def activity_checks() -> dict[str, Column]:
         "chk_source_valid": F.col("source").isin(ACTIVITY_SOURCES),
     }
 
+# NOT NULL columns and primary keys of the three tables.
+EMPLOYEE_NOT_NULL = ["employee_id", "last_name", "first_name", "birth_date", "business_unit", "hire_date", "gross_salary",
+                     "contract_type", "paid_leave_days", "home_address", "transport_mode"]
 ACTIVITY_NOT_NULL = ["activity_id", "employee_id", "sport_type", "start_at", "end_at", "duration_s", "source"]
+SERVING_NOT_NULL = ["snapshot_date", "employee_id", "is_eligible_premium", "premium_amount", "activities_count_12m",
+                    "is_eligible_wellbeing", "wellbeing_days", "wellbeing_cost", "total_cost"]
+PRIMARY_KEYS = {
+    "employees": ["employee_id"],
+    "activities": ["activity_id"],
+    "employee_eligibility": ["snapshot_date", "employee_id"],
+}
 
 
 def gold_suite(expected_rows: int | Column) -> list[quality.Rule]:

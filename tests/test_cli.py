@@ -66,7 +66,8 @@ def test_daily_from_database_tables(spark, scratch, capsys):
     tb.distance_replies(spark, SF_SMALL).write.parquet(f"{scratch}/replies")
     assert cli.main(["daily", "--source-jdbc-url", url, "--source-jdbc-driver", driver, "--jdbc-partitions", "4",
                      "--employees", "HR_EMPLOYEES", "--activities", "OPS_ACTIVITIES",
-                     "--replies", f"{scratch}/replies", "--lake", f"{scratch}/lake", "--as-of", "2024-01-31"]) == 0
+                     "--replies", f"{scratch}/replies", "--lake", f"{scratch}/lake", "--as-of", "2024-01-31",
+                     "--params-table", ""]) == 0
     counts = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert counts["bronze.activities"] == tb.activities(spark, SF_SMALL).count()
     assert counts["gold.employee_eligibility"] == tb.employees(spark, SF_SMALL).count()
@@ -100,6 +101,88 @@ def test_load_hr_insert_if_absent(spark, tmp_path, capsys):
         "contract_type", "paid_leave_days", "home_address", "transport_mode",
     ).write.mode("overwrite").jdbc(url, "HR_EMP", properties={"driver": driver})
     assert cli.main(args) == 0
-    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"inserted": 2}
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"inserted": 2, "rejected": 0}
     assert cli.main(args) == 0  # second load: both already there
-    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"inserted": 0}
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"inserted": 0, "rejected": 0}
+
+
+def test_load_hr_rejects(spark, tmp_path, scratch, capsys):
+    import pytest
+
+    header = ("ID salarié,Nom,Prénom,Date de naissance,BU,Date d'embauche,Salaire brut,Type de contrat,"
+              "Nombre de jours de CP,Adresse du domicile,Moyen de déplacement")
+    line = "{},{},Zoé,1985-07-14,Ventes,2019-09-01,45000,CDI,27,3 rue C,Marche/running"
+    path = tmp_path / "rh.csv"
+    path.write_text("\n".join([header, line.format(1, "First"), line.format("x", "Bad"), line.format(1, "Second")]) + "\n",
+                    encoding="utf-8")
+    args = ["load-hr", "--file", str(path), "--out", f"{scratch}/employees"]
+    with pytest.raises(ValueError, match="employee_id"):  # a bad row stops the load, as long as no table is given for it
+        cli.main(args)
+    assert cli.main([*args, "--rejects", f"{scratch}/rejects"]) == 0
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"written": 1, "rejected": 1}
+    assert [r.last_name for r in spark.read.parquet(f"{scratch}/employees").collect()] == ["First"]
+    r = spark.read.parquet(f"{scratch}/rejects").first()
+    assert r.reason == "missing or unreadable: employee_id" and json.loads(r.line)["Nom"] == "Bad"
+
+
+class _Reader:
+    """Stands in for spark.read: records what a JDBC read is given."""
+
+    def __init__(self):
+        self.calls = []
+
+    def jdbc(self, url, table, **options):
+        self.calls.append((url, table, options))
+        return self
+
+    def first(self):
+        return {"LO": 5, "HI": 904}
+
+
+class _Session:
+    def __init__(self):
+        self.read = _Reader()
+
+
+def test_daily_reads_parameters_and_tables_from_the_database():
+    args = cli.parser().parse_args(["daily", "--employees", "hr.employees", "--activities", "ops.activities", "--lake", "/l",
+                                    "--as-of", "2024-01-31", "--source-jdbc-url", "jdbc:x", "--source-jdbc-user", "u",
+                                    "--jdbc-partitions", "12"])
+    s = _Session()
+    cli._parameters(s, args)
+    url, table, options = s.read.calls[0]
+    assert url == "jdbc:x" and options["properties"]["user"] == "u"
+    assert table == ("(SELECT * FROM analytics.dim_parameters WHERE snapshot_date <= DATE '2024-01-31' "
+                     "ORDER BY snapshot_date DESC LIMIT 1) p")
+    cli._source_table(s, args, args.employees, "employee_id")
+    bounds, scan = s.read.calls[1:]
+    assert bounds[1] == '(SELECT MIN("employee_id") AS LO, MAX("employee_id") AS HI FROM hr.employees) q'
+    assert scan[1] == "hr.employees" and scan[2]["numPartitions"] == 12
+    assert (scan[2]["lowerBound"], scan[2]["upperBound"]) == (5, 905)
+
+
+def example_fetch(addresses):
+    reply = '{"status":"OK","rows":[{"elements":[{"status":"OK","distance":{"value":1000}}]}]}'
+    return [reply if a.endswith("1") else None for a in addresses]
+
+
+def test_daily_provider_choice(spark):
+    from perkflow.operators.enrichment import NoKeyProvider, resolve_addresses
+
+    base = ["daily", "--employees", "e", "--activities", "a", "--lake", "/l", "--as-of", "2024-01-31"]
+    assert isinstance(cli._provider(spark, cli.parser().parse_args(base)), NoKeyProvider)
+    args = cli.parser().parse_args([*base, "--provider", "tests.test_cli:example_fetch", "--max-callers", "2"])
+    addresses = spark.createDataFrame([("R1",), ("R2",)], "home_address string")
+    got = {r.home_address: r.distance_check_status for r in resolve_addresses(addresses, cli._provider(spark, args)).collect()}
+    assert got == {"R1": "ok", "R2": "error"}
+
+
+def test_jobs_run_in_utc(spark, monkeypatch):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    seen = []
+    monkeypatch.setattr(cli, "cmd_compact_state", lambda s, a: seen.append(s.conf.get("spark.sql.session.timeZone")) or {})
+    try:
+        cli.main(["compact-state", "--updates", "/nowhere"])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert seen == ["UTC"]

@@ -81,3 +81,35 @@ def test_gold_over_silver_prunes_and_pushes(spark, scratch):
     plan = eligibility.employee_eligibility(emp, act, DAY)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(extract_date" in plan
     assert "GreaterThanOrEqual(start_at,2023-01-31T00:00)" in plan
+
+
+def test_address_cache_age_and_off_switch(spark, scratch):
+    from perkflow.operators.enrichment import NoKeyProvider
+
+    paths = medallion.LakePaths(scratch)
+    emp, act = tb.employees(spark, SF_SMALL), tb.activities(spark, SF_SMALL)
+    medallion.run_bronze(spark, emp, act, paths, DAY)
+    medallion.run_silver(spark, paths, DAY, StoredReplies(tb.distance_replies(spark, SF_SMALL)))
+
+    def statuses(day, **options):
+        medallion.run_bronze(spark, emp, act, paths, day)
+        medallion.run_silver(spark, paths, day, NoKeyProvider(), **options)
+        rows = lake.snapshot_scan(spark, paths.table("silver", "addresses"), day)
+        return {r.distance_check_status for r in rows.collect()}, {r.resolved_on for r in rows.collect()}
+
+    day = lambda n: DAY + dt.timedelta(days=n)
+    assert statuses(day(1), cache_days=2) == ({"ok", "not_found", "no_api_key"}, {DAY, day(1)})
+    assert statuses(day(2), cache_days=2)[0] == {"ok", "not_found", "no_api_key"}  # the age counts from the asking
+    assert statuses(day(3), cache_days=2) == ({"no_api_key"}, {day(3)})
+    assert statuses(day(1), use_cache=False) == ({"no_api_key"}, {day(1)})
+
+
+def test_broken_address_table_is_an_error(spark, scratch):
+    import pytest
+
+    paths = medallion.LakePaths(scratch)
+    assert medallion.distance_cache(spark, paths, DAY) is None  # not there yet
+    spark.createDataFrame([(1, DAY)], "x int, extract_date date").write.partitionBy("extract_date").parquet(
+        paths.table("silver", "addresses"))
+    with pytest.raises(Exception, match="resolved_on"):
+        medallion.distance_cache(spark, paths, DAY + dt.timedelta(days=1))

