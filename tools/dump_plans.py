@@ -1,4 +1,4 @@
-"""Write the formatted physical plan of every registered query to docs/plans/.
+"""Write the formatted physical plan of every query of the benefits domain to docs/plans/.
 
 usage: python tools/dump_plans.py [sf_dir]
 """
@@ -14,13 +14,13 @@ sys.path.insert(0, str(ROOT))
 
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
-    import __spark_entry__ as entry
+    from perkflow.plans.catalog import REGISTRY
     from perkflow.session import local_session
 
     spark = local_session("8", 8)
     out = ROOT / "docs" / "plans"
     out.mkdir(parents=True, exist_ok=True)
-    for key, q in sorted(entry.queries().items()):
+    for key, q in sorted(REGISTRY.items()):
         df = q(spark, sf_dir).select("*")
         text = df._jdf.queryExecution().explainString(
             spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
