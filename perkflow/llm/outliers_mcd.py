@@ -159,7 +159,7 @@ def _step(rows: DataFrame, now: DataFrame, core: float) -> DataFrame:
     """One concentration step: (g, s, mu, inv, logdet) from the nearest rows under the present estimate."""
     near = rows.join(now, ["g", "s"]).withColumn("bin", F.floor(32 * F.log2(distance2() + 1e-9)))
     near = near.select("g", "s", *[f"x{i}" for i in range(D)], "bin")
-    limit = _quantile(near, ["g", "s"], F.col("bin"), {"limit": core})
+    limit = materialise(_quantile(near, ["g", "s"], F.col("bin"), {"limit": core}), "mcd")
     inside = near.join(limit, ["g", "s"]).where("bin <= limit")
     pairs = [(i, j) for i in range(D) for j in range(i, D)]
     names = ["n", *[f"s{i}" for i in range(D)], *[f"p{i}_{j}" for i, j in pairs]]
