@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from perkflow.llm.carry import packed, unpacked, with_text
 from perkflow.llm.text import LETTER_DIGIT, by_piece, dense_rank, expand, ngram_ranks, row_of, split_words, word_hashes
 
 WINDOW = 13
@@ -153,9 +154,9 @@ def longest(place: np.ndarray, item: np.ndarray, at: np.ndarray, need: np.ndarra
     return tuple(x[keep] for x in (row, item, place, at, words))
 
 
-def _scan_block(docs: DataFrame, block, window: int) -> DataFrame:
-    """Add one block's hits to (row, t, n_words, spans, items, matches)."""
-    schema = docs.schema
+def _scan_block(docs: DataFrame, block, window: int, text_back: bool) -> DataFrame:
+    """Add one block's hits to (row, t, n_words, spans, matches); the text comes back if wanted."""
+    schema = T.StructType([f for f in docs.schema.fields if text_back or f.name != "t"])
     match_type = pa.struct([("item_id", pa.string()), ("doc_word", pa.int64()), ("item_word", pa.int64()), ("n_words", pa.int64())])
 
     def one(piece: pa.RecordBatch) -> pa.RecordBatch:
@@ -191,9 +192,10 @@ def _scan_block(docs: DataFrame, block, window: int) -> DataFrame:
 
 def find_contamination(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
-    window: int = WINDOW, block_chars: int = BLOCK_CHARS,
+    window: int = WINDOW, block_chars: int = BLOCK_CHARS, keep: list[str] | None = None,
 ) -> DataFrame:
-    """One row per row of ``docs``: ``row`` (struct of its columns), ``n_words``, ``spans``, ``n_hit``, ``items``, ``matches``, ``contaminated``.
+    """One row per row of ``docs``: ``row`` (struct of its kept columns; default: all), ``t`` (its text, if kept),
+    ``n_words``, ``spans``, ``n_hit``, ``items``, ``matches``, ``contaminated``.
 
     Words: runs of digits, letters a-z (A-Z in lower case) and non-ASCII
     characters. A window is ``window`` consecutive words of an item, or all of
@@ -209,24 +211,24 @@ def find_contamination(
     chars = items.agg(F.sum(F.length("t"))).first()[0] or 0
     blocks = max(1, -(-int(chars) // block_chars))
     out = docs.select(
-        F.struct(*docs.columns).alias("row"), F.col(text).alias("t"), F.lit(0).cast("long").alias("n_words"),
+        *packed(docs, text, keep), F.lit(0).cast("long").alias("n_words"),
         F.array().cast("array<int>").alias("spans"), F.array().cast(T.ArrayType(MATCH)).alias("matches"),
     )
     for b in range(blocks):
         part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("id", "t"), F.lit(blocks)) == b)
         rows = part.collect()  # at most about block_chars characters
         block = spark.sparkContext.broadcast(Suffixes.of([r[0] for r in rows], [r[1] for r in rows]))
-        out = _scan_block(out, block, window)
+        out = _scan_block(out, block, window, b < blocks - 1 or with_text(keep, text))
     even = F.expr("aggregate(sequence(0, size(spans) - 1), 0L, (s, i) -> s + IF(i % 2 = 1, spans[i], -spans[i]))")
     out = out.withColumn("n_hit", F.when(F.size("spans") > 0, even).otherwise(F.lit(0).cast("long")))
     ids = F.filter(F.transform("matches", lambda m: m["item_id"]), lambda i: i.isNotNull())
     out = out.withColumn("items", F.array_sort(F.array_distinct(ids)))
     return out.select(
-        "row", "n_words", "spans", "n_hit", "items", "matches",
+        "row", *(["t"] if with_text(keep, text) else []), "n_words", "spans", "n_hit", "items", "matches",
         ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
     )
 
 
-def remove_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """The documents that ``find_contamination`` calls clean, all columns kept."""
-    return find_contamination(docs, benchmark, **options).where("NOT contaminated").select("row.*")
+    return unpacked(find_contamination(docs, benchmark, text, **options).where("NOT contaminated"), docs, text)

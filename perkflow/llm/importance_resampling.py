@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from perkflow.llm.carry import packed, unpacked, with_text
 from perkflow.llm.components import materialise
 from perkflow.llm.text import NOT_SPACE, by_piece, mix, row_of, split_words, text_bytes, word_hashes
 
@@ -125,9 +126,10 @@ def kth_largest(keys: DataFrame, column: str, k: int) -> float:
 
 def score(
     docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", good: str = "quality",
-    labelled: int = LABELLED, seed: int = SEED,
+    labelled: int = LABELLED, seed: int = SEED, keep: list[str] | None = None,
 ) -> DataFrame:
-    """Each row of ``docs`` as ``row`` with ``log_ratio``, ``key`` and ``held_out`` (a target row kept from fitting).
+    """Each row of ``docs`` as ``row`` (struct of its kept columns; default: all) and ``t`` (its text, if kept)
+    with ``log_ratio``, ``key`` and ``held_out`` (a target row kept from fitting).
 
     Null and empty texts have log ratio 0, as has everything if no label is 1.
     Labels of null ids or values are ignored; rows of equal id get equal noise.
@@ -138,21 +140,21 @@ def score(
     order = F.xxhash64("label_id", F.lit(seed + 1))
     picked = picked.orderBy(order, "label_id").limit(labelled).select("label_id", (F.pmod(order, F.lit(2)) == 0).alias("fit"))
     picked = materialise(picked, "labelled")  # at most ``labelled`` rows, so small enough to broadcast
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(doc_id).cast("long").alias("id"), F.col(text).alias("t"), mark.alias("mark"))
+    rows = docs.select(*packed(docs, text, keep), F.col(doc_id).cast("long").alias("id"), mark.alias("mark"))
     rows = rows.join(F.broadcast(picked), F.col("id") == F.col("label_id"), "left")
     ratio = spark.sparkContext.broadcast(fit_log_ratio(rows.select("t", F.coalesce("fit", F.lit(False)).alias("target"))))
     cols = rows.select("row", "t", "mark", F.coalesce(~F.col("fit"), F.lit(False)).alias("held_out"))
-    schema = cols.select("row", "mark", "held_out", F.lit(0.0).alias("log_ratio")).schema
+    back = ["row", *(["t"] if with_text(keep, text) else [])]
+    schema = cols.select(*back, "mark", "held_out", F.lit(0.0).alias("log_ratio")).schema
 
     def one(piece: pa.RecordBatch) -> pa.RecordBatch:
         total = sum(_row_sums(ratio.value[bucket], first) for bucket, first in ngram_buckets(piece.column("t")))
-        return pa.RecordBatch.from_arrays(
-            [piece.column("row"), piece.column("mark"), piece.column("held_out"), pa.array(np.round(total, 6))], names=schema.names
-        )
+        own = [piece.column(c) for c in schema.names[:-1]]
+        return pa.RecordBatch.from_arrays([*own, pa.array(np.round(total, 6))], names=schema.names)
 
     scored = cols.mapInArrow(by_piece("t", one), schema)
     uniform = (F.pmod(F.col("mark"), F.lit(1 << 52)) + 0.5) / float(1 << 52)
-    return scored.select("row", "log_ratio", (F.col("log_ratio") - F.log(-F.log(uniform))).alias("key"), "held_out")
+    return scored.select(*back, "log_ratio", (F.col("log_ratio") - F.log(-F.log(uniform))).alias("key"), "held_out")
 
 
 def gumbel_top_k(scored: DataFrame, keys: DataFrame, k: int) -> DataFrame:
@@ -171,17 +173,17 @@ def calibrated_k(keys: DataFrame, recall: float = RECALL) -> int:
 def select_quality(
     docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int | None = None, **options
 ) -> DataFrame:
-    """Each row of ``docs`` as ``row`` with ``log_ratio``, ``key`` and ``selected``; ``k`` None: calibrated.
+    """The rows of ``score`` with ``log_ratio``, ``key`` and ``selected``; ``k`` None: calibrated.
 
     The keys alone are written, for k and its limit; the rows are scored again
     when they are read, which gives the same keys. An empty table gives an
     empty result; repeated rows are selected together.
     """
     scored = score(docs, labels, doc_id, text, **options)
-    keys = materialise(scored.select("key", "held_out"), "keys")
+    keys = materialise(score(docs, labels, doc_id, text, **{**options, "keep": []}).select("key", "held_out"), "keys")
     return gumbel_top_k(scored, keys, calibrated_k(keys) if k is None else k).drop("held_out")
 
 
-def keep_selected(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+def keep_selected(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The documents that resampling selects, all columns kept."""
-    return select_quality(docs, labels, **options).where("selected").select("row.*")
+    return unpacked(select_quality(docs, labels, doc_id, text, **options).where("selected"), docs, text)

@@ -45,13 +45,17 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log ratio, sampling key and selection of every document."""
-    found = importance_resampling.select_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    found = importance_resampling.select_quality(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), keep=["doc_id"]
+    )
     return found.select(F.col("row.doc_id").alias("doc_id"), "log_ratio", "key", "selected")
 
 
 def op4_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document."""
-    found = decontamination_suffix.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = decontamination_suffix.find_contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"]
+    )
     return found.select(
         F.col("row.doc_id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated",
@@ -60,7 +64,7 @@ def op4_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_substring_superkmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that repeat 50-word windows of earlier ones."""
-    found = substring_superkmers.remove_repeats(table(spark, sf_dir, "documents"))
+    found = substring_superkmers.remove_repeats(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return found.select(F.col("row.doc_id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
@@ -102,7 +106,7 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Probability of each toxicity category and the verdict for every document."""
-    found = toxicity_chain.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    found = toxicity_chain.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), keep=["doc_id"])
     return found.select(F.col("row.doc_id").alias("doc_id"), *[f"p_{c}" for c in toxicity_chain.NAMES], "is_toxic")
 
 

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from perkflow.llm.carry import packed
 from perkflow.llm.components import materialise
 from perkflow.llm.decontamination_suffix import covered
 from perkflow.llm.text import (
@@ -93,14 +94,14 @@ def _packed(docs: DataFrame, index: DataFrame, window: int) -> DataFrame:
         begin = np.cumsum(size + 1) - (size + 1)
         text = b"" if len(size) == 0 else _spaced(w)
         b = a + n.to_numpy() + window - 2
-        packed = [text[i:j] for i, j in zip(begin[a].tolist(), (begin[b] + size[b]).tolist(), strict=True)]
+        cut = [text[i:j] for i, j in zip(begin[a].tolist(), (begin[b] + size[b]).tolist(), strict=True)]
         return pa.RecordBatch.from_arrays(
-            [mini, piece.column("d").take(pa.array(row)), piece.column("h").take(pa.array(row)), start, pa.array(packed, pa.string())],
+            [mini, piece.column("d").take(pa.array(row)), piece.column("h").take(pa.array(row)), start, pa.array(cut, pa.string())],
             names=["mini", "d", "h", "start", "packed"],
         )
 
-    cut = docs.join(wanted, ["d", "h"]).mapInArrow(by_piece("t", one), "mini long, d long, h long, start int, packed string")
-    return cut.withColumn("id", F.unhex(F.md5("packed")))
+    strings = docs.join(wanted, ["d", "h"]).mapInArrow(by_piece("t", one), "mini long, d long, h long, start int, packed string")
+    return strings.withColumn("id", F.unhex(F.md5("packed")))
 
 
 def _spaced(w) -> bytes:
@@ -126,9 +127,9 @@ def window_minima(strings: pa.Array, low: np.ndarray, window: int) -> tuple[np.n
     return best[rank], np.searchsorted(row, np.arange(len(w.rows)))
 
 
-def _counted(packed: DataFrame, window: int, bucket_rows: int) -> DataFrame:
+def _counted(strings: DataFrame, window: int, bucket_rows: int) -> DataFrame:
     """(id, lows) of each string that holds a repeat; of over-full buckets (id, place, window, low) instead."""
-    distinct = packed.groupBy("mini", "id", "packed").agg(F.min("d").alias("a"), F.max("d").alias("b"))
+    distinct = strings.groupBy("mini", "id", "packed").agg(F.min("d").alias("a"), F.max("d").alias("b"))
     names = ["id", "lows", "place", "window", "low"]
 
     def whole(part: pa.Table) -> pa.RecordBatch:
@@ -165,22 +166,22 @@ def _counted(packed: DataFrame, window: int, bucket_rows: int) -> DataFrame:
     return buckets.mapInArrow(run, "id binary, lows array<long>, place int, window string, low long")
 
 
-def _removals(packed: DataFrame, counted: DataFrame) -> DataFrame:
+def _removals(strings: DataFrame, counted: DataFrame) -> DataFrame:
     """(d, h, starts): the windows of each document that also start in a smaller one."""
     alone = counted.where("window IS NOT NULL")
     best = alone.groupBy("window").agg(F.min("low").alias("best"))
     alone = alone.join(best, "window").groupBy("id").agg(F.array_sort(F.collect_set(F.struct("place", "best"))).alias("s"))
     lows = counted.where("window IS NULL").select("id", "lows").unionByName(alone.select("id", F.col("s.best").alias("lows")))
-    found = packed.select("id", "d", "h", "start").join(lows, "id").where(F.array_min("lows") < F.col("d"))
+    found = strings.select("id", "d", "h", "start").join(lows, "id").where(F.array_min("lows") < F.col("d"))
     starts = F.expr("filter(transform(lows, (v, j) -> IF(v < d, start + j, -1)), s -> s >= 0)")
     return found.select("d", "h", starts.alias("s")).groupBy("d", "h").agg(F.flatten(F.collect_set("s")).alias("starts"))
 
 
 def remove_repeats(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, m: int = M,
-    bucket_rows: int = BUCKET_ROWS,
+    bucket_rows: int = BUCKET_ROWS, keep: list[str] | None = None,
 ) -> DataFrame:
-    """One row per row of ``docs``: ``row`` (struct of its columns), ``n_words``, ``n_removed``, ``kept``.
+    """One row per row of ``docs``: ``row`` (struct of its kept columns but the text; default: all), ``n_words``, ``n_removed``, ``kept``.
 
     Words are runs of other than ASCII white space. A word goes if a window of
     ``window`` words that covers it has the same words as a window starting in
@@ -191,14 +192,12 @@ def remove_repeats(
     empty table gives an empty result. Words are compared by 64-bit hashes
     inside a bucket, strings between buckets in full.
     """
-    base = docs.select(
-        F.struct(*docs.columns).alias("row"), F.col(doc_id).cast("long").alias("d"), F.xxhash64(text).alias("h"), F.col(text).alias("t")
-    )
+    base = docs.select(*packed(docs, text, keep), F.col(doc_id).cast("long").alias("d"), F.xxhash64(text).alias("h"))
     rows = base.select("d", "h", "t")
     index = materialise(_index(rows, window, m), "superkmer-index")
-    packed = materialise(_packed(rows, index, window), "superkmers")
-    counted = materialise(_counted(packed, window, bucket_rows), "windows")
-    joined = base.join(_removals(packed, counted), ["d", "h"], "left").select("row", "t", "starts")
+    strings = materialise(_packed(rows, index, window), "superkmers")
+    counted = materialise(_counted(strings, window, bucket_rows), "windows")
+    joined = base.join(_removals(strings, counted), ["d", "h"], "left").select("row", "t", "starts")
     schema = joined.select("row", F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_removed"), F.col("t").alias("kept")).schema
 
     def one(piece: pa.RecordBatch) -> pa.RecordBatch:

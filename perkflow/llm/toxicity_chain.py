@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from perkflow.llm.carry import packed, with_text
 from perkflow.llm.components import materialise
 from perkflow.llm.text import (
     _BYTE_VALUE, _powers, LETTER_DIGIT, LOWER, Words, by_piece, mix, row_of, split_words,
@@ -220,22 +221,26 @@ def fit(training: DataFrame, features: int = FEATURES, folds: int = FOLDS) -> Ch
     return Chain(slot, scale, weights, best_limit(out[:, -1], toxic))
 
 
-def score(docs: DataFrame, chain: Chain, text: str = "text") -> DataFrame:
-    """Each row of ``docs`` as ``row`` with a probability per category (``p_...``) and the verdict ``is_toxic``."""
+def score(docs: DataFrame, chain: Chain, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """Each row of ``docs`` as ``row`` (struct of its kept columns; default: all) and ``t`` (its text, if kept)
+    with a probability per category (``p_...``) and the verdict ``is_toxic``."""
     model = docs.sparkSession.sparkContext.broadcast(chain)
-    cols = docs.select(F.struct(*docs.columns).alias("row"), F.col(text).alias("t"))
+    cols = docs.select(*packed(docs, text, keep))
     names = [f"p_{c}" for c in NAMES]
-    schema = cols.select("row", *[F.lit(0.0).alias(c) for c in names]).schema
+    back = ["row", *(["t"] if with_text(keep, text) else [])]
+    schema = cols.select(*back, *[F.lit(0.0).alias(c) for c in names]).schema
 
     def one(piece: pa.RecordBatch) -> pa.RecordBatch:
         p = model.value.predict(model.value.rates(piece.column("t")))
-        return pa.RecordBatch.from_arrays([piece.column("row"), *[pa.array(p[:, c]) for c in range(len(names))]], names=schema.names)
+        own = [piece.column(c) for c in back]
+        return pa.RecordBatch.from_arrays([*own, *[pa.array(p[:, c]) for c in range(len(names))]], names=schema.names)
 
     return cols.mapInArrow(by_piece("t", one), schema).withColumn("is_toxic", F.col("p_toxic") >= chain.limit)
 
 
 def classify(
     docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", flag: str = "toxic", labelled: int = LABELLED,
+    keep: list[str] | None = None,
 ) -> DataFrame:
     """Fit the chain on labelled rows of ``docs`` and score all of them.
 
@@ -244,4 +249,4 @@ def classify(
     labelled twice counts as toxic if either says so; repeated rows score
     alike; an empty table gives an empty result.
     """
-    return score(docs, fit(labelled_rows(docs, labels, doc_id, text, flag, labelled)), text)
+    return score(docs, fit(labelled_rows(docs, labels, doc_id, text, flag, labelled)), text, keep)
