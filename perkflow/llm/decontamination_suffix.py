@@ -29,6 +29,8 @@ from perkflow.llm.text import LETTER_DIGIT, by_piece, dense_rank, expand, ngram_
 
 WINDOW = 13
 BLOCK_CHARS = 16_000_000
+#: Text of one suffix array.
+SHARD_BYTES = 2 << 20
 
 #: Longest verbatim match of one item in one document.
 MATCH = T.StructType(
@@ -187,7 +189,7 @@ def _scan_block(docs: DataFrame, block, window: int, text_back: bool) -> DataFra
         }
         return pa.RecordBatch.from_arrays([columns[f.name] for f in schema.fields], names=schema.names)
 
-    return docs.mapInArrow(by_piece("t", one), schema)
+    return docs.mapInArrow(by_piece("t", one, SHARD_BYTES), schema)
 
 
 def find_contamination(

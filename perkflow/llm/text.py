@@ -13,7 +13,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 
 #: Byte tables: True where a byte belongs to a word.
 NOT_SPACE = np.ones(256, bool)
@@ -187,11 +187,11 @@ def expand(start: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.repeat(start - first, count) + np.arange(total)
 
 
-def by_piece(text: str, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None]) -> Callable:
+def by_piece(text: str, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], limit: int = PIECE_BYTES) -> Callable:
     """A mapInArrow function that applies ``fn`` to pieces of bounded text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches, text):
+        for piece in pieces(batches, text, limit):
             out = fn(piece)
             if out is not None and out.num_rows:
                 yield out
