@@ -268,3 +268,10 @@ def test_mixing_odd_rows(docs_of):
     mixed = mixing.mix(docs)
     assert mixed.columns == docs.columns and mixed.count() == sum(r["copies"] for r in planned)
     assert mixing.mix(docs_of([])).count() == 0
+
+
+def test_pii_in_a_log_of_many_addresses(docs_of):
+    """Thousands of spans in one text, some of them invalid."""
+    text = "\n".join(f"10.{i % 256}.{i // 256}.{i % 300} user{i}@host{i % 7}.example.com {4000000000000000 + i}" for i in range(6000))
+    got = pii_boosting.find_spans(docs_of([(1, text), (2, "none")])).where("row.doc_id = 1").select("base").first()[0]
+    assert [(s["start"], s["kind"], s["end"]) for s in got] == brute.personal(text)
