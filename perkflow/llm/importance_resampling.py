@@ -17,6 +17,7 @@ held-out target rows.
 from __future__ import annotations
 
 import math
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -124,28 +125,49 @@ def kth_largest(keys: DataFrame, column: str, k: int) -> float:
     return lo
 
 
-def score(
+class Model(NamedTuple):
+    """Log ratio of each bucket, and the labelled target rows: (label_id, fit), fit false for those held out."""
+
+    ratio: np.ndarray
+    picked: DataFrame
+
+
+def _marked(docs: DataFrame, picked: DataFrame, doc_id: str, columns: list) -> DataFrame:
+    """``columns`` and ``fit`` (null for rows that are not picked)."""
+    rows = docs.select(*columns, F.col(doc_id).cast("long").alias("id"))
+    return rows.join(F.broadcast(picked), F.col("id") == F.col("label_id"), "left").drop("id", "label_id")
+
+
+def fit(
     docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", good: str = "quality",
-    labelled: int = LABELLED, seed: int = SEED, keep: list[str] | None = None,
-) -> DataFrame:
-    """Each row of ``docs`` as ``row`` (struct of its kept columns; default: all) and ``t`` (its text, if kept)
-    with ``log_ratio``, ``key`` and ``held_out`` (a target row kept from fitting).
+    labelled: int = LABELLED, seed: int = SEED,
+) -> Model:
+    """The two models, from all of ``docs`` and at most ``labelled`` rows labelled 1.
 
-    Null and empty texts have log ratio 0, as has everything if no label is 1.
-    Labels of null ids or values are ignored; rows of equal id get equal noise.
+    Labels of null ids or values are ignored. Without a label of 1 all ratios are 0.
     """
-    spark = docs.sparkSession
-    mark = F.xxhash64(F.col(doc_id).cast("long"), F.lit(seed))
     picked = labels.where((F.col(good) == 1) & F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("label_id")).distinct()
     order = F.xxhash64("label_id", F.lit(seed + 1))
     picked = picked.orderBy(order, "label_id").limit(labelled).select("label_id", (F.pmod(order, F.lit(2)) == 0).alias("fit"))
     picked = materialise(picked, "labelled")  # at most ``labelled`` rows, so small enough to broadcast
-    rows = docs.select(*packed(docs, text, keep), F.col(doc_id).cast("long").alias("id"), mark.alias("mark"))
-    rows = rows.join(F.broadcast(picked), F.col("id") == F.col("label_id"), "left")
-    ratio = spark.sparkContext.broadcast(fit_log_ratio(rows.select("t", F.coalesce("fit", F.lit(False)).alias("target"))))
+    rows = _marked(docs, picked, doc_id, [F.col(text).alias("t")])
+    return Model(fit_log_ratio(rows.select("t", F.coalesce("fit", F.lit(False)).alias("target"))), picked)
+
+
+def score(
+    docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", seed: int = SEED, keep: list[str] | None = None,
+) -> DataFrame:
+    """Each row of ``docs`` as ``row`` (struct of its kept columns; default: all) and ``t`` (its text, if kept)
+    with ``log_ratio``, ``key`` and ``held_out`` (a target row kept from fitting).
+
+    Null and empty texts have log ratio 0. Rows of equal id get equal noise.
+    """
+    mark = F.xxhash64(F.col(doc_id).cast("long"), F.lit(seed)).alias("mark")
+    rows = _marked(docs, model.picked, doc_id, [*packed(docs, text, keep), mark])
     cols = rows.select("row", "t", "mark", F.coalesce(~F.col("fit"), F.lit(False)).alias("held_out"))
     back = ["row", *(["t"] if with_text(keep, text) else [])]
     schema = cols.select(*back, "mark", "held_out", F.lit(0.0).alias("log_ratio")).schema
+    ratio = docs.sparkSession.sparkContext.broadcast(model.ratio)
 
     def one(piece: pa.RecordBatch) -> pa.RecordBatch:
         total = sum(_row_sums(ratio.value[bucket], first) for bucket, first in ngram_buckets(piece.column("t")))
@@ -171,16 +193,22 @@ def calibrated_k(keys: DataFrame, recall: float = RECALL) -> int:
 
 
 def select_quality(
-    docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int | None = None, **options
+    docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int | None = None,
+    keep: list[str] | None = None, **options,
 ) -> DataFrame:
     """The rows of ``score`` with ``log_ratio``, ``key`` and ``selected``; ``k`` None: calibrated.
 
-    The keys alone are written, for k and its limit; the rows are scored again
-    when they are read, which gives the same keys. An empty table gives an
-    empty result; repeated rows are selected together.
+    What is scored is written once. If the text is kept, the keys alone are
+    written, for k and its limit, and the rows are scored again when they are
+    read, which gives the same keys. An empty table gives an empty result;
+    repeated rows are selected together.
     """
-    scored = score(docs, labels, doc_id, text, **options)
-    keys = materialise(score(docs, labels, doc_id, text, **{**options, "keep": []}).select("key", "held_out"), "keys")
+    model = fit(docs, labels, doc_id, text, **options)
+    if with_text(keep, text):
+        keys = materialise(score(docs, model, doc_id, text, keep=[]).select("key", "held_out"), "keys")
+        scored = score(docs, model, doc_id, text, keep=keep)
+    else:
+        keys = scored = materialise(score(docs, model, doc_id, text, keep=keep), "scores")
     return gumbel_top_k(scored, keys, calibrated_k(keys) if k is None else k).drop("held_out")
 
 

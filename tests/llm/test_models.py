@@ -49,8 +49,9 @@ def test_resampling_is_top_k_of_the_keys(spark, mid):
 def test_resampling_log_ratio_against_plain_counts(spark, docs_of):
     data = [(1, "abcdef abcdef"), (2, "abcdef"), (3, "qqqq qqqq"), (4, ""), (5, None)]
     labels = labels_of(spark, [(i, 1, 0) for i in (1, 2)])
-    got = {r["row"]["doc_id"]: r["log_ratio"] for r in importance_resampling.score(docs_of(data), labels).collect()}
-    held = {r["row"]["doc_id"] for r in importance_resampling.score(docs_of(data), labels).where("held_out").collect()}
+    scored = importance_resampling.score(docs_of(data), importance_resampling.fit(docs_of(data), labels)).collect()
+    got = {r["row"]["doc_id"]: r["log_ratio"] for r in scored}
+    held = {r["row"]["doc_id"] for r in scored if r["held_out"]}
     raw, target = np.ones(importance_resampling.BUCKETS), np.ones(importance_resampling.BUCKETS)
     grams = {d: np.concatenate([b for b, _ in importance_resampling.ngram_buckets(pa.array([t or ""]))]) for d, t in data}
     for d, g in grams.items():
