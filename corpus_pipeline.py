@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from perkflow.llm import decontamination_suffix, importance_resampling, mixing, queries, simhash_bktree
-from perkflow.llm.components import materialise
+from perkflow.llm.components import discard, materialise
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,6 +55,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; the result is the last stage's."""
     docs = queries.table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
+    for k, (name, stage) in enumerate(STAGES):
+        before, docs = docs, materialise(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
+        if k:
+            discard(before)
     return docs

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import gc
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perkflow.session import scratch_path
+from perkflow.sources import folders
+
+_WRITTEN: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -18,7 +22,15 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     # Shuffle files of a finished query go once the driver has dropped its handles; ask for that now.
     gc.collect()
     spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _WRITTEN[out] = path
+    return out
+
+
+def discard(*written: DataFrame) -> None:
+    """Delete materialised tables that nothing reads any more (all that came of them is written itself)."""
+    for df in written:
+        folders.remove(df.sparkSession, _WRITTEN.pop(df))
 
 
 def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
@@ -41,7 +53,8 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.unionByName(low.select("u", F.col("m").alias("v"))).where("u != v").distinct()
-        edges = materialise(small, "links")
+        old, edges = edges, materialise(small, "links")
+        discard(old)
         after = _state(edges)
         if after == before:
             break

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from perkflow.llm.carry import packed
-from perkflow.llm.components import materialise
+from perkflow.llm.components import discard, materialise
 from perkflow.llm.decontamination_suffix import covered
 from perkflow.llm.text import (
     NOT_SPACE, _powers, by_piece, expand, join_words, mix, ngram_ranks, dense_rank, row_of, split_words, whole_groups,
@@ -79,10 +79,14 @@ def _index(docs: DataFrame, window: int, m: int) -> DataFrame:
     return docs.where("d IS NOT NULL").mapInArrow(by_piece("t", one), "mini long, d long, h long, start int, n int")
 
 
-def _packed(docs: DataFrame, index: DataFrame, window: int) -> DataFrame:
-    """The strings of the super-k-mers whose minimiser occurs in two documents or more."""
+def _wanted(index: DataFrame) -> DataFrame:
+    """(d, h, cuts): the super-k-mers of each document whose minimiser occurs in two documents or more."""
     shared = index.groupBy("mini").agg(F.min("d").alias("a"), F.max("d").alias("b")).where("a < b").select("mini")
-    wanted = index.join(shared, "mini").groupBy("d", "h").agg(F.collect_set(F.struct("start", "n", "mini")).alias("cuts"))
+    return index.join(shared, "mini").groupBy("d", "h").agg(F.collect_set(F.struct("start", "n", "mini")).alias("cuts"))
+
+
+def _strings(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
+    """The strings of the wanted super-k-mers, cut from the documents."""
 
     def one(piece: pa.RecordBatch) -> pa.RecordBatch:
         w = split_words(piece.column("t"), NOT_SPACE)
@@ -195,9 +199,14 @@ def remove_repeats(
     base = docs.select(*packed(docs, text, keep), F.col(doc_id).cast("long").alias("d"), F.xxhash64(text).alias("h"))
     rows = base.select("d", "h", "t")
     index = materialise(_index(rows, window, m), "superkmer-index")
-    strings = materialise(_packed(rows, index, window), "superkmers")
+    wanted = materialise(_wanted(index), "superkmers-wanted")
+    discard(index)
+    strings = materialise(_strings(rows, wanted, window), "superkmers")
+    discard(wanted)
     counted = materialise(_counted(strings, window, bucket_rows), "windows")
-    joined = base.join(_removals(strings, counted), ["d", "h"], "left").select("row", "t", "starts")
+    removals = materialise(_removals(strings, counted), "removals")
+    discard(strings, counted)
+    joined = base.join(removals, ["d", "h"], "left").select("row", "t", "starts")
     schema = joined.select("row", F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_removed"), F.col("t").alias("kept")).schema
 
     def one(piece: pa.RecordBatch) -> pa.RecordBatch:
