@@ -37,14 +37,6 @@ class Words(NamedTuple):
     end: np.ndarray
     rows: np.ndarray
 
-    def text(self, a: int, b: int) -> bytes:
-        """Words a..b-1 joined by one space."""
-        raw = self.data.tobytes() if b - a > 64 else None
-        s, e = self.start, self.end
-        if raw is not None:
-            return b" ".join([raw[s[i] : e[i]] for i in range(a, b)])
-        return b" ".join([self.data[s[i] : e[i]].tobytes() for i in range(a, b)])
-
 
 def plain(column: pa.Array | pa.ChunkedArray) -> pa.Array:
     """One contiguous string array, nulls read as empty text."""
