@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from perkflow.llm.text import Words, dense_rank, expand, pieces, plain, word_hashes
+from perkflow.llm.text import LOWER, Words, dense_rank, expand, pieces, plain, word_hashes
 
 SHARD_TOKENS = 1 << 20
 BLOCK_BITS = 1 << 16
@@ -167,26 +167,43 @@ class WaveletMatrix:
         return cur
 
 
-_LATIN_LOWER = np.arange(256, dtype=np.uint8)
-_LATIN_LOWER[[*range(0x41, 0x5B), *range(0xC0, 0xD7), *range(0xD8, 0xDF)]] += 0x20
-#: 0: space or line feed, 1: letter, 2: other ASCII but the apostrophe, 3: anything else.
+#: Kinds of bytes. 0: space or line feed, 1: ASCII letter or part of a Latin-1 letter, 2: other visible ASCII but the
+#: apostrophe, 3: anything else.
 _KIND = np.full(256, 3, np.uint8)
 _KIND[[0x20, 0x0A]] = 0
-_KIND[[*range(0x61, 0x7B), *range(0xDF, 0xF7), *range(0xF8, 0x100)]] = 1
+_KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = 1
 _KIND[[c for c in range(0x21, 0x7F) if not chr(c).isalpha() and c != 0x27]] = 2
-_SIMPLE = bytes(c for c in range(256) if _KIND[_LATIN_LOWER[c]] != 3)
+
+
+def byte_kinds(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(kind of each byte, bytes in lower case) of UTF-8 text; a chunk between spaces that holds kind 3 is all kind 3, as written."""
+    kind, low = _KIND[raw], LOWER[raw]
+    lead = np.flatnonzero(raw[:-1] == 0xC3)
+    second = raw[lead + 1]
+    lead = lead[(second >= 0x80) & (second != 0x97) & (second != 0xB7)]
+    kind[lead] = kind[lead + 1] = 1
+    low[lead + 1] += np.where(raw[lead + 1] <= 0x9E, 0x20, 0).astype(np.uint8)
+    kind[np.flatnonzero((raw[:-1] == 0x3C) & (raw[1:] == 0x7C))] = 3  # "<|" may begin a special token
+    if (kind == 3).any():
+        edge = np.diff(np.concatenate([[0], (kind != 0).astype(np.int8), [0]]))
+        start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        odd = np.concatenate([[0], np.cumsum(kind == 3)])
+        whole = odd[end] > odd[start]
+        kind[expand(start[whole], end[whole] - start[whole])] = 3
+        low = np.where(kind == 3, raw, low)
+    return kind, low
 
 
 class Encoder:
     """The tokenizers library behind a memory of parts already encoded.
 
     This family of tokenizers (lower case; letters, single digits and other
-    characters apart; white space dropped) encodes runs of letters and of other
-    characters independently of their neighbours, so for texts of Latin-1
-    letters, ASCII signs, spaces and line feeds each different run is encoded
-    once. Runs are known by a 64-bit hash. Any other text, and any with an
-    apostrophe or "<|", goes to the library whole. ``splits`` says whether the
-    tokenizer is of that family; if not, all texts do.
+    characters apart; white space dropped) encodes chunks between spaces, and
+    in them runs of letters and of signs, independently of their neighbours.
+    So each different run is encoded once. A chunk with an apostrophe, "<|", a
+    control character or any character but ASCII and Latin-1 letters is one
+    part as it stands. Parts are known by a 64-bit hash. ``splits`` says
+    whether the tokenizer is of that family; if not, it gets whole texts.
     """
 
     def __init__(self, tokenizer: Tokenizer, end_id: int, splits: bool):
@@ -198,8 +215,8 @@ class Encoder:
         self.at, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.ids = np.array([self.end_id], np.uint32)
 
-    def _learn(self, keys: np.ndarray, parts: list[str]) -> None:
-        word = np.array([p[0].isalpha() for p in parts], bool)
+    def _learn(self, keys: np.ndarray, parts: list[str], word: np.ndarray) -> None:
+        """Encode new parts; those marked ``word`` are runs of letters, which the library takes in one go."""
         letters = [p for p, w in zip(parts, word, strict=True) if w]
         got = self.tokenizer.encode(" ".join(letters), add_special_tokens=False) if letters else None
         sizes = np.zeros(len(parts), np.int64)
@@ -218,10 +235,15 @@ class Encoder:
         sort = np.argsort(keys)
         self.keys, self.at, self.size = keys[sort], np.concatenate([self.at, at])[sort], np.concatenate([self.size, sizes])[sort]
 
-    def _simple(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        buf = _LATIN_LOWER[np.frombuffer(b" ".join(raw) + b" ", np.uint8)]
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, each with the end id; number of ids of each text."""
+        if not self.splits:
+            got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            each = [np.array([*e.ids, self.end_id], np.uint32) for e in got]
+            return np.concatenate(each), np.array([len(x) for x in each], np.int64)
+        raw = [t.encode() for t in texts]
         ends = np.cumsum([len(r) + 1 for r in raw])
-        kind = _KIND[buf]
+        kind, buf = byte_kinds(np.frombuffer(b" ".join(raw) + b" ", np.uint8))
         change = np.flatnonzero(kind[1:] != kind[:-1]) + 1
         start = np.concatenate([[0], change])
         end = np.append(change, len(buf))
@@ -241,7 +263,8 @@ class Encoder:
         if not known.all():
             text = buf.tobytes()
             new = first[~known]
-            self._learn(keys[~known], [text[a:b].decode("latin-1") for a, b in zip(start[new].tolist(), end[new].tolist(), strict=True)])
+            parts = [text[a:b].decode() for a, b in zip(start[new].tolist(), end[new].tolist(), strict=True)]
+            self._learn(keys[~known], parts, kind[start[new]] == 1)
             slot = np.searchsorted(self.keys, keys)
         at = np.insert(self.at[slot][rank], w.rows[1:], 0)
         size = np.insert(self.size[slot][rank], w.rows[1:], 1)
@@ -249,27 +272,6 @@ class Encoder:
         bounds = sums[w.rows + np.arange(len(w.rows))]
         return self.ids[expand(at, size)], np.diff(bounds)
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts one after the other, each with the end id; number of ids of each text."""
-        raw: list[bytes] = []
-        simple = np.zeros(len(texts), bool)
-        for i, t in enumerate(texts if self.splits else []):
-            try:
-                b = t.encode("latin-1")
-            except UnicodeEncodeError:
-                continue
-            if not b.translate(None, _SIMPLE) and b"<|" not in b:
-                simple[i] = True
-                raw.append(b)
-        ids, counts = self._simple(raw) if raw else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
-        if simple.all():
-            return ids, counts
-        rest = self.tokenizer.encode_batch_fast([t for t, s in zip(texts, simple, strict=True) if not s], add_special_tokens=False)
-        other = iter([np.array([*e.ids, self.end_id], np.uint32) for e in rest])
-        quick = iter(np.split(ids, np.cumsum(counts)[:-1]))
-        each = [next(quick) if s else next(other) for s in simple]
-        return np.concatenate(each), np.array([len(x) for x in each], np.int64)
-
 
 _ENCODERS: dict[tuple, Encoder] = {}
 

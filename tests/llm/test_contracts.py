@@ -169,6 +169,22 @@ def test_token_shards_odd_rows(spark, docs_of, scratch, name):
     assert where == np.flatnonzero(flat == flat[40]).tolist()
 
 
+def test_encoder_equals_the_library_on_any_text():
+    """Random mixes of characters that a shortcut could get wrong."""
+    t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    enc = token_shards.Encoder(t, 2, token_shards.splits_words(t))
+    assert enc.splits
+    rng = np.random.default_rng(6)
+    pool = [*"abcXYZ  \n\t\r'’\"123.,-!?#<|>éÉèß×÷ŸÿñÀÞªµºœſİıΣσςкЖ漢字😀", "\u0301", "\u00a0", "\u2003", "\x00", "\x1f",
+            "<|endoftext|>", "<|startoftext|>", "don't", "'S", "'ll", "Å", "ﬁ", "ǅ", "<|"]
+    for _ in range(60):
+        texts = ["".join(rng.choice(pool, rng.integers(0, 50))) for _ in range(20)]
+        ids, sizes = enc.encode(texts)
+        want = [[*e.ids, 2] for e in t.encode_batch(texts, add_special_tokens=False)]
+        assert sizes.tolist() == [len(w) for w in want]
+        assert ids.tolist() == sum(want, [])
+
+
 def test_token_shards_empty(spark, docs_of, scratch):
     token_shards.write_shards(docs_of([]), scratch, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
     assert token_shards.read_documents(spark, scratch).count() == 0
