@@ -30,7 +30,7 @@ from perkflow.llm.text import LOWER, Words, dense_rank, expand, pieces, plain, w
 SHARD_TOKENS = 1 << 20
 BLOCK_BITS = 1 << 16
 #: Parts that an encoder remembers before it starts afresh (about 30 bytes each).
-MEMO_PARTS = 1_500_000
+MEMO_PARTS = 3_000_000
 
 _HEAD = struct.Struct("<4sIQQ")
 _MAGIC = b"WVM1"
