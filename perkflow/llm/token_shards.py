@@ -31,6 +31,8 @@ SHARD_TOKENS = 1 << 20
 BLOCK_BITS = 1 << 16
 #: Parts that an encoder remembers before it starts afresh (about 30 bytes each).
 MEMO_PARTS = 3_000_000
+#: Parts learnt before they are merged into the large sorted arrays.
+LATEST_PARTS = 100_000
 
 _HEAD = struct.Struct("<4sIQQ")
 _MAGIC = b"WVM1"
@@ -211,10 +213,27 @@ class Encoder:
         self._reset()
 
     def _reset(self) -> None:
-        self.keys = np.zeros(0, np.uint64)
-        self.at, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        nothing = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        #: sorted keys, places in ids, numbers of ids: of most parts, and of the latest
+        self.known, self.latest = nothing, nothing
         self.ids = np.array([self.end_id], np.uint32)
 
+    def _find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place, number of ids) of each part; place -1 for a new one."""
+        at, size = np.full(len(keys), -1, np.int64), np.zeros(len(keys), np.int64)
+        for own, places, sizes in (self.known, self.latest):
+            if len(own):
+                slot = np.minimum(np.searchsorted(own, keys), len(own) - 1)
+                hit = own[slot] == keys
+                at[hit], size[hit] = places[slot[hit]], sizes[slot[hit]]
+        return at, size
+
+    @staticmethod
+    def _merged(a: tuple, b: tuple) -> tuple:
+        keys = np.concatenate([a[0], b[0]])
+        sort = np.argsort(keys)
+        return (keys[sort], *(np.concatenate([x, y])[sort] for x, y in zip(a[1:], b[1:], strict=True)))
+
     def _learn(self, keys: np.ndarray, parts: list[str], word: np.ndarray) -> None:
         """Encode new parts; those marked ``word`` are runs of letters, which the library takes in one go."""
         letters = [p for p, w in zip(parts, word, strict=True) if w]
@@ -231,9 +250,10 @@ class Encoder:
         at = np.empty(len(parts), np.int64)
         at[order] = len(self.ids) + np.cumsum(sizes[order]) - sizes[order]
         self.ids = np.concatenate(ids)
-        keys = np.concatenate([self.keys, keys])
-        sort = np.argsort(keys)
-        self.keys, self.at, self.size = keys[sort], np.concatenate([self.at, at])[sort], np.concatenate([self.size, sizes])[sort]
+        self.latest = self._merged(self.latest, (keys, at, sizes))
+        if len(self.latest[0]) > LATEST_PARTS:
+            self.known = self._merged(self.known, self.latest)
+            self.latest = tuple(x[:0] for x in self.latest)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, each with the end id; number of ids of each text."""
@@ -254,20 +274,17 @@ class Encoder:
         rank, order, distinct = dense_rank(hashes)
         first = order[np.flatnonzero(np.diff(rank[order], prepend=-1))]
         keys = hashes[first]
-        if len(self.keys) + distinct > MEMO_PARTS:
+        if len(self.known[0]) + len(self.latest[0]) + distinct > MEMO_PARTS:
             self._reset()
-        slot = np.searchsorted(self.keys, keys)
-        known = np.zeros(len(keys), bool)
-        inside = slot < len(self.keys)
-        known[inside] = self.keys[slot[inside]] == keys[inside]
-        if not known.all():
+        place, count = self._find(keys)
+        if (place < 0).any():
             text = buf.tobytes()
-            new = first[~known]
+            new = first[place < 0]
             parts = [text[a:b].decode() for a, b in zip(start[new].tolist(), end[new].tolist(), strict=True)]
-            self._learn(keys[~known], parts, kind[start[new]] == 1)
-            slot = np.searchsorted(self.keys, keys)
-        at = np.insert(self.at[slot][rank], w.rows[1:], 0)
-        size = np.insert(self.size[slot][rank], w.rows[1:], 1)
+            self._learn(keys[place < 0], parts, kind[start[new]] == 1)
+            place, count = self._find(keys)
+        at = np.insert(place[rank], w.rows[1:], 0)
+        size = np.insert(count[rank], w.rows[1:], 1)
         sums = np.concatenate([[0], np.cumsum(size)])
         bounds = sums[w.rows + np.arange(len(w.rows))]
         return self.ids[expand(at, size)], np.diff(bounds)
