@@ -102,8 +102,17 @@ class Catalogue:
         )
 
 
+def _own(good: Column) -> Column:
+    """The templates that matched something of their own: left out if a better one matched every shingle they did."""
+
+    def explained(s: Column) -> Column:
+        return F.exists(good, lambda x: (x["containment"] > s["containment"]) & (F.size(F.array_except(s["held"], x["held"])) == 0))
+
+    return F.transform(F.filter(good, lambda s: ~explained(s)), lambda s: s.dropFields("held"))
+
+
 def _window_matches(w: Column, k: Column, size: int, catalogue: Catalogue) -> Column:
-    """Verified templates of one window: (name, template, word, containment), the best containment only."""
+    """Verified templates of one window: (name, template, word, containment), see ``_own``."""
     at = places(k * size, F.least((k + 2) * size, F.size(w) - (SHINGLE - 1)))
 
     def verify(idx: Column) -> Column:
@@ -113,14 +122,13 @@ def _window_matches(w: Column, k: Column, size: int, catalogue: Catalogue) -> Co
         def contained(found: Column) -> Column:
             def share(texts: Column) -> Column:
                 scored = F.transform(
-                    found,
-                    lambda t: F.struct(
-                        t["name"].alias("name"), t["n"].alias("template"), (k * size).alias("word"),
-                        (F.size(F.array_intersect(t["texts"], texts)) / F.size(t["texts"])).alias("containment"),
+                    F.transform(found, lambda t: F.struct(t.alias("t"), F.array_intersect(t["texts"], texts).alias("held"))),
+                    lambda s: F.struct(
+                        s["t"]["name"].alias("name"), s["t"]["n"].alias("template"), (k * size).alias("word"),
+                        (F.size(s["held"]) / F.size(s["t"]["texts"])).alias("containment"), s["held"].alias("held"),
                     ),
                 )
-                good = F.filter(scored, lambda s: s["containment"] >= CONTAINMENT)
-                return let(good, lambda g: F.filter(g, lambda s: s["containment"] == F.array_max(F.transform(g, lambda x: x["containment"]))))
+                return let(F.filter(scored, lambda s: s["containment"] >= CONTAINMENT), _own)
 
             return let(F.transform(idx, lambda i: shingle_text(w, i)), share)
 
@@ -154,7 +162,9 @@ def scan(docs: DataFrame, text: str = "text", templates=TEMPLATES) -> DataFrame:
     """Each row of ``docs`` as ``row`` with ``matches`` and ``licenses`` (sorted distinct names).
 
     A template is reported where at least 0.8 of its shingles lie in one window
-    of its class and no other template of the class has more of its own there.
+    of its class, unless another template of the class has more of its own there
+    and holds all the shingles that matched: "version 3 of the License" tells
+    GPL-3.0 from GPL-2.0, and a second notice in the window stays.
     Templates of under five words have no shingles and are ignored; texts of
     under five words and nulls have no matches; repeated rows are scanned
     alike; an empty table or catalogue gives no matches.

@@ -153,6 +153,22 @@ def test_license_scan_matches_exact_containment(docs_of):
     assert all(g[1] for g in got if g[0] is not None and 200 <= g[0] < 300)
 
 
+def test_license_scan_keeps_every_notice_of_a_window(docs_of):
+    """An exact notice doesn't hide an edited one beside it; a notice that a better one explains stays out."""
+    by = {n: t for n, t in license_scan.TEMPLATES}
+    mpl, gpl3 = by["MPL-2.0"].replace("distributed", "shipped"), license_scan.TEMPLATES[12][1]
+    edited = gpl3.replace("redistribute", "share")
+    data = [
+        (1, by["MIT"] + " " + mpl), (2, mpl + " " + by["MIT"]), (3, mpl), (4, by["GPL-2.0"]), (5, gpl3), (6, edited),
+        (7, by["LGPL-2.1"]), (8, by["GPL-2.0"] + " " + edited),
+    ]
+    got = dict(license_scan.scan(docs_of(data)).select("row.doc_id", "licenses").collect())
+    assert got == {
+        1: ["MIT", "MPL-2.0"], 2: ["MIT", "MPL-2.0"], 3: ["MPL-2.0"], 4: ["GPL-2.0"], 5: ["GPL-3.0"], 6: ["GPL-3.0"], 7: ["LGPL-2.1"],
+        8: ["GPL-2.0", "GPL-3.0"],
+    }
+
+
 def test_license_scan_empty(docs_of):
     assert license_scan.scan(docs_of([])).count() == 0
     assert license_scan.scan(docs_of([(1, "All rights reserved")]), templates=(("short", "All rights reserved."),)).first()["licenses"] == []
