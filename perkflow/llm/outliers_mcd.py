@@ -36,12 +36,17 @@ REPEAT_WINDOW = 8
 REPEAT_PERCENT = 30
 #: Share of a group's rows that its estimate is made from.
 CORE = 0.75
-#: Largest squared distance kept: chi-square with six degrees of freedom passes it four times in a million rows.
+#: Largest squared distance kept. The floors below keep distances from being chi-square; 99.99 % of the
+#: labelled-good rows of the 0.10 GB table that pass the base rules lie below 33.
 CUT = 35.0
 #: Rows of its language that count beside a group's own.
 BLEND = 100
-#: The smallest spread of each transformed statistic that counts as one unit of distance.
-SPREAD = (0.03, 0.05, 0.2, 0.2, 0.03, 0.06)
+#: The smallest spread of each transformed statistic that counts as one unit of distance, set so that each
+#: can pass ``CUT`` alone: the distance is never above the sum of (difference / spread) squared.
+SPREAD = (0.03, 0.03, 0.1, 0.06, 0.03, 0.06)
+#: Lines and words without repeats that every text is given, as shares of a few of them say little.
+MORE_LINES = 8
+MORE_WORDS = 400
 MAX_STEPS = 8
 
 _SYMBOLS = np.zeros(256, bool)
@@ -118,10 +123,10 @@ def count_texts(docs: DataFrame, keep: list[str], text: str = "text") -> DataFra
 
 def vector() -> list[Column]:
     """The transformed statistics, from the columns of ``COUNTS``."""
-    share = lambda a, b: F.sqrt(F.col(a) / F.greatest(F.col(b), F.lit(1)))
+    share = lambda a, b, more=0: F.sqrt(F.col(a) / F.greatest(F.col(b) + more, F.lit(1)))
     return [
         F.log((F.col("word_chars") + 300) / (F.col("n_words") + 50)), share("n_symbols", "word_chars"),
-        share("n_dup_lines", "n_lines"), share("n_repeat_words", "n_words"), share("n_upper", "word_chars"),
+        share("n_dup_lines", "n_lines", MORE_LINES), share("n_repeat_words", "n_words", MORE_WORDS), share("n_upper", "word_chars"),
         share("n_marks", "word_chars"),
     ]
 

@@ -1,5 +1,6 @@
 """Queries and operators against brute force, on odd rows and on the sf0.01 documents."""
 
+import random
 import zlib
 
 import numpy as np
@@ -253,6 +254,23 @@ def test_op7_keeps_good_and_rejects_junk(spark, mid):
     assert good == 1.0 and junk < 0.2
 
 
+def test_outliers_each_repeat_statistic_rejects_alone(docs_of):
+    """A page of duplicate menu lines, and a long one with a quarter of its words repeated, among ordinary ones of their group."""
+    rng = random.Random(5)
+    words = [f"{a}{b}{c}" for a in ("man", "tor", "lis", "pel") for b in ("a", "e", "io", "u") for c in ("n", "rt", "s", "lm")]
+    some = lambda n: " ".join(rng.choices(words, k=n))
+    data = [(i, "\n".join(some(12) for _ in range(20))) for i in range(150)]
+    menu = [some(1) for _ in range(5)]
+    data.append((500, "\n".join([some(12) for _ in range(8)] + [rng.choice(menu) for _ in range(120)])))
+    head = some(80)
+    data.append((501, "\n".join([head + " " + some(250), head + " " + some(230)])))
+    got = {r["k0"]: r for r in outliers_mcd.judge(docs_of(data), ["doc_id"]).collect()}
+    assert not any(r["base_failed"] for r in got.values())
+    assert got[500]["n_dup_lines"] > 100 and got[500]["n_repeat_words"] * 10 < got[500]["n_words"]
+    assert got[501]["n_dup_lines"] == 0 and got[501]["n_repeat_words"] >= 160
+    assert sorted(d for d, r in got.items() if not r["kept"]) == [500, 501]
+
+
 def test_outliers_odd_rows(docs_of):
     data = ODD + REPEATS + [(30, "x y\nx y\n x y\n\n \nx y", None, None), (31, "### $$$ " * 10, "fr", None)]
     docs = docs_of(data).withColumn("n_words", F.lit("clash")).withColumn("g", F.lit(1))
