@@ -131,9 +131,19 @@ def window_minima(strings: pa.Array, low: np.ndarray, window: int) -> tuple[np.n
     return best[rank], np.searchsorted(row, np.arange(len(w.rows)))
 
 
-def _counted(strings: DataFrame, window: int, bucket_rows: int) -> DataFrame:
+def _over_full(strings: DataFrame, bucket_rows: int) -> DataFrame:
+    """(mini, pieces) of the minimisers of over ``bucket_rows`` different strings; a piece is about an eighth of that."""
+    many = strings.groupBy("mini").count().where(F.col("count") > bucket_rows).select("mini")
+    ids = strings.select("mini", "id").join(F.broadcast(many), "mini", "left_semi").distinct()
+    full = ids.groupBy("mini").count().where(F.col("count") > bucket_rows)
+    return full.select("mini", F.ceil(8 * F.col("count") / bucket_rows).cast("int").alias("pieces"))
+
+
+def _counted(strings: DataFrame, full: DataFrame, window: int, bucket_rows: int) -> DataFrame:
     """(id, lows) of each string that holds a repeat; of over-full buckets (id, place, window, low) instead."""
-    distinct = strings.groupBy("mini", "id", "packed").agg(F.min("d").alias("a"), F.max("d").alias("b"))
+    distinct = strings.groupBy("mini", "id", "packed").agg(F.min("d").alias("a"), F.max("d").alias("b")).join(F.broadcast(full), "mini", "left")
+    piece = F.coalesce(F.pmod(F.xxhash64("id"), F.col("pieces")).cast("int"), F.lit(0))
+    distinct = distinct.withColumn("piece", piece).withColumn("pieces", F.coalesce("pieces", F.lit(0)))
     names = ["id", "lows", "place", "window", "low"]
 
     def whole(part: pa.Table) -> pa.RecordBatch:
@@ -161,12 +171,15 @@ def _counted(strings: DataFrame, window: int, bucket_rows: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, complete in whole_groups(batches, ["mini"], 8_192, bucket_rows):
-            if complete:
-                yield whole(part)
-            else:
-                yield from single(part)
-
-    buckets = distinct.repartition("mini").sortWithinPartitions("mini")
+            split = part.column("pieces").to_numpy() > 0
+            if not complete:
+                split[:] = True
+            if not split.all():
+                yield whole(part.filter(pa.array(~split)))
+            if split.any():
+                yield from single(part.filter(pa.array(split)))
+
+    buckets = distinct.repartition("mini", "piece").sortWithinPartitions("mini")
     return buckets.mapInArrow(run, "id binary, lows array<long>, place int, window string, low long")
 
 
@@ -203,7 +216,9 @@ def remove_repeats(
     discard(index)
     strings = materialise(_strings(rows, wanted, window), "superkmers")
     discard(wanted)
-    counted = materialise(_counted(strings, window, bucket_rows), "windows")
+    full = materialise(_over_full(strings, bucket_rows), "over-full")
+    counted = materialise(_counted(strings, full, window, bucket_rows), "windows")
+    discard(full)
     removals = materialise(_removals(strings, counted), "removals")
     discard(strings, counted)
     joined = base.join(removals, ["d", "h"], "left").select("row", "t", "starts")

@@ -75,6 +75,32 @@ def test_op5_matches_brute_force(spark, mid):
     assert rows(queries.op5_substring_superkmers(spark, SF)) == wanted(brute.repeats(mid[3]))
 
 
+def test_substring_over_full_bucket_goes_to_several_tasks(spark, docs_of, monkeypatch):
+    """A passage shared by 60 documents with different words around it: no one task holds all its strings."""
+    shared = " ".join(f"s{i}" for i in range(70))
+    docs = docs_of([(i, " ".join(f"a{i}x{j}" for j in range(60)) + f" {shared} " + " ".join(f"b{i}x{j}" for j in range(60))) for i in range(60)])
+    seen, write = {}, substring_superkmers.materialise
+
+    def spied(df, name):
+        if name == "windows":
+            df = write(df.withColumn("task", F.spark_partition_id()), name)
+            tasks = df.where("window IS NOT NULL").groupBy("window").agg(F.count("*").alias("n"), F.count_distinct("task").alias("tasks"))
+            seen["tasks"] = max(tasks.where("n > 20").collect(), key=lambda r: r["n"], default={"tasks": 0})["tasks"]
+            return df
+        return write(df, name)
+
+    monkeypatch.setattr(substring_superkmers, "materialise", spied)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key, "true")
+    spark.conf.set(key, "false")
+    try:
+        found = substring_superkmers.remove_repeats(docs, bucket_rows=16).select("row.doc_id", "n_removed").collect()
+    finally:
+        spark.conf.set(key, before)
+    assert dict(found) == {0: 0, **{i: 70 for i in range(1, 60)}}
+    assert seen["tasks"] > 1
+
+
 @pytest.mark.parametrize("bucket_rows", [50_000, 2])
 def test_substring_odd_rows_and_large_buckets(docs_of, bucket_rows):
     words = [f"v{i}" for i in range(400)]
