@@ -110,3 +110,71 @@ WITH t AS (
 SELECT doc_id, coalesce(n_licenses, 0)::BIGINT AS n_licenses, coalesce(licenses, '') AS licenses, coalesce(n_templates, 0)::BIGINT AS n_templates
 FROM d LEFT JOIN named USING (doc_id)
 """
+
+_WHOLE = """embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0"""
+_SCALED = "list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT)"
+
+
+def _codes(book: str) -> str:
+    """Nearest entry of every part: 64 * distance + entry, the smallest."""
+    return f"""
+  SELECT rid, p.part, any_value(p.v) AS v,
+    min(64 * list_sum(list_transform(range(1, len(p.v) + 1), lambda i: (p.v[i] - b.v[i]) * (p.v[i] - b.v[i])))::BIGINT + b.entry) AS best
+  FROM parts p JOIN {book} b ON p.part = b.part GROUP BY rid, p.part"""
+
+
+def _means(codes: str, book: str) -> str:
+    """Entries of ``book`` replaced by the floor of their parts' componentwise mean."""
+    return f"""
+  SELECT part, entry, list(coalesce(m, old) ORDER BY i) AS v
+  FROM (SELECT part, entry, unnest(range(1, len(v) + 1)) AS i, unnest(v) AS old FROM {book})
+  LEFT JOIN (
+    SELECT part, entry, i, (s - ((s % n) + n) % n) // n AS m
+    FROM (SELECT part, best % 64 AS entry, i, sum(x)::BIGINT AS s, count(*) AS n
+          FROM (SELECT part, best, unnest(range(1, len(v) + 1)) AS i, unnest(v) AS x FROM {codes}) GROUP BY ALL)
+  ) USING (part, entry, i) GROUP BY part, entry"""
+
+
+VECTOR_CODES = f"""
+WITH kept AS (
+  SELECT vec_id, label, {_SCALED} AS v, row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS rid
+  FROM embeddings WHERE {_WHOLE}
+), parts AS (
+  SELECT rid, part, list_slice(v, part * (len(v) // 16) + 1, (part + 1) * (len(v) // 16)) AS v
+  FROM kept, (SELECT unnest(range(16)) AS part)
+), book0 AS (
+  SELECT part, rid - 1 AS entry, v FROM parts WHERE rid <= 64
+), codes0 AS MATERIALIZED ({_codes("book0")}
+), book1 AS MATERIALIZED ({_means("codes0", "book0")}
+), codes1 AS MATERIALIZED ({_codes("book1")}
+), book2 AS MATERIALIZED ({_means("codes1", "book1")}
+), codes2 AS MATERIALIZED ({_codes("book2")}
+), coded AS (
+  SELECT rid, string_agg(printf('%02x', best % 64), '' ORDER BY part) AS code, sum(best // 64)::BIGINT AS error
+  FROM codes2 GROUP BY rid
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) FROM book2) AS codebooks_sha256
+FROM kept JOIN coded USING (rid)
+"""
+
+HARD_NEGATIVES = f"""
+WITH vectors AS (
+  SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, {_SCALED} AS v
+  FROM embeddings WHERE label IS NOT NULL AND {_WHOLE}
+), scored AS MATERIALIZED (
+  SELECT a.rid AS anchor, a.vec_id AS anchor_id, o.vec_id AS other_id, a.label = o.label AS same,
+    list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * o.v[i]))::BIGINT AS score
+  FROM vectors a JOIN vectors o ON a.rid <> o.rid WHERE a.vec_id % 50 = 0
+), positives AS (
+  SELECT anchor, anchor_id, other_id AS positive_id, score AS positive_score, place
+  FROM (SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other_id NULLS LAST) AS place FROM scored WHERE same)
+  WHERE place <= 5
+), ranked AS (
+  SELECT p.*, s.other_id AS negative_id, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor, p.place ORDER BY s.score DESC, s.other_id NULLS LAST) AS rank
+  FROM positives p JOIN scored s ON s.anchor = p.anchor AND NOT s.same
+    AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 3
+"""

@@ -6,6 +6,7 @@ table and derives the agreed digest columns from the operator's output.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perkflow.llm import (
-    decontamination_suffix, importance_resampling, license_scan, mixing, oracle_sql, outliers_mcd, pii_boosting, simhash_bktree,
+    active_lloyd, bond_negatives, decontamination_suffix, importance_resampling, license_scan, mixing, oracle_sql, outliers_mcd, pii_boosting, simhash_bktree,
     substring_superkmers, token_shards, toxicity_chain,
 )
 from perkflow.session import scratch_path
@@ -110,6 +111,24 @@ def op10_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("row.doc_id").alias("doc_id"), *[f"p_{c}" for c in toxicity_chain.NAMES], "is_toxic")
 
 
+def op12_active_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code and error of every vector, the error of its label and the checksum of the codebooks."""
+    encoded = active_lloyd.encode(table(spark, sf_dir, "embeddings"))
+    sha = hashlib.sha256(",".join(map(str, encoded.books.ravel().tolist())).encode()).hexdigest()
+    found = active_lloyd.label_errors(encoded, "label")
+    return found.select(
+        F.col("row.vec_id").alias("vec_id"), F.lower(F.hex("code")).alias("code"), "error", "label_error",
+        F.lit(sha).alias("codebooks_sha256"),
+    )
+
+
+def op13_bond_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor and positive; every seventh id's label moves on by one first."""
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return bond_negatives.mine(table(spark, sf_dir, "embeddings"), label=moved)
+
+
 QUERIES: dict[str, Query] = {
     "op1_pii_boosting": op1_pii_boosting,
     "op2_mixing": op2_mixing,
@@ -121,6 +140,8 @@ QUERIES: dict[str, Query] = {
     "op8_simhash_bktree": op8_simhash_bktree,
     "op9_license_scan": op9_license_scan,
     "op10_toxicity_chain": op10_toxicity_chain,
+    "op12_active_lloyd": op12_active_lloyd,
+    "op13_bond_negatives": op13_bond_negatives,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -128,4 +149,6 @@ ORACLE_SQL: dict[str, str] = {
     "op4_suffix_decontamination": oracle_sql.SUFFIX_DECONTAMINATION,
     "op5_substring_superkmers": oracle_sql.SUBSTRING_DEDUP,
     "op9_license_scan": oracle_sql.license_scan(license_scan.TEMPLATES),
+    "op12_active_lloyd": oracle_sql.VECTOR_CODES,
+    "op13_bond_negatives": oracle_sql.HARD_NEGATIVES,
 }

@@ -24,7 +24,7 @@ def test_query_matches_sql(spark, key):
 
 def test_entry_registers_every_operator_once():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry.queries()
 
 
