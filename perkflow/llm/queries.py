@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perkflow.llm import (
-    active_lloyd, bond_negatives, decontamination_suffix, importance_resampling, license_scan, mixing, oracle_sql, outliers_mcd, pii_boosting, simhash_bktree,
+    active_lloyd, bond_negatives, decontamination_suffix, importance_resampling, language_kn, license_scan, mixing, oracle_sql, outliers_mcd, pii_boosting, simhash_bktree,
     substring_superkmers, token_shards, toxicity_chain,
 )
 from perkflow.session import scratch_path
@@ -111,6 +111,12 @@ def op10_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("row.doc_id").alias("doc_id"), *[f"p_{c}" for c in toxicity_chain.NAMES], "is_toxic")
 
 
+def op11_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    found = language_kn.identify(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.select(F.col("row.doc_id").alias("doc_id"), "held_out", "lang_pred", "score", "cross_entropy", "rejected")
+
+
 def op12_active_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Code and error of every vector, the error of its label and the checksum of the codebooks."""
     encoded = active_lloyd.encode(table(spark, sf_dir, "embeddings"))
@@ -140,6 +146,7 @@ QUERIES: dict[str, Query] = {
     "op8_simhash_bktree": op8_simhash_bktree,
     "op9_license_scan": op9_license_scan,
     "op10_toxicity_chain": op10_toxicity_chain,
+    "op11_kneser_ney": op11_kneser_ney,
     "op12_active_lloyd": op12_active_lloyd,
     "op13_bond_negatives": op13_bond_negatives,
 }
