@@ -9,8 +9,8 @@ neighbouring places on one diagonal join to the longest verbatim match.
 The benchmark is the stated query set. It is read in blocks of at most about
 ``BLOCK_CHARS`` characters, each a broadcast of bounded size; a benchmark of
 several blocks takes one narrow step per block over the documents, no shuffle.
-Words are compared by 64-bit hashes (chance of any false equality below 1e-6
-for 10 million different words; a 13-word window needs thirteen of them).
+Words are looked up by 64-bit hashes and compared by their bytes, so a match is
+verbatim whatever the hashes do.
 """
 
 from __future__ import annotations
@@ -25,10 +25,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from perkflow.llm.carry import packed, unpacked, with_text
-from perkflow.llm.text import LETTER_DIGIT, by_piece, dense_rank, expand, ngram_ranks, row_of, split_words, word_hashes
+from perkflow.llm.components import discard, materialise
+from perkflow.llm.text import LETTER_DIGIT, Words, by_piece, expand, ngram_ranks, row_of, same_words, split_words, word_hashes, word_ranks
 
 WINDOW = 13
 BLOCK_CHARS = 16_000_000
+#: Blocks searched in one stage, each by a worker of its own; what they found is then written.
+CHAINED = 4
 #: Text of one suffix array.
 SHARD_BYTES = 2 << 20
 
@@ -44,28 +47,42 @@ MATCH = T.StructType(
 
 
 class Suffixes(NamedTuple):
-    """A block of benchmark items: ids, word hashes, first word of each item (one more than items)."""
+    """A block of benchmark items: ids, words, word hashes, first word of each item (one more than items)."""
 
     ids: list[str]
+    words: Words
     hashes: np.ndarray
     rows: np.ndarray
 
     @classmethod
     def of(cls, ids: list, texts: list) -> Suffixes:
         w = split_words(pa.array(texts, pa.string()), LETTER_DIGIT, lower=True)
-        return cls([None if i is None else str(i) for i in ids], word_hashes(w), w.rows)
+        return cls([None if i is None else str(i) for i in ids], w, word_hashes(w), w.rows)
 
 
 class SuffixArray:
     """Word suffixes of one shard, in the order of their first ``depth`` words; rows end a suffix."""
 
-    def __init__(self, hashes: np.ndarray, rows: np.ndarray, depth: int):
-        n = len(hashes)
-        self.ids, order, distinct = dense_rank(hashes)
-        self.known = hashes[order][np.flatnonzero(np.diff(self.ids[order], prepend=-1))]
-        self.stop = np.repeat(rows[1:], np.diff(rows))
-        self.order = ngram_ranks(self.ids, self.stop, depth)[1] if depth > 1 else order
-        self.first = np.searchsorted(self.ids[self.order], np.arange(distinct + 1)) if n else np.zeros(1, np.int64)
+    def __init__(self, words: Words, depth: int):
+        self.words = words
+        self.ids, self.example, self.known = word_ranks(words)
+        self.stop = np.repeat(words.rows[1:], np.diff(words.rows))
+        self.order = ngram_ranks(self.ids, self.stop, depth)[1]
+        self.first = np.searchsorted(self.ids[self.order], np.arange(len(self.known) + 1)) if len(self.ids) else np.zeros(1, np.int64)
+
+    def find(self, items: Suffixes) -> np.ndarray:
+        """The shard's id of each benchmark word; -2 for words that the shard doesn't hold."""
+        found = np.full(len(items.hashes), -2, np.int64)
+        at = np.searchsorted(self.known, items.hashes)
+        open_ = np.arange(len(at))
+        while len(open_):  # once, but for different words of one hash
+            open_ = open_[at[open_] < len(self.known)]
+            open_ = open_[self.known[at[open_]] == items.hashes[open_]]
+            same = same_words(items.words, open_, self.words, self.example[at[open_]])
+            found[open_[same]] = at[open_[same]]
+            open_ = open_[~same]
+            at[open_] += 1
+        return found
 
     def word(self, place: np.ndarray, depth: int) -> np.ndarray:
         """Word id at ``depth`` of the suffixes at these places of the order; -1 past the row's end."""
@@ -92,12 +109,10 @@ class SuffixArray:
         at = np.arange(len(item)) - items.rows[item]
         need = np.minimum(sizes[item], length)
         q = np.flatnonzero(at + need <= sizes[item])
-        if len(q) == 0 or len(self.ids) == 0:
-            z = np.zeros(0, np.int64)
-            return z, z, z, z
-        found = np.searchsorted(self.known, items.hashes)
-        found = np.where(self.known[np.minimum(found, len(self.known) - 1)] == items.hashes, found, -2)
+        found = self.find(items)
         q = q[found[q] >= 0]
+        if len(q) == 0:
+            return (np.zeros(0, np.int64),) * 4
         lo, hi = self.first[found[q]], self.first[found[q] + 1]
         done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         depth = 1
@@ -165,7 +180,7 @@ def _scan_block(docs: DataFrame, block, window: int, text_back: bool) -> DataFra
         items: Suffixes = block.value
         w = split_words(piece.column("t"), LETTER_DIGIT, lower=True)
         depth = int(np.diff(items.rows).max(initial=1))
-        shard = SuffixArray(word_hashes(w), w.rows, min(depth, window))
+        shard = SuffixArray(w, min(depth, window))
         place, item, at, need = shard.windows(items, window)
         mask = covered(len(w.start), place, need)
         old = piece.column("spans")
@@ -216,11 +231,17 @@ def find_contamination(
         *packed(docs, text, keep), F.lit(0).cast("long").alias("n_words"),
         F.array().cast("array<int>").alias("spans"), F.array().cast(T.ArrayType(MATCH)).alias("matches"),
     )
+    written = None
     for b in range(blocks):
         part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("id", "t"), F.lit(blocks)) == b)
         rows = part.collect()  # at most about block_chars characters
         block = spark.sparkContext.broadcast(Suffixes.of([r[0] for r in rows], [r[1] for r in rows]))
         out = _scan_block(out, block, window, b < blocks - 1 or with_text(keep, text))
+        if b % CHAINED == CHAINED - 1 and b < blocks - 1:
+            before, out = written, materialise(out, "scanned")
+            written = out
+            if before is not None:
+                discard(before)
     even = F.expr("aggregate(sequence(0, size(spans) - 1), 0L, (s, i) -> s + IF(i % 2 = 1, spans[i], -spans[i]))")
     out = out.withColumn("n_hit", F.when(F.size("spans") > 0, even).otherwise(F.lit(0).cast("long")))
     ids = F.filter(F.transform("matches", lambda m: m["item_id"]), lambda i: i.isNotNull())

@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from perkflow.llm.components import materialise
 from perkflow.llm.decontamination_suffix import covered
 from perkflow.llm.text import (
-    NOT_SPACE, Words, _powers, by_piece, dense_rank, mix, row_of, split_words, text_bytes, word_hashes,
+    NOT_SPACE, Words, by_piece, dense_rank, ngram_ranks, row_of, split_words, text_bytes, word_ranks,
 )
 
 MIN_WORDS = 20
@@ -72,11 +72,10 @@ def _repeated(w: Words, window: int) -> np.ndarray:
     n = len(w.start)
     if n < window:
         return np.zeros(n, bool)
-    up, down = _powers(n + 1)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(word_hashes(w) * up[:n])])
-    at = np.flatnonzero(np.repeat(w.rows[1:], np.diff(w.rows)) - np.arange(n) >= window)
-    grams = (sums[at + window] - sums[at]) * down[at]
-    rank, _, distinct = dense_rank(mix(grams) ^ mix(row_of(w)[at].astype(np.uint64) + np.uint64(1)))
+    stop = np.repeat(w.rows[1:], np.diff(w.rows))
+    at = np.flatnonzero(stop - np.arange(n) >= window)
+    grams = ngram_ranks(word_ranks(w).rank, stop, window)[0]
+    rank, _, distinct = dense_rank(grams[at] * len(w.rows) + row_of(w)[at])
     twice = at[np.bincount(rank, minlength=distinct)[rank] > 1]
     return covered(n, twice, np.full(len(twice), window))
 
@@ -90,8 +89,7 @@ def text_counts(column: pa.Array, window: int = REPEAT_WINDOW) -> dict[str, np.n
     sums = np.concatenate([[0], np.cumsum(word_byte)])
     real = sums[lines.end] > sums[lines.start]
     row = row_of(lines)[real]
-    key = mix(word_hashes(lines)[real]) ^ mix(row.astype(np.uint64) + np.uint64(1))
-    rank, order, distinct = dense_rank(key)
+    rank, _, distinct = dense_rank(word_ranks(lines).rank[real] * len(lines.rows) + row)
     owner = np.zeros(distinct, np.int64)
     owner[rank] = row
     rows = len(off) - 1

@@ -31,8 +31,8 @@ from perkflow.llm.carry import packed
 from perkflow.llm.components import discard, materialise
 from perkflow.llm.decontamination_suffix import covered
 from perkflow.llm.text import (
-    NOT_SPACE, _powers, by_piece, expand, join_words, mix, ngram_ranks, dense_rank, row_of, split_words, whole_groups,
-    word_hashes,
+    NOT_SPACE, _powers, by_piece, expand, join_words, mix, ngram_ranks, row_of, split_words, whole_groups,
+    word_hashes, word_ranks,
 )
 
 WINDOW = 50
@@ -121,7 +121,7 @@ def _spaced(w) -> bytes:
 def window_minima(strings: pa.Array, low: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     """Smallest ``low`` of each window's word sequence among all strings: (values, first value of each string)."""
     w = split_words(strings, NOT_SPACE)
-    ids = dense_rank(word_hashes(w))[0]
+    ids = word_ranks(w).rank
     stop = np.repeat(w.rows[1:], np.diff(w.rows))
     at = np.flatnonzero(stop - np.arange(len(ids)) >= window)
     _, rank = np.unique(ngram_ranks(ids, stop, window)[0][at], return_inverse=True)
@@ -206,7 +206,7 @@ def remove_repeats(
     joined by one space. Null texts have no words; rows of null id keep all
     words and remove none; rows of equal id are one document for the
     comparison, and each row is answered. Texts shorter than a window stay. An
-    empty table gives an empty result. Words are compared by 64-bit hashes
+    empty table gives an empty result. Words are compared by their bytes
     inside a bucket, strings between buckets in full.
     """
     base = docs.select(*packed(docs, text, keep), F.col(doc_id).cast("long").alias("d"), F.xxhash64(text).alias("h"))

@@ -12,6 +12,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 PIECE_BYTES = 1 << 20
 
@@ -23,6 +24,11 @@ LETTER_DIGIT[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = Tr
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 
+#: Words of more bytes are hashed and compared one by one.
+LONG_WORD = 64
+#: The low bytes of a block that a word reaches into.
+_MASKS = np.array([(1 << (8 * n)) - 1 for n in range(9)], np.uint64)
+
 _rng = np.random.default_rng(20240607)
 _BYTE_VALUE = _rng.integers(1, 2**64, 256, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -112,15 +118,83 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def _blocks(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on, as one number (zeros behind the end)."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    return np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+
+
 def word_hashes(w: Words) -> np.ndarray:
-    """A 64-bit hash of each word (polynomial over random byte values; equal words, equal hashes)."""
-    n = len(w.data)
-    if len(w.start) == 0:
-        return np.zeros(0, np.uint64)
-    up, down = _powers(n + 1)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE_VALUE[w.data] * up[:n], out=sums[1:])
-    return mix((sums[w.end] - sums[w.start]) * down[w.start])
+    """A 64-bit hash of each word: its length and 8-byte blocks, scrambled one after the other; XXH64 for long words.
+
+    Equal words have equal hashes. The converse is only likely: see ``same_words`` and ``word_ranks``.
+    """
+    size = w.end - w.start
+    blocks = _blocks(w.data)
+    h = size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    live = np.flatnonzero(size <= LONG_WORD)
+    for j in range(0, LONG_WORD, 8):
+        live = live[size[live] > j]
+        if not len(live):
+            break
+        block = blocks[w.start[live] + j] & _MASKS[np.minimum(size[live] - j, 8)]
+        h[live] = mix(h[live] ^ block)
+    for i in np.flatnonzero(size > LONG_WORD):
+        h[i] = xxhash.xxh64_intdigest(w.data[w.start[i] : w.end[i]])
+    return h
+
+
+def same_words(a: Words, i: np.ndarray, b: Words, j: np.ndarray) -> np.ndarray:
+    """Whether word ``i[k]`` of ``a`` has the bytes of word ``j[k]`` of ``b``, for each k."""
+    size = a.end[i] - a.start[i]
+    same = size == b.end[j] - b.start[j]
+    p, q = a.start[i], b.start[j]
+    if a.data is b.data:
+        live = np.flatnonzero(same & (p != q))
+    else:
+        live = np.flatnonzero(same)
+    long = live[size[live] > LONG_WORD]
+    live = live[size[live] <= LONG_WORD]
+    if len(live):
+        left = _blocks(a.data)
+        right = left if a.data is b.data else _blocks(b.data)
+        for at in range(0, LONG_WORD, 8):
+            live = live[size[live] > at]
+            if not len(live):
+                break
+            equal = ((left[p[live] + at] ^ right[q[live] + at]) & _MASKS[np.minimum(size[live] - at, 8)]) == 0
+            same[live[~equal]] = False
+            live = live[equal]
+    for k in long:
+        same[k] = np.array_equal(a.data[p[k] : p[k] + size[k]], b.data[q[k] : q[k] + size[k]])
+    return same
+
+
+class Ranked(NamedTuple):
+    """``rank``: of each word among the different words, in order of their hashes; ``first``: a word of each rank; ``hashes``: of each rank."""
+
+    rank: np.ndarray
+    first: np.ndarray
+    hashes: np.ndarray
+
+
+def word_ranks(w: Words) -> Ranked:
+    """Words have one rank exactly if their bytes are equal: hashes sort them, bytes decide."""
+    hashes = word_hashes(w)
+    rank, order, distinct = dense_rank(hashes)
+    first = order[np.flatnonzero(np.diff(rank[order], prepend=-1))]
+    other = np.flatnonzero(~same_words(w, np.arange(len(rank)), w, first[rank]))
+    if len(other):  # different words of one hash
+        sub = np.zeros(len(rank), np.int64)
+        for r in np.unique(rank[other]):
+            members = np.flatnonzero(rank == r)
+            spelt = [w.data[w.start[i] : w.end[i]].tobytes() for i in members]
+            place = {x: i for i, x in enumerate(sorted(set(spelt)))}
+            sub[members] = [place[x] for x in spelt]
+        rank, order, distinct = dense_rank(rank * (int(sub.max()) + 1) + sub)
+        first = order[np.flatnonzero(np.diff(rank[order], prepend=-1))]
+    return Ranked(rank, first, hashes[first])
 
 
 def row_of(w: Words) -> np.ndarray:

@@ -25,11 +25,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from perkflow.llm.text import LOWER, Words, dense_rank, expand, pieces, plain, word_hashes
+from perkflow.llm.text import LOWER, Words, dense_rank, expand, pieces, plain, same_words, word_hashes
 
 SHARD_TOKENS = 1 << 20
 BLOCK_BITS = 1 << 16
-#: Parts that an encoder remembers before it starts afresh (about 30 bytes each).
+#: Parts that an encoder remembers before it starts afresh (about 60 bytes each).
 MEMO_PARTS = 3_000_000
 #: Parts learnt before they are merged into the large sorted arrays.
 LATEST_PARTS = 100_000
@@ -204,8 +204,10 @@ class Encoder:
     in them runs of letters and of signs, independently of their neighbours.
     So each different run is encoded once. A chunk with an apostrophe, "<|", a
     control character or any character but ASCII and Latin-1 letters is one
-    part as it stands. Parts are known by a 64-bit hash. ``splits`` says
-    whether the tokenizer is of that family; if not, it gets whole texts.
+    part as it stands. Parts are looked up by a 64-bit hash and compared by
+    their bytes; texts in which two parts share a hash, among themselves or
+    with a remembered one, go to the library whole. ``splits`` says whether
+    the tokenizer is of that family; if not, it gets whole texts.
     """
 
     def __init__(self, tokenizer: Tokenizer, end_id: int, splits: bool):
@@ -213,19 +215,23 @@ class Encoder:
         self._reset()
 
     def _reset(self) -> None:
-        nothing = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
-        #: sorted keys, places in ids, numbers of ids: of most parts, and of the latest
+        nothing = (np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 4)
+        #: sorted keys, places in ids, numbers of ids, first and last place in spelt: of most parts, and of the latest
         self.known, self.latest = nothing, nothing
         self.ids = np.array([self.end_id], np.uint32)
+        self.spelt = np.zeros(0, np.uint8)
 
-    def _find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(place, number of ids) of each part; place -1 for a new one."""
+    def _find(self, keys: np.ndarray, w: Words, first: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        """(place, number of ids) of each part, ``first``: a word of each; place -1 for a new one. None if hashes mislead."""
         at, size = np.full(len(keys), -1, np.int64), np.zeros(len(keys), np.int64)
-        for own, places, sizes in (self.known, self.latest):
+        for own, places, sizes, start, end in (self.known, self.latest):
             if len(own):
                 slot = np.minimum(np.searchsorted(own, keys), len(own) - 1)
-                hit = own[slot] == keys
-                at[hit], size[hit] = places[slot[hit]], sizes[slot[hit]]
+                hit = np.flatnonzero(own[slot] == keys)
+                slot = slot[hit]
+                at[hit], size[hit] = places[slot], sizes[slot]
+                if not same_words(w, first[hit], Words(self.spelt, start, end, start), slot).all():
+                    return None
         return at, size
 
     @staticmethod
@@ -234,8 +240,9 @@ class Encoder:
         sort = np.argsort(keys)
         return (keys[sort], *(np.concatenate([x, y])[sort] for x, y in zip(a[1:], b[1:], strict=True)))
 
-    def _learn(self, keys: np.ndarray, parts: list[str], word: np.ndarray) -> None:
+    def _learn(self, keys: np.ndarray, spelt: list[bytes], word: np.ndarray) -> None:
         """Encode new parts; those marked ``word`` are runs of letters, which the library takes in one go."""
+        parts = [p.decode() for p in spelt]
         letters = [p for p, w in zip(parts, word, strict=True) if w]
         got = self.tokenizer.encode(" ".join(letters), add_special_tokens=False) if letters else None
         sizes = np.zeros(len(parts), np.int64)
@@ -250,17 +257,24 @@ class Encoder:
         at = np.empty(len(parts), np.int64)
         at[order] = len(self.ids) + np.cumsum(sizes[order]) - sizes[order]
         self.ids = np.concatenate(ids)
-        self.latest = self._merged(self.latest, (keys, at, sizes))
+        end = len(self.spelt) + np.cumsum([len(p) for p in spelt])
+        start = end - [len(p) for p in spelt]
+        self.spelt = np.concatenate([self.spelt, np.frombuffer(b"".join(spelt), np.uint8)])
+        self.latest = self._merged(self.latest, (keys, at, sizes, start, end))
         if len(self.latest[0]) > LATEST_PARTS:
             self.known = self._merged(self.known, self.latest)
             self.latest = tuple(x[:0] for x in self.latest)
 
+    def _whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``encode``, by the library alone."""
+        got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        each = [np.array([*e.ids, self.end_id], np.uint32) for e in got]
+        return np.concatenate(each), np.array([len(x) for x in each], np.int64)
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, each with the end id; number of ids of each text."""
         if not self.splits:
-            got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-            each = [np.array([*e.ids, self.end_id], np.uint32) for e in got]
-            return np.concatenate(each), np.array([len(x) for x in each], np.int64)
+            return self._whole(texts)
         raw = [t.encode() for t in texts]
         ends = np.cumsum([len(r) + 1 for r in raw])
         kind, buf = byte_kinds(np.frombuffer(b" ".join(raw) + b" ", np.uint8))
@@ -274,15 +288,20 @@ class Encoder:
         rank, order, distinct = dense_rank(hashes)
         first = order[np.flatnonzero(np.diff(rank[order], prepend=-1))]
         keys = hashes[first]
+        if not same_words(w, np.arange(len(rank)), w, first[rank]).all():
+            return self._whole(texts)
         if len(self.known[0]) + len(self.latest[0]) + distinct > MEMO_PARTS:
             self._reset()
-        place, count = self._find(keys)
+        found = self._find(keys, w, first)
+        if found is None:
+            return self._whole(texts)
+        place, count = found
         if (place < 0).any():
             text = buf.tobytes()
             new = first[place < 0]
-            parts = [text[a:b].decode() for a, b in zip(start[new].tolist(), end[new].tolist(), strict=True)]
+            parts = [text[a:b] for a, b in zip(start[new].tolist(), end[new].tolist(), strict=True)]
             self._learn(keys[place < 0], parts, kind[start[new]] == 1)
-            place, count = self._find(keys)
+            place, count = self._find(keys, w, first)
         at = np.insert(place[rank], w.rows[1:], 0)
         size = np.insert(count[rank], w.rows[1:], 1)
         sums = np.concatenate([[0], np.cumsum(size)])

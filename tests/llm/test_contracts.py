@@ -13,7 +13,7 @@ from perkflow.llm import (
     decontamination_suffix, mixing, outliers_mcd, pii_boosting, queries, simhash_bktree, substring_superkmers, token_shards,
 )
 from tests.llm import brute
-from tests.llm.odd import ODD, REPEATS
+from tests.llm.odd import FOUR, LIKE_KILO, ODD, REPEATS
 
 SF = "/root/testdata/sf0.01"
 
@@ -28,7 +28,7 @@ def wanted(values):
 
 @pytest.fixture(scope="module")
 def bench():
-    return [(1, "a b c d e f g h i j k l m n o p"), (2, "one"), (3, None), (4, ""), (5, "One, two; three"), (None, "漢字"), (11, "tie tie")]
+    return [(1, "a b c d e f g h i j k l m n o p"), (2, "one"), (3, None), (4, ""), (5, "One, two; three"), (None, "漢字"), (11, "tie tie"), (12, LIKE_KILO), (13, FOUR)]
 
 
 def test_op4_matches_brute_force(spark, mid):
@@ -37,7 +37,7 @@ def test_op4_matches_brute_force(spark, mid):
     assert rows(found) == wanted(want)
 
 
-@pytest.mark.parametrize("block_chars", [16_000_000, 20])
+@pytest.mark.parametrize("block_chars", [16_000_000, 800])
 def test_decontamination_odd_rows_and_blocks(spark, docs_of, bench, block_chars):
     items = spark.createDataFrame(bench, "item_id long, text string")
     docs = docs_of(ODD + REPEATS).withColumn("n_words", F.lit(-1)).withColumn("matches", F.lit("x"))
@@ -181,7 +181,7 @@ def test_token_shards_odd_rows(spark, docs_of, scratch, name):
     token_shards.write_shards(docs_of(data + REPEATS), scratch, path, end_id=2, shard_tokens=500)
     got = sorted(token_shards.read_documents(spark, scratch).collect(), key=lambda r: r["start"])
     ids = {d: [*t.encode(x or "", add_special_tokens=False).ids, 2] for d, x in data}
-    assert [r["doc_id"] for r in got] == [None] * 3 + sorted(d for d, _ in data) + [20] * 3
+    assert [r["doc_id"] for r in got] == [None] * 3 + sorted([d for d, _ in data] + [20] * 3)
     place = 0
     for r in got:
         assert r["start"] == place

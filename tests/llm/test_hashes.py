@@ -1,0 +1,91 @@
+"""Words that share a hash: the Thue-Morse pair, and hashes made useless on purpose. Bytes decide."""
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from tokenizers import Tokenizer
+
+from perkflow.llm import decontamination_suffix, outliers_mcd, substring_superkmers, text, token_shards
+from tests.llm import brute
+from tests.llm.odd import FILL, FOUR, KILO, LIKE_FOUR, LIKE_KILO, ODD
+
+
+def words_of(*texts):
+    return text.split_words(pa.array(texts, pa.string()), text.NOT_SPACE)
+
+
+@pytest.fixture(params=["plain", "weak", "none"])
+def hashes(request, monkeypatch):
+    """Word hashes as they are, of two bits, or all equal."""
+    if request.param != "plain":
+        bits = np.uint64(3 if request.param == "weak" else 0)
+        plain = text.word_hashes
+        for module in (text, decontamination_suffix, token_shards):
+            monkeypatch.setattr(module, "word_hashes", lambda w: plain(w) & bits)
+    return request.param
+
+
+@pytest.mark.parametrize(("a", "b"), [(KILO, LIKE_KILO), (FOUR, LIKE_FOUR)])
+def test_thue_morse_words_have_two_hashes(a, b):
+    h = text.word_hashes(words_of(f"{a} {b} {a}"))
+    assert h[0] == h[2] != h[1]
+
+
+def test_hashes_of_all_lengths_differ():
+    rows = ["x" * n for n in range(1, 200)] + ["x" * n + "y" for n in range(200)] + ["y" + "x" * n for n in range(1, 200)]
+    assert len(set(text.word_hashes(words_of(*rows)).tolist())) == len(set(rows))
+
+
+def test_ranks_are_those_of_the_bytes(hashes):
+    rng = np.random.default_rng(4)
+    pool = ["", *(("ab"[i % 2] * n) + "c" * (n % 3) for i, n in enumerate(range(1, 140))), KILO, LIKE_KILO, "ß", "漢字"]
+    rows = [" ".join(rng.choice(pool, 40)) for _ in range(8)]
+    w = words_of(*rows)
+    spelt = [w.data[a:b].tobytes() for a, b in zip(w.start, w.end, strict=True)]
+    got = text.word_ranks(w)
+    assert len({(r, s) for r, s in zip(got.rank.tolist(), spelt, strict=True)}) == len(set(spelt)) == len(got.first)
+    assert [spelt[i] for i in got.first[got.rank]] == spelt
+    assert (np.diff(got.hashes.astype(float)) >= 0).all()
+
+
+def test_windows_of_the_benchmark_are_verbatim(hashes):
+    docs = [KILO, f"{LIKE_KILO} tail", f"x {FILL} {FOUR}", f"one two three {LIKE_FOUR}", FILL, ""]
+    items = [LIKE_KILO, FOUR, "one two three", f"{FILL} end", "two three one"]
+    w = text.split_words(pa.array(docs), text.LETTER_DIGIT, lower=True)
+    shard = decontamination_suffix.SuffixArray(w, 13)
+    place, item, at, need = shard.windows(decontamination_suffix.Suffixes.of(range(len(items)), items), 13)
+    row = np.searchsorted(w.rows, place, "right") - 1
+    found = {(r, i) for r, i in zip(row.tolist(), item.tolist(), strict=True)}
+    want = {(d, i) for d, t in enumerate(docs) for i, x in enumerate(items) if brute.contamination([(d, t)], [(i, x)])[0][2]}
+    assert found == want == {(1, 0), (2, 1), (2, 3), (3, 2), (4, 3)}
+
+
+def test_windows_of_documents_are_compared_in_full(hashes):
+    strings = [f"{FILL} {KILO}", f"{FILL} {LIKE_KILO}", f"{FILL} {KILO} z", f"{FOUR} {FILL}", f"{LIKE_FOUR} {FILL}"]
+    low, first = substring_superkmers.window_minima(pa.array(strings), np.arange(5), 50)
+    assert [low[a:b].tolist() for a, b in zip(first[:-1], first[1:], strict=True)] == [[0], [1], [0, 2], [3], [4]]
+
+
+def test_lines_and_windows_of_a_text(hashes):
+    rows = [t for _, t in ODD if len(t or "") < 30_000]
+    got = outliers_mcd.text_counts(pa.array(rows, pa.string()))
+    for i, t in enumerate(rows):
+        want = brute.quality_counts(t)
+        assert (got["n_dup_lines"][i], got["n_repeat_words"][i]) == want[3:5], t
+
+
+def test_parts_of_one_hash_go_to_the_library(hashes):
+    t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    enc = token_shards.Encoder(t, 2, token_shards.splits_words(t))
+    assert enc.splits
+    for batch in (["zebra anthe", KILO], [LIKE_KILO], [f"{FOUR} {LIKE_FOUR}", ""], [x for _, x in ODD if x and len(x) < 30_000], ["anthe zebra", KILO]):
+        ids, sizes = enc.encode(batch)
+        want = [[*t.encode(x, add_special_tokens=False).ids, 2] for x in batch]
+        assert sizes.tolist() == [len(x) for x in want] and ids.tolist() == sum(want, [])
+
+
+def test_a_shard_without_any_benchmark_word():
+    w = text.split_words(pa.array(["nothing here", ""]), text.LETTER_DIGIT, lower=True)
+    shard = decontamination_suffix.SuffixArray(w, 13)
+    assert [len(x) for x in shard.windows(decontamination_suffix.Suffixes.of([1], ["other words"]), 13)] == [0] * 4
