@@ -1,6 +1,6 @@
 WITH ranked AS (
     SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events
-    WHERE event_id % 103 <> 0 AND event_id % 107 <> 0
+    WHERE event_id > (SELECT max(event_id) FROM events WHERE event_id % 401 = 0) AND event_id % 107 <> 0
 )
 SELECT user_id AS employee_id, event_type AS business_unit,
        CASE event_id % 4 WHEN 0 THEN 'Marche/running' WHEN 1 THEN 'Vélo/Trottinette/Autres'

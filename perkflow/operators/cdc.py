@@ -74,16 +74,29 @@ def current_state(
     deleted_col: str = "__deleted",
 ) -> DataFrame:
     """Latest change per key (highest ``order`` tuple); keys whose latest change
-    is a delete disappear. Adds ``updated_at`` from the source time.
+    is a delete disappear, and so do keys last changed before the newest
+    truncate. Adds ``updated_at`` from the source time.
+
+    A truncate is an epoch: its position in the log is one number, the largest
+    of all truncates, found in the aggregated table (a row without a key) and
+    compared with each key's latest change. No change is read or shuffled for
+    it again.
 
     One aggregation of ``max_by`` with partial aggregation before the shuffle:
     a key with millions of changes costs one partial row per map task, never a
     whole key's history in one task (unlike a row_number window).
     """
-    out = latest_per_key(changes, keys, order).filter(~F.col(deleted_col))
+    latest = latest_per_key(changes, keys, order)
+    out = after_truncates(latest, keys, order[0]).filter(~F.col(deleted_col))
     return out.withColumn("updated_at", millis_to_timestamp(F.col("__source_ts_ms")))
 
 
+def after_truncates(latest: DataFrame, keys: Sequence[str], position: str = "__source_lsn") -> DataFrame:
+    """Keys of ``latest`` (see :func:`latest_per_key`) last changed after the newest truncate."""
+    epoch = latest.filter(F.col("__op") == "t").select(F.max(position)).scalar()
+    return keyed(latest, keys).filter(epoch.isNull() | (F.col(position) > epoch))
+
+
 def keyed(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Changes of a known row: every key column is set."""
     return changes.where(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)))
@@ -104,11 +117,15 @@ def keyless(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def latest_change_struct(changes: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """``keys, _latest``: the latest change per key as one struct column.
-    Valid on a stream too (a stateful streaming aggregation). Changes without
-    a key take no part (see :func:`keyless`)."""
+    """``keys, _latest``: the latest change per key as one struct column, and
+    the latest truncate as a row whose keys are NULL. Valid on a stream too (a
+    stateful streaming aggregation). Other changes without a key take no part
+    (see :func:`keyless`)."""
     values = [c for c in changes.columns if c not in keys]
-    return keyed(changes, keys).groupBy(*keys).agg(
+    known = F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
+    lasting = [F.when(known, F.col(k)).alias(k) for k in keys]
+    changes = changes.where(known | (F.col("__op") == "t")).select(*lasting, *values)
+    return changes.groupBy(*keys).agg(
         F.max_by(F.struct(*values), F.struct(*[F.col(c) for c in order])).alias("_latest")
     )
 
@@ -116,5 +133,5 @@ def latest_change_struct(changes: DataFrame, keys: Sequence[str], order: Sequenc
 def latest_per_key(
     changes: DataFrame, keys: Sequence[str], order: Sequence[str] = ("__source_lsn", "__source_ts_ms")
 ) -> DataFrame:
-    """Latest change row per key (deletes included)."""
+    """Latest change row per key (deletes included), and the latest truncate with NULL keys."""
     return latest_change_struct(changes, keys, order).select(*keys, "_latest.*")

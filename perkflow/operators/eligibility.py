@@ -113,16 +113,19 @@ def employee_eligibility(
     as_of: dt.date,
     params: Mapping[str, object] | DataFrame = DEFAULT_PARAMETERS,
     days: int = LOOKBACK_DAYS,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """The gold table: one row per employee of the snapshot.
 
     ``employees_silver`` needs employee_id, full_name, business_unit,
     contract_type, gross_salary, transport_mode, home_to_office_km,
     distance_check_status; ``activities`` needs employee_id and start_at.
-    ``params`` is a mapping of values or a dated parameter table.
+    ``params`` is a mapping of values or a dated parameter table. ``counts``:
+    the look-back counts if they are kept elsewhere (``plans.rolling``);
+    ``activities`` isn't read then.
     """
     p = parameter_columns(params, as_of)
-    counts = rolling_window_count(activities, as_of, days)
+    counts = rolling_window_count(activities, as_of, days) if counts is None else counts
     emp = employees_silver.select(
         "employee_id",
         "full_name",

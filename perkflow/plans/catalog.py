@@ -21,6 +21,7 @@ from ..functions.distance import decode_replies
 from ..operators import cdc, eligibility, guards, kpis, lookup, quality, refine
 from ..operators.enrichment import StoredReplies, enrich_distances
 from ..operators.parameters import parameter_columns, parameters_in_force
+from ..schemas import CDC_ACTIVITY
 from ..session import scratch_path
 from ..sinks.keys import insert_ignore
 from ..sinks.lake import replace_partition, write_counted, write_partitioned
@@ -28,9 +29,12 @@ from ..sinks.outbox import write_outbox
 from ..sources import lake
 from ..sources import testbed as tb
 from ..sources.hr_extract import HR_COLUMNS, normalize_hr_extract, read_hr_extract
-from ..streaming.current_state import compact_state, read_state, start_keyless_stream, start_state_stream
+from ..sources.segment_log import segment_source, write_segments
+from ..streaming.current_state import (
+    compact_state, read_state, start_keyless_stream, start_state_stream, start_ttl_state_stream,
+)
 from ..streaming.notifier import file_source, prepared_names, start_notifier
-from . import medallion
+from . import medallion, rolling
 from .rules import (
     ACTIVITY_NOT_NULL, EMPLOYEE_NOT_NULL, PRIMARY_KEYS, SERVING_NOT_NULL, activity_checks, employee_checks, gold_suite,
 )
@@ -119,6 +123,23 @@ def q_rolling_window_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return eligibility.rolling_window_count(tb.activities(spark, sf_dir), TEST_AS_OF, SHORT_WINDOW_DAYS)
 
 
+ROLLING_DAYS = [dt.date(2024, 1, d) for d in range(24, 31)]
+
+
+@register("rolling_window_daily")
+def q_rolling_window_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10-day counts of seven days in a row, moved on from day to day; every 11th activity arrives three days late."""
+    root = scratch_path(spark, "rolling")
+    a = tb.activities(spark, sf_dir).withColumn("arrived_on", tb.arrival_day())
+    out = []
+    for day in ROLLING_DAYS:
+        # the first day takes in all that has arrived so far
+        came = F.col("arrived_on") <= F.lit(day) if day == ROLLING_DAYS[0] else F.col("arrived_on") == F.lit(day)
+        total = rolling.advance(spark, a.where(came), root, day, SHORT_WINDOW_DAYS)
+        out.append(total.withColumn("as_of", F.lit(day)))
+    return reduce(DataFrame.unionByName, out)
+
+
 @register("activity_counts_left")
 def q_activity_counts_left(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every employee with the 12-month count, 0 when no activity."""
@@ -364,6 +385,62 @@ def q_cdc_keyless_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{base}/dead")
 
 
+@register("cdc_state_ttl_stream")
+def q_cdc_state_ttl_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Current employee state from a stream whose state holds positions alone and forgets deleted employees after three days."""
+    base = scratch_path(spark, "state-ttl")
+    _envelope_files(spark, sf_dir, f"{base}/in")
+    changes = cdc.unwrap_envelopes(_envelope_stream(spark, f"{base}/in"))
+    _await(start_ttl_state_stream(changes, ["employee_id"], f"{base}/updates", f"{base}/_checkpoint",
+                                  ttl=dt.timedelta(days=3), delay="31 days", available_now=True))
+    st = read_state(spark, f"{base}/updates", ["employee_id"])
+    return st.select(
+        "employee_id", "business_unit", "transport_mode", "home_address", "gross_salary", "__source_lsn", "updated_at"
+    )
+
+
+@register("topic_segment_stream")
+def q_topic_segment_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The change messages as a topic of four partitions in numbered segments, read from
+    the earliest offset in bounded micro-batches; live inserts with their place in the topic."""
+    base = scratch_path(spark, "topic")
+    n = tb.table(spark, sf_dir, "events").count()
+    key = F.col("key")
+    write_segments(tb.cdc_messages(spark, sf_dir), f"{base}/topic", key % 4, F.floor(key / 4), span=max(n // 32, 1))
+    stream = segment_source(spark, f"{base}/topic", "earliest", max_offsets_per_trigger=max(n // 3, 1))
+    parsed = stream.select(
+        F.col("partition").alias("topic_partition"), F.col("offset").alias("topic_offset"),
+        cdc.parsed_once(F.from_json("value", CDC_ACTIVITY)),
+    )
+    w = cdc.live_creations(parsed).writeStream.format("parquet").option("path", f"{base}/out")
+    _drain(w.option("checkpointLocation", f"{base}/_checkpoint").trigger(processingTime="0 seconds").start())
+    return spark.read.parquet(f"{base}/out")
+
+
+@register("cdc_stream_once")
+def q_cdc_stream_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The live notifier on a topic that delivers every fifth message twice and every fifteenth
+    three times, the third time half the log later, behind the watermark: each is sent once."""
+    base = scratch_path(spark, "once")
+    n = tb.redelivered_topic(spark, sf_dir, f"{base}/topic")
+    raw = segment_source(spark, f"{base}/topic", "earliest", max_offsets_per_trigger=3 * n)
+    names = prepared_names(tb.known_employees(spark, sf_dir))
+    try:
+        _drain(start_notifier(raw, names, f"{base}/outbox", f"{base}/dead", f"{base}/_checkpoint",
+                              processing_time="0 seconds", once_within="2 days"))
+    finally:
+        names.unpersist()
+    return spark.read.parquet(f"{base}/outbox").select("activity_id", "employee_id", "text")
+
+
+def _drain(q) -> None:
+    """Let a running stream take in all that is there, then stop it."""
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+
+
 def _envelope_files(spark: SparkSession, sf_dir: str, path: str) -> None:
     """The change envelopes as four files, in log order."""
     tb.employee_envelopes(spark, sf_dir).repartitionByRange(4, "key").select("value").write.parquet(path)

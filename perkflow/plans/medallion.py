@@ -21,6 +21,7 @@ from ..operators.enrichment import RESOLVED_COLUMNS, resolve_addresses
 from ..sinks import jdbc as jdbc_sink
 from ..sinks.lake import replace_partition, write_counted
 from ..sources import folders, lake
+from . import rolling
 from .stamps import stamp
 
 PART = "extract_date"
@@ -105,10 +106,16 @@ def run_silver(spark: SparkSession, paths: LakePaths, as_of: dt.date, provider,
 
 def run_gold(spark: SparkSession, paths: LakePaths, as_of: dt.date,
              params: Mapping[str, object] | DataFrame = DEFAULT_PARAMETERS,
-             days: int = LOOKBACK_DAYS) -> dict[str, int]:
+             days: int = LOOKBACK_DAYS, arrived: DataFrame | None = None) -> dict[str, int]:
+    """The eligibility table of the day. With ``arrived`` (the activities that
+    came in on ``as_of``) the look-back counts are moved on from the last day's
+    (:mod:`.rolling`) and silver activities aren't read."""
+    counts = None
+    if arrived is not None:
+        counts = rolling.advance(spark, arrived, paths.table("gold", "activity_window"), as_of, days)
     emp = lake.snapshot_scan(spark, paths.table("silver", "employees"), as_of, PART, paths.fmt)
     act = lake.snapshot_scan(spark, paths.table("silver", "activities"), as_of, PART, paths.fmt)
-    gold = eligibility.employee_eligibility(emp, act, as_of, params, days)
+    gold = eligibility.employee_eligibility(emp, act, as_of, params, days, counts)
     return {"gold.employee_eligibility": _write_day(gold, paths.table("gold", "employee_eligibility"), GOLD_PART,
                                                     as_of, "gold_eligibility", paths.fmt)}
 
@@ -149,10 +156,12 @@ def publish_gold(spark: SparkSession, paths: LakePaths, as_of: dt.date, url: str
 
 def run_daily(spark: SparkSession, employees: DataFrame, activities: DataFrame, paths: LakePaths,
               as_of: dt.date, provider, params: Mapping[str, object] | DataFrame = DEFAULT_PARAMETERS,
-              days: int = LOOKBACK_DAYS, use_cache: bool = True, cache_days: int = CACHE_DAYS) -> dict[str, int]:
+              days: int = LOOKBACK_DAYS, use_cache: bool = True, cache_days: int = CACHE_DAYS,
+              arrived: DataFrame | None = None) -> dict[str, int]:
     """bronze >> silver >> gold for one day; returns rows written per table.
-    ``use_cache`` False asks the provider for every address again."""
+    ``use_cache`` False asks the provider for every address again; ``arrived``:
+    see :func:`run_gold`."""
     counts = run_bronze(spark, employees, activities, paths, as_of)
     counts.update(run_silver(spark, paths, as_of, provider, use_cache, cache_days))
-    counts.update(run_gold(spark, paths, as_of, params, days))
+    counts.update(run_gold(spark, paths, as_of, params, days, arrived))
     return counts

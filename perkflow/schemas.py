@@ -21,6 +21,9 @@ CDC_ACTIVITY = T.StructType(
     ]
 )
 
+# The same with the log position that the connector adds (identifies a change, however often it is delivered).
+CDC_ACTIVITY_LSN = T.StructType([*CDC_ACTIVITY.fields, T.StructField("__source_lsn", T.LongType())])
+
 # Row image carried by the employee change envelope (before / after).
 EMPLOYEE_IMAGE = T.StructType(
     [

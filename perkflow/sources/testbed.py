@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import TRANSPORT_MODES
+from .segment_log import write_segments
 
 # Test-data mapping of event types onto sports. Tennis takes the generic
 # "faire" wording, Escalade starts with a vowel (elision), Yoga and Escalade
@@ -225,6 +226,29 @@ def cdc_messages_from_activities(a: DataFrame) -> DataFrame:
     return a.select(eid.alias("key"), value.alias("value"))
 
 
+def arrival_day() -> Column:
+    """The day on which an activity reaches the lake: its own, but for every 11th three days later."""
+    return F.date_add(F.to_date("start_at"), F.when(F.col("activity_id") % 11 == 0, 3).otherwise(0))
+
+
+def redelivered_topic(spark: SparkSession, sf_dir: str, path: str) -> int:
+    """The change messages as a topic of four partitions that delivers some of them again; returns the number of messages.
+
+    Every 5th message comes once more 40 messages later, every 15th a third
+    time half the log later. Offsets have gaps, as in a compacted topic.
+    """
+    n = table(spark, sf_dir, "events").count()
+    eid = F.col("key")
+    copies = F.array(
+        F.struct(F.lit(0).alias("k"), F.lit(0).alias("lag")),
+        F.when(eid % 5 == 0, F.struct(F.lit(1).alias("k"), F.lit(40).alias("lag"))),
+        F.when(eid % 15 == 0, F.struct(F.lit(2).alias("k"), F.lit(n // 2).alias("lag"))),
+    )
+    sent = cdc_messages(spark, sf_dir).select("key", "value", F.explode(F.filter(copies, lambda c: c.isNotNull())).alias("c"))
+    write_segments(sent, path, eid % 4, 3 * (eid + F.col("c.lag")) + F.col("c.k"), span=max(n // 2, 1))
+    return n
+
+
 def employee_image_cols(e: DataFrame) -> list[Column]:
     eid = F.col("event_id")
     return [
@@ -241,7 +265,7 @@ def employee_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Employee change envelopes (before/after/op/source) as JSON text.
 
     Key = user_id, LSN = event_id, so every employee changes many times and
-    the last change is sometimes a delete. Every 103rd event is a truncate,
+    the last change is sometimes a delete. Every 401st event is a truncate,
     every 107th an envelope without images: neither has a key.
     """
     return envelopes_from_events(table(spark, sf_dir, "events"))
@@ -251,8 +275,8 @@ def envelopes_from_events(e: DataFrame) -> DataFrame:
     """Row-wise mapping events -> employee change envelopes (also on a stream)."""
     eid = F.col("event_id")
     op = change_op(eid)
-    op = F.when(eid % 103 == 0, F.lit("t")).otherwise(op)
-    image = F.when((eid % 103 != 0) & (eid % 107 != 0), F.struct(*employee_image_cols(e)))
+    op = F.when(eid % 401 == 0, F.lit("t")).otherwise(op)
+    image = F.when((eid % 401 != 0) & (eid % 107 != 0), F.struct(*employee_image_cols(e)))
     env = F.struct(
         F.when(op.isin("u", "d"), image).alias("before"),
         F.when(op != "d", image).alias("after"),

@@ -7,7 +7,7 @@
 The state store holds one row per key and is checkpointed, so a restart
 resumes without replaying history. Readers take the latest update per key
 (one partial-aggregating ``max_by``) and drop keys whose latest change is a
-delete. :func:`compact_state` merges the updates up to a batch into a base
+delete or lies before the newest truncate (kept as a row without a key). :func:`compact_state` merges the updates up to a batch into a base
 table; readers then take the base and the newer folders only.
 
 Changes without a key take no part; :func:`start_keyless_stream` keeps them
@@ -16,17 +16,22 @@ as dead letters.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from ..operators.cdc import current_state, keyless, latest_change_struct, latest_per_key
 from ..sources import folders
 
 ORDER = ("__source_lsn", "__source_ts_ms")
 BASE = "_base"
+EVENT_TIME = "_changed_at"
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def start_state_stream(
@@ -48,6 +53,87 @@ def start_state_stream(
     return _start(w, available_now, processing_time)
 
 
+class LatestChange(StatefulProcessor):
+    """Position of a key's newest change; a delete's is forgotten ``ttl_ms`` after it, in event time."""
+
+    def __init__(self, order: Sequence[str], ttl_ms: int):
+        self.order, self.ttl_ms = tuple(order), ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.newest = handle.getValueState("newest", "first long, second long, forget_at long")
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        held = self.newest.get() if self.newest.exists() else None
+        best, place = None, tuple(held[:2]) if held else (-1, -1)
+        for row in rows:
+            at = tuple(-1 if row[c] is None else row[c] for c in self.order)
+            if at > place:
+                best, place = row, at
+        if best is None:
+            return
+        forget_at = best["__source_ts_ms"] + self.ttl_ms if best["__deleted"] and best["__source_ts_ms"] is not None else -1
+        self.newest.update((*place, forget_at))
+        if forget_at >= 0:
+            self.handle.registerTimer(forget_at)
+        yield Row(**{c: best[c] for c in best.__fields__ if c != EVENT_TIME})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        held = self.newest.get() if self.newest.exists() else None
+        if held and 0 <= held[2] <= expiredTimerInfo.getExpiryTimeInMs():
+            self.newest.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def start_ttl_state_stream(
+    changes: DataFrame,
+    keys: Sequence[str],
+    updates_path: str,
+    checkpoint: str,
+    ttl: dt.timedelta = dt.timedelta(days=7),
+    delay: str = "2 days",
+    order: Sequence[str] = ORDER,
+    processing_time: str | None = "2 seconds",
+    available_now: bool = False,
+) -> StreamingQuery:
+    """As :func:`start_state_stream`, with a state that forgets deleted keys.
+
+    The state holds positions alone, no rows. A delete's position stays until
+    the watermark (``delay`` behind the newest commit time) has passed its
+    commit time by ``ttl``. Until then an older change of that key is known to
+    be older; afterwards it lies behind the watermark and is dropped as late,
+    so it can't bring the key back. Needs the RocksDB state store, which is
+    set for this query alone.
+    """
+    spark = changes.sparkSession
+    known = F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
+    values = [c for c in changes.columns if c not in keys]
+    lasting = [F.when(known, F.col(k)).alias(k) for k in keys]
+    timed = changes.where(known | (F.col("__op") == "t")).select(*lasting, *values)
+    timed = timed.withColumn(EVENT_TIME, F.timestamp_millis("__source_ts_ms")).withWatermark(EVENT_TIME, delay)
+    processor = LatestChange(order, int(ttl / dt.timedelta(milliseconds=1)))
+    schema = timed.drop(EVENT_TIME).schema
+    latest = timed.groupBy(*keys).transformWithState(processor, schema, "Update", "EventTime")
+    base = updates_path.rstrip("/")
+
+    def write_updates(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{base}/batch_id={batch_id}")
+
+    w = latest.writeStream.outputMode("update").foreachBatch(write_updates).option("checkpointLocation", checkpoint)
+    before = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        return _start(w, available_now, processing_time)
+    finally:
+        if before is None:
+            spark.conf.unset(STATE_STORE)
+        else:
+            spark.conf.set(STATE_STORE, before)
+
+
 def start_keyless_stream(
     changes: DataFrame,
     keys: Sequence[str],

@@ -28,13 +28,18 @@ from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..operators.cdc import live_creations, parse_messages
 from ..operators.lookup import dead_letters, name_table, notifications, with_employee_names, with_messages
+from ..schemas import CDC_ACTIVITY_LSN
 from ..sinks.outbox import deliver, log_only_sender, write_dead_letters, write_outbox
 
+#: How long a redelivered change is recognised, in commit time.
+REDELIVERY_DELAY = "2 days"
+
 
 def kafka_source(spark: SparkSession, bootstrap: str, topic: str, starting_offsets: str = "latest",
                  fail_on_data_loss: bool = False, min_partitions: int | None = None,
@@ -83,6 +88,35 @@ def live_events(raw: DataFrame) -> DataFrame:
     return live_creations(parse_messages(raw))
 
 
+def live_events_once(raw: DataFrame, delay: str = REDELIVERY_DELAY) -> DataFrame:
+    """Live inserts of a stream, each source LSN once however often the topic delivers it.
+
+    The watermark follows the changes' commit time. An LSN stays in the state
+    until the watermark has passed its time by ``delay``; a redelivery within
+    that time is known from the state, a later one lies behind the watermark
+    and is dropped as late. So the state holds the LSNs of about ``delay`` and
+    no more. First deliveries have to arrive within ``delay`` of the newest
+    change; later ones are dropped too and counted (:func:`late_rows`).
+    Messages without an LSN or a commit time can't be told apart: they pass as
+    they come.
+    """
+    events = live_creations(parse_messages(raw, CDC_ACTIVITY_LSN))
+    known = F.col("__source_lsn").isNotNull() & F.col("__source_ts_ms").isNotNull()
+    timed = events.where(known).withColumn("committed_at", F.timestamp_millis("__source_ts_ms"))
+    single = timed.withWatermark("committed_at", delay).dropDuplicatesWithinWatermark(["__source_lsn"])
+    return single.drop("committed_at").unionByName(events.where(~known))
+
+
+def state_sizes(query: StreamingQuery) -> list[int]:
+    """Rows in the state after each recorded micro-batch."""
+    return [sum(op["numRowsTotal"] for op in p["stateOperators"]) for p in query.recentProgress]
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows dropped behind the watermark, over the recorded micro-batches."""
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+
+
 def notification_rows(events: DataFrame, employees: DataFrame) -> DataFrame:
     """Named and worded events."""
     return with_messages(with_employee_names(events, employees))
@@ -158,8 +192,11 @@ def start_notifier(
     available_now: bool = False,
     deliveries_path: str | None = None,
     send=None,
+    once_within: str | None = None,
 ) -> StreamingQuery:
     """Start the notifier. ``available_now`` drains what is there and stops.
+    ``once_within`` (say, "2 days"): changes that the topic delivers again are
+    not sent again (:func:`live_events_once`).
     With ``deliveries_path`` each micro-batch is also sent right away (``send``,
     default log-only) and the outcome recorded per message.
     ``employees``: a :class:`NameSource` is refreshed while the query runs; a
@@ -170,7 +207,8 @@ def start_notifier(
         names = employees
     else:
         names = prepared_names(employees)
-    w = live_events(raw).writeStream.foreachBatch(
+    events = live_events(raw) if once_within is None else live_events_once(raw, once_within)
+    w = events.writeStream.foreachBatch(
         batch_writer(names, outbox_path, dead_letter_path, deliveries_path, send)
     )
     w = w.option("checkpointLocation", checkpoint)
