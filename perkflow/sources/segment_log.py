@@ -73,9 +73,13 @@ class SegmentLogReader(DataSourceStreamReader):
         most = options.get("maxOffsetsPerTrigger")
         self.most = int(most) if most else None
         self.strict = options.get("failOnDataLoss", "true").lower() == "true"
+        self.first: dict[str, int] | None = None
         self.position: dict[str, int] | None = None
 
     def initialOffset(self) -> dict:
+        """Where a new query begins; one answer per query, for new segments may appear meanwhile."""
+        if self.first is not None:
+            return self.first
         segments = list_segments(self.path)
         if self.start == "latest":
             at = {str(p): s[-1][1] for p, s in segments.items()}
@@ -83,15 +87,19 @@ class SegmentLogReader(DataSourceStreamReader):
             at = {str(p): s[0][0] for p, s in segments.items()}
         else:
             at = {str(p): int(o) for p, o in json.loads(self.start).items()}
-        self.position = at
+        self.first = self.position = at
         return at
 
     def latestOffset(self) -> dict:
-        """The end of the next micro-batch: what there is, or a bounded step from the last one's end."""
+        """The end of the next micro-batch: what there is, or a bounded step from the last one's end.
+
+        Spark plans the last batch of a restarted query first (which sets the
+        position); without a position the query is new.
+        """
+        if self.position is None:
+            self.initialOffset()
         segments = list_segments(self.path)
         ends = {str(p): s[-1][1] for p, s in segments.items()}
-        if self.position is None:
-            return ends
         behind = {p: (self._from(segments, p), end) for p, end in ends.items()}
         behind = {p: (a, b) for p, (a, b) in behind.items() if b > a}
         step = dict(self.position)

@@ -1,0 +1,151 @@
+"""A topic of log segments as a stream: start, bounds, loss, restart; messages delivered again are sent once."""
+
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+from perkflow.sources import testbed as tb
+from perkflow.sources.segment_log import LostOffsets, SegmentLogReader, Slice, list_segments, segment_source, write_segments
+from perkflow.streaming import notifier
+
+from .conftest import SF_SMALL
+
+
+def local(path):
+    return path.removeprefix("file://")
+
+
+@pytest.fixture()
+def topic(spark, scratch):
+    """A topic of two partitions; ``put(a, b)`` adds messages m<a> .. m<b-1>, ten offsets to a segment."""
+    path = f"{scratch}/topic"
+
+    def put(a, b):
+        rows = spark.range(a, b).select(F.col("id").alias("key"), F.concat(F.lit("m"), F.col("id")).alias("value"))
+        return write_segments(rows, path, F.col("key") % 2, F.floor(F.col("key") / 2), span=10)
+
+    return path, put
+
+
+def run(stream, out, checkpoint):
+    """Read all that is there into a table; what it holds, and the rows of each batch with data."""
+    q = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(processingTime="0 seconds").start()
+    try:
+        q.processAllAvailable()
+        sizes = [p["numInputRows"] for p in q.recentProgress if p["numInputRows"]]
+    finally:
+        q.stop()
+    return sorted((r.partition, r.offset, r.value) for r in stream.sparkSession.read.schema(stream.schema).parquet(out).collect()), sizes
+
+
+def messages(a, b):
+    return sorted((i % 2, i // 2, f"m{i}") for i in range(a, b))
+
+
+def test_segments_hold_their_offsets(topic):
+    path, put = topic
+    assert put(0, 45) == 6
+    assert {p: [(a, b) for a, b, _ in s] for p, s in list_segments(local(path)).items()} == {0: [(0, 10), (10, 20), (20, 23)], 1: [(0, 10), (10, 20), (20, 22)]}
+    assert put(0, 45) == 6 and sum(map(len, list_segments(local(path)).values())) == 6  # a repeated write changes nothing
+
+
+def test_earliest_in_bounded_batches(spark, topic, scratch):
+    path, put = topic
+    put(0, 100)
+    got, sizes = run(segment_source(spark, path, "earliest", max_offsets_per_trigger=30), f"{scratch}/out", f"{scratch}/c")
+    assert got == messages(0, 100)
+    assert sizes == [30, 30, 30, 10]
+
+
+def test_latest_takes_new_messages_only_and_restarts(spark, topic, scratch):
+    path, put = topic
+    put(0, 40)
+    stream = segment_source(spark, path, max_offsets_per_trigger=8)
+    assert run(stream, f"{scratch}/out", f"{scratch}/c")[0] == []
+    put(40, 60)
+    got, sizes = run(stream, f"{scratch}/out", f"{scratch}/c")
+    assert got == messages(40, 60) and sizes == [8, 8, 4]
+    assert run(stream, f"{scratch}/out", f"{scratch}/c") == (messages(40, 60), [])
+    put(60, 80)
+    got, sizes = run(stream, f"{scratch}/out", f"{scratch}/c")  # a new reader goes on from the checkpoint, still in bounded steps
+    assert got == messages(40, 80) and max(sizes) <= 8
+
+
+def test_given_offsets(spark, topic, scratch):
+    path, put = topic
+    put(0, 40)
+    stream = segment_source(spark, path, json.dumps({"0": 15, "1": 18}))
+    assert run(stream, f"{scratch}/out", f"{scratch}/c")[0] == [m for m in messages(0, 40) if m[1] >= (15 if m[0] == 0 else 18)]
+
+
+@pytest.mark.parametrize("strict", [False, True])
+def test_lost_segments(spark, topic, scratch, strict):
+    path, put = topic
+    put(0, 40)
+    stream = segment_source(spark, path, "earliest", fail_on_data_loss=strict)
+    run(stream, f"{scratch}/out", f"{scratch}/c")
+    put(40, 100)
+    for first in (20, 30):  # retention removes what partition 0 had between offsets 20 and 40
+        os.remove(next(f for a, _, f in list_segments(local(path))[0] if a == first))
+    if strict:
+        with pytest.raises(Exception, match="LostOffsets"):
+            run(stream, f"{scratch}/out", f"{scratch}/c")
+        return
+    got, _ = run(stream, f"{scratch}/out", f"{scratch}/c")
+    assert got == [m for m in messages(0, 100) if m[0] == 1 or not 20 <= m[1] < 40]
+
+
+def test_a_segment_lost_after_planning(topic):
+    path, put = topic
+    put(0, 20)
+    gone = Slice(0, f"{local(path)}/partition=0/gone.parquet", 0, 5)
+    assert list(SegmentLogReader({"path": local(path), "failOnDataLoss": "false"}).read(gone)) == []
+    with pytest.raises(LostOffsets):
+        list(SegmentLogReader({"path": local(path)}).read(gone))
+
+
+def test_batches_follow_the_retained_log():
+    """A position that retention has passed goes on at the first offset there is."""
+    reader = SegmentLogReader({"path": "", "maxOffsetsPerTrigger": "4"})
+    reader.position = {"0": 3}
+    assert reader._from({0: [(20, 30, "a")]}, "0") == 20
+
+
+def test_notified_once_however_often_delivered(spark):
+    q = entry.queries()
+    cols = ["activity_id", "employee_id", "text"]
+    once, batch = (sorted(tuple(r) for r in q[k](spark, SF_SMALL).select(*cols).collect()) for k in ("cdc_stream_once", "notification_messages"))
+    assert once == batch and len(once) > 100
+
+
+def test_state_of_delivered_messages_stays_bounded(spark, scratch):
+    n = tb.redelivered_topic(spark, SF_SMALL, f"{scratch}/topic")
+    raw = segment_source(spark, f"{scratch}/topic", "earliest", max_offsets_per_trigger=n)
+    q = notifier.start_notifier(raw, tb.known_employees(spark, SF_SMALL), f"{scratch}/out", f"{scratch}/dead", f"{scratch}/c",
+                                processing_time="0 seconds", once_within="2 days")
+    try:
+        q.processAllAvailable()
+        sizes, late = notifier.state_sizes(q), notifier.late_rows(q)
+        rows = sum(p["numInputRows"] for p in q.recentProgress)
+    finally:
+        q.stop()
+    live = entry.queries()["cdc_live_filter"](spark, SF_SMALL).count()
+    assert rows > 1.2 * n and late > 0
+    assert 0 < max(sizes) < live / 2 and sizes[-1] < live / 4
+
+
+def test_messages_without_a_position_pass(spark, scratch):
+    path = f"{scratch}/topic"
+    body = '{"activity_id":%d,"employee_id":1,"sport_type":"Yoga","duration_s":60,"source":"live","__op":"c"%s}'
+    rows = [(0, body % (1, "")), (1, body % (1, "")), (2, body % (2, ',"__source_lsn":7,"__source_ts_ms":1000')), (3, body % (2, ',"__source_lsn":7,"__source_ts_ms":1000'))]
+    write_segments(spark.createDataFrame(rows, "key long, value string"), path, F.lit(0), F.col("key"), span=10)
+    out = notifier.live_events_once(segment_source(spark, path, "earliest"))
+    q = out.writeStream.format("parquet").option("path", f"{scratch}/o").option("checkpointLocation", f"{scratch}/c").start()
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert sorted(r.activity_id for r in spark.read.parquet(f"{scratch}/o").collect()) == [1, 1, 2]
