@@ -78,23 +78,23 @@ def current_state(
     truncate. Adds ``updated_at`` from the source time.
 
     A truncate is an epoch: its position in the log is one number, the largest
-    of all truncates, found in the aggregated table (a row without a key) and
-    compared with each key's latest change. No change is read or shuffled for
-    it again.
+    of all truncates, found by a pass without a shuffle when this is called,
+    and compared with each key's latest change.
 
     One aggregation of ``max_by`` with partial aggregation before the shuffle:
     a key with millions of changes costs one partial row per map task, never a
     whole key's history in one task (unlike a row_number window).
     """
-    latest = latest_per_key(changes, keys, order)
-    out = after_truncates(latest, keys, order[0]).filter(~F.col(deleted_col))
+    epoch = newest_truncate(changes, order[0])
+    out = keyed(latest_per_key(changes, keys, order), keys).filter(~F.col(deleted_col))
+    if epoch is not None:
+        out = out.filter(F.col(order[0]) > F.lit(epoch))
     return out.withColumn("updated_at", millis_to_timestamp(F.col("__source_ts_ms")))
 
 
-def after_truncates(latest: DataFrame, keys: Sequence[str], position: str = "__source_lsn") -> DataFrame:
-    """Keys of ``latest`` (see :func:`latest_per_key`) last changed after the newest truncate."""
-    epoch = latest.filter(F.col("__op") == "t").select(F.max(position)).scalar()
-    return keyed(latest, keys).filter(epoch.isNull() | (F.col(position) > epoch))
+def newest_truncate(changes: DataFrame, position: str = "__source_lsn") -> int | None:
+    """The largest position of a truncate; None without one."""
+    return changes.filter(F.col("__op") == "t").agg(F.max(position)).first()[0]
 
 
 def keyed(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
