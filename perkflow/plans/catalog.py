@@ -25,6 +25,7 @@ from ..schemas import CDC_ACTIVITY
 from ..session import scratch_path
 from ..sinks.keys import insert_ignore
 from ..sinks.lake import replace_partition, write_counted, write_partitioned
+from ..sinks.merge import merge_changes, read_merged
 from ..sinks.outbox import write_outbox
 from ..sources import lake
 from ..sources import testbed as tb
@@ -42,6 +43,7 @@ from .stamps import stamp
 
 ORDERS_AS_OF = dt.date(2001, 12, 31)
 SNAPSHOT_DAY = dt.date(2024, 1, 15)
+BUCKETS = 8
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -311,6 +313,19 @@ def q_cdc_current_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("cdc_merged_state")
+def q_cdc_merged_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The current state as a table cut by key hash, into which three shares of the change log, each out of
+    order with the others, are merged one after the other."""
+    root = scratch_path(spark, "merged")
+    changes = cdc.unwrap_envelopes(tb.employee_envelopes(spark, sf_dir))
+    for share in (1, 2, 0):
+        merge_changes(spark, changes.where(F.col("__source_lsn") % 3 == share), root, ["employee_id"], BUCKETS)
+    return read_merged(spark, root, ["employee_id"]).select(
+        "employee_id", "business_unit", "transport_mode", "home_address", "gross_salary", "__source_lsn", "updated_at"
+    )
+
+
 @register("event_name_lookup")
 def q_event_name_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = lookup.with_employee_names(_live(spark, sf_dir), tb.known_employees(spark, sf_dir))
@@ -626,3 +641,15 @@ def q_daily_gold_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         params=tb.parameter_history(spark),
     )
     return medallion.read_gold(spark, paths, TEST_AS_OF).select(*eligibility.GOLD_COLUMNS)
+
+
+@register("daily_gold_bucketed")
+def q_daily_gold_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily run with employees and activities bucketed by employee, so that no join shuffles."""
+    paths = medallion.LakePaths(scratch_path(spark, "lake"))
+    provider = StoredReplies(tb.distance_replies(spark, sf_dir))
+    medallion.run_daily(
+        spark, tb.employees(spark, sf_dir), tb.activities(spark, sf_dir), paths, TEST_AS_OF, provider,
+        params=tb.parameter_history(spark), buckets=BUCKETS,
+    )
+    return medallion.read_gold(spark, paths, TEST_AS_OF).select(*eligibility.GOLD_COLUMNS)

@@ -21,7 +21,7 @@ from ..operators.enrichment import RESOLVED_COLUMNS, resolve_addresses
 from ..sinks import jdbc as jdbc_sink
 from ..sinks.lake import replace_partition, write_counted
 from ..sources import folders, lake
-from . import rolling
+from . import keyed, rolling
 from .stamps import stamp
 
 PART = "extract_date"
@@ -73,10 +73,12 @@ def distance_cache(spark: SparkSession, paths: LakePaths, as_of: dt.date, max_ag
 
 
 def run_silver(spark: SparkSession, paths: LakePaths, as_of: dt.date, provider,
-               use_cache: bool = True, cache_days: int = CACHE_DAYS) -> dict[str, int]:
+               use_cache: bool = True, cache_days: int = CACHE_DAYS, buckets: int | None = None) -> dict[str, int]:
     """Resolve addresses (written first, so the service is asked once per
     address and day even if a later stage is retried), then employees, then
-    activities joined to the written employees."""
+    activities joined to the written employees. With ``buckets`` employees and
+    activities are laid out by employee first (:mod:`.keyed`) and joined in
+    place; ``run_gold`` needs the same number."""
     emp_bronze = lake.snapshot_scan(spark, paths.table("bronze", "employees"), as_of, PART, paths.fmt).drop(PART, "extract_ts")
     cache = distance_cache(spark, paths, as_of, cache_days) if use_cache else None
     resolved = resolve_addresses(emp_bronze, provider, cache)
@@ -96,9 +98,15 @@ def run_silver(spark: SparkSession, paths: LakePaths, as_of: dt.date, provider,
     emp_silver = lake.snapshot_scan(spark, paths.table("silver", "employees"), as_of, PART, paths.fmt)
     # Rows sorted by start time inside each write task (no shuffle): parquet
     # row-group min/max stats then let gold's look-back filter skip old groups.
-    act = stamp(refine.activities_silver(act_bronze, emp_silver, as_of).drop(PART), as_of).sortWithinPartitions(
-        "start_at"
-    )
+    if buckets:
+        root = paths.table("silver", "keyed")
+        keyed.lay_out_employees(spark, emp_silver.drop(PART), root, as_of, buckets)
+        keyed.lay_out_activities(spark, act_bronze, root, as_of, buckets)
+        laid = keyed.employees_of(spark, root, as_of, buckets), *keyed.activities_of(spark, root, as_of, buckets)
+        act_silver = keyed.activities_silver(*laid, as_of)
+    else:
+        act_silver = refine.activities_silver(act_bronze, emp_silver, as_of)
+    act = stamp(act_silver.drop(PART), as_of).sortWithinPartitions("start_at")
     counts["silver.activities"] = _write_day(act, paths.table("silver", "activities"), PART, as_of,
                                              "silver_activities", paths.fmt)
     return counts
@@ -106,16 +114,22 @@ def run_silver(spark: SparkSession, paths: LakePaths, as_of: dt.date, provider,
 
 def run_gold(spark: SparkSession, paths: LakePaths, as_of: dt.date,
              params: Mapping[str, object] | DataFrame = DEFAULT_PARAMETERS,
-             days: int = LOOKBACK_DAYS, arrived: DataFrame | None = None) -> dict[str, int]:
-    """The eligibility table of the day. With ``arrived`` (the activities that
+             days: int = LOOKBACK_DAYS, arrived: DataFrame | None = None, buckets: int | None = None) -> dict[str, int]:
+    """The eligibility table of the day. With ``buckets`` (as given to
+    :func:`run_silver`) counts and join run in place, bucket by bucket. With ``arrived`` (the activities that
     came in on ``as_of``) the look-back counts are moved on from the last day's
     (:mod:`.rolling`) and silver activities aren't read."""
     counts = None
     if arrived is not None:
         counts = rolling.advance(spark, arrived, paths.table("gold", "activity_window"), as_of, days)
-    emp = lake.snapshot_scan(spark, paths.table("silver", "employees"), as_of, PART, paths.fmt)
-    act = lake.snapshot_scan(spark, paths.table("silver", "activities"), as_of, PART, paths.fmt)
-    gold = eligibility.employee_eligibility(emp, act, as_of, params, days, counts)
+    if buckets and counts is None:
+        root = paths.table("silver", "keyed")
+        laid = keyed.employees_of(spark, root, as_of, buckets), *keyed.activities_of(spark, root, as_of, buckets)
+        gold = keyed.employee_eligibility(*laid, as_of, params, days)
+    else:
+        emp = lake.snapshot_scan(spark, paths.table("silver", "employees"), as_of, PART, paths.fmt)
+        act = lake.snapshot_scan(spark, paths.table("silver", "activities"), as_of, PART, paths.fmt)
+        gold = eligibility.employee_eligibility(emp, act, as_of, params, days, counts)
     return {"gold.employee_eligibility": _write_day(gold, paths.table("gold", "employee_eligibility"), GOLD_PART,
                                                     as_of, "gold_eligibility", paths.fmt)}
 
@@ -157,11 +171,11 @@ def publish_gold(spark: SparkSession, paths: LakePaths, as_of: dt.date, url: str
 def run_daily(spark: SparkSession, employees: DataFrame, activities: DataFrame, paths: LakePaths,
               as_of: dt.date, provider, params: Mapping[str, object] | DataFrame = DEFAULT_PARAMETERS,
               days: int = LOOKBACK_DAYS, use_cache: bool = True, cache_days: int = CACHE_DAYS,
-              arrived: DataFrame | None = None) -> dict[str, int]:
+              arrived: DataFrame | None = None, buckets: int | None = None) -> dict[str, int]:
     """bronze >> silver >> gold for one day; returns rows written per table.
     ``use_cache`` False asks the provider for every address again; ``arrived``:
-    see :func:`run_gold`."""
+    see :func:`run_gold`; ``buckets``: see :func:`run_silver`."""
     counts = run_bronze(spark, employees, activities, paths, as_of)
-    counts.update(run_silver(spark, paths, as_of, provider, use_cache, cache_days))
-    counts.update(run_gold(spark, paths, as_of, params, days, arrived))
+    counts.update(run_silver(spark, paths, as_of, provider, use_cache, cache_days, buckets))
+    counts.update(run_gold(spark, paths, as_of, params, days, arrived, buckets))
     return counts

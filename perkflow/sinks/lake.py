@@ -68,6 +68,18 @@ def _swap(spark: SparkSession, staged: str, target: str, replaced: str) -> None:
         folders.remove(spark, replaced)
 
 
+def swap_in(spark: SparkSession, staged: str, target: str) -> None:
+    """Put a folder written in full beside ``target`` in its place, as :func:`replace_partition` does."""
+    base, _, name = target.rstrip("/").rpartition("/")
+    replaced = f"{base}/.replaced-{name}"
+    if folders.exists(spark, replaced):  # an earlier swap died between its renames
+        if folders.exists(spark, target):
+            folders.remove(spark, replaced)
+        else:
+            folders.rename(spark, replaced, target)
+    _swap(spark, staged, target, replaced)
+
+
 def recover_partition(spark: SparkSession, path: str, part_col: str, value) -> None:
     """After a replace that died: the old rows go back if the new ones are not in place; left-overs go."""
     base, name = path.rstrip("/"), f"{part_col}={_value_text(value)}"

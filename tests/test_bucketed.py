@@ -1,0 +1,112 @@
+"""Tables bucketed by employee: joins in place, hot employees apart, same results."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from perkflow.operators import eligibility, refine
+from perkflow.operators.enrichment import StoredReplies
+from perkflow.plans import keyed, medallion
+from perkflow.sinks.bucketed import hot_keys, open_bucketed, write_bucketed
+from perkflow.sources import testbed as tb
+
+from .conftest import SF_SMALL
+
+DAY = dt.date(2024, 1, 31)
+
+
+@pytest.fixture()
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def rows(df):
+    return sorted(map(repr, df.collect()))
+
+
+def skewed(spark):
+    """Activities of which one employee holds a third, and a tenth have none."""
+    a = tb.activities(spark, SF_SMALL)
+    who = F.when(F.col("activity_id") % 3 == 0, F.lit(7)).when(F.col("activity_id") % 10 == 1, F.lit(None))
+    return a.withColumn("employee_id", who.otherwise(F.col("employee_id")).cast("long"))
+
+
+def laid_out(spark, scratch, activities, buckets=8):
+    employees = tb.employee_base(spark, SF_SMALL).withColumn("employee_id", F.col("employee_id").cast("long"))
+    keyed.lay_out_employees(spark, employees, scratch, DAY, buckets)
+    hot = keyed.lay_out_activities(spark, activities, scratch, DAY, buckets)
+    return employees, hot, (keyed.employees_of(spark, scratch, DAY, buckets), *keyed.activities_of(spark, scratch, DAY, buckets))
+
+
+def test_joins_of_bucketed_tables_hold_no_exchange(spark, scratch, no_broadcast):
+    activities = tb.activities(spark, SF_SMALL).withColumn("employee_id", F.col("employee_id").cast("long"))
+    employees, _, (emp, cold, _) = laid_out(spark, scratch, activities)
+    silver = refine.activities_silver(cold, emp, DAY)
+    counts = eligibility.with_activity_counts(emp.select("employee_id"), eligibility.rolling_window_count(cold, DAY))
+    for df in (silver, counts):
+        assert "Exchange" not in plan(df) and "SortMergeJoin" in plan(df)
+    assert rows(counts) == rows(
+        eligibility.with_activity_counts(employees.select("employee_id"), eligibility.rolling_window_count(activities, DAY))
+    )
+
+
+def test_whole_silver_and_gold_plans_shuffle_hot_partials_alone(spark, scratch, no_broadcast):
+    activities = skewed(spark)
+    employees, hot, laid = laid_out(spark, scratch, activities)
+    assert 7 in hot and len(hot) < 8
+    silver, counts = keyed.activities_silver(*laid, DAY), keyed.with_activity_counts(*laid, DAY)
+    # one pre-aggregated exchange of the hot ids each; bucketed and hot rows themselves stay
+    assert plan(silver).count("Exchange hashpartitioning") == 1
+    assert plan(counts).count("Exchange hashpartitioning") == 1
+    want = refine.activities_silver(activities, employees, DAY)
+    assert rows(silver) == rows(want.select(*silver.columns))
+    assert rows(counts) == rows(
+        eligibility.with_activity_counts(employees.select("employee_id"), eligibility.rolling_window_count(activities, DAY))
+    )
+
+
+def test_a_hot_employee_stays_out_of_the_buckets(spark, scratch):
+    _, _, (_, cold, hot) = laid_out(spark, scratch, skewed(spark))
+    assert cold.where("employee_id = 7 OR employee_id IS NULL").count() == 0
+    assert hot.where("employee_id = 7").count() > 0 and hot.where("employee_id IS NULL").count() > 0
+    largest = cold.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert largest <= cold.count() // 2
+
+
+def test_hot_keys_are_those_above_an_even_share(spark):
+    df = spark.createDataFrame([(1,)] * 6 + [(2,)] * 5 + [(3,)] + [(None,)] * 8, "k int")
+    assert hot_keys(df, "k", 4) == [1]  # 6 * 4 > 20, 5 * 4 = 20
+    assert hot_keys(df.limit(0), "k", 4) == []
+
+
+def test_bucketed_folder_has_one_file_per_bucket_and_opens_again(spark, scratch):
+    df = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") % 7).alias("v"))
+    write_bucketed(df, f"{scratch}/t", "k", 4)
+    again = open_bucketed(spark, f"{scratch}/t", "k", 4)
+    assert again.rdd.getNumPartitions() == 4 or "Bucketed: true" in plan(again.groupBy("k").count())
+    assert rows(again) == rows(df) == rows(spark.read.parquet(f"{scratch}/t"))
+    assert "Exchange" not in plan(again.groupBy("k").count())
+    write_bucketed(df.limit(0), f"{scratch}/none", "k", 4)
+    assert open_bucketed(spark, f"{scratch}/none", "k", 4).count() == 0
+
+
+def test_daily_run_with_buckets_equals_the_plain_run_and_reruns(spark, scratch):
+    emp, act = tb.employees(spark, SF_SMALL), tb.activities(spark, SF_SMALL)
+    provider = StoredReplies(tb.distance_replies(spark, SF_SMALL))
+    got, plain = medallion.LakePaths(f"{scratch}/a"), medallion.LakePaths(f"{scratch}/b")
+    n = medallion.run_daily(spark, emp, act, got, DAY, provider, buckets=4)
+    assert n == medallion.run_daily(spark, emp, act, plain, DAY, provider)
+    assert n == medallion.run_daily(spark, emp, act, got, DAY, provider, buckets=4)
+    assert rows(medallion.read_gold(spark, got, DAY)) == rows(medallion.read_gold(spark, plain, DAY))
+
+
+def test_activities_not_laid_out_are_an_error(spark, scratch):
+    with pytest.raises(FileNotFoundError, match="laid out"):
+        keyed.activities_of(spark, scratch, DAY, 4)
