@@ -180,6 +180,24 @@ def forest_links(values: np.ndarray, is_node: np.ndarray, group: np.ndarray, rad
     return values[linked], values[label[linked]]
 
 
+def _tree(parts: list[np.ndarray]) -> tuple[BKForest, np.ndarray]:
+    nodes = np.concatenate(parts)
+    return BKForest(nodes, np.zeros(len(nodes), np.int64)), nodes
+
+
+def tree_links(forest: BKForest, nodes: np.ndarray, queries: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Spanning links of ``queries`` and the rows of one tree (``forest`` over ``nodes``)."""
+    values = np.concatenate([nodes, queries])
+    label = np.arange(len(values))
+    step = max(1, FRONTIER // max(len(nodes), 1))
+    for a in range(0, len(queries), step):
+        part = queries[a : a + step]
+        for q, node in forest.search(part, np.zeros(len(part), np.int64), radius):
+            label = join_labels(label, len(nodes) + a + q, node)
+    linked = np.flatnonzero(label != np.arange(len(values)))
+    return values[linked], values[label[linked]]
+
+
 def block_count(classes: int, radius: int = RADIUS, mean: int = SHARD_MEAN) -> int:
     """Number of bit blocks for which a shard of ``classes`` spread fingerprints has at most ``mean`` rows."""
     for blocks in range(radius + 1, radius + 5):
@@ -200,7 +218,13 @@ def shard_keys(fp: Column, blocks: int, radius: int = RADIUS) -> Column:
 
 
 def near_links(classes: DataFrame, radius: int = RADIUS, blocks: int = RADIUS + 1, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """Links (a, b) that span every group of distinct fingerprints ``fp`` within ``radius`` bits."""
+    """Links (a, b) that span every group of distinct fingerprints ``fp`` within ``radius`` bits.
+
+    A shard of over ``shard_rows`` is cut into several trees. A tree's rows come
+    before the rows that only search it, and those stream past it in parts, so
+    a task holds a tree of about ``shard_rows`` and one part, however large the
+    shard.
+    """
     shards = classes.select("fp", F.explode(shard_keys(F.col("fp"), blocks, radius)).alias("s")).select("fp", "s.*")
     large = shards.groupBy("table", "key").count().where(F.col("count") > shard_rows)
     large = large.select("table", "key", F.ceil(F.col("count") / shard_rows).cast("int").alias("trees"))
@@ -213,16 +237,36 @@ def near_links(classes: DataFrame, radius: int = RADIUS, blocks: int = RADIUS +
     keys = ["table", "key", "tree"]
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, _ in whole_groups(batches, keys, 65_536):
-            col = [part.column(k).to_numpy() for k in keys]
-            step = np.zeros(part.num_rows, np.int64)
-            for c in col:
-                step[1:] |= c[1:] != c[:-1]
-            values = part.column("fp").to_numpy().view(np.uint64)
-            a, b = forest_links(values, part.column("is_node").to_numpy(), np.cumsum(step), radius)
-            yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
-
-    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(search, "a long, b long")
+        key, waiting, forest, nodes = None, [], None, None  # of the tree whose rows come in parts
+        for part, whole in whole_groups(batches, keys, min(65_536, 2 * shard_rows), 2 * shard_rows):
+            now = None if whole else tuple(part.column(k)[0].as_py() for k in keys)
+            if now != key:
+                if waiting:
+                    yield links(*tree_links(*_tree(waiting), np.concatenate(waiting), radius))
+                key, waiting, forest = now, [], None
+            values, is_node = part.column("fp").to_numpy().view(np.uint64), part.column("is_node").to_numpy()
+            if whole:
+                col = [part.column(k).to_numpy() for k in keys]
+                step = np.zeros(part.num_rows, np.int64)
+                for c in col:
+                    step[1:] |= c[1:] != c[:-1]
+                yield links(*forest_links(values, is_node, np.cumsum(step), radius))
+                continue
+            if forest is None:
+                waiting.append(values[is_node])
+                if is_node.all():
+                    continue
+                forest, nodes = _tree(waiting)
+                values, waiting = np.concatenate([nodes, values[~is_node]]), []
+            yield links(*tree_links(forest, nodes, values, radius))
+        if waiting:
+            yield links(*tree_links(*_tree(waiting), np.concatenate(waiting), radius))
+
+    def links(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
+
+    rows = rows.repartition(*keys).sortWithinPartitions(*keys, F.desc("is_node"))
+    return rows.mapInArrow(search, "a long, b long")
 
 
 def near_duplicates(
@@ -236,20 +280,23 @@ def near_duplicates(
     (null if it has none). Rows of equal fingerprint are one class, so copies
     are never paired. Nulls and texts without words have fingerprint 0 and are
     linked like any other; repeated rows and ids keep their rows; an empty
-    table gives an empty result.
+    table gives an empty result. A kept column named like a computed one comes
+    back as ``<name>_kept``.
     """
     keep = keep or [doc_id]
     cols = list(dict.fromkeys([*keep, doc_id]))
-    marked = materialise(fingerprints(docs, cols, text, shingle), "fingerprints")
-    classes = materialise(marked.groupBy("fp").agg(F.min(doc_id).alias("low")), "classes")
+    own = [f"k{i}" for i in range(len(cols))]
+    rows = docs.select(*[F.col(c).alias(k) for c, k in zip(cols, own, strict=True)], F.col(text).alias("body"))
+    marked = materialise(fingerprints(rows, own, "body", shingle), "fingerprints")
+    classes = materialise(marked.groupBy("fp").agg(F.min(own[cols.index(doc_id)]).alias("low")), "classes")
     links = near_links(classes, radius, block_count(classes.count(), radius))
     roots = connected_components(links, "a", "b").withColumnRenamed("node", "fp")
     known = classes.join(roots, "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     named = known.groupBy("root").agg(F.min("low").alias("component_id"))
     names = known.join(named, "root").select("fp", "component_id")
-    taken = set(c.lower() for c in keep)
-    out = marked.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], "fp").join(names, "fp")
-    return out.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], *[c for c in ("fp", "component_id") if c not in taken])
+    computed = ("fp", "component_id")
+    back = [F.col(k).alias(f"{c}_kept" if c.lower() in computed else c) for c, k in zip(cols, own, strict=True) if c in keep]
+    return marked.join(names, "fp").select(*back, *computed)
 
 
 def keep_one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

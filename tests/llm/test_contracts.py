@@ -147,6 +147,33 @@ def test_simhash_keeps_one_per_group(docs_of):
     assert got.count(3) == 1 and 5 not in got and 1 in got
 
 
+def test_simhash_kept_columns_that_clash(docs_of):
+    docs = docs_of(ODD).withColumn("fp", F.lit("mine")).withColumn("component_id", F.lit("too"))
+    got = simhash_bktree.near_duplicates(docs, keep=["doc_id", "fp", "component_id"])
+    assert got.columns == ["doc_id", "fp_kept", "component_id_kept", "fp", "component_id"]
+    assert {(r[1], r[2]) for r in got.collect()} == {("mine", "too")}
+    assert {r[0]: (f"{r[3] % 2**64:016x}", r[4]) for r in got.collect()} == brute.components(ODD)
+
+
+def test_near_links_of_a_tight_shard_stream_past_its_trees(spark):
+    """3,000 fingerprints within 8 bits of one another, in trees of about 100 and batches of 64 rows."""
+    rng = np.random.default_rng(8)
+    flips = (np.uint64(1) << rng.integers(0, 64, (3000, 4)).astype(np.uint64)).astype(np.uint64)
+    values = np.unique(np.bitwise_xor.reduce(flips, axis=1))
+    classes = spark.createDataFrame([(int(v),) for v in values.view(np.int64)], "fp long").repartition(4)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
+    try:
+        links = simhash_bktree.near_links(classes, shard_rows=100).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    close = np.bitwise_count(values[:, None] ^ values[None, :]) <= 4
+    want = simhash_bktree.join_labels(np.arange(len(values)), *np.nonzero(close))
+    at = {int(v): i for i, v in enumerate(values.view(np.int64))}
+    a, b = (np.array([at[r[k]] for r in links], int) for k in (0, 1))
+    assert (simhash_bktree.join_labels(np.arange(len(values)), a, b) == want).all()
+
+
 @pytest.mark.parametrize("blocks", [5, 6, 7, 8])
 def test_near_links_span_components(spark, blocks):
     rng = np.random.default_rng(blocks)
