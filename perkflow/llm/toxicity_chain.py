@@ -149,12 +149,17 @@ def best_limit(p: np.ndarray, y: np.ndarray) -> float:
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, flag: str, most: int) -> DataFrame:
-    """(id, t, y) of at most ``most`` labelled documents, chosen by a hash of the id."""
+    """(id, t, y) of at most ``most`` labelled documents, chosen by a hash of the id.
+
+    One row per id, however often ``docs`` repeats it: its smallest text (each
+    map task sends one row per id).
+    """
     order = F.xxhash64("id", F.lit(SEED))
     known = labels.where(F.col(flag).isNotNull() & F.col(doc_id).isNotNull())
     known = known.groupBy(F.col(doc_id).cast("long").alias("id")).agg(F.max(F.col(flag).cast("int")).alias("y"))
     known = materialise(known.orderBy(order, "id").limit(most), "labelled")  # at most ``most`` rows: small enough to broadcast
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("t")).join(F.broadcast(known), "id")
+    rows = rows.groupBy("id").agg(F.min("t").alias("t"), F.first("y").alias("y"))
     return materialise(rows, "training")
 
 
@@ -211,7 +216,7 @@ def fit(training: DataFrame, features: int = FEATURES, folds: int = FOLDS) -> Ch
         return pa.RecordBatch.from_arrays([piece.column("id"), piece.column("y"), packed, pa.array(list(map(list, zip(*has, strict=True))), pa.list_(pa.bool_()))], names=["id", "y", "x", "has"])
 
     found = training.mapInArrow(by_piece("t", rates), "id long, y int, x binary, has array<boolean>")
-    rows = sorted(found.collect())  # at most the labelled rows, a bounded sample
+    rows = sorted(found.collect())  # one row per labelled id, a bounded sample
     if not rows:
         return Chain(slot, scale, [np.array([*np.zeros(len(scale) + c), -30.0]) for c in range(len(NAMES))], 1.0)
     x = np.stack([np.frombuffer(r["x"], np.float32) for r in rows]).astype(np.float64)

@@ -241,3 +241,10 @@ def test_stages_keep_columns_and_take_empty_tables(spark, docs_of):
         assert stage(spark, docs, SF).count() <= 3 * docs.count()
         assert stage(spark, docs_of([]), SF).count() == 0
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == docs.count()
+
+
+def test_labelled_rows_hold_one_row_per_id(spark):
+    docs = spark.createDataFrame([(1, "b"), (1, "a"), (1, "a"), (2, None), (2, None), (3, "c"), (None, "d")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, True), (1, False), (2, False), (9, True), (None, True)], "doc_id long, toxic boolean")
+    rows = toxicity_chain.labelled_rows(docs, labels, "doc_id", "text", "toxic", 100)
+    assert sorted(map(tuple, rows.select("id", "t", "y").collect())) == [(1, "a", 1), (2, None, 0)]
