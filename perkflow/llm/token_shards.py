@@ -350,7 +350,7 @@ def write_shards(
     with open(tokenizer_path, encoding="utf-8") as f:
         vocabulary = spark.sparkContext.broadcast(f.read())  # the vocabulary file, of fixed size
     rows = docs.select(F.col(doc_id).cast("long").alias("d"), F.col(text).alias("t"), F.xxhash64(text).alias("h"))
-    rows = rows.repartitionByRange("d").sortWithinPartitions("d", "h").select("d", "t", F.spark_partition_id().alias("part"))
+    rows = rows.repartitionByRange("d", "h").sortWithinPartitions("d", "h").select("d", "t", F.spark_partition_id().alias("part"))
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = _encoder(vocabulary, end_id)
