@@ -1,15 +1,21 @@
-WITH r AS (
-    SELECT 'NATION_' || n_nationkey AS home_address,
-           CASE n_nationkey % 10
+WITH a AS (
+    SELECT 'NATION_' || n_nationkey AS home_address, n_nationkey AS k,
+           n_nationkey * 1250 + CASE WHEN n_nationkey = 20 THEN 5 ELSE 0 END AS metres
+    FROM nation
+    UNION ALL
+    SELECT 'HOME_' || c_custkey, c_custkey, (c_custkey * 37) % 60000 FROM customer
+), r AS (
+    SELECT home_address,
+           CASE k % 10
                WHEN 9 THEN '{"status":"OK","rows":[{"elements":[{"status":"NOT_FOUND"}]}]}'
                WHEN 8 THEN '{"status":"REQUEST_DENIED","error_message":"key rejected","rows":[]}'
                WHEN 7 THEN '<html>bad gateway</html>'
                WHEN 6 THEN NULL
                WHEN 5 THEN '{"status":"OK","rows":[]}'
                ELSE '{"status":"OK","rows":[{"elements":[{"status":"OK","distance":{"value":'
-                    || (n_nationkey * 1250 + CASE WHEN n_nationkey = 20 THEN 5 ELSE 0 END) || '}}]}]}'
+                    || metres || '}}]}]}'
            END AS reply
-    FROM nation
+    FROM a
 ), j AS (
     SELECT home_address, reply, CASE WHEN json_valid(reply) THEN reply END AS doc FROM r
 ), f AS (

@@ -199,7 +199,7 @@ def q_distance_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("distance_reply_decode")
 def q_distance_reply_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    decoded = decode_replies(tb.distance_replies(spark, sf_dir))
+    decoded = decode_replies(tb.home_replies(spark, sf_dir))
     return decoded.select("home_address", "home_to_office_km", "distance_check_status")
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..constants import DEFAULT_PARAMETERS, DISTANCE_NOT_FOUND, DISTANCE_OK, LOOKBACK_DAYS
 from ..operators import eligibility, refine
 from ..operators.enrichment import RESOLVED_COLUMNS, resolve_addresses
-from ..sinks import jdbc as jdbc_sink
+from ..sinks import staged_jdbc
 from ..sinks.lake import replace_partition, write_counted
 from ..sources import folders, lake
 from . import keyed, rolling
@@ -163,9 +163,10 @@ def serving_rows(gold: DataFrame) -> DataFrame:
 def publish_gold(spark: SparkSession, paths: LakePaths, as_of: dt.date, url: str, table: str,
                  properties: Mapping[str, str]) -> None:
     """Serving export: the written gold partition (not a recomputation)
-    replaces the serving table's content, keeping its definition; a table
-    created by the first publish gets the serving column types."""
-    jdbc_sink.publish(serving_rows(read_gold(spark, paths, as_of)), url, table, properties)
+    replaces the serving table's content in one transaction, keeping its
+    definition; a table created by the first publish gets the serving column
+    types."""
+    staged_jdbc.publish_staged(serving_rows(read_gold(spark, paths, as_of)), url, table, properties)
 
 
 def run_daily(spark: SparkSession, employees: DataFrame, activities: DataFrame, paths: LakePaths,

@@ -10,7 +10,8 @@ Mapping (all deterministic):
 * employees    <- customer (+ the first order date as hire date)
 * activities   <- events (sport from event_type, distance from props.k)
 * change log   <- events (op from event_id, LSN = event_id)
-* distances    <- nation (one address per nation, one reply per address)
+* distances    <- nation (one address per nation, one reply per address),
+                  customer (one home per employee)
 """
 
 from __future__ import annotations
@@ -286,23 +287,16 @@ def envelopes_from_events(e: DataFrame) -> DataFrame:
     return e.select(eid.alias("key"), F.to_json(env).alias("value"))
 
 
-@per_session
-def distance_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored distance-service replies, one per nation address.
-
-    nationkey % 10: 9 -> element NOT_FOUND, 8 -> REQUEST_DENIED, 7 -> not JSON,
-    6 -> no reply (no key), 5 -> empty rows; otherwise OK with nationkey*1250 m,
-    and 5 m more for nation 20: 25,005 m, which is 25.0 km as the bonus counts.
-    """
-    n = table(spark, sf_dir, "nation")
-    k = F.col("n_nationkey")
+def _reply(k: Column, metres: Column) -> Column:
+    """Reply number ``k``. k % 10: 9 -> element NOT_FOUND, 8 -> REQUEST_DENIED, 7 -> not JSON,
+    6 -> no reply (no key), 5 -> empty rows; otherwise OK with ``metres``."""
     d = k % 10
     ok = F.concat(
         F.lit('{"status":"OK","rows":[{"elements":[{"status":"OK","distance":{"value":'),
-        (k * 1250 + F.when(k == 20, 5).otherwise(0)).cast("string"),
+        metres.cast("string"),
         F.lit("}}]}]}"),
     )
-    reply = (
+    return (
         F.when(d == 9, F.lit('{"status":"OK","rows":[{"elements":[{"status":"NOT_FOUND"}]}]}'))
         .when(d == 8, F.lit('{"status":"REQUEST_DENIED","error_message":"key rejected","rows":[]}'))
         .when(d == 7, F.lit("<html>bad gateway</html>"))
@@ -310,9 +304,31 @@ def distance_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(d == 5, F.lit('{"status":"OK","rows":[]}'))
         .otherwise(ok)
     )
+
+
+@per_session
+def distance_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored distance-service replies, one per nation address.
+
+    OK replies have nationkey*1250 m, and 5 m more for nation 20: 25,005 m,
+    which is 25.0 km as the bonus counts.
+    """
+    n = table(spark, sf_dir, "nation")
+    k = F.col("n_nationkey")
+    reply = _reply(k, k * 1250 + F.when(k == 20, 5).otherwise(0))
     return n.select(F.concat(F.lit("NATION_"), k.cast("string")).alias("home_address"), reply.alias("reply"))
 
 
+@per_session
+def home_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One reply per employee's own home (custkey*37 m, below 60 km), and those of the nations."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    homes = c.select(F.concat(F.lit("HOME_"), k.cast("string")).alias("home_address"),
+                     _reply(k, (k * 37) % 60000).alias("reply"))
+    return homes.unionByName(distance_replies(spark, sf_dir))
+
+
 @per_session
 def _parameter_rows(spark: SparkSession, _unused: str) -> DataFrame:
     return _build_parameter_history(spark)
