@@ -31,13 +31,15 @@ from ..sources import lake
 from ..sources import testbed as tb
 from ..sources.hr_extract import HR_COLUMNS, normalize_hr_extract, read_hr_extract
 from ..sources.segment_log import segment_source, write_segments
+from ..streaming import batch_quality
 from ..streaming.current_state import (
     compact_state, read_state, start_keyless_stream, start_state_stream, start_ttl_state_stream,
 )
 from ..streaming.notifier import file_source, prepared_names, start_notifier
 from . import medallion, rolling
 from .rules import (
-    ACTIVITY_NOT_NULL, EMPLOYEE_NOT_NULL, PRIMARY_KEYS, SERVING_NOT_NULL, activity_checks, employee_checks, gold_suite,
+    ACTIVITY_NOT_NULL, EMPLOYEE_NOT_NULL, PRIMARY_KEYS, SERVING_NOT_NULL, activity_checks, activity_stream_suite,
+    employee_checks, gold_suite,
 )
 from .stamps import stamp
 
@@ -456,6 +458,18 @@ def _drain(q) -> None:
         q.stop()
 
 
+@register("cdc_stream_quality")
+def q_cdc_stream_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality rules counted on every micro-batch of the change messages as it is written, one of four files
+    per batch; the batches' reports added up."""
+    base = scratch_path(spark, "stream-quality")
+    tb.cdc_messages(spark, sf_dir).repartitionByRange(4, "key").select("value").write.parquet(f"{base}/in")
+    messages = cdc.parse_messages(_envelope_stream(spark, f"{base}/in"))
+    _await(batch_quality.start_checked_stream(messages, activity_stream_suite(), f"{base}/rows", f"{base}/reports",
+                                              f"{base}/_checkpoint", available_now=True))
+    return batch_quality.stream_report(batch_quality.batch_reports(spark, f"{base}/reports"))
+
+
 def _envelope_files(spark: SparkSession, sf_dir: str, path: str) -> None:
     """The change envelopes as four files, in log order."""
     tb.employee_envelopes(spark, sf_dir).repartitionByRange(4, "key").select("value").write.parquet(path)

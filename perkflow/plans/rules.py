@@ -51,3 +51,14 @@ def gold_suite(expected_rows: int | Column) -> list[quality.Rule]:
         quality.expect_in_set("business_unit", BUSINESS_UNITS),
         quality.expect_not_null("employee_id"),
     ]
+
+
+def activity_stream_suite() -> list[quality.Rule]:
+    """Checks of the activity messages that add up over micro-batches."""
+    return [
+        quality.expect_not_null("activity_id"),
+        quality.expect_not_null("employee_id"),
+        quality.expect_not_null("sport_type"),
+        quality.expect_in_set("source", ACTIVITY_SOURCES),
+        quality.expect_between("duration_s", 1, 4 * 3600),
+    ]
