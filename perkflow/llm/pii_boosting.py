@@ -2,15 +2,20 @@
 
 High-recall generators (regular expressions, two or more per kind) propose
 spans that may overlap. Boosted trees score each candidate from its format and
-its context, and a threshold per kind, calibrated on candidates kept from the
-fit, decides which become redactions. Spans of the base rules always stay; the
-trees add candidates that the base rules lose, such as a card number that runs
-into the next number.
+its context, and a threshold per kind decides which become redactions. Spans of
+the base rules always stay; the trees add candidates that the base rules lose,
+such as a card number that runs into the next number.
 
-The trees are fitted with Spark ML on candidates of at most about
-``TRAIN_DOCS`` documents, labelled by the validity rules of their kind, and
-then written out as SQL expressions. So scoring is one narrow pass over whole
-texts: no shuffle, no join, nothing but column expressions.
+The trees are fitted with Spark ML on the candidates of all documents, labelled
+by the validity rules of their kind. Candidates of equal features are one row
+with their number as its weight, so the fit's table grows with the different
+forms, not with the corpus. Splits lie at the fixed ``STEPS``, one yes-or-no
+feature each, since Spark ML would place splits of numbers by a sample of the
+rows. Thresholds are calibrated on all candidates too: each is scored by trees
+fitted on the other folds of documents.
+
+The trees are then written out as SQL expressions. So scoring is one narrow
+pass over whole texts: no shuffle, no join, nothing but column expressions.
 
 No pattern crosses a repeat of its own class, so scanning is linear: runs are
 possessive and may only start where a run starts or the last match ended.
@@ -21,11 +26,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perkflow.llm.components import materialise
+from perkflow.llm.components import discard, materialise
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -43,8 +48,12 @@ GENERATORS = (
     (3, r"(?<![0-9+])(?:\([0-9]{3}\)\x20?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9])"),
 )
 BASE = len(KINDS)
-#: Documents whose candidates are used for fitting and calibration, about; chosen by a hash of the id.
-TRAIN_DOCS = 50_000
+#: Parts of the documents, by a hash of the id; each part's candidates are scored by trees of the others.
+FOLDS = 2
+#: Where a feature that is a number may be split.
+STEPS = (*range(25), 28, 32, 40, 48, 64, 128, 256)
+#: Rows of the fit in one partition, about.
+PART = 20_000
 TREES = 12
 DEPTH = 4
 #: Share of valid candidates that a threshold must reach among those above it.
@@ -150,17 +159,41 @@ def features(span: Column) -> list[Column]:
     ]
 
 
+FEATURES = 16
+#: A feature's splits: all features but the numbers are 0 or 1.
+_NUMBERS = {0: range(BASE - 1), 2: STEPS, 3: STEPS, 4: STEPS, 5: STEPS, 13: STEPS, 15: range(-1, 9)}
+SPLITS = [(i, step) for i in range(FEATURES) for step in _NUMBERS.get(i, (0,))]
+
+
+def stepped(feature: Column, at: int) -> Column:
+    """The least step from the feature on: on the same side of every split as the feature itself."""
+    steps = _NUMBERS.get(at, (0,))
+    if len(steps) == 1:
+        return feature
+
+    def least(value: Column) -> Column:
+        out = F.lit(2.0 * STEPS[-1])
+        for step in reversed(steps):
+            out = F.when(value <= step, F.lit(float(step))).otherwise(out)
+        return out
+
+    return let(feature, least)
+
+
 def _tree(lines: list[str], at: int, f: Column) -> tuple[Column, int]:
-    """A printed tree, from line ``at``, as an expression over the feature array; the line after it."""
+    """A printed tree over ``SPLITS``, from line ``at``, as an expression over the feature array; the line after it."""
     line = lines[at].strip()
     if line.startswith("Predict:"):
         return F.lit(float(line.split(":")[1])), at + 1
-    name, op, value = line[line.index("feature ") + 8 : -1].split(" ")
-    if op != "<=":
+    split, op, value = line[line.index("feature ") + 8 : -1].split(" ")
+    if op != "in" or value not in ("{0.0}", "{1.0}"):
         raise ValueError(f"a tree with an unknown split: {line}")
     yes, at = _tree(lines, at + 1, f)
     no, at = _tree(lines, at + 1, f)
-    return F.when(F.element_at(f, int(name) + 1) <= float(value), yes).otherwise(no), at
+    if value == "{1.0}":
+        yes, no = no, yes
+    name, step = SPLITS[int(split)]
+    return F.when(F.element_at(f, name + 1) <= float(step), yes).otherwise(no), at
 
 
 class Boosted:
@@ -171,14 +204,14 @@ class Boosted:
 
     def score(self, span: Column) -> Column:
         """Probability that a candidate is personal data."""
+        return let(F.array(*features(span)), self.score_of)
+
+    def score_of(self, f: Column) -> Column:
+        """The score by an array of features."""
         if not self.trees:
             return F.lit(0.0)
-
-        def total(f: Column) -> Column:
-            parts = [_tree(lines, 0, f)[0] * weight for lines, weight in self.trees]
-            return 1 / (1 + F.exp(-2 * sum(parts[1:], parts[0])))
-
-        return let(F.array(*features(span)), total)
+        parts = [_tree(lines, 0, f)[0] * weight for lines, weight in self.trees]
+        return 1 / (1 + F.exp(-2 * sum(parts[1:], parts[0])))
 
     def accepts(self, span: Column) -> Column:
         limit = F.lit(2.0)
@@ -187,57 +220,79 @@ class Boosted:
         return self.score(span) >= limit
 
 
-def fit(docs: DataFrame, doc_id: str, text: str, train_docs: int = TRAIN_DOCS) -> Boosted:
-    """Boosted trees and thresholds from the candidates of a bounded, hashed sample of documents.
-
-    Label: the validity rule of the kind. Candidates of the national phone form
-    have no rule and are left out. With one class only there are no trees.
-    """
-    share = min(1.0, train_docs / max(docs.count(), 1))
-    mark = F.pmod(F.xxhash64(F.col(doc_id).cast("string"), F.lit(SEED)), F.lit(1 << 30))
-    spans = docs.where(mark < int(share * (1 << 30))).select(mark.alias("mark"), F.explode(candidates(F.col(text))).alias("s"))
-    spans = spans.where(F.col("s.generator") != len(GENERATORS) - 1)
-    names = [f"f{i}" for i in range(len(features(F.col("s"))))]
-    rows = spans.select(
-        "s", F.col("s.kind").alias("kind"), valid(F.col("s")).cast("double").alias("label"), (F.pmod("mark", F.lit(3)) > 0).alias("fit"),
-        *[c.alias(n) for n, c in zip(names, features(F.col("s")), strict=True)],
-    )
-    rows = materialise(rows, "candidates")
-    training = VectorAssembler(inputCols=names, outputCol="features").transform(rows.where("fit")).select("features", "label").coalesce(4)
-    if training.select("label").distinct().count() < 2:
+def _boost(rows: DataFrame) -> Boosted:
+    """Boosted trees of (f0, ..., label, n) rows, n: the row's weight; no trees with one class only."""
+    sizes = [r["count"] for r in rows.groupBy("label").count().collect()]
+    if len(sizes) < 2:
         return Boosted([], {})
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, maxBins=32, stepSize=0.3, seed=SEED).fit(training)
+    sides = array_to_vector(F.array(*[(F.col(f"f{i}") > step).cast("double") for i, step in SPLITS]))
+    yes_or_no = {"ml_attr": {"attrs": {"binary": [{"idx": j} for j in range(len(SPLITS))]}, "num_attrs": len(SPLITS)}}
+    training = rows.select(sides.alias("features", metadata=yes_or_no), "label", F.col("n").cast("double").alias("n"))
+    training = training.coalesce(-(-sum(sizes) // PART))
+    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, maxBins=2, stepSize=0.3, seed=SEED, weightCol="n").fit(training)
     trees = [
         ([x for x in t.toDebugString.split("\n")[1:] if x.strip()], w) for t, w in zip(model.trees, model.treeWeights, strict=True)
     ]
-    plain = Boosted(trees, {})
-    held = rows.where("NOT fit").select("kind", "label", F.round(plain.score(F.col("s")), 2).alias("p"))
-    bins = held.groupBy("kind", "p").agg(F.sum("label").alias("good"), F.count("*").alias("n")).collect()  # at most 404 rows
-    thresholds = {}
+    return Boosted(trees, {})
+
+
+def training_rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(kind, fold, label, f0, ..., n): the candidates of all documents, equal ones counted in n.
+
+    Label: the validity rule of the kind. Candidates of the national phone form
+    have no rule and are left out.
+    """
+    fold = F.pmod(F.xxhash64(F.col(doc_id).cast("string"), F.lit(SEED)), F.lit(FOLDS)).cast("int")
+    spans = docs.select(fold.alias("fold"), F.explode(candidates(F.col(text))).alias("s")).where(F.col("s.generator") != len(GENERATORS) - 1)
+    numbers = [stepped(f, i).alias(f"f{i}") for i, f in enumerate(features(F.col("s")))]
+    rows = spans.select(F.col("s.kind").alias("kind"), "fold", F.coalesce(valid(F.col("s")), F.lit(False)).cast("double").alias("label"), *numbers)
+    return rows.groupBy(*rows.columns).agg(F.count("*").alias("n"))
+
+
+def fit(docs: DataFrame, doc_id: str, text: str) -> Boosted:
+    """Boosted trees of all documents' candidates, and thresholds from all scored by trees of the other folds.
+
+    A fold whose other folds have one class only takes no part in calibration.
+    """
+    rows = materialise(training_rows(docs, doc_id, text), "candidates")
+    model = _boost(rows)
+    if not model.trees:
+        discard(rows)
+        return model
+    bins: dict[tuple, list] = {}
+    for fold in range(FOLDS):
+        others = _boost(rows.where(F.col("fold") != fold))
+        if others.trees:
+            p = F.round(others.score_of(F.array(*[f"f{i}" for i in range(FEATURES)])), 2)
+            held = rows.where(F.col("fold") == fold).groupBy("kind", p.alias("p"))
+            for r in held.agg(F.sum(F.col("label") * F.col("n")).alias("good"), F.sum("n").alias("n")).collect():  # at most 404 rows
+                total = bins.setdefault((r["kind"], r["p"]), [0, 0])
+                total[0] += r["good"]
+                total[1] += r["n"]
+    discard(rows)
     for kind in range(BASE):
         good = n = 0
-        for r in sorted((r for r in bins if r["kind"] == kind), key=lambda r: -r["p"]):
-            good, n = good + r["good"], n + r["n"]
+        for p in sorted((p for k, p in bins if k == kind), reverse=True):
+            good, n = good + bins[kind, p][0], n + bins[kind, p][1]
             if good >= PRECISION * n:
-                thresholds[kind] = r["p"] - 0.005
-    return Boosted(trees, thresholds)
+                model.thresholds[kind] = p - 0.005
+    return model
 
 
 def _overlap(a: Column, b: Column) -> Column:
     return (a["start"] < b["end"]) & (b["start"] < a["end"])
 
 
-def find_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", train_docs: int = TRAIN_DOCS) -> DataFrame:
+def find_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Each row of ``docs`` as ``row`` with ``base`` and ``added``: arrays of (start, kind, end), in that order.
 
     ``base``: matches of the base rules that are valid. ``added``: candidates
     that the trees accept, that overlap no base span and no accepted candidate
     before them (by start, longest first). Places are code points from 0, ends
-    exclusive. Null texts have no spans; repeated rows get equal spans; a null
-    id only leaves the row out of the fit's sample by its hash; an empty table
-    gives an empty result.
+    exclusive. Null texts have no spans; repeated rows get equal spans; rows of
+    a null id are in one fold; an empty table gives an empty result.
     """
-    model = fit(docs, doc_id, text, train_docs)
+    model = fit(docs, doc_id, text)
     rows = docs.select(F.struct(*docs.columns).alias("row"), candidates(F.coalesce(F.col(text), F.lit(""))).alias("all"))
 
     place = lambda s: s["start"] * BASE + s["kind"]
@@ -274,9 +329,9 @@ def count_kind(spans: Column, kind: int) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
 
-def redact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+def redact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with every span of ``text`` replaced by its kind in brackets (overlaps merge under the first kind)."""
-    found = find_spans(docs, doc_id, text, **options)
+    found = find_spans(docs, doc_id, text)
     ordered = F.array_sort(F.concat("base", "added"))
     start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
     body = F.coalesce(F.col("row")[text], F.lit(""))
