@@ -171,3 +171,20 @@ def test_held_out_accuracy(spark):
 def test_pooled_shares_never_fall():
     got = language_kn.monotone(np.array([1.0, 0.0, 2.0, 1.0, 3.0]), np.array([2.0, 2.0, 2.0, 2.0, 3.0]))
     assert got.tolist() == [0.25, 0.25, 0.75, 0.75, 1.0]
+
+
+def judged(docs, **bound):
+    found = language_kn.identify(docs, keep=["doc_id"], **bound)
+    return sorted(map(tuple, found.select("row.doc_id", "held_out", "lang_pred", "score", "cross_entropy", "rejected").collect()), key=str)
+
+
+@pytest.mark.parametrize("bound", [{"most": 60}, {"cells": 2}])
+def test_models_beyond_the_bound_leave_no_gram_out(spark, docs_of, bound):
+    """n-grams that don't go to the workers count as they do in whole models; so do unseen ones."""
+    rows = voiced(240) + [(None, "the house", "aa"), (7, None, "bb"), (8, "42 !", "cc"), (9, "", "aa"), (9, "qqq der там " * 40_000, None), (9, "漢字 xyz", None)]
+    rows += [(5000 + i, f"feathers qua{i}ck дом{i}", "aa") for i in range(40)]
+    whole, bounded = judged(docs_of(rows)), judged(docs_of(rows, 5), **bound)
+    assert len(whole) == len(bounded) == len(rows)
+    for a, b in zip(whole, bounded, strict=True):
+        assert a[:3] == b[:3] and a[5] == b[5] and a[3] == pytest.approx(b[3], abs=1e-5)
+        assert (a[4] is None) == (b[4] is None) and (a[4] is None or a[4] == pytest.approx(b[4], abs=1e-4))
