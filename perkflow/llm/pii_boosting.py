@@ -49,7 +49,7 @@ GENERATORS = (
 )
 BASE = len(KINDS)
 #: Parts of the documents, by a hash of the id; each part's candidates are scored by trees of the others.
-FOLDS = 2
+FOLDS = 3
 #: Where a feature that is a number may be split.
 STEPS = (*range(25), 28, 32, 40, 48, 64, 128, 256)
 #: Rows of the fit in one partition, about.
@@ -253,6 +253,7 @@ def fit(docs: DataFrame, doc_id: str, text: str) -> Boosted:
     """Boosted trees of all documents' candidates, and thresholds from all scored by trees of the other folds.
 
     A fold whose other folds have one class only takes no part in calibration.
+    No threshold is below a half, however few candidates of a kind are invalid.
     """
     rows = materialise(training_rows(docs, doc_id, text), "candidates")
     model = _boost(rows)
@@ -274,7 +275,7 @@ def fit(docs: DataFrame, doc_id: str, text: str) -> Boosted:
         good = n = 0
         for p in sorted((p for k, p in bins if k == kind), reverse=True):
             good, n = good + bins[kind, p][0], n + bins[kind, p][1]
-            if good >= PRECISION * n:
+            if good >= PRECISION * n and p >= 0.5:
                 model.thresholds[kind] = p - 0.005
     return model
 
